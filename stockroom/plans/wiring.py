@@ -46,3 +46,224 @@ def _k6(f: Fixtures):
 @query("customer_order_frequency")
 def _k7(f: Fixtures):
     return kpis.customer_order_frequency(f.orders, f.customer)
+
+
+# ------------------------------------------------------------------ H ----
+from pyspark.sql import functions as F  # noqa: E402
+
+from stockroom.operators import health, quality  # noqa: E402
+from stockroom.sources.fixtures import LOG_DATE, REPORT_DATE  # noqa: E402
+
+STOCK_POSITION_IDS = (1, 5, 42, 1999)
+
+
+@query("quantity_on_order")
+def _h1a(f: Fixtures):
+    return health.quantity_on_order(f.purchase_order_items, f.purchase_orders)
+
+
+@query("critical_stock")
+def _h1(f: Fixtures):
+    return health.critical_stock(
+        f.product, f.product_category, f.inventory, f.order_item, f.orders,
+        f.purchase_orders, f.purchase_order_items, as_of=REPORT_DATE,
+    )
+
+
+@query("slow_moving_inventory")
+def _h2(f: Fixtures):
+    return health.slow_moving_inventory(
+        f.product, f.product_category, f.inventory_with_last_sale, f.order_item, f.orders,
+        as_of=REPORT_DATE,
+    )
+
+
+@query("slow_moving_inventory_literal")
+def _h2b(f: Fixtures):
+    return health.slow_moving_inventory(
+        f.product, f.product_category, f.inventory_with_last_sale, f.order_item, f.orders,
+        as_of=REPORT_DATE, literal=True,
+    )
+
+
+def _integrity_parts(f: Fixtures):
+    return [
+        health.orphaned_order_items(f.order_item, f.orders_broken),
+        health.orphaned_inventory(f.inventory, f.product_broken),
+        health.negative_inventory(f.inventory_minus5),
+        health.inactive_products_with_stock(f.product, f.inventory),
+        health.invalid_customer_emails(f.customer),
+        health.orders_total_mismatch(f.orders, f.order_item),
+    ]
+
+
+@query("orphaned_order_items")
+def _h3(f: Fixtures):
+    return health.orphaned_order_items(f.order_item, f.orders_broken)
+
+
+@query("orphaned_inventory")
+def _h4(f: Fixtures):
+    return health.orphaned_inventory(f.inventory, f.product_broken)
+
+
+@query("negative_inventory")
+def _h5(f: Fixtures):
+    return health.negative_inventory(f.inventory_minus5)
+
+
+@query("inactive_products_with_stock")
+def _h6(f: Fixtures):
+    return health.inactive_products_with_stock(f.product, f.inventory)
+
+
+@query("invalid_customer_emails")
+def _h7(f: Fixtures):
+    return health.invalid_customer_emails(f.customer)
+
+
+@query("orders_total_mismatch")
+def _h8(f: Fixtures):
+    return health.orders_total_mismatch(f.orders, f.order_item)
+
+
+@query("data_integrity_report")
+def _h9(f: Fixtures):
+    return health.data_integrity_report(_integrity_parts(f))
+
+
+@query("unresolved_errors_by_severity")
+def _h10(f: Fixtures):
+    return health.unresolved_errors_by_severity(f.system_error_log)
+
+
+@query("active_alerts_by_level")
+def _h11(f: Fixtures):
+    return health.active_alerts_by_level(f.low_stock_alerts)
+
+
+@query("system_status")
+def _h12(f: Fixtures):
+    return health.system_status(f.orders, f.low_stock_alerts, f.system_error_log, f.active_connections_log)
+
+
+@query("recent_errors")
+def _h13(f: Fixtures):
+    return health.recent_errors(f.system_error_log, n=10)
+
+
+@query("slow_queries")
+def _h14(f: Fixtures):
+    return health.slow_queries(f.query_performance_log, threshold_ms=1000, n=10)
+
+
+@query("log_retention")
+def _h15(f: Fixtures):
+    return health.log_retention(f.query_performance_log, "log_time", as_of=LOG_DATE, days=7)
+
+
+@query("log_retention_connections")
+def _h15b(f: Fixtures):
+    return health.log_retention(f.active_connections_log, "logged_at", as_of=LOG_DATE, days=1)
+
+
+@query("stock_position")
+def _h16(f: Fixtures):
+    return health.stock_position(f.inventory, f.product, STOCK_POSITION_IDS)
+
+
+@query("entity_counts")
+def _h18(f: Fixtures):
+    return health.entity_counts(
+        {
+            "customer": f.customer,
+            "product": f.product,
+            "inventory": f.inventory,
+            "orders": f.orders,
+            "order_item": f.order_item,
+        }
+    )
+
+
+# ------------------------------------------------------------------ C ----
+@query("unique_violations")
+def _c1(f: Fixtures):
+    return quality.unique_violations(f.table("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("unique_violations_email")
+def _c1b(f: Fixtures):
+    return quality.unique_violations(f.customer, ["email"])
+
+
+@query("foreign_key_violations")
+def _c2(f: Fixtures):
+    return quality.foreign_key_violations(
+        f.order_item, f.orders_broken, {"order_id": "order_id"},
+        keep=["order_item_id", "order_id", "product_id"],
+    )
+
+
+INVENTORY_RULES = {
+    "on_hand_non_negative": F.col("quantity_on_hand") >= 0,
+    "reserved_non_negative": F.col("quantity_reserved") >= 0,
+    "reorder_point_non_negative": F.col("reorder_point") >= 0,
+    "reorder_quantity_positive": F.col("reorder_quantity") > 0,
+}
+
+
+@query("check_violations")
+def _c3(f: Fixtures):
+    return quality.check_violations(f.inventory_minus5, INVENTORY_RULES, keep=["product_id"])
+
+
+SHIPPING_METHODS = ("STANDARD", "EXPRESS", "OVERNIGHT")
+
+
+@query("enum_violations")
+def _c4(f: Fixtures):
+    return quality.enum_violations(
+        f.order_request_heads, "shipping_method", SHIPPING_METHODS, keep=["request_id"]
+    )
+
+
+@query("apply_defaults")
+def _c5(f: Fixtures):
+    return quality.apply_defaults(
+        f.product,
+        {
+            "is_active": F.lit(True),
+            "rating": F.lit(0).cast("decimal(3,2)"),
+            "review_count": F.lit(0),
+            "cost_price": F.lit(None).cast("decimal(10,2)"),
+        },
+    )
+
+
+def _upsert_inputs(f: Fixtures):
+    target = f.customer.filter(F.col("customer_id") % 2 == 0)
+    source = f.customer.filter(F.col("customer_id") % 3 == 0).withColumn("full_name", F.upper("full_name"))
+    return target, source
+
+
+@query("upsert")
+def _c6(f: Fixtures):
+    target, source = _upsert_inputs(f)
+    return quality.upsert(target, source, ["customer_id"], mode="update")
+
+
+@query("upsert_ignore")
+def _c6b(f: Fixtures):
+    target, source = _upsert_inputs(f)
+    return quality.upsert(target, source, ["customer_id"], mode="ignore")
+
+
+@query("delete_cascade_restrict")
+def _c7(f: Fixtures):
+    requests = f.customer.filter(F.col("customer_id") % 7 == 0).select("customer_id")
+    return quality.delete_cascade_restrict(
+        requests,
+        "customer_id",
+        restrict={"orders": (f.orders.filter(F.col("order_id") % 6 == 0), "customer_id")},
+        cascade={"customer_loyalty": (f.customer_loyalty, "customer_id")},
+    )

@@ -222,14 +222,18 @@ class Fixtures:
     @cached_property
     def order_requests(self) -> DataFrame:
         """One row per request; items travel as a JSON array string."""
-        o = self.table("orders")
-        k = F.col("o_orderkey")
         items = self.order_request_items.groupBy("request_id").agg(
             F.to_json(
                 F.collect_list(F.struct("product_id", "quantity"))
             ).alias("items_json")
         )
-        head = o.select(
+        return self.order_request_heads.join(items, "request_id", "left")
+
+    @cached_property
+    def order_request_heads(self) -> DataFrame:
+        o = self.table("orders")
+        k = F.col("o_orderkey")
+        return o.select(
             k.alias("request_id"),
             F.col("o_orderdate").alias("request_ts"),
             F.when(k % 41 == 0, F.lit(-1).cast("long")).otherwise(F.col("o_custkey")).alias("customer_id"),
@@ -250,7 +254,6 @@ class Fixtures:
             .otherwise(F.lit(None).cast("string"))
             .alias("promotion_code"),
         )
-        return head.join(items, "request_id", "left")
 
     @cached_property
     def restocks(self) -> DataFrame:
@@ -380,6 +383,26 @@ class Fixtures:
             F.when(F.col("event_type") == "purchase", -mag).otherwise(mag).alias("quantity_change"),
         )
 
+    # ---- deliberately broken variants to exercise the checks ---------------
+    @cached_property
+    def orders_broken(self) -> DataFrame:
+        """Parents with gaps: lines of these orders become orphans."""
+        return self.orders.filter(F.col("order_id") % 97 != 0)
+
+    @cached_property
+    def product_broken(self) -> DataFrame:
+        return self.product.filter(F.col("product_id") % 89 != 0)
+
+    @cached_property
+    def inventory_minus5(self) -> DataFrame:
+        """Proposed stock levels 5 below the current ones (some negative)."""
+        return self.inventory.withColumns(
+            {
+                "quantity_on_hand": (F.col("quantity_on_hand") - 5).cast("int"),
+                "quantity_available": (F.col("quantity_on_hand") - 5 - F.col("quantity_reserved")).cast("int"),
+            }
+        )
+
     # ---- before/after pairs for change-driven rules ------------------------
     @cached_property
     def inventory_after(self) -> DataFrame:
