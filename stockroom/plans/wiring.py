@@ -267,3 +267,117 @@ def _c7(f: Fixtures):
         restrict={"orders": (f.orders.filter(F.col("order_id") % 6 == 0), "customer_id")},
         cascade={"customer_loyalty": (f.customer_loyalty, "customer_id")},
     )
+
+
+# ------------------------------------------------------------------ O ----
+from stockroom.operators import allocate, orders  # noqa: E402
+from stockroom.plans.order_batch import order_batch  # noqa: E402
+
+MOVEMENT_REFERENCE = 56
+
+
+def _batch(f: Fixtures, ample: bool = True):
+    inv = f.inventory_ample if ample else f.inventory
+    return order_batch(f.order_requests, f.customer, f.product, inv, f.promotions)
+
+
+@query("parse_order_requests")
+def _o1(f: Fixtures):
+    return orders.parse_order_requests(f.order_requests)
+
+
+@query("validate_order_requests")
+def _o2(f: Fixtures):
+    lines = orders.parse_order_requests(f.order_requests)
+    enriched = orders.enrich_lines(lines, f.product, f.inventory_ample)
+    return orders.validate_order_requests(f.order_requests, enriched, f.customer)
+
+
+@query("price_orders")
+def _o3(f: Fixtures):
+    return _batch(f).priced
+
+
+@query("apply_promotions")
+def _o4(f: Fixtures):
+    return _batch(f).promoted.select(
+        "request_id", "promotion_id", "discount_amount", "shipping_amount", "total_amount"
+    )
+
+
+@query("allocate_stock")
+def _o5(f: Fixtures):
+    """Scarce (real) stock: the serial-consistent fixpoint. No SQL oracle;
+    tests compare it with a serial loop."""
+    return _batch(f, ample=False).outcomes
+
+
+@query("post_orders")
+def _o6(f: Fixtures):
+    return orders.post_orders(_batch(f).accepted)
+
+
+@query("post_order_items")
+def _o6b(f: Fixtures):
+    return orders.post_order_items(_batch(f).accepted_lines)
+
+
+@query("reserve_inventory")
+def _o7(f: Fixtures):
+    return orders.reserve_inventory(f.inventory_ample, _batch(f).accepted_lines)
+
+
+@query("order_movements")
+def _o8(f: Fixtures):
+    return orders.order_movements(_batch(f).accepted_lines)
+
+
+@query("promotion_usage")
+def _o9(f: Fixtures):
+    return orders.promotion_usage(_batch(f).accepted)
+
+
+@query("promotion_times_used")
+def _o9b(f: Fixtures):
+    return orders.promotion_times_used(f.promotions, orders.promotion_usage(_batch(f).accepted))
+
+
+@query("shipping_plan")
+def _o10(f: Fixtures):
+    return orders.shipping_plan(_batch(f).accepted)
+
+
+@query("loyalty_accrual")
+def _o11(f: Fixtures):
+    return orders.loyalty_accrual(_batch(f).accepted)
+
+
+@query("loyalty_balances")
+def _o11b(f: Fixtures):
+    b = _batch(f)
+    return orders.loyalty_balances(f.customer_loyalty, orders.loyalty_accrual(b.accepted), b.accepted)
+
+
+@query("order_results")
+def _o12(f: Fixtures):
+    return orders.order_results(_batch(f).decided)
+
+
+@query("rejected_requests")
+def _o13(f: Fixtures):
+    return orders.rejected_requests(_batch(f).decided)
+
+
+@query("orders_total_mismatch_components")
+def _h8b(f: Fixtures):
+    b = _batch(f)
+    return health.orders_total_mismatch_components(
+        orders.post_orders(b.accepted), orders.post_order_items(b.accepted_lines)
+    )
+
+
+@query("movements_by_reference")
+def _h17(f: Fixtures):
+    return health.movements_by_reference(
+        orders.order_movements(_batch(f).accepted_lines), MOVEMENT_REFERENCE, "orders", n=5
+    )

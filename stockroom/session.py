@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,11 +75,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder.
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and read it back.
 
-    Survives executor loss (unlike ``localCheckpoint``) and keeps iterative
-    plans from growing without bound.
+    The plan runs once (``Dataset.checkpoint`` computes it twice unless it
+    is also cached), the files survive executor loss (unlike
+    ``localCheckpoint``), and iterative plans stop growing.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"lineage/{name}-{uuid.uuid4().hex}")
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
