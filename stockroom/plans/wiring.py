@@ -381,3 +381,171 @@ def _h17(f: Fixtures):
     return health.movements_by_reference(
         orders.order_movements(_batch(f).accepted_lines), MOVEMENT_REFERENCE, "orders", n=5
     )
+
+
+# ------------------------------------------------------------- R, T ----
+import datetime as _dt  # noqa: E402
+
+from stockroom.operators import loyalty, restock, returns, rules  # noqa: E402
+from stockroom.sources.fixtures import OPERATOR  # noqa: E402
+
+AS_OF_TS = _dt.datetime(REPORT_DATE.year, REPORT_DATE.month, REPORT_DATE.day)
+
+
+def _restock(f: Fixtures):
+    checks = restock.validate_restocks(f.restocks, f.product, f.suppliers)
+    valid = restock.valid_restocks(f.restocks, checks)
+    return checks, valid
+
+
+@query("validate_restocks")
+def _r1(f: Fixtures):
+    return _restock(f)[0]
+
+
+@query("restock_batches")
+def _r2(f: Fixtures):
+    return restock.restock_batches(_restock(f)[1], AS_OF_TS)
+
+
+@query("apply_restocks")
+def _r3(f: Fixtures):
+    return restock.apply_restocks(f.inventory, _restock(f)[1], REPORT_DATE)
+
+
+@query("restock_movements")
+def _r4(f: Fixtures):
+    return restock.restock_movements(_restock(f)[1], f.inventory, AS_OF_TS, OPERATOR)
+
+
+@query("resolve_alerts")
+def _r5(f: Fixtures):
+    return restock.resolve_alerts(f.low_stock_alerts, _restock(f)[1], AS_OF_TS)
+
+
+@query("restock_results")
+def _r6(f: Fixtures):
+    checks, valid = _restock(f)
+    moves = restock.restock_movements(valid, f.inventory, AS_OF_TS, OPERATOR)
+    return restock.restock_results(f.restocks, checks, moves)
+
+
+class _Returns:
+    def __init__(self, f: Fixtures):
+        self.requests = f.return_requests
+        self.lines = returns.parse_return_requests(self.requests, f.order_item)
+        self.checks = returns.validate_returns(self.requests, self.lines, f.orders)
+        ok = self.checks.filter(F.col("failed_rule").isNull())
+        self.priced_lines = returns.price_returns(self.lines.join(ok.select("request_id"), "request_id", "left_semi"))
+        self.refunds = returns.refunds(self.priced_lines)
+        accepted = self.requests.join(ok.select("request_id", "customer_id"), "request_id")
+        self.posted = returns.post_returns(accepted, self.refunds, AS_OF_TS)
+
+
+@query("parse_return_requests")
+def _t1(f: Fixtures):
+    return _Returns(f).lines
+
+
+@query("validate_returns")
+def _t2(f: Fixtures):
+    return _Returns(f).checks
+
+
+@query("price_returns")
+def _t3(f: Fixtures):
+    return _Returns(f).refunds
+
+
+@query("post_returns")
+def _t4(f: Fixtures):
+    return _Returns(f).posted
+
+
+@query("post_return_items")
+def _t4b(f: Fixtures):
+    return returns.post_return_items(_Returns(f).priced_lines)
+
+
+@query("mark_orders_returned")
+def _t5(f: Fixtures):
+    return returns.mark_orders_returned(f.orders, _Returns(f).posted)
+
+
+@query("return_restock")
+def _t6(f: Fixtures):
+    return returns.return_restock_movements(_Returns(f).priced_lines, f.inventory, AS_OF_TS, OPERATOR)
+
+
+@query("return_inventory")
+def _t6b(f: Fixtures):
+    return returns.return_inventory(f.inventory, _Returns(f).priced_lines)
+
+
+@query("restocked_quantity")
+def _t7(f: Fixtures):
+    return returns.post_return_items(_Returns(f).priced_lines).select(
+        "return_item_id", "order_item_id", "restocked_quantity"
+    )
+
+
+@query("loyalty_clawback")
+def _t8(f: Fixtures):
+    return returns.loyalty_clawback(_Returns(f).posted, AS_OF_TS)
+
+
+@query("loyalty_clawback_balances")
+def _t8b(f: Fixtures):
+    return returns.clawback_balances(f.customer_loyalty, returns.loyalty_clawback(_Returns(f).posted, AS_OF_TS))
+
+
+@query("return_results")
+def _t9(f: Fixtures):
+    r = _Returns(f)
+    return returns.return_results(r.requests, r.checks, r.posted)
+
+
+# ------------------------------------------------------------- L, A ----
+@query("loyalty_tiers")
+def _l1(f: Fixtures):
+    return loyalty.loyalty_tiers(f.customer_loyalty, REPORT_DATE)
+
+
+@query("loyalty_tier_changes")
+def _l2(f: Fixtures):
+    return loyalty.loyalty_tier_changes(f.customer_loyalty, REPORT_DATE)
+
+
+@query("customer_lifetime_value")
+def _l3(f: Fixtures):
+    return loyalty.customer_lifetime_value(f.customer, f.customer_loyalty, f.orders)
+
+
+@query("low_stock_alerts")
+def _a1(f: Fixtures):
+    return rules.low_stock_alerts(f.inventory, f.inventory_after, f.product, AS_OF_TS)
+
+
+@query("movement_alerts")
+def _a1b(f: Fixtures):
+    return rules.movement_alerts(f.stock_movements, f.inventory, f.product)
+
+
+@query("customer_change_audit")
+def _a2(f: Fixtures):
+    return rules.customer_change_audit(f.customer, f.customer_after, AS_OF_TS, OPERATOR)
+
+
+@query("product_review_count")
+def _a3(f: Fixtures):
+    return rules.product_review_count(f.product, f.order_item)
+
+
+@query("negative_inventory_guard")
+def _a4(f: Fixtures):
+    return rules.negative_inventory_violations(f.inventory_minus5, AS_OF_TS)
+
+
+@query("negative_inventory_guard_applied")
+def _a4b(f: Fixtures):
+    return rules.negative_inventory_guard(f.inventory, f.inventory_minus5)
