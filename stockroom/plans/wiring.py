@@ -549,3 +549,56 @@ def _a4(f: Fixtures):
 @query("negative_inventory_guard_applied")
 def _a4b(f: Fixtures):
     return rules.negative_inventory_guard(f.inventory, f.inventory_minus5)
+
+
+# ------------------------------------------------------------------ X ----
+from stockroom.session import scratch_path  # noqa: E402
+from stockroom.streaming import feeds, jobs  # noqa: E402
+
+DAY = 86400
+
+
+@query("stream_low_stock_alerts")
+def _x1(f: Fixtures):
+    """Movements derived from events, delivered as 5-day slices out of
+    order (watermark 11 days >= two slices); equals ``movement_alerts``."""
+    spark = f.spark
+    moves = f.stock_movements
+    path = scratch_path(spark, "feeds/movements-" + _uuid())
+    feeds.write_sliced_feed(moves, path, "ts", 5 * DAY, marker={"event_id": -1, "product_id": -1, "quantity_change": 0})
+    return jobs.run_low_stock_alerts(spark, path, moves.schema, f.inventory, f.product, watermark="11 days")
+
+
+@query("stream_customer_audit")
+def _x2(f: Fixtures):
+    """Two versions of every customer row (before at as_of - 1 day,
+    after at as_of), the later file first; equals ``customer_change_audit``."""
+    spark = f.spark
+    before = f.customer.withColumn("version_ts", ts_lit(AS_OF_TS - _dt.timedelta(days=1)))
+    after = f.customer_after.withColumn("version_ts", ts_lit(AS_OF_TS))
+    versions = before.unionByName(after)
+    path = scratch_path(spark, "feeds/customers-" + _uuid())
+    feeds.write_sliced_feed(versions, path, "version_ts", DAY, marker={"customer_id": -1})
+    return jobs.run_customer_audit(spark, path, versions.schema, OPERATOR, watermark="2 days")
+
+
+@query("stream_lifetime_value")
+def _x3(f: Fixtures):
+    """Orders as yearly slices out of order, every 13th order delivered
+    twice; LTV per customer kept by foreachBatch upserts."""
+    spark = f.spark
+    path = scratch_path(spark, "feeds/orders-" + _uuid())
+    feeds.write_sliced_feed(
+        f.orders, path, "order_date", 365 * DAY, marker={"order_id": -1, "customer_id": -1},
+        duplicate_every=[("order_id", 13)],
+    )
+    return jobs.run_lifetime_value(spark, path, f.orders.schema, watermark="730 days")
+
+
+def _uuid() -> str:
+    import uuid
+
+    return uuid.uuid4().hex
+
+
+from stockroom.functions.clock import ts_lit  # noqa: E402
