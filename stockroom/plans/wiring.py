@@ -204,17 +204,19 @@ def _c2(f: Fixtures):
     )
 
 
-INVENTORY_RULES = {
-    "on_hand_non_negative": F.col("quantity_on_hand") >= 0,
-    "reserved_non_negative": F.col("quantity_reserved") >= 0,
-    "reorder_point_non_negative": F.col("reorder_point") >= 0,
-    "reorder_quantity_positive": F.col("reorder_quantity") > 0,
-}
+def inventory_rules() -> dict:
+    """Declared CHECK constraints of the stock table."""
+    return {
+        "on_hand_non_negative": F.col("quantity_on_hand") >= 0,
+        "reserved_non_negative": F.col("quantity_reserved") >= 0,
+        "reorder_point_non_negative": F.col("reorder_point") >= 0,
+        "reorder_quantity_positive": F.col("reorder_quantity") > 0,
+    }
 
 
 @query("check_violations")
 def _c3(f: Fixtures):
-    return quality.check_violations(f.inventory_minus5, INVENTORY_RULES, keep=["product_id"])
+    return quality.check_violations(f.inventory_minus5, inventory_rules(), keep=["product_id"])
 
 
 SHIPPING_METHODS = ("STANDARD", "EXPRESS", "OVERNIGHT")
