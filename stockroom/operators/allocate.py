@@ -17,17 +17,18 @@ lb and ub, so each decision equals the serial one and never changes. The
 earliest undecided order has lb = ub and is always decided, so the loop
 ends; in practice within a few rounds.
 
-Each round is two grouped shuffles (running sums per product, verdict per
-order). Running sums are two-level (product, time bucket) so a hot product
-is not one task. Rejected lines leave the loop, and so do lines after the
-last undecided line of their product and products with nothing undecided.
-Each round's state and decisions are checkpointed to the reliable
-checkpoint folder, which bounds lineage and survives executor loss.
+Each round is a running sum per product and a verdict per order. If any
+product holds more than ``HOT_PRODUCT_LINES`` lines (checked once, up
+front), the running sums are two-level (product, time bucket) so a hot
+product is not one task. Rejected lines leave the loop, and so do lines
+after the last undecided line of their product and products with nothing
+undecided. Each round's state (with its verdicts) is written once to the
+shared checkpoint folder, which bounds lineage and survives executor loss.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockroom.functions.windows import running_sums
@@ -44,6 +45,18 @@ def _seq() -> Column:
     return F.struct(*[F.col(c) for c in ORDER])
 
 
+# Above this many lines for one product, the running sums switch to the
+# two-level (product, time bucket) form so a hot product is not one task.
+HOT_PRODUCT_LINES = 1_000_000
+
+
+def _sums(state: DataFrame, values: dict, bucket_unit: str, two_level: bool) -> DataFrame:
+    if two_level:
+        return running_sums(state, ["product_id"], ORDER, values, _bucket(bucket_unit))
+    w = Window.partitionBy("product_id").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
+    return state.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(n) for n, v in values.items()])
+
+
 def allocate_lines(
     lines: DataFrame,
     inventory: DataFrame,
@@ -51,6 +64,7 @@ def allocate_lines(
     max_rounds: int | None = None,
     stats: list | None = None,
     carry: tuple[str, ...] = (),
+    hot_product_lines: int = HOT_PRODUCT_LINES,
 ) -> DataFrame:
     """Decide every line's order; return lines with ``accepted`` and
     ``available_before`` (stock left just before this order, after all
@@ -67,25 +81,27 @@ def allocate_lines(
     base = cut_lineage(
         lines.select("request_id", "request_ts", "product_id", "quantity", *carry).join(
             inventory.select("product_id", F.col("quantity_available").alias("stock")), "product_id"
-        )
+        ),
+        "alloc-base",
     )
+    # one size check decides whether any product is hot enough to need the
+    # two-level running sums (partial aggregation: cheap even when skewed)
+    hottest = base.groupBy("product_id").count().agg(F.max("count")).first()[0] or 0
+    two_level = hottest > hot_product_lines
+
     state = base.select(
         "request_id", "request_ts", "product_id", "quantity", "stock", F.lit(None).cast("boolean").alias("d")
     )
-    decided_parts: list[DataFrame] = []
+    round_files: list[DataFrame] = []
     rounds = 0
+    d = F.col("d")
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
-        d = F.col("d")
-        sums = running_sums(
+        sums = _sums(
             state,
-            keys=["product_id"],
-            order=ORDER,
-            values={
-                "_ub": F.when(d.isNull() | d, F.col("quantity")),
-                "_lb": F.when(d, F.col("quantity")),
-            },
-            bucket=_bucket(bucket_unit),
+            {"_ub": F.when(d.isNull() | d, F.col("quantity")), "_lb": F.when(d, F.col("quantity"))},
+            bucket_unit,
+            two_level,
         )
         verdict = (
             sums.filter(d.isNull())
@@ -100,43 +116,38 @@ def allocate_lines(
             )
             .filter(F.col("_new").isNotNull())
         )
-        verdict = cut_lineage(verdict)
-        decided_parts.append(verdict)
-
-        updated = (
+        # one write per round: the state with this round's verdicts; the
+        # decisions are read back from these files at the end
+        decided = cut_lineage(
             state.join(verdict, "request_id", "left")
-            .withColumn("d", F.coalesce(F.col("d"), F.col("_new")))
-            .drop("_new")
-            .filter(F.col("d").isNull() | F.col("d"))
-        )
-        last_open = (
-            updated.filter(F.col("d").isNull())
-            .groupBy("product_id")
-            .agg(F.max(_seq()).alias("_last_open"))
-        )
-        state = cut_lineage(
-            updated.join(last_open, "product_id").filter(_seq() <= F.col("_last_open")).drop("_last_open")
+            .withColumn("d", F.coalesce(d, F.col("_new")))
+            .withColumn("_new", F.col("_new").isNotNull()),
+            "alloc-round",
         )
-        counts = state.agg(
-            F.count(F.lit(1)).alias("loop_lines"), F.count(F.when(F.col("d").isNull(), 1)).alias("open_lines")
+        round_files.append(decided)
+        counts = decided.agg(
+            F.count(F.when(d.isNull() | d, 1)).alias("loop_lines"),
+            F.count(F.when(d.isNull(), 1)).alias("open_lines"),
         ).first()
         open_lines = counts["open_lines"]
         if stats is not None:
-            stats.append({"round": rounds, "open_lines": open_lines, "loop_lines": counts["loop_lines"]})
+            stats.append({"round": rounds, "open_lines": open_lines, "loop_lines": counts["loop_lines"],
+                          "two_level": two_level})
         if open_lines == 0:
             break
-
-    decisions = decided_parts[0]
-    for p in decided_parts[1:]:
-        decisions = decisions.unionByName(p)
-    final = base.join(decisions.withColumnRenamed("_new", "accepted"), "request_id", "left")
-    used = running_sums(
-        final,
-        keys=["product_id"],
-        order=ORDER,
-        values={"_used": F.when(F.col("accepted"), F.col("quantity"))},
-        bucket=_bucket(bucket_unit),
-    )
+        # prune: rejected lines, lines after their product's last open line,
+        # and products with nothing open no longer affect any decision
+        kept = decided.filter(d.isNull() | d).drop("_new")
+        last_open = kept.filter(d.isNull()).groupBy("product_id").agg(F.max(_seq()).alias("_last_open"))
+        state = kept.join(last_open, "product_id").filter(_seq() <= F.col("_last_open")).drop("_last_open")
+
+    decisions = None
+    for part in round_files:
+        newly = part.filter(F.col("_new")).select("request_id", F.col("d").alias("accepted"))
+        decisions = newly if decisions is None else decisions.unionByName(newly)
+    decisions = decisions.distinct()
+    final = base.join(decisions, "request_id", "left")
+    used = _sums(final, {"_used": F.when(F.col("accepted"), F.col("quantity"))}, bucket_unit, two_level)
     return used.withColumn("available_before", (F.col("stock") - F.col("_used")).cast("long")).drop("_used")
 
 

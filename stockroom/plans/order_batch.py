@@ -30,8 +30,10 @@ class OrderBatch:
         promotions: DataFrame,
         bucket_unit: str = "hour",
         max_rounds: int | None = None,
+        stage_requests: bool = False,
     ):
-        self.requests = requests
+        self._requests = requests
+        self.stage_requests = stage_requests
         self.customer = customer
         self.product = product
         self.inventory = inventory
@@ -40,13 +42,21 @@ class OrderBatch:
         self.max_rounds = max_rounds
         self.round_stats: list = []
 
+    @cached_property
+    def requests(self) -> DataFrame:
+        """The request table; written once first when it is itself derived
+        (e.g. built from other tables), so it is not rebuilt per branch."""
+        return cut_lineage(self._requests, "requests") if self.stage_requests else self._requests
+
     @cached_property
     def lines(self) -> DataFrame:  # O1
         return orders.parse_order_requests(self.requests)
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return orders.enrich_lines(self.lines, self.product, self.inventory)
+        """Parsed lines with price, active flag and stock; written once, as
+        validation, pricing and allocation all read it."""
+        return cut_lineage(orders.enrich_lines(self.lines, self.product, self.inventory), "order-lines")
 
     @cached_property
     def checks(self) -> DataFrame:  # O2
@@ -167,5 +177,6 @@ def order_batch(
     promotions: DataFrame,
     bucket_unit: str = "hour",
     max_rounds: int | None = None,
+    stage_requests: bool = False,
 ) -> OrderBatch:
-    return OrderBatch(requests, customer, product, inventory, promotions, bucket_unit, max_rounds)
+    return OrderBatch(requests, customer, product, inventory, promotions, bucket_unit, max_rounds, stage_requests)

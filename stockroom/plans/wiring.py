@@ -280,7 +280,8 @@ MOVEMENT_REFERENCE = 56
 
 def _batch(f: Fixtures, ample: bool = True):
     inv = f.inventory_ample if ample else f.inventory
-    return order_batch(f.order_requests, f.customer, f.product, inv, f.promotions)
+    # the fixture request table is derived (JSON built from lineitem): stage it
+    return order_batch(f.order_requests, f.customer, f.product, inv, f.promotions, stage_requests=True)
 
 
 @query("parse_order_requests")

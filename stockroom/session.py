@@ -85,5 +85,5 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"lineage/{name}-{uuid.uuid4().hex}")
-    df.write.mode("error").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -46,17 +46,24 @@ def _random_cases(n_cases, seed):
     return all_orders, stock, expect
 
 
-def test_random_cases_match_serial(spark):
-    orders, stock, expect = _random_cases(300, seed=7)
+import pytest
+
+
+@pytest.mark.parametrize("hot", [1_000_000, 0])
+def test_random_cases_match_serial(spark, hot):
+    """hot=0 forces the two-level (product, time bucket) running sums."""
+    orders, stock, expect = _random_cases(300, seed=7 + hot % 5)
     lines = spark.createDataFrame(
         [(rid, ts, p, q) for rid, ts, ls in orders for p, q in ls.items()],
         "request_id long, request_ts timestamp_ntz, product_id long, quantity int",
     )
     inv = spark.createDataFrame(list(stock.items()), "product_id long, quantity_available int")
     stats = []
-    got = {r["request_id"]: r["accepted"] for r in allocation_outcomes(allocate_lines(lines, inv, stats=stats)).collect()}
+    alloc = allocate_lines(lines, inv, stats=stats, hot_product_lines=hot)
+    got = {r["request_id"]: r["accepted"] for r in allocation_outcomes(alloc).collect()}
     assert got == expect
     assert stats[-1]["open_lines"] == 0
+    assert stats[-1]["two_level"] == (hot == 0)
 
 
 def test_hot_product_chain_and_messages(spark):
