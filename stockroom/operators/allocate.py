@@ -141,10 +141,10 @@ def allocate_lines(
         last_open = kept.filter(d.isNull()).groupBy("product_id").agg(F.max(_seq()).alias("_last_open"))
         state = kept.join(last_open, "product_id").filter(_seq() <= F.col("_last_open")).drop("_last_open")
 
-    decisions = None
+    decisions = base.limit(0).select("request_id", F.lit(None).cast("boolean").alias("accepted"))
     for part in round_files:
         newly = part.filter(F.col("_new")).select("request_id", F.col("d").alias("accepted"))
-        decisions = newly if decisions is None else decisions.unionByName(newly)
+        decisions = decisions.unionByName(newly)
     decisions = decisions.distinct()
     final = base.join(decisions, "request_id", "left")
     used = _sums(final, {"_used": F.when(F.col("accepted"), F.col("quantity"))}, bucket_unit, two_level)
