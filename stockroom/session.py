@@ -18,28 +18,39 @@ def build_session(
     """A session tuned for the engine.
 
     AQE re-plans joins (broadcast only when the runtime size is under the
-    threshold), coalesces small shuffle partitions and splits skewed join
-    partitions. The UI stays off; timestamps are UTC so results match the
-    DuckDB oracle.
+    threshold), coalesces small shuffle partitions to the advisory size and
+    splits skewed join partitions. In local mode the shuffle width follows
+    the local cores; on a cluster the cluster's setting is kept, or a wide
+    default that AQE coalesces, so partitions stay near 128 MB and fit
+    executor memory at any scale. The UI stays off; timestamps are UTC so
+    results match the DuckDB oracle.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    local = (master or "local").startswith("local")
     cores = os.cpu_count() or 8
-    parts = shuffle_partitions or max(8, 2 * cores)
     builder = (
-        builder.config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
+        builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * 1024 * 1024))
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
     )
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    elif local:
+        builder = builder.config("spark.sql.shuffle.partitions", str(max(8, 2 * cores)))
+    if local:
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
+    if not local and not shuffle_partitions and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        # Spark's default is far too narrow for 100 TB; AQE merges what is small
+        spark.conf.set("spark.sql.shuffle.partitions", "4000")
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
