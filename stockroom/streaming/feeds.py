@@ -35,13 +35,15 @@ def write_sliced_feed(
     slice_seconds: int,
     marker: dict | None = None,
     duplicate_every: Sequence[tuple[str, int]] = (),
+    order: Sequence[int] | None = None,
 ) -> int:
     """Append ``df`` to ``path`` one time slice per file, in arrival order.
 
     ``marker``: column values of a final end-of-input row (its time column
     is set to END_OF_INPUT). ``duplicate_every``: (key column, m) pairs;
     rows whose key is divisible by m are written again in the next slice's
-    file (duplicates for dedup tests). Returns the number of files.
+    file (duplicates for dedup tests). ``order`` overrides the arrival
+    order of the slices. Returns the number of files.
     """
     epoch = F.unix_timestamp(F.col(time_col).cast("timestamp"))
     lo_hi = df.agg(F.min(epoch).alias("lo"), F.max(epoch).alias("hi")).first()
@@ -51,7 +53,7 @@ def write_sliced_feed(
         n = int((lo_hi["hi"] - lo_hi["lo"]) // slice_seconds) + 1
     sliced = df.withColumn("_slice", ((epoch - F.lit(lo_hi["lo"] or 0)) / slice_seconds).cast("int"))
     files = 0
-    for k in arrival_order(n):
+    for k in (order if order is not None else arrival_order(n)):
         part = sliced.filter(F.col("_slice") == k)
         for key, m in duplicate_every:
             again = sliced.filter((F.col("_slice") == k - 1) & (F.col(key) % m == 0))

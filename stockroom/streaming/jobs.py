@@ -20,16 +20,29 @@ from pyspark.sql import types as T
 
 from stockroom.session import scratch_path
 from stockroom.streaming.feeds import END_OF_INPUT
-from stockroom.streaming.ordered_state import ordered_fold
+from stockroom.streaming.ordered_state import LATE_COLUMN, ordered_fold
 
 TRACKED = ("full_name", "email", "phone", "shipping_address")
 
 
-def _run_to_end(query) -> None:
+def _run_to_end(query, report: dict | None = None) -> None:
+    """Drive the query over everything available, then stop it.
+
+    ``report`` receives the number of micro-batches and of input rows that
+    Spark dropped as later than the watermark (from the query progress;
+    it keeps the last ``spark.sql.streaming.numRecentProgressUpdates``).
+    """
     try:
         query.processAllAvailable()
     finally:
+        progress = query.recentProgress
         query.stop()
+    if report is not None:
+        report["batches"] = len(progress)
+        report["dropped_late_rows"] = sum(
+            int(op.get("numRowsDroppedByWatermark", 0) or 0)
+            for p in progress for op in p.get("stateOperators", [])
+        )
 
 
 def _end():
@@ -40,6 +53,17 @@ def _folder(spark: SparkSession, job: str) -> str:
     return scratch_path(spark, f"streams/{job}-{uuid.uuid4().hex}")
 
 
+def _split_late(
+    spark: SparkSession, out_path: str, schema: T.StructType, late_path: str | None
+) -> DataFrame:
+    """Read the sink back; write the late rows aside; return the rest."""
+    full = T.StructType(list(schema.fields) + [T.StructField(LATE_COLUMN, T.StringType())])
+    out = spark.read.schema(full).parquet(out_path)
+    if late_path is not None:
+        out.filter(F.col(LATE_COLUMN).isNotNull()).select(LATE_COLUMN).write.mode("overwrite").parquet(late_path)
+    return out.filter(F.col(LATE_COLUMN).isNull()).drop(LATE_COLUMN)
+
+
 # ------------------------------------------------------------------ X1 ----
 ALERT_SCHEMA = T.StructType(
     [
@@ -109,16 +133,24 @@ def low_stock_alert_stream(
 
 def run_low_stock_alerts(
     spark: SparkSession, feed_path: str, movement_schema: T.StructType, inventory: DataFrame,
-    product: DataFrame, watermark: str = "7 days",
+    product: DataFrame, watermark: str = "7 days", late_path: str | None = None,
+    report: dict | None = None,
 ) -> DataFrame:
+    """Run X1 to the end of the feed.
+
+    Spark drops movements older than the previous micro-batch's watermark
+    before the stateful operator (counted in ``report``); a movement that
+    still reaches it after a later movement of the same product was applied
+    goes to ``late_path`` (JSON) instead of being folded out of order.
+    """
     folder = _folder(spark, "low-stock-alerts")
     alerts = low_stock_alert_stream(spark, feed_path, movement_schema, inventory, product, watermark)
     q = (
         alerts.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", folder + "/_checkpoint").start(folder + "/out")
     )
-    _run_to_end(q)
-    out = spark.read.schema(ALERT_SCHEMA).parquet(folder + "/out")
+    _run_to_end(q, report)
+    out = _split_late(spark, folder + "/out", ALERT_SCHEMA, late_path)
     return out.withColumn("alert_date", F.col("alert_date").cast("timestamp_ntz"))
 
 
@@ -173,7 +205,8 @@ def _audit_fold_factory(compare: list[str], user: str, ip: str, agent: str):
 
 def run_customer_audit(
     spark: SparkSession, feed_path: str, version_schema: T.StructType, user: str,
-    ip: str = "", agent: str = "", watermark: str = "2 days",
+    ip: str = "", agent: str = "", watermark: str = "2 days", late_path: str | None = None,
+    report: dict | None = None,
 ) -> DataFrame:
     """Customer row versions -> one audit row per changed version.
 
@@ -199,8 +232,8 @@ def run_customer_audit(
         audits.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", folder + "/_checkpoint").start(folder + "/out")
     )
-    _run_to_end(q)
-    out = spark.read.schema(AUDIT_SCHEMA).parquet(folder + "/out")
+    _run_to_end(q, report)
+    out = _split_late(spark, folder + "/out", AUDIT_SCHEMA, late_path)
     return out.withColumn("occurred_at", F.col("occurred_at").cast("timestamp_ntz"))
 
 

@@ -23,8 +23,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 STATE_SCHEMA = T.StructType(
-    [T.StructField("carry", T.StringType()), T.StructField("buffer", T.StringType())]
+    [
+        T.StructField("carry", T.StringType()),
+        T.StructField("buffer", T.StringType()),
+        T.StructField("applied_us", T.LongType()),
+        T.StructField("applied_id", T.LongType()),
+    ]
 )
+LATE_COLUMN = "_late"
 
 # fold(key, carry (dict or None), rows sorted by (time, id)) -> (carry, out)
 Fold = Callable[[tuple, dict | None, pd.DataFrame], tuple[dict, pd.DataFrame]]
@@ -38,22 +44,26 @@ def make_state_fn(fold: Fold, time_col: str, id_col: str, columns: list[str], ou
     """Build the applyInPandasWithState function for ``fold``."""
 
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        carry, buffered = None, []
+        carry, buffered, applied = None, [], None
         if state.exists:
-            carry_json, buf_json = state.get
+            carry_json, buf_json, applied_us, applied_id = state.get
             carry = json.loads(carry_json) if carry_json else None
             buffered = json.loads(buf_json) if buf_json else []
+            if applied_us is not None:
+                applied = (int(applied_us), int(applied_id))
         frames = [p[columns] for p in pdfs if len(p)]
         wait_cols = [c for c in columns if c != time_col] + ["_us"]
         rows = pd.DataFrame(buffered, columns=wait_cols) if buffered else None
+        late = None
         if frames:
             new = pd.concat(frames, ignore_index=True)
             new["_us"] = _to_us(new[time_col])
+            if applied is not None:
+                behind = (new["_us"] < applied[0]) | ((new["_us"] == applied[0]) & (new[id_col] <= applied[1]))
+                late, new = new[behind], new[~behind]
             new = new.drop(columns=[time_col])
             rows = new if rows is None else pd.concat([rows, new], ignore_index=True)
-        if rows is None or rows.empty:
-            if not state.exists:
-                return
+        if rows is None:
             rows = pd.DataFrame(columns=wait_cols)
         watermark = state.getCurrentWatermarkMs()
         horizon = watermark * 1000  # event times are kept in microseconds
@@ -65,14 +75,39 @@ def make_state_fn(fold: Fold, time_col: str, id_col: str, columns: list[str], ou
             ready = ready.copy()
             ready[time_col] = pd.to_datetime(ready["_us"], unit="us")
             carry, out = fold(key, carry, ready.drop(columns=["_us"]).reset_index(drop=True))
+            last = ready.iloc[-1]
+            applied = (int(last["_us"]), int(last[id_col]))
         buf = wait[wait_cols].astype(object).where(wait[wait_cols].notna(), None).values.tolist()
         buf_rows = [dict(zip(wait_cols, r)) for r in buf]
-        state.update((json.dumps(carry) if carry is not None else None, json.dumps(buf_rows) if buf_rows else None))
+        if carry is not None or buf_rows or applied is not None:
+            state.update(
+                (
+                    json.dumps(carry) if carry is not None else None,
+                    json.dumps(buf_rows) if buf_rows else None,
+                    applied[0] if applied else None,
+                    applied[1] if applied else None,
+                )
+            )
         if buf_rows:
             first_ms = -(-int(wait["_us"].min()) // 1000)
             state.setTimeoutTimestamp(max(first_ms, watermark + 1))
+        parts = []
         if out is not None and len(out):
-            yield out[out_columns]
+            o = out[[c for c in out_columns if c != LATE_COLUMN]].copy()
+            o[LATE_COLUMN] = None
+            parts.append(o)
+        if late is not None and len(late):
+            payload = late[columns].copy()
+            payload[time_col] = payload[time_col].astype(str)
+            lo = pd.DataFrame({c: [None] * len(late) for c in out_columns if c != LATE_COLUMN})
+            lo[LATE_COLUMN] = [
+                json.dumps({k: (None if pd.isna(v) else (v.item() if hasattr(v, "item") else v))
+                            for k, v in r.items()}, ensure_ascii=False)
+                for r in payload.to_dict("records")
+            ]
+            parts.append(lo)
+        for part in parts:
+            yield part[out_columns]
 
     return fn
 
@@ -86,8 +121,12 @@ def ordered_fold(
     columns: list[str],
     output_schema: T.StructType,
 ) -> DataFrame:
-    """Apply ``fold`` per key in event-time order over a watermarked stream."""
-    fn = make_state_fn(fold, time_col, id_col, columns, [f.name for f in output_schema.fields])
+    """Apply ``fold`` per key in event-time order over a watermarked stream.
+
+    The result has ``output_schema`` plus the ``_late`` column (NULL on fold
+    output; JSON of the input row on rows that arrived too late)."""
+    schema = T.StructType(list(output_schema.fields) + [T.StructField(LATE_COLUMN, T.StringType())])
+    fn = make_state_fn(fold, time_col, id_col, columns, [f.name for f in schema.fields])
     return stream.groupBy(*keys).applyInPandasWithState(
-        fn, output_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
+        fn, schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
     )
