@@ -310,8 +310,9 @@ def _o4(f: Fixtures):
 
 @query("allocate_stock")
 def _o5(f: Fixtures):
-    """Scarce (real) stock: the serial-consistent fixpoint. No SQL oracle;
-    tests compare it with a serial loop."""
+    """Scarce (real) stock: the serial-consistent fixpoint. Its oracle is a
+    recursive CTE that runs the serial loop literally; tests also compare
+    it with a Python serial loop."""
     return _batch(f, ample=False).outcomes
 
 
