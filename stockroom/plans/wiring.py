@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
-from stockroom.operators import kpis
+import datetime as _dt
+import uuid
+
+from pyspark.sql import functions as F
+
+from stockroom.functions.clock import ts_lit
+from stockroom.operators import health, kpis, loyalty, orders, quality, restock, returns, rules
+from stockroom.plans.order_batch import order_batch
 from stockroom.plans.registry import query
-from stockroom.sources.fixtures import Fixtures
+from stockroom.session import scratch_path
+from stockroom.sources.fixtures import LOG_DATE, OPERATOR, REPORT_DATE, Fixtures
+from stockroom.streaming import feeds, jobs
+
+STOCK_POSITION_IDS = (1, 5, 42, 1999)
+MOVEMENT_REFERENCE = 56
+SHIPPING_METHODS = ("STANDARD", "EXPRESS", "OVERNIGHT")
+AS_OF_TS = _dt.datetime(REPORT_DATE.year, REPORT_DATE.month, REPORT_DATE.day)
+DAY = 86400
 
 
 # ------------------------------------------------------------------ K ----
@@ -49,12 +64,6 @@ def _k7(f: Fixtures):
 
 
 # ------------------------------------------------------------------ H ----
-from pyspark.sql import functions as F  # noqa: E402
-
-from stockroom.operators import health, quality  # noqa: E402
-from stockroom.sources.fixtures import LOG_DATE, REPORT_DATE  # noqa: E402
-
-STOCK_POSITION_IDS = (1, 5, 42, 1999)
 
 
 @query("quantity_on_order")
@@ -219,9 +228,6 @@ def _c3(f: Fixtures):
     return quality.check_violations(f.inventory_minus5, inventory_rules(), keep=["product_id"])
 
 
-SHIPPING_METHODS = ("STANDARD", "EXPRESS", "OVERNIGHT")
-
-
 @query("enum_violations")
 def _c4(f: Fixtures):
     return quality.enum_violations(
@@ -272,10 +278,6 @@ def _c7(f: Fixtures):
 
 
 # ------------------------------------------------------------------ O ----
-from stockroom.operators import allocate, orders  # noqa: E402
-from stockroom.plans.order_batch import order_batch  # noqa: E402
-
-MOVEMENT_REFERENCE = 56
 
 
 def _batch(f: Fixtures, ample: bool = True):
@@ -388,12 +390,6 @@ def _h17(f: Fixtures):
 
 
 # ------------------------------------------------------------- R, T ----
-import datetime as _dt  # noqa: E402
-
-from stockroom.operators import loyalty, restock, returns, rules  # noqa: E402
-from stockroom.sources.fixtures import OPERATOR  # noqa: E402
-
-AS_OF_TS = _dt.datetime(REPORT_DATE.year, REPORT_DATE.month, REPORT_DATE.day)
 
 
 def _restock(f: Fixtures):
@@ -556,10 +552,6 @@ def _a4b(f: Fixtures):
 
 
 # ------------------------------------------------------------------ X ----
-from stockroom.session import scratch_path  # noqa: E402
-from stockroom.streaming import feeds, jobs  # noqa: E402
-
-DAY = 86400
 
 
 @query("stream_low_stock_alerts")
@@ -600,9 +592,6 @@ def _x3(f: Fixtures):
 
 
 def _uuid() -> str:
-    import uuid
-
     return uuid.uuid4().hex
 
 
-from stockroom.functions.clock import ts_lit  # noqa: E402
