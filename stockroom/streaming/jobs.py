@@ -172,33 +172,40 @@ AUDIT_SCHEMA = T.StructType(
 
 
 def _audit_fold_factory(compare: list[str], user: str, ip: str, agent: str):
-    def image(row) -> dict:
-        return {f: (None if f not in row or pd.isna(row[f]) else row[f]) for f in TRACKED}
+    """Fold for X2: compare each version with the one before it (the
+    carried last image for the first row) and emit an audit row where any
+    compared column differs (NULL-safe). Vectorised over the key's rows."""
 
     def plain(v):
         if v is None or (not isinstance(v, str) and pd.isna(v)):
             return None
         return v.item() if hasattr(v, "item") else v
 
+    def image_json(record: dict) -> str:
+        return json.dumps({f: record.get(f) for f in TRACKED}, separators=(",", ":"), ensure_ascii=False)
+
     def fold(key, carry, rows: pd.DataFrame):
-        prev = carry["row"] if carry else None
-        out = []
-        for _, r in rows.iterrows():
-            cur = {c: plain(r[c]) for c in compare}
-            if prev is not None and any(prev.get(c) != cur.get(c) for c in compare):
-                old_img = {f: prev.get(f) for f in TRACKED}
-                new_img = {f: cur.get(f) for f in TRACKED}
-                out.append(
-                    {
-                        "audit_id": int(key[0]), "user_id": user, "action": "UPDATE",
-                        "table_name": "customer", "record_id": int(key[0]),
-                        "old_values": json.dumps(old_img, separators=(",", ":"), ensure_ascii=False),
-                        "new_values": json.dumps(new_img, separators=(",", ":"), ensure_ascii=False),
-                        "ip_address": ip, "user_agent": agent, "occurred_at": r["version_ts"],
-                    }
-                )
-            prev = cur
-        return {"row": prev}, pd.DataFrame(out, columns=[f.name for f in AUDIT_SCHEMA.fields])
+        cur = rows[compare].astype(object).where(rows[compare].notna(), None)
+        prev = cur.shift(1)
+        if carry is not None:
+            prev.iloc[0] = [carry["row"].get(c) for c in compare]
+        same = (prev == cur) | (prev.isna() & cur.isna())
+        changed = ~same.all(axis=1)
+        if carry is None:
+            changed.iloc[0] = False  # the first version is an insert, not an update
+        idx = changed[changed].index
+        olds = [image_json({c: plain(prev.at[i, c]) for c in compare}) for i in idx]
+        news = [image_json({c: plain(cur.at[i, c]) for c in compare}) for i in idx]
+        out = pd.DataFrame(
+            {
+                "audit_id": int(key[0]), "user_id": user, "action": "UPDATE", "table_name": "customer",
+                "record_id": int(key[0]), "old_values": olds, "new_values": news,
+                "ip_address": ip, "user_agent": agent, "occurred_at": rows.loc[idx, "version_ts"].values,
+            },
+            columns=[f.name for f in AUDIT_SCHEMA.fields],
+        )
+        last = {c: plain(cur.iloc[-1][c]) for c in compare}
+        return {"row": last}, out
 
     return fold
 
