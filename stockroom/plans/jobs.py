@@ -21,8 +21,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.operators import health, orders, restock, returns, rules
+from stockroom.operators import health, orders, returns, rules
 from stockroom.plans.order_batch import OrderBatch
+from stockroom.plans.side_batches import RestockBatch, ReturnBatch
 from stockroom.session import cut_lineage
 
 MARKERS = "_batches"
@@ -97,53 +98,41 @@ def write_order_batch(
     return summary
 
 
-def write_restock_batch(
-    restocks: DataFrame, product: DataFrame, suppliers: DataFrame, inventory: DataFrame,
-    low_stock_alerts: DataFrame, root: str, batch_id: str, as_of: dt.datetime, user: str,
-) -> dict:
-    """Write every effect of a restock batch (R1-R6), alerts raised by the
-    new levels (A1) and then resolved by the restock (R5), marker last."""
-    spark = restocks.sparkSession
-    checks = cut_lineage(restock.validate_restocks(restocks, product, suppliers), "restock-checks")
-    valid = restock.valid_restocks(restocks, checks)
-    moves = restock.restock_movements(valid, inventory, as_of, user)
-    after = restock.apply_restocks(inventory, valid, as_of.date())
-    raised = rules.low_stock_alerts(inventory, after, product, as_of).drop("alert_date")
-    raised = raised.withColumn("alert_date", F.lit(as_of.strftime("%Y-%m-%d")).cast("date"))
+def write_restock_batch(batch: RestockBatch, low_stock_alerts: DataFrame, root: str, batch_id: str) -> dict:
+    """Write every effect of a restock batch (R1-R6), the alerts raised by
+    the new levels (A1) and then resolved by the restock (R5), marker last."""
+    spark = batch.restocks.sparkSession
+    after = cut_lineage(batch.inventory_after(), "restock-inventory")
+    raised = rules.low_stock_alerts(batch.inventory, after, batch.product, batch.as_of).drop("alert_date")
+    raised = raised.withColumn("alert_date", F.lit(batch.as_of.strftime("%Y-%m-%d")).cast("date"))
     alerts = low_stock_alerts.unionByName(raised, allowMissingColumns=True)
-    _append(restock.restock_batches(valid, as_of), root, "inventory_batch", batch_id)
-    _append(moves, root, "inventory_log", batch_id)
-    _append(restock.restock_results(restocks, checks, moves), root, "restock_results", batch_id)
+    _append(batch.batches(), root, "inventory_batch", batch_id)
+    _append(batch.movements, root, "inventory_log", batch_id)
+    _append(batch.results(), root, "restock_results", batch_id)
     _snapshot(after, root, "inventory", batch_id)
-    _snapshot(restock.resolve_alerts(alerts, valid, as_of), root, "low_stock_alerts", batch_id)
-    summary = {"valid": valid.count()}
+    _snapshot(batch.resolved(alerts), root, "low_stock_alerts", batch_id)
+    summary = {"valid": batch.valid.count()}
     _mark(spark, root, batch_id, "restocks", summary)
     return summary
 
 
 def write_return_batch(
-    requests: DataFrame, order_item: DataFrame, orders_df: DataFrame, inventory: DataFrame,
-    customer_loyalty: DataFrame, root: str, batch_id: str, as_of: dt.datetime, user: str,
+    batch: ReturnBatch, inventory: DataFrame, customer_loyalty: DataFrame, root: str, batch_id: str, user: str
 ) -> dict:
     """Write every effect of a return batch (T1-T9), marker last."""
-    spark = requests.sparkSession
-    lines = returns.parse_return_requests(requests, order_item)
-    checks = cut_lineage(returns.validate_returns(requests, lines, orders_df), "return-checks")
-    ok = checks.filter(F.col("failed_rule").isNull())
-    priced = cut_lineage(returns.price_returns(lines.join(ok.select("request_id"), "request_id", "left_semi")),
-                         "return-lines")
-    accepted = requests.join(ok.select("request_id", "customer_id"), "request_id")
-    posted = returns.post_returns(accepted, returns.refunds(priced), as_of)
-    clawback = returns.loyalty_clawback(posted, as_of)
+    spark = batch.requests.sparkSession
+    priced = cut_lineage(batch.priced_lines, "return-accepted-lines")
+    posted = cut_lineage(batch.posted, "returns-posted")
+    clawback = returns.loyalty_clawback(posted, batch.as_of)
     _append(posted, root, "returns", batch_id)
     _append(returns.post_return_items(priced), root, "return_items", batch_id)
-    _append(returns.return_restock_movements(priced, inventory, as_of, user), root, "inventory_log", batch_id)
+    _append(returns.return_restock_movements(priced, inventory, batch.as_of, user), root, "inventory_log", batch_id)
     _append(clawback, root, "loyalty_transactions", batch_id)
-    _append(returns.return_results(requests, checks, posted), root, "return_results", batch_id)
+    _append(returns.return_results(batch.requests, batch.checks, posted), root, "return_results", batch_id)
     _snapshot(returns.return_inventory(inventory, priced), root, "inventory", batch_id)
-    _snapshot(returns.mark_orders_returned(orders_df, posted), root, "orders", batch_id)
+    _snapshot(returns.mark_orders_returned(batch.orders, posted), root, "orders", batch_id)
     _snapshot(returns.clawback_balances(customer_loyalty, clawback), root, "customer_loyalty", batch_id)
-    summary = {"accepted": ok.count()}
+    summary = {"accepted": posted.count()}
     _mark(spark, root, batch_id, "returns", summary)
     return summary
 

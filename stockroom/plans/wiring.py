@@ -11,6 +11,7 @@ from stockroom.functions.clock import ts_lit
 from stockroom.operators import health, kpis, loyalty, orders, quality, restock, returns, rules
 from stockroom.plans.order_batch import order_batch
 from stockroom.plans.registry import query
+from stockroom.plans.side_batches import RestockBatch, ReturnBatch
 from stockroom.session import scratch_path
 from stockroom.sources.fixtures import LOG_DATE, OPERATOR, REPORT_DATE, Fixtures
 from stockroom.streaming import feeds, jobs
@@ -392,117 +393,106 @@ def _h17(f: Fixtures):
 # ------------------------------------------------------------- R, T ----
 
 
-def _restock(f: Fixtures):
-    checks = restock.validate_restocks(f.restocks, f.product, f.suppliers)
-    valid = restock.valid_restocks(f.restocks, checks)
-    return checks, valid
+def _restock(f: Fixtures) -> RestockBatch:
+    # the fixture restock table is derived from order items: stage it
+    return RestockBatch(f.restocks, f.product, f.suppliers, f.inventory, AS_OF_TS, OPERATOR, stage_requests=True)
 
 
 @query("validate_restocks")
 def _r1(f: Fixtures):
-    return _restock(f)[0]
+    return _restock(f).checks
 
 
 @query("restock_batches")
 def _r2(f: Fixtures):
-    return restock.restock_batches(_restock(f)[1], AS_OF_TS)
+    return _restock(f).batches()
 
 
 @query("apply_restocks")
 def _r3(f: Fixtures):
-    return restock.apply_restocks(f.inventory, _restock(f)[1], REPORT_DATE)
+    return _restock(f).inventory_after()
 
 
 @query("restock_movements")
 def _r4(f: Fixtures):
-    return restock.restock_movements(_restock(f)[1], f.inventory, AS_OF_TS, OPERATOR)
+    return _restock(f).movements
 
 
 @query("resolve_alerts")
 def _r5(f: Fixtures):
-    return restock.resolve_alerts(f.low_stock_alerts, _restock(f)[1], AS_OF_TS)
+    return _restock(f).resolved(f.low_stock_alerts)
 
 
 @query("restock_results")
 def _r6(f: Fixtures):
-    checks, valid = _restock(f)
-    moves = restock.restock_movements(valid, f.inventory, AS_OF_TS, OPERATOR)
-    return restock.restock_results(f.restocks, checks, moves)
+    return _restock(f).results()
 
 
-class _Returns:
-    def __init__(self, f: Fixtures):
-        self.requests = f.return_requests
-        self.lines = returns.parse_return_requests(self.requests, f.order_item)
-        self.checks = returns.validate_returns(self.requests, self.lines, f.orders)
-        ok = self.checks.filter(F.col("failed_rule").isNull())
-        self.priced_lines = returns.price_returns(self.lines.join(ok.select("request_id"), "request_id", "left_semi"))
-        self.refunds = returns.refunds(self.priced_lines)
-        accepted = self.requests.join(ok.select("request_id", "customer_id"), "request_id")
-        self.posted = returns.post_returns(accepted, self.refunds, AS_OF_TS)
+def _returns(f: Fixtures) -> ReturnBatch:
+    # the fixture return requests are derived (JSON built from order items): stage them
+    return ReturnBatch(f.return_requests, f.order_item, f.orders, AS_OF_TS, stage_requests=True)
 
 
 @query("parse_return_requests")
 def _t1(f: Fixtures):
-    return _Returns(f).lines
+    return _returns(f).lines
 
 
 @query("validate_returns")
 def _t2(f: Fixtures):
-    return _Returns(f).checks
+    return _returns(f).checks
 
 
 @query("price_returns")
 def _t3(f: Fixtures):
-    return _Returns(f).refunds
+    return _returns(f).refunds
 
 
 @query("post_returns")
 def _t4(f: Fixtures):
-    return _Returns(f).posted
+    return _returns(f).posted
 
 
 @query("post_return_items")
 def _t4b(f: Fixtures):
-    return returns.post_return_items(_Returns(f).priced_lines)
+    return returns.post_return_items(_returns(f).priced_lines)
 
 
 @query("mark_orders_returned")
 def _t5(f: Fixtures):
-    return returns.mark_orders_returned(f.orders, _Returns(f).posted)
+    return returns.mark_orders_returned(f.orders, _returns(f).posted)
 
 
 @query("return_restock")
 def _t6(f: Fixtures):
-    return returns.return_restock_movements(_Returns(f).priced_lines, f.inventory, AS_OF_TS, OPERATOR)
+    return returns.return_restock_movements(_returns(f).priced_lines, f.inventory, AS_OF_TS, OPERATOR)
 
 
 @query("return_inventory")
 def _t6b(f: Fixtures):
-    return returns.return_inventory(f.inventory, _Returns(f).priced_lines)
+    return returns.return_inventory(f.inventory, _returns(f).priced_lines)
 
 
 @query("restocked_quantity")
 def _t7(f: Fixtures):
-    return returns.post_return_items(_Returns(f).priced_lines).select(
+    return returns.post_return_items(_returns(f).priced_lines).select(
         "return_item_id", "order_item_id", "restocked_quantity"
     )
 
 
 @query("loyalty_clawback")
 def _t8(f: Fixtures):
-    return returns.loyalty_clawback(_Returns(f).posted, AS_OF_TS)
+    return returns.loyalty_clawback(_returns(f).posted, AS_OF_TS)
 
 
 @query("loyalty_clawback_balances")
 def _t8b(f: Fixtures):
-    return returns.clawback_balances(f.customer_loyalty, returns.loyalty_clawback(_Returns(f).posted, AS_OF_TS))
+    return returns.clawback_balances(f.customer_loyalty, returns.loyalty_clawback(_returns(f).posted, AS_OF_TS))
 
 
 @query("return_results")
 def _t9(f: Fixtures):
-    r = _Returns(f)
-    return returns.return_results(r.requests, r.checks, r.posted)
+    return _returns(f).results()
 
 
 # ------------------------------------------------------------- L, A ----

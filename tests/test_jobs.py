@@ -33,3 +33,40 @@ def test_order_batch_job_idempotent(spark):
     promos = jobs.latest_snapshot(spark, root, "promotions")
     assert promos.filter(F.col("promotion_code") == "WELCOME10").first()["times_used"] == 1
     assert jobs.completed_batches(spark, root).count() == 1
+
+
+def test_restock_and_return_jobs(spark):
+    import datetime as dt
+    from decimal import Decimal as D
+
+    from stockroom.plans.side_batches import RestockBatch, ReturnBatch
+
+    root = tempfile.mkdtemp(prefix="stockroom-jobs-", dir="/tmp")
+    rs = spark.createDataFrame(
+        [(1, 1, 100, "BATCH123", 1, D("10.00")), (2, 2, -5, None, None, D("3.00"))],
+        "restock_id long, product_id long, quantity int, batch_number string, supplier_id long, unit_cost decimal(10,2)",
+    )
+    alerts = spark.createDataFrame([(1, "INFO", 9, 10, False)],
+                                   "product_id long, alert_level string, current_quantity int, reorder_point int, resolved boolean")
+    rb = RestockBatch(rs, seeds.product(spark), seeds.suppliers(spark), seeds.inventory(spark), seeds.NOW, "tester")
+    assert jobs.write_restock_batch(rb, alerts, root, "r0001") == {"valid": 1}
+    assert jobs.latest_snapshot(spark, root, "inventory").filter("product_id = 1").first()["quantity_on_hand"] == 150
+    resolved = jobs.latest_snapshot(spark, root, "low_stock_alerts").filter("product_id = 1").first()
+    assert resolved["resolved"] and resolved["resolution_notes"] == "Resolved by restock of 100 units"
+
+    orders_df = spark.createDataFrame(
+        [(10, 1, dt.datetime(2025, 1, 1), D("100.00"), "Delivered")],
+        "order_id long, customer_id long, order_date timestamp_ntz, total_amount decimal(10,2), order_status string",
+    )
+    items = spark.createDataFrame([(1001, 10, 5, 2, D("20.00"))],
+                                  "order_item_id long, order_id long, product_id long, quantity int, unit_price decimal(10,2)")
+    req = spark.createDataFrame(
+        [(10, 10, '[{"order_item_id": 1001, "quantity": 2, "condition": "New"}]', "size", "card")],
+        "request_id long, order_id long, items_json string, return_reason string, refund_method string",
+    )
+    tb = ReturnBatch(req, items, orders_df, seeds.NOW)
+    assert jobs.write_return_batch(tb, seeds.inventory(spark), seeds.customer_loyalty(spark), root, "t0001", "tester") == {"accepted": 1}
+    assert jobs.latest_snapshot(spark, root, "orders").first()["order_status"] == "Returned"
+    ret = spark.read.parquet(f"{root}/returns").first()
+    assert ret["refund_amount"] == D("40.00") and ret["return_number"].startswith("RET-20250115-")
+    assert spark.read.parquet(f"{root}/loyalty_transactions").first()["points_change"] == -4
