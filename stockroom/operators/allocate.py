@@ -17,7 +17,9 @@ lb and ub, so each decision equals the serial one and never changes. The
 earliest undecided order has lb = ub and is always decided, so the loop
 ends; in practice within a few rounds.
 
-Each round is a running sum per product and a verdict per order. If any
+Each round is a running sum per product and a verdict per order. Once the
+remaining loop state is small (at most ``SERIAL_TAIL_LINES`` lines,
+counted), one task finishes it with the serial rule (``applyInPandas``). If any
 product holds more than ``HOT_PRODUCT_LINES`` lines (checked once, up
 front), the running sums are two-level (product, time bucket) so a hot
 product is not one task. Rejected lines leave the loop, and so do lines
@@ -28,6 +30,8 @@ shared checkpoint folder, which bounds lineage and survives executor loss.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +52,37 @@ def _seq() -> Column:
 # Above this many lines for one product, the running sums switch to the
 # two-level (product, time bucket) form so a hot product is not one task.
 HOT_PRODUCT_LINES = 1_000_000
+# Once the loop state is at most this many lines (a counted bound), one task
+# finishes it with the serial rule instead of more parallel rounds.
+SERIAL_TAIL_LINES = 20_000
+
+_TAIL_SCHEMA = "request_id long, _new boolean"
+
+
+def _serial_tail(pdf):
+    """The reference's rule over the remaining loop state, in arrival order.
+
+    The state holds, for every product with an open line, all accepted
+    lines before its last open line, so the stock left seen here is exact.
+    """
+    import pandas as pd
+
+    pdf = pdf.sort_values(["request_ts", "request_id"], kind="mergesort")
+    left = dict(zip(pdf["product_id"], pdf["stock"]))
+    out = []
+    for (_, rid), g in pdf.groupby(["request_ts", "request_id"], sort=False):
+        decided = g["d"].iloc[0]
+        lines = list(zip(g["product_id"], g["quantity"]))
+        if decided is None or pd.isna(decided):
+            fits = all(q <= left[p] for p, q in lines)
+            out.append((int(rid), bool(fits)))
+            take = fits
+        else:
+            take = bool(decided)
+        if take:
+            for p, q in lines:
+                left[p] -= q
+    return pd.DataFrame(out, columns=["request_id", "_new"])
 
 
 def _sums(state: DataFrame, values: dict, bucket_unit: str, two_level: bool) -> DataFrame:
@@ -65,6 +100,7 @@ def allocate_lines(
     stats: list | None = None,
     carry: tuple[str, ...] = (),
     hot_product_lines: int = HOT_PRODUCT_LINES,
+    serial_tail_lines: int = SERIAL_TAIL_LINES,
 ) -> DataFrame:
     """Decide every line's order; return lines with ``accepted`` and
     ``available_before`` (stock left just before this order, after all
@@ -95,6 +131,7 @@ def allocate_lines(
     round_files: list[DataFrame] = []
     rounds = 0
     d = F.col("d")
+    clock = time.perf_counter()
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
         sums = _sums(
@@ -132,7 +169,8 @@ def allocate_lines(
         open_lines = counts["open_lines"]
         if stats is not None:
             stats.append({"round": rounds, "open_lines": open_lines, "loop_lines": counts["loop_lines"],
-                          "two_level": two_level})
+                          "two_level": two_level, "sec": round(time.perf_counter() - clock, 2)})
+            clock = time.perf_counter()
         if open_lines == 0:
             break
         # prune: rejected lines, lines after their product's last open line,
@@ -140,6 +178,18 @@ def allocate_lines(
         kept = decided.filter(d.isNull() | d).drop("_new")
         last_open = kept.filter(d.isNull()).groupBy("product_id").agg(F.max(_seq()).alias("_last_open"))
         state = kept.join(last_open, "product_id").filter(_seq() <= F.col("_last_open")).drop("_last_open")
+        if counts["loop_lines"] <= serial_tail_lines:
+            # bounded remainder: one task applies the serial rule exactly
+            tail = cut_lineage(
+                state.groupBy(F.lit(0).alias("_one")).applyInPandas(_serial_tail, _TAIL_SCHEMA).withColumn("d", F.col("_new")).withColumn("_new", F.lit(True)),
+                "alloc-tail",
+            )
+            round_files.append(tail)
+            if stats is not None:
+                stats.append({"round": rounds + 1, "open_lines": 0, "loop_lines": counts["loop_lines"],
+                              "two_level": two_level, "serial_tail": True,
+                              "sec": round(time.perf_counter() - clock, 2)})
+            break
 
     decisions = base.limit(0).select("request_id", F.lit(None).cast("boolean").alias("accepted"))
     for part in round_files:

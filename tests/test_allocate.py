@@ -49,9 +49,10 @@ def _random_cases(n_cases, seed):
 import pytest
 
 
-@pytest.mark.parametrize("hot", [1_000_000, 0])
-def test_random_cases_match_serial(spark, hot):
-    """hot=0 forces the two-level (product, time bucket) running sums."""
+@pytest.mark.parametrize("hot,tail", [(1_000_000, 0), (0, 0), (1_000_000, 20_000), (0, 300)])
+def test_random_cases_match_serial(spark, hot, tail):
+    """hot=0 forces the two-level running sums; tail>0 lets one task finish
+    a small remainder serially (tail=0: parallel rounds only)."""
     orders, stock, expect = _random_cases(300, seed=7 + hot % 5)
     lines = spark.createDataFrame(
         [(rid, ts, p, q) for rid, ts, ls in orders for p, q in ls.items()],
@@ -59,7 +60,7 @@ def test_random_cases_match_serial(spark, hot):
     )
     inv = spark.createDataFrame(list(stock.items()), "product_id long, quantity_available int")
     stats = []
-    alloc = allocate_lines(lines, inv, stats=stats, hot_product_lines=hot)
+    alloc = allocate_lines(lines, inv, stats=stats, hot_product_lines=hot, serial_tail_lines=tail)
     got = {r["request_id"]: r["accepted"] for r in allocation_outcomes(alloc).collect()}
     assert got == expect
     assert stats[-1]["open_lines"] == 0
