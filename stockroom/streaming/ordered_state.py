@@ -14,9 +14,13 @@ stays bounded by (event rate x delay), not by history.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import re
 from collections.abc import Callable, Iterator
 
+from zoneinfo import ZoneInfo
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -40,7 +44,29 @@ def _to_us(s: pd.Series) -> pd.Series:
     return pd.to_datetime(s).astype("datetime64[us]").astype("int64")
 
 
-def make_state_fn(fold: Fold, time_col: str, id_col: str, columns: list[str], out_columns: list[str]):
+def _wall_clock_us(watermark_ms: int, session_tz: str) -> int:
+    """The watermark instant as session wall-clock microseconds.
+
+    pandas receives TIMESTAMP values as session-local wall clock, while the
+    watermark is an instant; compare like with like."""
+    if session_tz.upper() in ("UTC", "GMT", "Z", "+00:00", "ETC/UTC"):
+        return watermark_ms * 1000
+    instant = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(milliseconds=watermark_ms)
+    local = instant.astimezone(_zone(session_tz)).replace(tzinfo=None)
+    return (local - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+
+
+def _zone(name: str) -> dt.tzinfo:
+    m = re.fullmatch(r"(?:UTC|GMT)?([+-])(\d{1,2}):?(\d{2})?", name.strip())
+    if m:
+        minutes = int(m.group(2)) * 60 + int(m.group(3) or 0)
+        return dt.timezone(dt.timedelta(minutes=minutes if m.group(1) == "+" else -minutes))
+    return ZoneInfo(name)
+
+
+def make_state_fn(
+    fold: Fold, time_col: str, id_col: str, columns: list[str], out_columns: list[str], session_tz: str = "UTC"
+):
     """Build the applyInPandasWithState function for ``fold``."""
 
     def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -66,7 +92,7 @@ def make_state_fn(fold: Fold, time_col: str, id_col: str, columns: list[str], ou
         if rows is None:
             rows = pd.DataFrame(columns=wait_cols)
         watermark = state.getCurrentWatermarkMs()
-        horizon = watermark * 1000  # event times are kept in microseconds
+        horizon = _wall_clock_us(watermark, session_tz)  # event times are wall-clock microseconds
         rows = rows.sort_values(["_us", id_col], kind="mergesort")
         ready = rows[rows["_us"] < horizon]
         wait = rows[rows["_us"] >= horizon]
@@ -89,8 +115,9 @@ def make_state_fn(fold: Fold, time_col: str, id_col: str, columns: list[str], ou
                 )
             )
         if buf_rows:
-            first_ms = -(-int(wait["_us"].min()) // 1000)
-            state.setTimeoutTimestamp(max(first_ms, watermark + 1))
+            # wake up once the watermark passes the oldest waiting row
+            first_ms = watermark + 1 + max(0, -(-(int(wait["_us"].min()) - horizon) // 1000))
+            state.setTimeoutTimestamp(first_ms)
         parts = []
         if out is not None and len(out):
             o = out[[c for c in out_columns if c != LATE_COLUMN]].copy()
@@ -126,7 +153,8 @@ def ordered_fold(
     The result has ``output_schema`` plus the ``_late`` column (NULL on fold
     output; JSON of the input row on rows that arrived too late)."""
     schema = T.StructType(list(output_schema.fields) + [T.StructField(LATE_COLUMN, T.StringType())])
-    fn = make_state_fn(fold, time_col, id_col, columns, [f.name for f in schema.fields])
+    session_tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    fn = make_state_fn(fold, time_col, id_col, columns, [f.name for f in schema.fields], session_tz)
     return stream.groupBy(*keys).applyInPandasWithState(
         fn, schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
     )

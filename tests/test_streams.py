@@ -54,3 +54,20 @@ def test_in_order_feed_has_no_late_rows(spark):
     assert report["dropped_late_rows"] == 0
     cols = ["alert_id", "product_id", "alert_level", "current_quantity", "message"]
     assert _rows(alerts, cols) == _rows(rules.movement_alerts(moves, f.inventory, f.product), cols)
+
+
+def test_non_utc_session_zone(spark):
+    f = Fixtures(spark, SF0001)
+    moves = f.stock_movements
+    d = tempfile.mkdtemp(prefix="stockroom-feed-", dir="/tmp")
+    feeds.write_sliced_feed(moves, d + "/feed", "ts", 5 * DAY,
+                            marker={"event_id": -1, "product_id": -1, "quantity_change": 0})
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        alerts = jobs.run_low_stock_alerts(spark, d + "/feed", moves.schema, f.inventory, f.product,
+                                           watermark="11 days")
+        cols = ["alert_id", "product_id", "alert_level", "current_quantity", "message", "alert_date"]
+        assert _rows(alerts, cols) == _rows(rules.movement_alerts(moves, f.inventory, f.product), cols)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
