@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockroom.functions.joins import broadcast_if_small
 from stockroom.functions.money import dec, floor_tenth, lit_dec
 
 ITEM_FIELDS = T.ArrayType(
@@ -68,27 +69,32 @@ def enrich_lines(lines: DataFrame, product: DataFrame, inventory: DataFrame) ->
     return lines.join(dims, "product_id", "left").withColumn("_known", F.col("price").isNotNull())
 
 
-def validate_order_requests(
-    requests: DataFrame, enriched: DataFrame, customer: DataFrame
-) -> DataFrame:
-    """O2: first failing rule per request (stock is O5).
+def request_facts(enriched: DataFrame) -> DataFrame:
+    """Per request: line count, lowest missing and lowest inactive product,
+    and the raw subtotal of its known lines.
 
-    Line facts are reduced to one row per request before they meet the
-    request table, so every join here is 1:1 on request_id.
+    Validation (O2) and pricing (O3) both read this one aggregate, so the
+    line table is shuffled once by request_id for both.
     """
-    per_request = enriched.groupBy("request_id").agg(
+    known = F.col("_known")
+    return enriched.groupBy("request_id").agg(
         F.count(F.lit(1)).alias("_n_items"),
-        F.min(F.when(~F.col("_known"), F.col("product_id"))).alias("_missing"),
-        F.min(F.when(F.col("_known") & ~F.col("is_active"), F.col("product_id"))).alias("_inactive"),
+        F.min(F.when(~known, F.col("product_id"))).alias("_missing"),
+        F.min(F.when(known & ~F.col("is_active"), F.col("product_id"))).alias("_inactive"),
+        F.sum(F.when(known, F.col("quantity") * F.col("price"))).alias("_subtotal_raw"),
     )
+
+
+def validated_requests(requests: DataFrame, facts: DataFrame, customer: DataFrame) -> DataFrame:
+    """The request rows with their line facts, ``failed_rule`` and ``message``.
+
+    Line facts arrive reduced to one row per request, so every join here is
+    1:1 on the request (customer is a dimension lookup).
+    """
     active = customer.filter(F.col("is_active")).select(
         F.col("customer_id").alias("_cust"), F.lit(True).alias("_cust_ok")
     )
-    heads = requests.select("request_id", "customer_id", "items_json")
-    j = (
-        heads.join(active, heads.customer_id == active._cust, "left")
-        .join(per_request, "request_id", "left")
-    )
+    j = requests.join(active, requests.customer_id == active._cust, "left").join(facts, "request_id", "left")
     parsed = _items()
     json_ok = (
         F.col("items_json").isNotNull()
@@ -119,7 +125,28 @@ def validate_order_requests(
             F.concat(F.lit("Product ID "), F.col("_inactive").cast("string"), F.lit(" is inactive")),
         )
     )
-    return j.select("request_id", rule.alias("failed_rule"), message.alias("message"))
+    return j.withColumns({"failed_rule": rule, "message": message}).drop(
+        "_cust", "_cust_ok", "_n_items", "_missing", "_inactive"
+    )
+
+
+def validate_order_requests(
+    requests: DataFrame, enriched: DataFrame, customer: DataFrame
+) -> DataFrame:
+    """O2: first failing rule per request (stock is O5)."""
+    heads = requests.select("request_id", "customer_id", "items_json")
+    return validated_requests(heads, request_facts(enriched), customer).select(
+        "request_id", "failed_rule", "message"
+    )
+
+
+def _amounts(subtotal: Column, shipping_method: Column) -> list[Column]:
+    """O3's three amounts from a subtotal, each rounded to cents."""
+    return [
+        dec(subtotal).alias("subtotal"),
+        dec(dec(subtotal) * lit_dec(TAX_RATE)).alias("tax_amount"),
+        shipping_charge(shipping_method).alias("base_shipping"),
+    ]
 
 
 def price_orders(enriched: DataFrame, requests: DataFrame) -> DataFrame:
@@ -128,14 +155,11 @@ def price_orders(enriched: DataFrame, requests: DataFrame) -> DataFrame:
     Each amount is rounded half up to cents on assignment, as DECIMAL(10,2).
     """
     sub = enriched.filter(F.col("_known")).groupBy("request_id").agg(
-        dec(F.sum(F.col("quantity") * F.col("price"))).alias("subtotal")
+        F.sum(F.col("quantity") * F.col("price")).alias("_subtotal_raw")
     )
     heads = requests.select("request_id", "shipping_method")
     return sub.join(heads, "request_id").select(
-        "request_id",
-        "subtotal",
-        dec(F.col("subtotal") * lit_dec(TAX_RATE)).alias("tax_amount"),
-        shipping_charge(F.col("shipping_method")).alias("base_shipping"),
+        "request_id", *_amounts(F.col("_subtotal_raw"), F.col("shipping_method"))
     )
 
 
@@ -155,25 +179,34 @@ def delivery_days(method: Column) -> Column:
     return expr.otherwise(F.lit(DELIVERY_DAYS_OTHER))
 
 
-def apply_promotions(priced: DataFrame, requests: DataFrame, promotions: DataFrame) -> DataFrame:
-    """The candidate promotion of each priced request and its effect.
+PROMOTED = [
+    "promotion_id", "promotion_type", "max_uses_total", "times_used",
+    "promo_value", "discount_amount", "shipping_amount", "total_amount",
+]
+
+
+def promote(base: DataFrame, promotions: DataFrame) -> DataFrame:
+    """O4 on a frame that carries request_ts, promotion_code, subtotal,
+    tax_amount and base_shipping; every column of ``base`` is kept and the
+    ``PROMOTED`` columns are added.
 
     Code match is case-insensitive; the promotion must be active, valid at
     the request time, have uses left and its minimum met. Percentage
     discounts are capped by ``maximum_discount_amount``; free shipping waives
-    the charge once (no second subtraction as a discount).
-    Adds promotion_id, promotion_type, discount_amount, shipping_amount,
-    total_amount, promo_value (what a usage row records), max_uses_total,
-    times_used.
+    the charge once (no second subtraction as a discount). Codes are unique,
+    so the dimension join adds at most one row per request.
     """
-    req = requests.select("request_id", "request_ts", F.lower("promotion_code").alias("_code"))
-    promo = promotions.select(
+    keep = list(base.columns)
+    base = base.withColumn("_code", F.lower("promotion_code"))
+    # codes have few values: joined by key, one task would get every
+    # request of the most common code, so the (size-checked) catalogue is
+    # broadcast instead
+    promo = broadcast_if_small(promotions).select(
         F.lower("promotion_code").alias("_code"),
         "promotion_id", "promotion_type", "discount_value", "minimum_order_amount",
         "maximum_discount_amount", "valid_from", "valid_to", "max_uses_total", "times_used",
         F.col("is_active").alias("_p_active"),
     )
-    base = priced.join(req, "request_id")
     cond = (
         (base._code == promo._code)
         & promo._p_active
@@ -199,7 +232,7 @@ def apply_promotions(priced: DataFrame, requests: DataFrame, promotions: DataFra
     shipping = F.when(free_ship, dec(F.lit(0))).otherwise(F.col("base_shipping"))
     promo_value = F.when(free_ship, F.col("base_shipping")).otherwise(discount)
     return j.select(
-        "request_id", "subtotal", "tax_amount", "base_shipping",
+        *keep,
         "promotion_id", "promotion_type", "max_uses_total", "times_used",
         dec(promo_value).alias("promo_value"),
         discount.alias("discount_amount"),
@@ -210,6 +243,33 @@ def apply_promotions(priced: DataFrame, requests: DataFrame, promotions: DataFra
     )
 
 
+def apply_promotions(priced: DataFrame, requests: DataFrame, promotions: DataFrame) -> DataFrame:
+    """The candidate promotion of each priced request and its effect.
+
+    Adds promotion_id, promotion_type, discount_amount, shipping_amount,
+    total_amount, promo_value (what a usage row records), max_uses_total,
+    times_used.
+    """
+    req = requests.select("request_id", "request_ts", "promotion_code")
+    out = promote(priced.join(req, "request_id"), promotions)
+    return out.select("request_id", "subtotal", "tax_amount", "base_shipping", *PROMOTED)
+
+
+def evaluate_requests(validated: DataFrame, promotions: DataFrame) -> DataFrame:
+    """O3 and O4 on the validated request frame (``validated_requests``).
+
+    Amounts are computed from the request's own line facts, so pricing
+    takes no second pass over the lines; requests that failed O2 keep NULL
+    amounts and no promotion.
+    """
+    passed = F.col("failed_rule").isNull()
+    priced = validated.select(
+        "*", *_amounts(F.when(passed, F.col("_subtotal_raw")), F.col("shipping_method"))
+    ).drop("_subtotal_raw")
+    out = promote(priced, promotions)
+    return out.withColumns({c: F.when(passed, F.col(c)) for c in ["base_shipping", *PROMOTED]})
+
+
 def without_promotion(df: DataFrame) -> DataFrame:
     """Reprice rows whose promotion was not granted (cap reached)."""
     return df.withColumns(

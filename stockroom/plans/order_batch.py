@@ -58,27 +58,40 @@ class OrderBatch:
         validation, pricing and allocation all read it."""
         return cut_lineage(orders.enrich_lines(self.lines, self.product, self.inventory), "order-lines")
 
+    @cached_property
+    def validated(self) -> DataFrame:  # O2 on the request rows
+        """Request rows with their line facts and first failing rule; the
+        line table is reduced once per request for validation and pricing."""
+        return orders.validated_requests(self.requests, orders.request_facts(self.enriched), self.customer)
+
     @cached_property
     def checks(self) -> DataFrame:  # O2
-        return orders.validate_order_requests(self.requests, self.enriched, self.customer)
+        return self.validated.select("request_id", "failed_rule", "message")
+
+    @cached_property
+    def evaluated(self) -> DataFrame:  # O3 + O4 over the validated rows, one pass
+        return orders.evaluate_requests(self.validated, self.promotions)
 
     @cached_property
     def priced(self) -> DataFrame:  # O3, requests that passed O2
-        passed = self.checks.filter(F.col("failed_rule").isNull()).select("request_id")
-        return orders.price_orders(self.enriched.join(passed, "request_id", "left_semi"), self.requests)
+        return self.evaluated.filter(F.col("failed_rule").isNull()).select(
+            "request_id", "subtotal", "tax_amount", "base_shipping"
+        )
 
     @cached_property
     def promoted(self) -> DataFrame:  # O4
-        return orders.apply_promotions(self.priced, self.requests, self.promotions)
+        return self.evaluated.filter(F.col("failed_rule").isNull()).select(
+            "request_id", "subtotal", "tax_amount", "base_shipping", *orders.PROMOTED
+        )
 
     @cached_property
     def pre(self) -> DataFrame:
         """Request heads with the first failing rule before stock."""
-        heads = self.requests.select(
+        pre = self.evaluated.select(
             "request_id", "request_ts", "customer_id", "payment_method", "shipping_method",
-            "shipping_address", "promotion_code",
+            "shipping_address", "promotion_code", "failed_rule", "message",
+            "subtotal", "tax_amount", "base_shipping", *orders.PROMOTED,
         )
-        pre = heads.join(self.checks, "request_id").join(self.promoted, "request_id", "left")
         negative = F.col("failed_rule").isNull() & (F.col("total_amount") < 0)
         return pre.withColumns(
             {
