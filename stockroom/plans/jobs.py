@@ -29,8 +29,15 @@ from stockroom.session import cut_lineage
 MARKERS = "_batches"
 
 
-def _append(df: DataFrame, root: str, table: str, batch_id: str) -> int:
+# Ledgers are read back by reference (H17): rows sorted by it within each
+# file give Parquet row groups tight min/max values, so a lookup skips the rest.
+LEDGER_SORT = ("reference_id", "log_id")
+
+
+def _append(df: DataFrame, root: str, table: str, batch_id: str, sort_by: tuple[str, ...] = ()) -> int:
     out = df.withColumn("batch_id", F.lit(batch_id))
+    if sort_by:
+        out = out.sortWithinPartitions(*sort_by)
     (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -83,7 +90,7 @@ def write_order_batch(
     accrual = orders.loyalty_accrual(accepted)
     _append(orders.post_orders(accepted), root, "orders", batch_id)
     _append(orders.post_order_items(lines), root, "order_item", batch_id)
-    _append(orders.order_movements(lines), root, "inventory_log", batch_id)
+    _append(orders.order_movements(lines), root, "inventory_log", batch_id, LEDGER_SORT)
     _append(usage, root, "promotion_usage", batch_id)
     _append(orders.shipping_plan(accepted), root, "shipping_info", batch_id)
     _append(accrual, root, "loyalty_transactions", batch_id)
@@ -107,7 +114,7 @@ def write_restock_batch(batch: RestockBatch, low_stock_alerts: DataFrame, root:
     raised = raised.withColumn("alert_date", F.lit(batch.as_of.strftime("%Y-%m-%d")).cast("date"))
     alerts = low_stock_alerts.unionByName(raised, allowMissingColumns=True)
     _append(batch.batches(), root, "inventory_batch", batch_id)
-    _append(batch.movements, root, "inventory_log", batch_id)
+    _append(batch.movements, root, "inventory_log", batch_id, LEDGER_SORT)
     _append(batch.results(), root, "restock_results", batch_id)
     _snapshot(after, root, "inventory", batch_id)
     _snapshot(batch.resolved(alerts), root, "low_stock_alerts", batch_id)
@@ -126,7 +133,7 @@ def write_return_batch(
     clawback = returns.loyalty_clawback(posted, batch.as_of)
     _append(posted, root, "returns", batch_id)
     _append(returns.post_return_items(priced), root, "return_items", batch_id)
-    _append(returns.return_restock_movements(priced, inventory, batch.as_of, user), root, "inventory_log", batch_id)
+    _append(returns.return_restock_movements(priced, inventory, batch.as_of, user), root, "inventory_log", batch_id, LEDGER_SORT)
     _append(clawback, root, "loyalty_transactions", batch_id)
     _append(returns.return_results(batch.requests, batch.checks, posted), root, "return_results", batch_id)
     _snapshot(returns.return_inventory(inventory, priced), root, "inventory", batch_id)
