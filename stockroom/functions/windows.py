@@ -15,6 +15,20 @@ time) and work in two levels:
 
 The bucket expression must be monotone in the ordering columns: ordering by
 (bucket, order_cols) must equal ordering by order_cols.
+
+Bucket choices (``bucket`` argument):
+
+* a Column (e.g. the hour of the event time): bounded only if no key is
+  dense in one time unit;
+* ``RANGE``: the index of the row's range partition over (keys, order).
+  Range partitioning is monotone in its sort key, so the bucket is
+  order-preserving; each (key, bucket) group is at most one balanced
+  partition and a key spans at most ``spark.sql.shuffle.partitions``
+  buckets, so both levels are bounded whatever the skew in key or time. The
+  assignment is written once (lineage cut) so every consumer sees the same
+  buckets;
+* ``None`` (default): one grouped count finds the largest key; up to
+  ``hot_rows`` rows a plain per-key window (one shuffle), above it ``RANGE``.
 """
 
 from __future__ import annotations
@@ -24,7 +38,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockroom.session import cut_lineage
+
 _B = "__bucket"
+RANGE = "range"
+# Above this many rows for one key, ordered computations split the key.
+HOT_KEY_ROWS = 1_000_000
+
+
+def hottest_key_rows(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest key (partial aggregation: cheap even when skewed)."""
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+
+def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """``df`` plus ``__bucket`` = index of the row's range partition over
+    (keys, order), written once so that the assignment is fixed."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *keys, *order).withColumn(_B, F.spark_partition_id())
+    return cut_lineage(ranged, "range-buckets")
+
+
+def _staged(df, keys, order, bucket, hot_rows) -> DataFrame | None:
+    """``df`` with the bucket column, or None where a plain window is enough."""
+    if bucket is None:
+        if hottest_key_rows(df, keys) <= hot_rows:
+            return None
+        bucket = RANGE
+    if isinstance(bucket, str):
+        if bucket != RANGE:
+            raise ValueError(f"unknown bucket mode {bucket!r}")
+        return range_buckets(df, keys, order)
+    return df.withColumn(_B, bucket)
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -36,8 +81,9 @@ def running_sums(
     keys: Sequence[str],
     order: Sequence[str | Column],
     values: dict[str, Column],
-    bucket: Column,
+    bucket: Column | str | None = None,
     inclusive: bool = False,
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Add one running-sum column per entry of ``values``.
 
@@ -46,12 +92,17 @@ def running_sums(
     (0 for the first row); otherwise it includes the current row.
     """
     keys = list(keys)
-    staged = df.withColumn(_B, bucket)
+    hi = 0 if inclusive else -1
+    staged = _staged(df, keys, order, bucket, hot_rows)
+    if staged is None:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
+        return df.select(
+            "*", *[F.coalesce(F.sum(F.coalesce(e, F.lit(0))).over(w), F.lit(0)).alias(n) for n, e in values.items()]
+        )
     for name, expr in values.items():
         staged = staged.withColumn("__v_" + name, F.coalesce(expr, F.lit(0)))
     part = keys + [_B]
 
-    hi = 0 if inclusive else -1
     w_in = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
     local = staged.select(
         "*",
@@ -80,7 +131,8 @@ def previous_value(
     order: Sequence[str],
     value: str,
     out: str,
-    bucket: Column,
+    bucket: Column | str | None = None,
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """``lag(value)`` over (keys ordered by ``order``), two-level.
 
@@ -89,7 +141,9 @@ def previous_value(
     """
     keys = list(keys)
     part = keys + [_B]
-    staged = df.withColumn(_B, bucket)
+    staged = _staged(df, keys, order, bucket, hot_rows)
+    if staged is None:
+        return df.withColumn(out, F.lag(value).over(Window.partitionBy(*keys).orderBy(*order)))
     w_in = Window.partitionBy(*part).orderBy(*order)
     local = staged.withColumn("__lag", F.lag(value).over(w_in)).withColumn(
         "__first", F.row_number().over(w_in) == 1
@@ -110,8 +164,9 @@ def rank_within_limit(
     keys: Sequence[str],
     order: Sequence[str],
     limit: Column,
-    bucket: Column,
+    bucket: Column | str | None = None,
     out: str = "within_limit",
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Flag rows whose 1-based position within their key is <= ``limit``.
 
@@ -119,7 +174,7 @@ def rank_within_limit(
     Counting is two-level: only rows in the bucket that crosses the limit
     need an in-bucket row number, and that window is bounded by the bucket.
     """
-    pos = running_sums(df, keys, order, {"__before": F.lit(1)}, bucket, inclusive=False)
+    pos = running_sums(df, keys, order, {"__before": F.lit(1)}, bucket, inclusive=False, hot_rows=hot_rows)
     return pos.withColumn(
         out, F.when(limit.isNull(), F.lit(True)).otherwise(F.col("__before") + 1 <= limit)
     ).drop("__before")

@@ -21,8 +21,8 @@ Each round is a running sum per product and a verdict per order. Once the
 remaining loop state is small (at most ``SERIAL_TAIL_LINES`` lines,
 counted), one task finishes it with the serial rule (``applyInPandas``). If any
 product holds more than ``HOT_PRODUCT_LINES`` lines (checked once, up
-front), the running sums are two-level (product, time bucket) so a hot
-product is not one task. Rejected lines leave the loop, and so do lines
+front), the running sums are two-level (product, range bucket) so a hot
+product is spread over many bounded tasks. Rejected lines leave the loop, and so do lines
 after the last undecided line of their product and products with nothing
 undecided. Each round's state (with its verdicts) is written once to the
 shared checkpoint folder, which bounds lineage and survives executor loss.
@@ -35,22 +35,18 @@ import time
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockroom.functions.windows import running_sums
+from stockroom.functions.windows import RANGE, running_sums
 from stockroom.session import cut_lineage
 
 ORDER = ["request_ts", "request_id"]
 
 
-def _bucket(unit: str) -> Column:
-    return F.date_trunc(unit, F.col("request_ts"))
-
-
 def _seq() -> Column:
     return F.struct(*[F.col(c) for c in ORDER])
 
 
 # Above this many lines for one product, the running sums switch to the
-# two-level (product, time bucket) form so a hot product is not one task.
+# two-level (product, range bucket) form so a hot product is not one task.
 HOT_PRODUCT_LINES = 1_000_000
 # Once the loop state is at most this many lines (a counted bound), one task
 # finishes it with the serial rule instead of more parallel rounds.
@@ -85,9 +81,9 @@ def _serial_tail(pdf):
     return pd.DataFrame(out, columns=["request_id", "_new"])
 
 
-def _sums(state: DataFrame, values: dict, bucket_unit: str, two_level: bool) -> DataFrame:
+def _sums(state: DataFrame, values: dict, two_level: bool) -> DataFrame:
     if two_level:
-        return running_sums(state, ["product_id"], ORDER, values, _bucket(bucket_unit))
+        return running_sums(state, ["product_id"], ORDER, values, RANGE)
     w = Window.partitionBy("product_id").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, -1)
     return state.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(n) for n, v in values.items()])
 
@@ -95,7 +91,6 @@ def _sums(state: DataFrame, values: dict, bucket_unit: str, two_level: bool) ->
 def allocate_lines(
     lines: DataFrame,
     inventory: DataFrame,
-    bucket_unit: str = "hour",
     max_rounds: int | None = None,
     stats: list | None = None,
     carry: tuple[str, ...] = (),
@@ -137,7 +132,6 @@ def allocate_lines(
         sums = _sums(
             state,
             {"_ub": F.when(d.isNull() | d, F.col("quantity")), "_lb": F.when(d, F.col("quantity"))},
-            bucket_unit,
             two_level,
         )
         verdict = (
@@ -197,7 +191,7 @@ def allocate_lines(
         decisions = decisions.unionByName(newly)
     decisions = decisions.distinct()
     final = base.join(decisions, "request_id", "left")
-    used = _sums(final, {"_used": F.when(F.col("accepted"), F.col("quantity"))}, bucket_unit, two_level)
+    used = _sums(final, {"_used": F.when(F.col("accepted"), F.col("quantity"))}, two_level)
     return used.withColumn("available_before", (F.col("stock") - F.col("_used")).cast("long")).drop("_used")
 
 

@@ -61,13 +61,13 @@ def low_stock_alerts(
     )
 
 
-def movement_levels(movements: DataFrame, inventory: DataFrame, bucket_unit: str = "hour") -> DataFrame:
+def movement_levels(movements: DataFrame, inventory: DataFrame) -> DataFrame:
     """On-hand level after each ledger movement, per product in (ts, id)
-    order: start level + inclusive running sum of changes (two-level)."""
+    order: start level + inclusive running sum of changes (two-level with
+    range buckets when one product is hot)."""
     m = movements.join(inventory.select("product_id", "quantity_on_hand", "reorder_point"), "product_id")
     run = running_sums(
-        m, ["product_id"], ["ts", "event_id"], {"_cum": F.col("quantity_change")},
-        F.date_trunc(bucket_unit, F.col("ts")), inclusive=True,
+        m, ["product_id"], ["ts", "event_id"], {"_cum": F.col("quantity_change")}, inclusive=True,
     )
     return run.withColumn("level", (F.col("quantity_on_hand") + F.col("_cum")).cast("int")).drop("_cum")
 

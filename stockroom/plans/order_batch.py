@@ -28,7 +28,6 @@ class OrderBatch:
         product: DataFrame,
         inventory: DataFrame,
         promotions: DataFrame,
-        bucket_unit: str = "hour",
         max_rounds: int | None = None,
         stage_requests: bool = False,
     ):
@@ -38,7 +37,6 @@ class OrderBatch:
         self.product = product
         self.inventory = inventory
         self.promotions = promotions
-        self.bucket_unit = bucket_unit
         self.max_rounds = max_rounds
         self.round_stats: list = []
 
@@ -115,7 +113,7 @@ class OrderBatch:
             candidates, "request_id"
         )
         return allocate.allocate_lines(
-            alloc_in, self.inventory, bucket_unit=self.bucket_unit, max_rounds=self.max_rounds,
+            alloc_in, self.inventory, max_rounds=self.max_rounds,
             stats=self.round_stats, carry=("price", "customer_id"),
         )
 
@@ -150,7 +148,8 @@ class OrderBatch:
 
         Among accepted orders holding a capped promotion only the first
         (max_uses_total - times_used) in arrival order keep it; the rest
-        are repriced without it. Counting is two-level (promotion, day).
+        are repriced without it. A promotion with more than a bounded number
+        of holders is counted two-level (promotion, range bucket).
         """
         ok = self.with_stock.filter(F.col("failed_rule").isNull())
         capped = rank_within_limit(
@@ -160,7 +159,6 @@ class OrderBatch:
             keys=["promotion_id"],
             order=["request_ts", "request_id"],
             limit=F.col("max_uses_total") - F.col("times_used"),
-            bucket=F.date_trunc("day", F.col("request_ts")),
             out="_granted",
         ).select("request_id", "_granted")
         ok = ok.join(capped, "request_id", "left")
@@ -188,8 +186,7 @@ def order_batch(
     product: DataFrame,
     inventory: DataFrame,
     promotions: DataFrame,
-    bucket_unit: str = "hour",
     max_rounds: int | None = None,
     stage_requests: bool = False,
 ) -> OrderBatch:
-    return OrderBatch(requests, customer, product, inventory, promotions, bucket_unit, max_rounds, stage_requests)
+    return OrderBatch(requests, customer, product, inventory, promotions, max_rounds, stage_requests)

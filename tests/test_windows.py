@@ -5,7 +5,14 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stockroom.functions.windows import previous_value, rank_within_limit, running_sums
+from stockroom.functions.windows import (
+    HOT_KEY_ROWS,
+    RANGE,
+    previous_value,
+    range_buckets,
+    rank_within_limit,
+    running_sums,
+)
 
 
 def _data(spark, n=3000, seed=3):
@@ -43,3 +50,35 @@ def test_rank_within_limit(spark):
     rn = F.row_number().over(Window.partitionBy("k").orderBy("t", "id"))
     exp = df.withColumn("ok", F.col("lim").isNull() | (rn <= F.col("lim")))
     assert got.select("id", "ok").exceptAll(exp.select("id", "ok")).count() == 0
+
+
+def test_range_and_auto_modes_equal_plain_windows(spark):
+    """RANGE buckets (range-partition index) and the auto mode, forced to
+    split by a low ``hot_rows``, give the plain per-key results."""
+    df = _data(spark)
+    w = Window.partitionBy("k").orderBy("t", "id")
+    exp = (
+        df.withColumn("s", F.coalesce(F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        .withColumn("prev", F.lag("t").over(w))
+        .withColumn("ok", F.row_number().over(w) <= F.col("k") + 2)
+    )
+    for mode, hot in ((RANGE, HOT_KEY_ROWS), (None, 10), (None, HOT_KEY_ROWS)):
+        s = running_sums(df, ["k"], ["t", "id"], {"s": F.col("v")}, mode, hot_rows=hot)
+        assert s.select("id", "s").exceptAll(exp.select("id", "s")).count() == 0
+        p = previous_value(df, ["k"], ["t", "id"], "t", "prev", mode, hot_rows=hot)
+        assert p.select("id", "prev").exceptAll(exp.select("id", "prev")).count() == 0
+        r = rank_within_limit(df, ["k"], ["t", "id"], F.col("k") + 2, mode, out="ok", hot_rows=hot)
+        assert r.select("id", "ok").exceptAll(exp.select("id", "ok")).count() == 0
+        assert s.count() == p.count() == r.count() == df.count()
+
+
+def test_range_buckets_spread_a_hot_key(spark):
+    df = _data(spark)  # key 0 holds 1000 of 3000 rows
+    b = range_buckets(df, ["k"], ["t", "id"])
+    sizes = b.filter("k = 0").groupBy("__bucket").count().collect()
+    assert len(sizes) >= 2
+    assert max(r["count"] for r in sizes) < 1000
+    # order-preserving: along key 0's order the bucket never decreases
+    rows = b.filter("k = 0").orderBy("t", "id").select("__bucket").collect()
+    seq = [r[0] for r in rows]
+    assert seq == sorted(seq)
