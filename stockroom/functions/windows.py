@@ -27,8 +27,10 @@ Bucket choices (``bucket`` argument):
   buckets, so both levels are bounded whatever the skew in key or time. The
   assignment is written once (lineage cut) so every consumer sees the same
   buckets;
+* ``PLAIN``: a plain per-key window (one shuffle), for callers that have
+  already bounded the largest key;
 * ``None`` (default): one grouped count finds the largest key; up to
-  ``hot_rows`` rows a plain per-key window (one shuffle), above it ``RANGE``.
+  ``hot_rows`` rows ``PLAIN``, above it ``RANGE``.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ from stockroom.session import cut_lineage
 
 _B = "__bucket"
 RANGE = "range"
+PLAIN = "plain"
 # Above this many rows for one key, ordered computations split the key.
 HOT_KEY_ROWS = 1_000_000
 
@@ -66,6 +69,8 @@ def _staged(df, keys, order, bucket, hot_rows) -> DataFrame | None:
             return None
         bucket = RANGE
     if isinstance(bucket, str):
+        if bucket == PLAIN:
+            return None
         if bucket != RANGE:
             raise ValueError(f"unknown bucket mode {bucket!r}")
         return range_buckets(df, keys, order)

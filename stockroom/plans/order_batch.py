@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.functions.windows import rank_within_limit
+from stockroom.functions.windows import HOT_KEY_ROWS, PLAIN, RANGE, hottest_key_rows, rank_within_limit
 from stockroom.operators import allocate, orders
 from stockroom.session import cut_lineage
 
@@ -152,6 +152,10 @@ class OrderBatch:
         of holders is counted two-level (promotion, range bucket).
         """
         ok = self.with_stock.filter(F.col("failed_rule").isNull())
+        # accepted holders of a promotion are a subset of its candidates in
+        # the written pre-stock table: count there, not over the stock plan
+        candidates = self.pre_saved.filter(F.col("failed_rule").isNull() & F.col("max_uses_total").isNotNull())
+        mode = RANGE if hottest_key_rows(candidates, ["promotion_id"]) > HOT_KEY_ROWS else PLAIN
         capped = rank_within_limit(
             ok.filter(F.col("max_uses_total").isNotNull()).select(
                 "request_id", "request_ts", "promotion_id", "max_uses_total", "times_used"
@@ -159,6 +163,7 @@ class OrderBatch:
             keys=["promotion_id"],
             order=["request_ts", "request_id"],
             limit=F.col("max_uses_total") - F.col("times_used"),
+            bucket=mode,
             out="_granted",
         ).select("request_id", "_granted")
         ok = ok.join(capped, "request_id", "left")

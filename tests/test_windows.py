@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stockroom.functions.windows import (
     HOT_KEY_ROWS,
+    PLAIN,
     RANGE,
     previous_value,
     range_buckets,
@@ -62,7 +63,7 @@ def test_range_and_auto_modes_equal_plain_windows(spark):
         .withColumn("prev", F.lag("t").over(w))
         .withColumn("ok", F.row_number().over(w) <= F.col("k") + 2)
     )
-    for mode, hot in ((RANGE, HOT_KEY_ROWS), (None, 10), (None, HOT_KEY_ROWS)):
+    for mode, hot in ((RANGE, HOT_KEY_ROWS), (PLAIN, 10), (None, 10), (None, HOT_KEY_ROWS)):
         s = running_sums(df, ["k"], ["t", "id"], {"s": F.col("v")}, mode, hot_rows=hot)
         assert s.select("id", "s").exceptAll(exp.select("id", "s")).count() == 0
         p = previous_value(df, ["k"], ["t", "id"], "t", "prev", mode, hot_rows=hot)
