@@ -9,19 +9,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroom.functions.clock import ts_lit
 from stockroom.functions.windows import running_sums
 
-RESTOCK_BUCKET = 100000  # restock ids per running-sum bucket
-
-
-def _bucket(width: int) -> Column:
-    return F.floor(F.col("restock_id") / width)
-
-
 def validate_restocks(restocks: DataFrame, product: DataFrame, suppliers: DataFrame) -> DataFrame:
     """First failing rule per restock.
 
@@ -85,13 +78,14 @@ def apply_restocks(inventory: DataFrame, valid: DataFrame, as_of: dt.date) -> Da
 
 
 def restock_movements(
-    valid: DataFrame, inventory: DataFrame, as_of: dt.datetime, user: str, bucket_width: int = RESTOCK_BUCKET
+    valid: DataFrame, inventory: DataFrame, as_of: dt.datetime, user: str
 ) -> DataFrame:
     """One RESTOCK ledger row per valid restock with the on-hand level
-    before and after it, in restock order (two-level running sum)."""
+    before and after it, in restock order (running sum per product; two-level
+    with range buckets when one product is hot)."""
     base = valid.join(inventory.select("product_id", "quantity_on_hand"), "product_id")
     run = running_sums(
-        base, ["product_id"], ["restock_id"], {"_earlier": F.col("quantity")}, _bucket(bucket_width)
+        base, ["product_id"], ["restock_id"], {"_earlier": F.col("quantity")}
     )
     prev = (F.col("quantity_on_hand") + F.col("_earlier")).cast("int")
     batch = F.when(F.col("batch_number").isNotNull(), F.col("restock_id"))

@@ -29,7 +29,6 @@ ITEM_FIELDS = T.ArrayType(
 # Fixed value: conditions that may go back on the shelf.
 RESTOCK_CONDITIONS = ("new", "opened")
 EXCLUDED = ("Cancelled", "Returned")
-RETURN_BUCKET = 100000
 
 
 def parse_return_requests(requests: DataFrame, order_item: DataFrame) -> DataFrame:
@@ -154,14 +153,12 @@ def _restocked(accepted_lines: DataFrame) -> DataFrame:
 
 def return_restock_movements(
     accepted_lines: DataFrame, inventory: DataFrame, as_of: dt.datetime, user: str,
-    bucket_width: int = RETURN_BUCKET,
 ) -> DataFrame:
     """ADJUSTMENT/RETURN_RESTOCK ledger rows per (return, product), with
     the on-hand level before and after, in return order."""
     per = _restocked(accepted_lines).join(inventory.select("product_id", "quantity_on_hand"), "product_id")
     run = running_sums(
-        per, ["product_id"], ["request_id"], {"_earlier": F.col("total_returned")},
-        F.floor(F.col("request_id") / bucket_width),
+        per, ["product_id"], ["request_id"], {"_earlier": F.col("total_returned")}
     )
     w = Window.partitionBy("request_id").orderBy("product_id")
     prev = (F.col("quantity_on_hand") + F.col("_earlier")).cast("int")
