@@ -51,7 +51,16 @@ def write_sliced_feed(
         n = 0
     else:
         n = int((lo_hi["hi"] - lo_hi["lo"]) // slice_seconds) + 1
-    sliced = df.withColumn("_slice", ((epoch - F.lit(lo_hi["lo"] or 0)) / slice_seconds).cast("int"))
+    # written once, partitioned by slice: each feed file below reads only
+    # its own partition (pruned), so the feed costs one pass over the data
+    # however many slices there are
+    staged_path = path.rstrip("/") + "-by-slice"
+    df.withColumn("_slice", ((epoch - F.lit(lo_hi["lo"] or 0)) / slice_seconds).cast("int")).write.mode(
+        "overwrite"
+    ).partitionBy("_slice").parquet(staged_path)
+    sliced = df.sparkSession.read.schema(
+        T.StructType(list(df.schema.fields) + [T.StructField("_slice", T.IntegerType())])
+    ).parquet(staged_path) if n else df.withColumn("_slice", F.lit(None).cast("int"))
     files = 0
     for k in (order if order is not None else arrival_order(n)):
         part = sliced.filter(F.col("_slice") == k)
