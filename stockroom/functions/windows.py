@@ -54,6 +54,14 @@ def hottest_key_rows(df: DataFrame, keys: Sequence[str]) -> int:
     return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
+def bucket_mode(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> str:
+    """``RANGE`` if some key of ``df`` has more than ``hot_rows`` rows, else
+    ``PLAIN``. Callers pass the cheapest frame that bounds the key (e.g. the
+    fact table before a 1:1 dimension join), so the check does not redo
+    the join."""
+    return RANGE if hottest_key_rows(df, keys) > hot_rows else PLAIN
+
+
 def range_buckets(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """``df`` plus ``__bucket`` = index of the row's range partition over
     (keys, order), written once so that the assignment is fixed."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockroom.functions.money import mean, money_sum
-from stockroom.functions.windows import previous_value
+from stockroom.functions.windows import bucket_mode, previous_value
 
 EXCLUDED = ("Cancelled", "Returned")
 COMPLETED = ("Shipped", "Delivered")
@@ -151,6 +151,8 @@ def customer_order_frequency(orders: DataFrame, customer: DataFrame) -> DataFram
         order=["order_date", "order_id"],
         value="order_date",
         out="previous_order_date",
+        # the customer join is 1:1 and only drops rows: size the key on orders
+        bucket=bucket_mode(orders, ["customer_id"]),
     )
     return lagged.select(
         "full_name",

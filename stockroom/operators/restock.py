@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroom.functions.clock import ts_lit
-from stockroom.functions.windows import running_sums
+from stockroom.functions.windows import bucket_mode, running_sums
 
 def validate_restocks(restocks: DataFrame, product: DataFrame, suppliers: DataFrame) -> DataFrame:
     """First failing rule per restock.
@@ -85,7 +85,8 @@ def restock_movements(
     with range buckets when one product is hot)."""
     base = valid.join(inventory.select("product_id", "quantity_on_hand"), "product_id")
     run = running_sums(
-        base, ["product_id"], ["restock_id"], {"_earlier": F.col("quantity")}
+        base, ["product_id"], ["restock_id"], {"_earlier": F.col("quantity")},
+        bucket_mode(valid, ["product_id"]),
     )
     prev = (F.col("quantity_on_hand") + F.col("_earlier")).cast("int")
     batch = F.when(F.col("batch_number").isNotNull(), F.col("restock_id"))

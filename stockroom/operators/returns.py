@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from stockroom.functions.money import dec, floor_tenth
 from stockroom.functions.clock import ts_lit
-from stockroom.functions.windows import running_sums
+from stockroom.functions.windows import bucket_mode, running_sums
 
 ITEM_FIELDS = T.ArrayType(
     T.StructType(
@@ -158,7 +158,8 @@ def return_restock_movements(
     the on-hand level before and after, in return order."""
     per = _restocked(accepted_lines).join(inventory.select("product_id", "quantity_on_hand"), "product_id")
     run = running_sums(
-        per, ["product_id"], ["request_id"], {"_earlier": F.col("total_returned")}
+        per, ["product_id"], ["request_id"], {"_earlier": F.col("total_returned")},
+        bucket_mode(accepted_lines, ["product_id"]),
     )
     w = Window.partitionBy("request_id").orderBy("product_id")
     prev = (F.col("quantity_on_hand") + F.col("_earlier")).cast("int")

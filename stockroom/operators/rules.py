@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from stockroom.functions.money import lit_dec
 from stockroom.functions.clock import ts_lit
-from stockroom.functions.windows import running_sums
+from stockroom.functions.windows import bucket_mode, running_sums
 
 # Alert bands as fractions of the reorder point.
 CRITICAL_SHARE = "0.2"
@@ -67,7 +67,8 @@ def movement_levels(movements: DataFrame, inventory: DataFrame) -> DataFrame:
     range buckets when one product is hot)."""
     m = movements.join(inventory.select("product_id", "quantity_on_hand", "reorder_point"), "product_id")
     run = running_sums(
-        m, ["product_id"], ["ts", "event_id"], {"_cum": F.col("quantity_change")}, inclusive=True,
+        m, ["product_id"], ["ts", "event_id"], {"_cum": F.col("quantity_change")},
+        bucket_mode(movements, ["product_id"]), inclusive=True,
     )
     return run.withColumn("level", (F.col("quantity_on_hand") + F.col("_cum")).cast("int")).drop("_cum")
 

@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.functions.windows import HOT_KEY_ROWS, PLAIN, RANGE, hottest_key_rows, rank_within_limit
+from stockroom.functions.windows import bucket_mode, rank_within_limit
 from stockroom.operators import allocate, orders
 from stockroom.session import cut_lineage
 
@@ -155,7 +155,7 @@ class OrderBatch:
         # accepted holders of a promotion are a subset of its candidates in
         # the written pre-stock table: count there, not over the stock plan
         candidates = self.pre_saved.filter(F.col("failed_rule").isNull() & F.col("max_uses_total").isNotNull())
-        mode = RANGE if hottest_key_rows(candidates, ["promotion_id"]) > HOT_KEY_ROWS else PLAIN
+        mode = bucket_mode(candidates, ["promotion_id"])
         capped = rank_within_limit(
             ok.filter(F.col("max_uses_total").isNotNull()).select(
                 "request_id", "request_ts", "promotion_id", "max_uses_total", "times_used"

@@ -9,6 +9,7 @@ from stockroom.functions.windows import (
     HOT_KEY_ROWS,
     PLAIN,
     RANGE,
+    bucket_mode,
     previous_value,
     range_buckets,
     rank_within_limit,
@@ -83,3 +84,9 @@ def test_range_buckets_spread_a_hot_key(spark):
     rows = b.filter("k = 0").orderBy("t", "id").select("__bucket").collect()
     seq = [r[0] for r in rows]
     assert seq == sorted(seq)
+
+
+def test_bucket_mode_follows_the_largest_key(spark):
+    df = _data(spark)  # key 0 holds 1000 rows
+    assert bucket_mode(df, ["k"], hot_rows=999) == RANGE
+    assert bucket_mode(df, ["k"], hot_rows=1000) == PLAIN
