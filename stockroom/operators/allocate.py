@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from stockroom.functions.windows import RANGE, running_sums
@@ -148,18 +148,22 @@ def allocate_lines(
             .filter(F.col("_new").isNotNull())
         )
         # one write per round: the state with this round's verdicts; the
-        # decisions are read back from these files at the end
+        # decisions are read back from these files at the end. The loop
+        # sizes are observed during that write (no second job).
+        sizes = Observation(f"alloc-round-{rounds}")
         decided = cut_lineage(
             state.join(verdict, "request_id", "left")
             .withColumn("d", F.coalesce(d, F.col("_new")))
-            .withColumn("_new", F.col("_new").isNotNull()),
+            .withColumn("_new", F.col("_new").isNotNull())
+            .observe(
+                sizes,
+                F.count(F.when(d.isNull() | d, 1)).alias("loop_lines"),
+                F.count(F.when(d.isNull(), 1)).alias("open_lines"),
+            ),
             "alloc-round",
         )
         round_files.append(decided)
-        counts = decided.agg(
-            F.count(F.when(d.isNull() | d, 1)).alias("loop_lines"),
-            F.count(F.when(d.isNull(), 1)).alias("open_lines"),
-        ).first()
+        counts = sizes.get
         open_lines = counts["open_lines"]
         if stats is not None:
             stats.append({"round": rounds, "open_lines": open_lines, "loop_lines": counts["loop_lines"],
