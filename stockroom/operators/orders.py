@@ -42,18 +42,30 @@ def parse_order_requests(requests: DataFrame) -> DataFrame:
     """O1: JSON array -> one line per (request, product), quantities summed.
 
     Fields are read as strings and cast leniently, so ``"2"`` counts as 2;
-    lines with a NULL product or a quantity <= 0 are dropped.
+    lines with a NULL product or a quantity <= 0 are dropped. A request's
+    items arrive in one row, so duplicates are merged inside the row with
+    higher-order functions before the explode: no shuffle of the lines.
     """
-    exploded = requests.select("request_id", F.explode(_items()).alias("it"))
-    typed = exploded.select(
-        "request_id",
-        F.col("it.product_id").try_cast("long").alias("product_id"),
-        F.col("it.quantity").try_cast("int").alias("quantity"),
-    )
-    return (
-        typed.filter(F.col("product_id").isNotNull() & (F.col("quantity") > 0))
-        .groupBy("request_id", "product_id")
-        .agg(F.sum("quantity").cast("int").alias("quantity"))
+    typed = F.transform(
+        _items(),
+        lambda it: F.struct(
+            it["product_id"].try_cast("long").alias("product_id"),
+            it["quantity"].try_cast("int").alias("quantity"),
+        ),
+    )
+    valid = F.filter(typed, lambda x: x["product_id"].isNotNull() & (x["quantity"] > 0))
+    merged = F.transform(
+        F.array_distinct(F.transform(valid, lambda x: x["product_id"])),
+        lambda pid: F.struct(
+            pid.alias("product_id"),
+            F.aggregate(
+                F.filter(valid, lambda x: x["product_id"] == pid), F.lit(0).cast("long"),
+                lambda acc, x: acc + x["quantity"],
+            ).cast("int").alias("quantity"),
+        ),
+    )
+    return requests.select("request_id", F.explode(merged).alias("it")).select(
+        "request_id", "it.product_id", "it.quantity"
     )
 
 

@@ -95,3 +95,14 @@ def test_ledger_files_sorted_by_reference(spark):
         assert refs == sorted(refs)
         total += len(refs)
     assert total == spark.read.parquet(f"{root}/inventory_log").count() > 0
+
+
+def test_order_lines_parse_without_shuffle(spark):
+    """Duplicates are merged inside each request row: parsing a request
+    table read from files plans no exchange."""
+    root = tempfile.mkdtemp(prefix="stockroom-reqs-", dir="/tmp")
+    items = '[{"product_id": 1, "quantity": 1}, {"product_id": 1, "quantity": "2"}, {"product_id": 5, "quantity": 0}]'
+    seeds.requests(spark, [(1, 0, 1, items, "STANDARD", None)]).write.parquet(root + "/r")
+    lines = orders.parse_order_requests(spark.read.parquet(root + "/r"))
+    assert "Exchange" not in _plan(lines)
+    assert [tuple(r) for r in lines.collect()] == [(1, 1, 3)]
