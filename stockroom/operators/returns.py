@@ -37,18 +37,32 @@ def parse_return_requests(requests: DataFrame, order_item: DataFrame) -> DataFra
     Two lines for the same item are summed first, so together they are
     compared with the bought quantity.
     """
-    items = requests.select(
-        "request_id", "order_id", F.explode(F.from_json("items_json", ITEM_FIELDS)).alias("it")
-    ).select(
-        "request_id",
-        "order_id",
-        F.col("it.order_item_id").try_cast("long").alias("order_item_id"),
-        F.col("it.quantity").try_cast("int").alias("quantity"),
-        F.col("it.condition").alias("conditions"),
+    typed = F.transform(
+        F.from_json("items_json", ITEM_FIELDS),
+        lambda it: F.struct(
+            it["order_item_id"].try_cast("long").alias("order_item_id"),
+            it["quantity"].try_cast("int").alias("quantity"),
+            it["condition"].alias("conditions"),
+        ),
+    )
+    valid = F.filter(typed, lambda x: x["order_item_id"].isNotNull() & (x["quantity"] > 0))
+
+    def same(item_id):
+        return F.filter(valid, lambda x: x["order_item_id"] == item_id)
+
+    # a request's items are one row: lines of the same item are merged in
+    # the row (sum of quantities, lowest condition), no shuffle
+    merged = F.transform(
+        F.array_distinct(F.transform(valid, lambda x: x["order_item_id"])),
+        lambda item_id: F.struct(
+            item_id.alias("order_item_id"),
+            F.aggregate(same(item_id), F.lit(0).cast("long"), lambda acc, x: acc + x["quantity"])
+            .cast("int").alias("quantity_returned"),
+            F.array_min(F.transform(same(item_id), lambda x: x["conditions"])).alias("conditions"),
+        ),
     )
-    items = items.filter(F.col("order_item_id").isNotNull() & (F.col("quantity") > 0))
-    summed = items.groupBy("request_id", "order_id", "order_item_id").agg(
-        F.sum("quantity").cast("int").alias("quantity_returned"), F.min("conditions").alias("conditions")
+    summed = requests.select("request_id", "order_id", F.explode(merged).alias("it")).select(
+        "request_id", "order_id", "it.order_item_id", "it.quantity_returned", "it.conditions"
     )
     oi = order_item.select(
         "order_item_id", F.col("order_id").alias("_oid"), "product_id",
