@@ -51,6 +51,10 @@ def build_session(
     if not local and not shuffle_partitions and spark.conf.get("spark.sql.shuffle.partitions") == "200":
         # Spark's default is far too narrow for 100 TB; AQE merges what is small
         spark.conf.set("spark.sql.shuffle.partitions", "4000")
+    if not local:
+        # coalesce towards the advisory size, not towards 1 MB pieces that
+        # keep the default parallelism (Spark's recommendation for clusters)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -1,7 +1,6 @@
 """Every registered query equals its DuckDB oracle on sf0.001 (whole tables)."""
 
 import datetime as dt
-import os
 from decimal import Decimal
 
 import duckdb
