@@ -11,7 +11,9 @@ construction:
   folder being read;
 * every effect is derived from one written (lineage-cut) decision table, and
   the batch marker row is written last. Readers take the latest snapshot
-  of a batch that has a marker.
+  of a batch that has a marker;
+* the job's intermediate (lineage) tables are dropped after the marker, so
+  storage grows with the outputs only.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 from stockroom.operators import health, orders, returns, rules
 from stockroom.plans.order_batch import OrderBatch
 from stockroom.plans.side_batches import RestockBatch, ReturnBatch
-from stockroom.session import cut_lineage
+from stockroom.session import cut_lineage, lineage_scope
 
 MARKERS = "_batches"
 
@@ -78,7 +80,7 @@ def latest_snapshot(spark: SparkSession, root: str, table: str) -> DataFrame | N
     return snaps.filter(F.col("batch_id") == batch).drop("batch_id")
 
 
-def write_order_batch(
+def _write_order_batch(
     batch: OrderBatch, promotions: DataFrame, customer_loyalty: DataFrame, root: str, batch_id: str
 ) -> dict:
     """Write every effect of an order batch."""
@@ -105,7 +107,7 @@ def write_order_batch(
     return summary
 
 
-def write_restock_batch(batch: RestockBatch, low_stock_alerts: DataFrame, root: str, batch_id: str) -> dict:
+def _write_restock_batch(batch: RestockBatch, low_stock_alerts: DataFrame, root: str, batch_id: str) -> dict:
     """Write every effect of a restock batch (R1-R6), the alerts raised by
     the new levels (A1) and then resolved by the restock (R5), marker last."""
     spark = batch.restocks.sparkSession
@@ -123,7 +125,7 @@ def write_restock_batch(batch: RestockBatch, low_stock_alerts: DataFrame, root:
     return summary
 
 
-def write_return_batch(
+def _write_return_batch(
     batch: ReturnBatch, inventory: DataFrame, customer_loyalty: DataFrame, root: str, batch_id: str, user: str
 ) -> dict:
     """Write every effect of a return batch (T1-T9), marker last."""
@@ -149,3 +151,29 @@ def retention_job(log: DataFrame, ts_col: str, as_of: dt.date, days: int, root:
     """H15 as a job: the kept rows become the next snapshot of the log (a
     log partitioned by day would instead drop whole partitions)."""
     return _snapshot(health.log_retention(log, ts_col, as_of, days), root, table, batch_id)
+
+
+
+# Each job runs in one lineage scope: its intermediate tables are dropped
+# once the marker is written. The session comes from the raw input, so
+# staging it happens inside the scope.
+def write_order_batch(
+    batch: OrderBatch, promotions: DataFrame, customer_loyalty: DataFrame, root: str, batch_id: str
+) -> dict:
+    """Write every effect of an order batch (O6-O13, O7, O9, O11), marker last."""
+    with lineage_scope(batch._requests.sparkSession):
+        return _write_order_batch(batch, promotions, customer_loyalty, root, batch_id)
+
+
+def write_restock_batch(batch: RestockBatch, low_stock_alerts: DataFrame, root: str, batch_id: str) -> dict:
+    """Write every effect of a restock batch (R1-R6, A1), marker last."""
+    with lineage_scope(batch._restocks.sparkSession):
+        return _write_restock_batch(batch, low_stock_alerts, root, batch_id)
+
+
+def write_return_batch(
+    batch: ReturnBatch, inventory: DataFrame, customer_loyalty: DataFrame, root: str, batch_id: str, user: str
+) -> dict:
+    """Write every effect of a return batch (T1-T9), marker last."""
+    with lineage_scope(batch._requests.sparkSession):
+        return _write_return_batch(batch, inventory, customer_loyalty, root, batch_id, user)

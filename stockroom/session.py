@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -101,4 +103,43 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"lineage/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+# lineage tables written inside each open ``lineage_scope`` (driver side)
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def lineage_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Record the lineage tables written inside the block and delete them
+    when it completes.
+
+    A batch job runs in one scope and writes its marker last, so its
+    intermediate tables (staged requests, allocation rounds, ...) go only
+    once every output is durable. A failed block keeps them for inspection;
+    a rerun writes new ones. Frames read from them must not be used after
+    the block.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    done = False
+    try:
+        yield paths
+        done = True
+    finally:
+        _SCOPES.remove(paths)
+    if done:
+        drop_tables(spark, paths)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders through the Hadoop file system of each path (works for
+    any shared store the cluster mounts)."""
+    sc = spark.sparkContext
+    conf = sc._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = sc._jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)

@@ -70,3 +70,45 @@ def test_restock_and_return_jobs(spark):
     ret = spark.read.parquet(f"{root}/returns").first()
     assert ret["refund_amount"] == D("40.00") and ret["return_number"].startswith("RET-20250115-")
     assert spark.read.parquet(f"{root}/loyalty_transactions").first()["points_change"] == -4
+
+
+def test_job_drops_its_lineage_tables(spark):
+    import os
+
+    from stockroom.session import ensure_checkpoint_dir
+
+    lineage = ensure_checkpoint_dir(spark).replace("file:", "") + "/lineage"
+
+    def listing():
+        return set(os.listdir(lineage)) if os.path.isdir(lineage) else set()
+
+    root = tempfile.mkdtemp(prefix="stockroom-jobs-", dir="/tmp")
+    reqs = seeds.requests(spark, [(1, 0, 1, ITEMS, "STANDARD", None)])
+    b = order_batch(reqs, seeds.customer(spark), seeds.product(spark), seeds.inventory(spark),
+                    seeds.promotions(spark), stage_requests=True)
+    before = listing()
+    assert jobs.write_order_batch(b, seeds.promotions(spark), seeds.customer_loyalty(spark), root, "b0001") == {
+        "accepted": 1}
+    assert listing() <= before  # staged requests, lines, rounds and verdicts are gone
+    assert spark.read.parquet(f"{root}/order_item").count() == 2  # outputs stay
+
+
+def test_lineage_scope_records_and_drops(spark):
+    import os
+
+    from stockroom.session import cut_lineage, lineage_scope
+
+    with lineage_scope(spark) as paths:
+        staged = cut_lineage(spark.range(5), "scope-test")
+        assert staged.count() == 5
+        local = paths[0].replace("file:", "")
+        assert os.path.isdir(local)
+    assert len(paths) == 1 and not os.path.exists(local)
+    # a failing block keeps its tables
+    try:
+        with lineage_scope(spark) as kept:
+            cut_lineage(spark.range(3), "scope-fail")
+            raise RuntimeError("job failed")
+    except RuntimeError:
+        pass
+    assert os.path.isdir(kept[0].replace("file:", ""))
