@@ -3,8 +3,8 @@
 A plain ``Window.partitionBy(key).orderBy(...)`` puts every row of a key in
 one task; with one product or customer holding a third of all rows that task
 holds a third of the data. These helpers split each key into ordered
-*buckets* (a coarse, order-preserving value such as the hour of the event
-time) and work in two levels:
+*buckets* (an order-preserving value: the row's range partition, or a
+coarse one such as the hour of the event time) and work in two levels:
 
 1. per (key, bucket) totals -- a grouped aggregate with map-side partial
    aggregation, so a hot key costs nothing extra in the shuffle;
