@@ -13,6 +13,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockroom.functions.joins import broadcast_if_small
 from stockroom.functions.money import lit_dec, round_ratio
 
 EXCLUDED = ("Cancelled", "Returned")
@@ -24,6 +25,13 @@ def _int_div(a: Column, b: Column) -> Column:
     return ((a - F.pmod(a, b)) / b).cast("long")
 
 
+def _categories(product_category: DataFrame) -> DataFrame:
+    """The category catalogue, broadcast behind a row count: category ids
+    have few values, so a join keyed by them would put every product of the
+    largest category in one task."""
+    return broadcast_if_small(product_category.select("category_id", "category_name"))
+
+
 def _since(as_of: dt.date, days: int) -> Column:
     return F.date_sub(F.lit(as_of), days)
 
@@ -71,7 +79,7 @@ def critical_stock(
         .select("product_id", "product_name", "sku", "category_id")
         .join(inventory, "product_id")
         .filter(F.col("quantity_available") <= F.col("reorder_point") * 2)
-        .join(product_category.select("category_id", "category_name"), "category_id")
+        .join(_categories(product_category), "category_id")
     )
     j = base.join(on_order, "product_id", "left").join(recent, "product_id", "left")
     avail, rp = F.col("quantity_available"), F.col("reorder_point")
@@ -128,7 +136,7 @@ def slow_moving_inventory(
         product.filter(F.col("is_active"))
         .select("product_id", "product_name", "sku", "category_id")
         .join(inventory.filter(F.col("quantity_on_hand") > 0), "product_id")
-        .join(product_category.select("category_id", "category_name"), "category_id")
+        .join(_categories(product_category), "category_id")
     )
     j = base.join(sales, "product_id", "left")
     sold = F.coalesce(F.col("_sold"), F.lit(0)).cast("long")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockroom.functions.joins import broadcast_if_small
 from stockroom.functions.money import mean, money_sum
 from stockroom.functions.windows import bucket_mode, previous_value
 
@@ -127,7 +128,11 @@ def category_sales_rank(
     per_product = lines.groupBy("product_id").agg(F.sum("_rev").alias("_rev"))
     named = per_product.join(
         product.select("product_id", "product_name", "category_id"), "product_id"
-    ).join(product_category.select("category_id", "category_name"), "category_id")
+    ).join(
+        # few category ids: broadcast the (size-checked) catalogue instead of
+        # shuffling products by category
+        broadcast_if_small(product_category.select("category_id", "category_name")), "category_id"
+    )
     grouped = named.groupBy("category_name", "product_name").agg(
         money_sum(F.col("_rev")).alias("product_revenue")
     )
