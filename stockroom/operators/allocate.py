@@ -35,7 +35,7 @@ import time
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from stockroom.functions.windows import RANGE, running_sums
+from stockroom.functions.windows import RANGE, hottest_key_rows, running_sums
 from stockroom.session import cut_lineage
 
 ORDER = ["request_ts", "request_id"]
@@ -117,8 +117,7 @@ def allocate_lines(
     )
     # one size check decides whether any product is hot enough to need the
     # two-level running sums (partial aggregation: cheap even when skewed)
-    hottest = base.groupBy("product_id").count().agg(F.max("count")).first()[0] or 0
-    two_level = hottest > hot_product_lines
+    two_level = hottest_key_rows(base, ["product_id"]) > hot_product_lines
 
     state = base.select(
         "request_id", "request_ts", "product_id", "quantity", "stock", F.lit(None).cast("boolean").alias("d")
