@@ -6,11 +6,12 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF0001
+from stockroom.plans import oracle
+from stockroom.plans.registry import all_queries
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
-NAMES = sorted(entry.oracle_sql())
+NAMES = sorted(oracle.QUERIES)
 
 
 def _norm(v):
@@ -32,14 +33,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == set()
+    assert set(all_queries()) == set(oracle.QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    sdf = entry.queries()[name](spark, SF0001)
-    rel = con.execute(entry.oracle_sql()[name])
+    sdf = all_queries()[name](spark, SF0001)
+    rel = con.execute(oracle.sql(oracle.QUERIES[name]))
     ocols = [d[0] for d in rel.description]
     assert sorted(sdf.columns) == sorted(ocols)
     cols = sorted(ocols)
