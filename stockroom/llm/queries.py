@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm import mixing, quality_rules
+from stockroom.llm import mixing, ngram_join, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +108,34 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        CAST(removed_chars AS BIGINT) AS removed_chars
 FROM joined
 """
+
+
+@query
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under the 5-gram Jaccard join."""
+    found = ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+ORACLES["op7_ngram_jaccard"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+         ELSE list_transform(range(0, len(w) - 4), lambda i: w[i + 1:i + 5]) END) AS s FROM words),
+kinds AS (SELECT list_sort(s) AS s, min(doc_id) AS rep FROM sets WHERE len(s) > 0 GROUP BY 1),
+shingles AS (SELECT rep, len(s) AS n, unnest(s) AS shingle FROM kinds),
+shared AS (SELECT rep, n, shingle FROM shingles QUALIFY count(*) OVER (PARTITION BY shingle) > 1),
+links AS (
+  SELECT a.rep AS a, b.rep AS b FROM shared a JOIN shared b ON a.shingle = b.shingle AND a.rep <> b.rep
+  AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT rep AS node, rep AS seen FROM kinds
+  UNION
+  SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.seen),
+least_seen AS (SELECT node, min(seen) AS component FROM reached GROUP BY node)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(c.component, d.doc_id) AS component_id
+FROM sets d LEFT JOIN kinds k ON list_sort(d.s) = k.s LEFT JOIN least_seen c ON c.node = k.rep
+"""
