@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm import mixing, ngram_join, quality_rules
+from stockroom.llm import chat_format, license_scan, mixing, ngram_join, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +139,34 @@ least_seen AS (SELECT node, min(seen) AS component FROM reached GROUP BY node)
 SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(c.component, d.doc_id) AS component_id
 FROM sets d LEFT JOIN kinds k ON list_sort(d.s) = k.s LEFT JOIN least_seen c ON c.node = k.rep
 """
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrase places and fuzzy notices of every document."""
+    return license_scan.scan_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, read back from their formatted form."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    return chat_format.conversation_digests(chat_format.read_back(chat_format.format_turns(turns.union(extra))))
+
+
+ORACLES["op6_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, len(regexp_extract_all(role || chr(0) || text,
+    '<\\*(\|turn\|>|\|body\|>|\|end\|>|s>|/s>|<SYS>>|</SYS>>|\|im_start\|>|\|im_end\|>|\|endoftext\|>|\|startoftext\|>|\|user\|>|\|assistant\|>|\|system\|>)|\[\\*(INST\]|/INST\])')) AS escapes
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(sum(23 + length(role) + length(text) + escapes) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
