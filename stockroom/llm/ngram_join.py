@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from stockroom.llm.bytehash import ByteHasher, mixed, windows
 from stockroom.llm.components import components
+from stockroom.llm.vectors import as_rows, summed
 from stockroom.session import cut_lineage
 
 SHINGLE = 5
@@ -100,10 +101,8 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
                 sizes.append(len(tokens))
                 keys.append(set_key(tokens) if len(tokens) else 0)
             yield pd.DataFrame({"id": batch["id"].astype("Int64"), "body": batch["body"], "n": sizes, "node": keys, "slice": -1, "counts": None})
-        parts = counts.astype(np.int32 if counts.max(initial=0) < 2**31 else np.int64).reshape(-1, SLICE)
-        used = [k for k in range(len(parts)) if parts[k].any()]
-        yield pd.DataFrame({"id": pd.array([None] * len(used), dtype="Int64"), "body": 0, "n": 0, "node": 0, "slice": used,
-                            "counts": [parts[k].astype(np.int64).tobytes() for k in used]})
+        rows = as_rows(counts, SLICE)
+        yield rows.assign(id=pd.array([None] * len(rows), dtype="Int64"), body=0, n=0, node=0)
 
     return docs.mapInPandas(run, "id long, body long, n int, node long, slice int, counts binary")
 
@@ -112,19 +111,7 @@ def _sketch_classes(rows: DataFrame) -> np.ndarray:
     """Frequency class of every counter: 0 up to twice the mean count, then
     one more for each doubling."""
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, counts in zip(batch["slice"], batch["counts"], strict=True):
-                sums[k] = sums.get(k, 0) + np.frombuffer(counts, dtype=np.int64)
-        yield pd.DataFrame({"slice": list(sums), "counts": [s.tobytes() for s in sums.values()]})
-
-    parts = (1 << SKETCH_BITS) // SLICE
-    summed = rows.repartition(parts, "slice").mapInPandas(add, "slice int, counts binary")
-    counts = np.zeros((parts, SLICE), dtype=np.int64)
-    for row in summed.toLocalIterator():  # a fixed number of rows
-        counts[row["slice"]] = np.frombuffer(row["counts"], dtype=np.int64)
-    flat = counts.ravel()
+    flat = summed(rows, (1 << SKETCH_BITS) // SLICE, SLICE)
     mean = max(1.0, flat.mean())
     return np.floor(np.log2(np.maximum(flat / (2 * mean), 0.5)) + 1).clip(0, 60).astype(np.uint8)
 

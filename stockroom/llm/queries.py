@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm import chat_format, license_scan, mixing, ngram_join, quality_rules
+from stockroom.llm import chat_format, license_scan, mixing, ngram_join, quality_rules, resampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -170,3 +170,13 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        CAST(sum(23 + length(role) + length(text) + escapes) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+
+def good_label() -> Column:
+    return F.col("quality") == 1
+
+
+@query
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight and verdict of every document."""
+    return resampling.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), good_label())
