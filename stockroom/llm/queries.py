@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm import chat_format, license_scan, mixing, ngram_join, quality_rules, resampling
+from stockroom.llm import chat_format, license_scan, mixing, ngram_join, quality_rules, resampling, string_kernel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -180,3 +180,12 @@ def good_label() -> Column:
 def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight and verdict of every document."""
     return resampling.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), good_label())
+
+
+@query
+def op5_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = string_kernel.fit(docs)
+    rows = docs.select("doc_id", string_kernel.held_out("doc_id").alias("held_out"), "text")
+    return string_kernel.predict(rows, model)
