@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm import chat_format, license_scan, mixing, ngram_join, quality_rules, resampling, string_kernel
+from stockroom.llm import chat_format, hmm, license_scan, mixing, ngram_join, quality_rules, resampling, string_kernel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -189,3 +189,9 @@ def op5_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = string_kernel.fit(docs)
     rows = docs.select("doc_id", string_kernel.held_out("doc_id").alias("held_out"), "text")
     return string_kernel.predict(rows, model)
+
+
+@query
+def op3_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model log probability of every document."""
+    return hmm.score_documents(table(spark, sf_dir, "documents"))
