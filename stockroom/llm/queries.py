@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.llm import chat_format, hmm, license_scan, mixing, ngram_join, quality_rules, resampling, string_kernel
+from stockroom.llm import (
+    chat_format,
+    hamming_search,
+    hmm,
+    license_scan,
+    mixing,
+    ngram_join,
+    quality_rules,
+    resampling,
+    string_kernel,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -195,3 +205,10 @@ def op5_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model log probability of every document."""
     return hmm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every query vector."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return hamming_search.search(rows, rows.filter(F.col("vec_id") % 20 == 0))
