@@ -258,9 +258,12 @@ def _links(tested: DataFrame, percent: int) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with the smallest id of their component (all rows of
-    that id: one of them), columns as given."""
-    found = similar_documents(docs, doc_id, text)
-    keep = found.filter(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias("__keep")).distinct()
-    keep = cut_lineage(keep, "kept-ids")
-    return docs.join(keep, docs[doc_id].eqNullSafe(F.col("__keep")), "left_semi").dropDuplicates([doc_id])
+    """The document with the smallest id of each component, columns as
+    given. Of several rows with that id one stays. Rows without an id cannot
+    be told apart by it and all stay."""
+    found = cut_lineage(similar_documents(docs, doc_id, text).select(F.col(doc_id).alias("id"), "component_id"), "components")
+    keep = found.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias("__keep")).distinct()
+    named = docs.join(cut_lineage(keep, "kept-ids"), docs[doc_id] == F.col("__keep"), "left_semi")
+    if not found.filter("id is not null").groupBy("id").count().filter("count > 1").isEmpty():
+        named = named.dropDuplicates([doc_id])
+    return named.union(docs.filter(F.col(doc_id).isNull()))

@@ -14,6 +14,7 @@ from stockroom.llm import (
     license_scan,
     mixing,
     ngram_join,
+    piece_sampling,
     quality_rules,
     resampling,
     string_kernel,
@@ -212,3 +213,14 @@ def op4_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors of every query vector."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return hamming_search.search(rows, rows.filter(F.col("vec_id") % 20 == 0))
+
+
+@query
+def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled piece ids of every document and the check of their round trip."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = piece_sampling.decode_documents(piece_sampling.encode_documents(docs))
+    return rows.select(
+        "doc_id", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"), "piece_ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
