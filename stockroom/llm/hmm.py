@@ -27,11 +27,13 @@ Defined results
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -147,7 +149,12 @@ def vocabulary(counts: DataFrame, head: int = HEAD) -> Vocabulary:
 
 
 ENCODED = ("id long, held_out boolean, rid long, n_tokens long, head_known long, head_log double, head_group_log double, "
-           "group_norm double, classes binary, tail array<struct<word:bigint,n:int>>")
+           "group_norm double, classes binary, tail array<bigint>, tail_n array<int>")
+
+
+def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts), type=kind))
 
 
 def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
@@ -155,32 +162,32 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     the list of its other words."""
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, v = ByteHasher(), shared.value
-        norms = np.log10(v.group_total)
-        logs = np.log10(v.counts + 1.0)
-        for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.iloc[at : at + 512]
-                rows = []
-                for text in part["text"]:
-                    words, groups = tokens(text, hasher)
+        norms, logs = np.log10(v.group_total), np.log10(v.counts + 1.0)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                sums, classes, tails, times = [], [], [], []
+                for text in batch.column("text"):
+                    words, groups = tokens(text.as_py(), hasher)
                     where, known = v.find(words)
                     own = np.full(len(words), -1)
                     own[known] = v.classes[where[known]]
                     own[-1] = 0
                     grouped = own < 0
-                    classes = np.where(grouped, 1 + OWN_CLASS + groups, own).astype(np.uint16)
                     tail, n = np.unique(words[~known], return_counts=True)
-                    rows.append((
-                        len(words), int(known.sum()), float(logs[where[known]].sum()), float(logs[where[known & grouped]].sum()),
-                        float(norms[groups[grouped]].sum()), classes.tobytes(),
-                        [{"word": int(w), "n": int(k)} for w, k in zip(tail.view(np.int64), n, strict=True)],
-                    ))
-                found = pd.DataFrame(rows, columns=["n_tokens", "head_known", "head_log", "head_group_log", "group_norm", "classes", "tail"], index=part.index)
-                yield pd.concat([part[["id"]].astype("Int64"), part[["held_out", "rid"]], found], axis=1)
+                    sums.append((len(words), known.sum(), logs[where[known]].sum(), logs[where[known & grouped]].sum(), norms[groups[grouped]].sum()))
+                    classes.append(np.where(grouped, 1 + OWN_CLASS + groups, own).astype(np.uint16).tobytes())
+                    tails.append(tail.view(np.int64))
+                    times.append(n.astype(np.int32))
+                size, head_known, *others = zip(*sums, strict=True)
+                columns = [*(batch.column(c) for c in ("id", "held_out", "rid")), pa.array(size, pa.int64()), pa.array(head_known, pa.int64()),
+                           *(pa.array(x, pa.float64()) for x in others), pa.array(classes, pa.binary()), _lists(tails, pa.int64()), _lists(times, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "held_out", "rid", "n_tokens", "head_known", "head_log", "head_group_log",
+                                                                 "group_norm", "classes", "tail", "tail_n"])
 
-    return docs.mapInPandas(run, ENCODED)
+    return docs.mapInArrow(run, ENCODED)
 
 
 @dataclass
@@ -199,82 +206,96 @@ class Hmm:
 
 
 class Lanes:
-    """Whole documents packed into lanes, longest first into the shortest lane."""
+    """Whole documents packed into lanes, longest first into the shortest
+    lane. Lanes are ordered by length, so the lanes that still run at a step
+    are the first ones; all tables are flat, a step after the other."""
 
     def __init__(self, docs: list[np.ndarray], lanes: int = LANES) -> None:
         sizes = np.array([len(d) for d in docs])
         lanes = min(lanes, len(docs))
-        load, place = np.zeros(lanes, dtype=np.int64), [[] for _ in range(lanes)]
+        heap, place = [(0, lane) for lane in range(lanes)], [[] for _ in range(lanes)]
         for k in np.argsort(-sizes, kind="stable"):
-            lane = int(load.argmin())
+            load, lane = heap[0]
             place[lane].append(k)
-            load[lane] += sizes[k]
-        order = np.argsort(-load, kind="stable")
-        self.steps = int(load.max())
-        self.active = (load[order][None, :] > np.arange(self.steps)[:, None]).sum(axis=1)
-        self.classes = np.zeros((self.steps, lanes), dtype=np.int64)
-        self.doc = np.full((self.steps, lanes), -1, dtype=np.int64)
-        self.first = np.zeros((self.steps, lanes), dtype=bool)
-        self.last = np.zeros((self.steps, lanes), dtype=bool)
+            heapq.heapreplace(heap, (load + int(sizes[k]), lane))
+        loads = np.zeros(lanes, dtype=np.int64)
+        loads[[lane for _, lane in heap]] = [load for load, _ in heap]
+        order = np.argsort(-loads, kind="stable")
+        self.active = np.searchsorted(-loads[order], -np.arange(loads.max()), side="left")
+        self.begin = np.concatenate([[0], np.cumsum(self.active)])
+        self.classes = np.empty(self.begin[-1], dtype=np.int64)
+        self.doc = np.empty(self.begin[-1], dtype=np.int64)
+        self.first, self.last = [], []
         for lane, source in enumerate(order):
             at = 0
             for k in place[source]:
-                end = at + sizes[k]
-                self.classes[at:end, lane], self.doc[at:end, lane] = docs[k], k
-                self.first[at, lane] = self.last[end - 1, lane] = True
-                at = end
-
-    def forward(self, hmm: Hmm, keep: bool) -> tuple[np.ndarray, np.ndarray | None]:
-        """Scale of each step (its product over a document is the likelihood)
-        and, if kept, the scaled forward variables."""
-        scale = np.ones(self.doc.shape)
-        alphas = np.zeros((*self.doc.shape, STATES)) if keep else None
-        alpha = np.zeros((self.doc.shape[1], STATES))
-        for t in range(self.steps):
-            n = self.active[t]
-            now = alpha[:n] @ hmm.move
-            begins = self.first[t, :n]
-            if begins.any():
+                rows = self.begin[at : at + sizes[k]] + lane
+                self.classes[rows], self.doc[rows] = docs[k], k
+                self.first.append((at, lane))
+                at += sizes[k]
+                self.last.append((at - 1, lane))
+        self.starting, self.ending = self._by_step(self.first), self._by_step(self.last)
+
+    @staticmethod
+    def _by_step(marks: list[tuple[int, int]]) -> dict[int, list[int]]:
+        found: dict[int, list[int]] = {}
+        for step, lane in marks:
+            found.setdefault(step, []).append(lane)
+        return found
+
+    def forward(self, hmm: Hmm) -> tuple[np.ndarray, np.ndarray]:
+        """Scale of each row (its product over a document is the likelihood)
+        and the scaled forward variables."""
+        alphas = hmm.emit[self.classes]
+        scale, ones = np.empty(len(alphas)), np.ones(STATES)
+        last = np.zeros((self.active[0], STATES))
+        for t, n in enumerate(self.active.tolist()):
+            now = last[:n] @ hmm.move
+            begins = self.starting.get(t)
+            if begins:
                 now[begins] = hmm.start
-            now *= hmm.emit[self.classes[t, :n]]
-            total = now.sum(axis=1)
+            rows = slice(self.begin[t], self.begin[t + 1])
+            now *= alphas[rows]
+            total = now @ ones
             now /= total[:, None]
-            scale[t, :n] = total
-            alpha[:n] = now
-            if keep:
-                alphas[t, :n] = now
+            scale[rows], alphas[rows] = total, now
+            last = now
         return scale, alphas
 
     def log_likelihoods(self, hmm: Hmm, n_docs: int) -> np.ndarray:
         """Natural log of each document's probability."""
-        scale, _ = self.forward(hmm, keep=False)
-        used = self.doc >= 0
-        return np.bincount(self.doc[used], weights=np.log(scale[used]), minlength=n_docs)
+        scale, _ = self.forward(hmm)
+        return np.bincount(self.doc, weights=np.log(scale), minlength=n_docs)
 
     def expected_counts(self, hmm: Hmm) -> np.ndarray:
         """log likelihood, starts, moves, emissions: one flat vector."""
-        scale, alphas = self.forward(hmm, keep=True)
+        scale, alphas = self.forward(hmm)
+        scaled = hmm.emit[self.classes] / scale[:, None]
+        begins = np.array([self.begin[t] + lane for t, lane in self.first])
         moves = np.zeros((STATES, STATES))
-        gamma = np.zeros_like(alphas)
-        ahead = np.zeros((self.doc.shape[1], STATES))  # emission x backward of the next step, scaled
-        for t in range(self.steps - 1, -1, -1):
-            n = self.active[t]
-            beta = ahead[:n] @ hmm.move.T
-            ends = self.last[t, :n]
-            moves += (alphas[t, :n] * ~ends[:, None]).T @ ahead[:n]
-            beta[ends] = 1
-            gamma[t, :n] = alphas[t, :n] * beta
-            ahead[:n] = hmm.emit[self.classes[t, :n]] * beta / scale[t, :n, None]
-        used = self.doc >= 0
-        seen, weight = self.classes[used], gamma[used]
-        emit = np.stack([np.bincount(seen, weights=weight[:, k], minlength=CLASSES) for k in range(STATES)], axis=1)
-        flat = np.concatenate([[np.log(scale[used]).sum()], gamma[self.first].sum(axis=0), (moves * hmm.move).ravel(), emit.ravel()])
+        back = np.ascontiguousarray(hmm.move.T)
+        ahead = np.zeros((self.active[0], STATES))  # emission x backward of the next step, scaled
+        for t in range(len(self.active) - 1, -1, -1):
+            n, rows = self.active[t], slice(self.begin[t], self.begin[t + 1])
+            ends = self.ending.get(t)
+            if ends:
+                ahead[ends] = 0
+            moves += alphas[rows].T @ ahead[:n]
+            beta = ahead[:n] @ back
+            if ends:
+                beta[ends] = 1
+            alphas[rows] *= beta  # from here on: chance of each state
+            np.multiply(scaled[rows], beta, out=ahead[:n])
+        start = alphas[begins].sum(axis=0)
+        emit = np.stack([np.bincount(self.classes, weights=alphas[:, k], minlength=CLASSES) for k in range(STATES)], axis=1)
+        flat = np.concatenate([[np.log(scale).sum()], start, (moves * hmm.move).ravel(), emit.ravel()])
         return np.concatenate([flat, np.zeros(LENGTH - len(flat))])
 
 
 def chunks(batches: Iterator[pd.DataFrame], column: str = "classes") -> Iterator[tuple[pd.DataFrame, Lanes]]:
-    """Documents in lanes of about CHUNK tokens."""
+    """Documents in lanes, about CHUNK tokens of like lengths at a time."""
     for batch in batches:
+        batch = batch.sort_values("n_tokens", ascending=False)
         ends = np.cumsum(batch["n_tokens"].to_numpy()) // CHUNK
         for _, part in batch.groupby(ends, sort=False):
             yield part, Lanes([np.frombuffer(c, dtype=np.uint16) for c in part[column]])
@@ -320,9 +341,9 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield pd.DataFrame({"rid": part["rid"], "path_log": lanes.log_likelihoods(shared.value, len(part)) / np.log(10)})
 
     paths = encoded.select("rid", "n_tokens", "classes").mapInPandas(likelihoods, "rid long, path_log double")
-    tail = encoded.select("rid", F.inline("tail")).join(counts.select("word", "c"), "word")
+    tail = encoded.select("rid", F.inline(F.arrays_zip(F.col("tail").alias("word"), F.col("tail_n").alias("n")))).join(counts.select("word", "c"), "word")
     tail = tail.groupBy("rid").agg(F.sum("n").alias("tail_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("tail_log"))
-    joined = encoded.drop("classes", "tail").join(paths, "rid").join(tail, "rid", "left")
+    joined = encoded.drop("classes", "tail", "tail_n").join(paths, "rid").join(tail, "rid", "left")
     tail_log = F.coalesce("tail_log", F.lit(0.0))
     score = F.col("path_log") + F.col("head_group_log") + tail_log - F.col("group_norm")
     return joined.select(
