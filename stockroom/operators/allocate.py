@@ -17,15 +17,15 @@ lb and ub, so each decision equals the serial one and never changes. The
 earliest undecided order has lb = ub and is always decided, so the loop
 ends; in practice within a few rounds.
 
-Each round is a running sum per product and a verdict per order. Once the
-remaining loop state is small (at most ``SERIAL_TAIL_LINES`` lines,
-counted), one task finishes it with the serial rule (``applyInPandas``). If any
-product holds more than ``HOT_PRODUCT_LINES`` lines (checked once, up
-front), the running sums are two-level (product, range bucket) so a hot
-product is spread over many bounded tasks. Rejected lines leave the loop, and so do lines
-after the last undecided line of their product and products with nothing
-undecided. Each round's state (with its verdicts) is written once to the
-shared checkpoint folder, which bounds lineage and survives executor loss.
+Each round is a running sum per product and a verdict per order; the loop
+runs until every order is decided, whatever the size. Two rounds are one
+written stage. If any product holds more than ``HOT_PRODUCT_LINES`` lines
+(checked once, up front), the running sums are two-level (product, range
+bucket), so a hot product is spread over many bounded tasks; the result is
+the same. Rejected lines leave the loop, and so do lines after the last
+undecided line of their product and products with nothing undecided. Each
+stage's state is written once to the shared checkpoint folder, which bounds
+lineage and survives executor loss.
 """
 
 from __future__ import annotations
@@ -48,37 +48,7 @@ def _seq() -> Column:
 # Above this many lines for one product, the running sums switch to the
 # two-level (product, range bucket) form so a hot product is not one task.
 HOT_PRODUCT_LINES = 1_000_000
-# Once the loop state is at most this many lines (a counted bound), one task
-# finishes it with the serial rule instead of more parallel rounds.
-SERIAL_TAIL_LINES = 20_000
-
-_TAIL_SCHEMA = "request_id long, _new boolean"
-
-
-def _serial_tail(pdf):
-    """The reference's rule over the remaining loop state, in arrival order.
-
-    The state holds, for every product with an open line, all accepted
-    lines before its last open line, so the stock left seen here is exact.
-    """
-    import pandas as pd
-
-    pdf = pdf.sort_values(["request_ts", "request_id"], kind="mergesort")
-    left = dict(zip(pdf["product_id"], pdf["stock"]))
-    out = []
-    for (_, rid), g in pdf.groupby(["request_ts", "request_id"], sort=False):
-        decided = g["d"].iloc[0]
-        lines = list(zip(g["product_id"], g["quantity"]))
-        if decided is None or pd.isna(decided):
-            fits = all(q <= left[p] for p, q in lines)
-            out.append((int(rid), bool(fits)))
-            take = fits
-        else:
-            take = bool(decided)
-        if take:
-            for p, q in lines:
-                left[p] -= q
-    return pd.DataFrame(out, columns=["request_id", "_new"])
+ROUNDS_PER_STAGE = 2
 
 
 def _sums(state: DataFrame, values: dict, two_level: bool) -> DataFrame:
@@ -88,14 +58,37 @@ def _sums(state: DataFrame, values: dict, two_level: bool) -> DataFrame:
     return state.select("*", *[F.coalesce(F.sum(v).over(w), F.lit(0)).alias(n) for n, v in values.items()])
 
 
+def _round(state: DataFrame, two_level: bool) -> DataFrame:
+    """``state`` with the verdicts of one round in ``d``."""
+    d = F.col("d")
+    sums = _sums(
+        state,
+        {"_ub": F.when(d.isNull() | d, F.col("quantity")), "_lb": F.when(d, F.col("quantity"))},
+        two_level,
+    )
+    verdict = (
+        sums.filter(d.isNull())
+        .groupBy("request_id")
+        .agg(
+            F.bool_and(F.col("stock") - F.col("_ub") >= F.col("quantity")).alias("_fits"),
+            F.bool_or(F.col("stock") - F.col("_lb") < F.col("quantity")).alias("_short"),
+        )
+        .select(
+            "request_id",
+            F.when(F.col("_short"), F.lit(False)).when(F.col("_fits"), F.lit(True)).alias("_new"),
+        )
+        .filter(F.col("_new").isNotNull())
+    )
+    return state.join(verdict, "request_id", "left").withColumn("d", F.coalesce(d, F.col("_new"))).drop("_new")
+
+
 def allocate_lines(
     lines: DataFrame,
     inventory: DataFrame,
-    max_rounds: int | None = None,
     stats: list | None = None,
     carry: tuple[str, ...] = (),
     hot_product_lines: int = HOT_PRODUCT_LINES,
-    serial_tail_lines: int = SERIAL_TAIL_LINES,
+    rounds_per_stage: int = ROUNDS_PER_STAGE,
 ) -> DataFrame:
     """Decide every line's order; return lines with ``accepted`` and
     ``available_before`` (stock left just before this order, after all
@@ -103,11 +96,9 @@ def allocate_lines(
 
     ``lines``: (request_id, request_ts, product_id, quantity), one row per
     (request, product) of requests that passed validation.
-    ``inventory``: (product_id, quantity_available).
-    ``accepted`` is NULL only for orders left undecided after
-    ``max_rounds`` (to be carried, with their arrival order, into the
-    next batch). ``carry`` names extra columns of ``lines`` that skip the
-    loop and come back on the result.
+    ``inventory``: (product_id, quantity_available). ``carry`` names extra
+    columns of ``lines`` that skip the loop and come back on the result.
+    ``stats`` collects the open and loop lines after each written stage.
     """
     base = cut_lineage(
         lines.select("request_id", "request_ts", "product_id", "quantity", *carry).join(
@@ -119,81 +110,47 @@ def allocate_lines(
     # two-level running sums (partial aggregation: cheap even when skewed)
     two_level = hottest_key_rows(base, ["product_id"]) > hot_product_lines
 
+    d = F.col("d")
     state = base.select(
-        "request_id", "request_ts", "product_id", "quantity", "stock", F.lit(None).cast("boolean").alias("d")
+        "request_id", "request_ts", "product_id", "quantity", "stock",
+        F.lit(None).cast("boolean").alias("d"), F.lit(True).alias("_open"),
     )
-    round_files: list[DataFrame] = []
-    rounds = 0
-    d = F.col("d")
-    clock = time.perf_counter()
-    while max_rounds is None or rounds < max_rounds:
-        rounds += 1
-        sums = _sums(
-            state,
-            {"_ub": F.when(d.isNull() | d, F.col("quantity")), "_lb": F.when(d, F.col("quantity"))},
-            two_level,
-        )
-        verdict = (
-            sums.filter(d.isNull())
-            .groupBy("request_id")
-            .agg(
-                F.bool_and(F.col("stock") - F.col("_ub") >= F.col("quantity")).alias("_fits"),
-                F.bool_or(F.col("stock") - F.col("_lb") < F.col("quantity")).alias("_short"),
-            )
-            .select(
-                "request_id",
-                F.when(F.col("_short"), F.lit(False)).when(F.col("_fits"), F.lit(True)).alias("_new"),
-            )
-            .filter(F.col("_new").isNotNull())
-        )
-        # one write per round: the state with this round's verdicts; the
-        # decisions are read back from these files at the end. The loop
-        # sizes are observed during that write (no second job).
-        sizes = Observation(f"alloc-round-{rounds}")
+    stages: list[DataFrame] = []
+    open_lines, clock = 1, time.perf_counter()
+    while open_lines:
+        decided = state
+        for _ in range(rounds_per_stage):
+            decided = _round(decided, two_level)
+        # one write per stage: the state with its verdicts; the decisions are
+        # read back from these files at the end. The loop sizes are observed
+        # during that write (no second job).
+        sizes = Observation(f"alloc-stage-{len(stages)}")
         decided = cut_lineage(
-            state.join(verdict, "request_id", "left")
-            .withColumn("d", F.coalesce(d, F.col("_new")))
-            .withColumn("_new", F.col("_new").isNotNull())
-            .observe(
+            decided.observe(
                 sizes,
                 F.count(F.when(d.isNull() | d, 1)).alias("loop_lines"),
                 F.count(F.when(d.isNull(), 1)).alias("open_lines"),
             ),
-            "alloc-round",
+            "alloc-stage",
         )
-        round_files.append(decided)
-        counts = sizes.get
-        open_lines = counts["open_lines"]
+        stages.append(decided)
+        open_lines = sizes.get["open_lines"]
         if stats is not None:
-            stats.append({"round": rounds, "open_lines": open_lines, "loop_lines": counts["loop_lines"],
-                          "two_level": two_level, "sec": round(time.perf_counter() - clock, 2)})
+            stats.append({"stage": len(stages), "rounds": rounds_per_stage * len(stages), "open_lines": open_lines,
+                          "loop_lines": sizes.get["loop_lines"], "two_level": two_level,
+                          "sec": round(time.perf_counter() - clock, 2)})
             clock = time.perf_counter()
-        if open_lines == 0:
-            break
         # prune: rejected lines, lines after their product's last open line,
         # and products with nothing open no longer affect any decision
-        kept = decided.filter(d.isNull() | d).drop("_new")
+        kept = decided.filter(d.isNull() | d).withColumn("_open", d.isNull())
         last_open = kept.filter(d.isNull()).groupBy("product_id").agg(F.max(_seq()).alias("_last_open"))
         state = kept.join(last_open, "product_id").filter(_seq() <= F.col("_last_open")).drop("_last_open")
-        if counts["loop_lines"] <= serial_tail_lines:
-            # bounded remainder: one task applies the serial rule exactly
-            tail = cut_lineage(
-                state.groupBy(F.lit(0).alias("_one")).applyInPandas(_serial_tail, _TAIL_SCHEMA).withColumn("d", F.col("_new")).withColumn("_new", F.lit(True)),
-                "alloc-tail",
-            )
-            round_files.append(tail)
-            if stats is not None:
-                stats.append({"round": rounds + 1, "open_lines": 0, "loop_lines": counts["loop_lines"],
-                              "two_level": two_level, "serial_tail": True,
-                              "sec": round(time.perf_counter() - clock, 2)})
-            break
 
     decisions = base.limit(0).select("request_id", F.lit(None).cast("boolean").alias("accepted"))
-    for part in round_files:
-        newly = part.filter(F.col("_new")).select("request_id", F.col("d").alias("accepted"))
+    for part in stages:  # each order is decided in one stage, where its lines were open
+        newly = part.filter(F.col("_open") & d.isNotNull()).select("request_id", F.col("d").alias("accepted"))
         decisions = decisions.unionByName(newly)
-    decisions = decisions.distinct()
-    final = base.join(decisions, "request_id", "left")
+    final = base.join(decisions.distinct(), "request_id", "left")
     used = _sums(final, {"_used": F.when(F.col("accepted"), F.col("quantity"))}, two_level)
     return used.withColumn("available_before", (F.col("stock") - F.col("_used")).cast("long")).drop("_used")
 

@@ -28,7 +28,6 @@ class OrderBatch:
         product: DataFrame,
         inventory: DataFrame,
         promotions: DataFrame,
-        max_rounds: int | None = None,
         stage_requests: bool = False,
     ):
         self._requests = requests
@@ -37,7 +36,6 @@ class OrderBatch:
         self.product = product
         self.inventory = inventory
         self.promotions = promotions
-        self.max_rounds = max_rounds
         self.round_stats: list = []
 
     @cached_property
@@ -113,8 +111,7 @@ class OrderBatch:
             candidates, "request_id"
         )
         return allocate.allocate_lines(
-            alloc_in, self.inventory, max_rounds=self.max_rounds,
-            stats=self.round_stats, carry=("price", "customer_id"),
+            alloc_in, self.inventory, stats=self.round_stats, carry=("price", "customer_id"),
         )
 
     @cached_property
@@ -123,6 +120,8 @@ class OrderBatch:
 
     @cached_property
     def with_stock(self) -> DataFrame:
+        """Requests with the stock verdict; written once, as the accepted and
+        the rejected branch and the promotion cap all read it."""
         stock_msg = F.concat(
             F.lit("Insufficient stock for Product ID "), F.col("short_product_id").cast("string"),
             F.lit(". Requested: "), F.col("requested").cast("string"),
@@ -130,17 +129,13 @@ class OrderBatch:
         )
         w = self.pre_saved.join(self.outcomes, "request_id", "left")
         rejected = F.col("failed_rule").isNull() & (F.col("accepted") == F.lit(False))
-        deferred = F.col("failed_rule").isNull() & F.col("accepted").isNull()
-        return w.withColumns(
+        stocked = w.withColumns(
             {
-                "failed_rule": F.when(rejected, F.lit(orders.RULE_STOCK))
-                .when(deferred, F.lit(orders.RULE_STOCK + 1))
-                .otherwise(F.col("failed_rule")),
-                "message": F.when(rejected, stock_msg)
-                .when(deferred, F.lit("Deferred to the next batch"))
-                .otherwise(F.col("message")),
+                "failed_rule": F.when(rejected, F.lit(orders.RULE_STOCK)).otherwise(F.col("failed_rule")),
+                "message": F.when(rejected, stock_msg).otherwise(F.col("message")),
             }
         ).drop("accepted", "short_product_id", "requested", "available")
+        return cut_lineage(stocked, "order-stocked")
 
     @cached_property
     def accepted(self) -> DataFrame:
@@ -191,7 +186,6 @@ def order_batch(
     product: DataFrame,
     inventory: DataFrame,
     promotions: DataFrame,
-    max_rounds: int | None = None,
     stage_requests: bool = False,
 ) -> OrderBatch:
-    return OrderBatch(requests, customer, product, inventory, promotions, max_rounds, stage_requests)
+    return OrderBatch(requests, customer, product, inventory, promotions, stage_requests)

@@ -49,10 +49,9 @@ def _random_cases(n_cases, seed):
 import pytest
 
 
-@pytest.mark.parametrize("hot,tail", [(1_000_000, 0), (0, 0), (1_000_000, 20_000), (0, 300)])
-def test_random_cases_match_serial(spark, hot, tail):
-    """hot=0 forces the two-level running sums; tail>0 lets one task finish
-    a small remainder serially (tail=0: parallel rounds only)."""
+@pytest.mark.parametrize("hot,rounds", [(1_000_000, 1), (1_000_000, 2), (0, 1), (0, 3)])
+def test_random_cases_match_serial(spark, hot, rounds):
+    """hot=0 forces the two-level running sums; several rounds a stage."""
     orders, stock, expect = _random_cases(300, seed=7 + hot % 5)
     lines = spark.createDataFrame(
         [(rid, ts, p, q) for rid, ts, ls in orders for p, q in ls.items()],
@@ -60,7 +59,7 @@ def test_random_cases_match_serial(spark, hot, tail):
     )
     inv = spark.createDataFrame(list(stock.items()), "product_id long, quantity_available int")
     stats = []
-    alloc = allocate_lines(lines, inv, stats=stats, hot_product_lines=hot, serial_tail_lines=tail)
+    alloc = allocate_lines(lines, inv, stats=stats, hot_product_lines=hot, rounds_per_stage=rounds)
     got = {r["request_id"]: r["accepted"] for r in allocation_outcomes(alloc).collect()}
     assert got == expect
     assert stats[-1]["open_lines"] == 0
@@ -97,19 +96,17 @@ def test_sf0001_matches_serial(spark):
     assert 0 < sum(expect.values()) < len(expect)
 
 
-def test_max_rounds_defers_instead_of_guessing(spark):
-    # a chain: order i shares product i with order i+1; each round can only
-    # settle the head of the chain, so one round leaves most orders open
-    orders = [(i, T0 + dt.timedelta(minutes=i), {i: 1, i + 1: 1}) for i in range(1, 9)]
-    stock = {p: 1 for p in range(1, 10)}
-    expect = serial(orders, stock)
+def test_chain_is_decided_to_its_end(spark):
+    # order i shares product i with order i+1: each round settles the head of
+    # the chain only, and the loop goes on until all orders are decided
+    orders = [(i, T0 + dt.timedelta(minutes=i), {i: 1, i + 1: 1}) for i in range(1, 12)]
+    stock = {p: 1 for p in range(1, 13)}
     lines = spark.createDataFrame(
         [(rid, ts, p, q) for rid, ts, ls in orders for p, q in ls.items()],
         "request_id long, request_ts timestamp_ntz, product_id long, quantity int",
     )
     inv = spark.createDataFrame(list(stock.items()), "product_id long, quantity_available int")
-    out = {r["request_id"]: r["accepted"] for r in allocation_outcomes(
-        allocate_lines(lines, inv, max_rounds=1, serial_tail_lines=0)).collect()}
-    decided = {k: v for k, v in out.items() if v is not None}
-    assert decided and len(decided) < len(out)            # some orders deferred
-    assert all(expect[k] == v for k, v in decided.items())  # decided ones are final and exact
+    stats = []
+    out = {r["request_id"]: r["accepted"] for r in allocation_outcomes(allocate_lines(lines, inv, stats=stats)).collect()}
+    assert out == serial(orders, stock)
+    assert len(stats) > 2 and stats[-1]["open_lines"] == 0
