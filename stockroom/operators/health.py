@@ -327,7 +327,7 @@ def recent_errors(system_error_log: DataFrame, n: int = 10) -> DataFrame:
     """The n latest unresolved errors (id breaks ties)."""
     return (
         system_error_log.filter(~F.col("resolved"))
-        .select("error_id", "error_time", "error_code", "severity")
+        .select("error_id", "error_time", "error_code", "error_message", "severity", "stored_procedure")
         .orderBy(F.col("error_time").desc(), F.col("error_id").desc())
         .limit(n)
     )
@@ -337,7 +337,7 @@ def slow_queries(query_performance_log: DataFrame, threshold_ms: int = 1000, n:
     """The n slowest logged queries above the threshold."""
     return (
         query_performance_log.filter(F.col("execution_time_ms") > threshold_ms)
-        .select("query_id", "log_time", "query_type", "execution_time_ms")
+        .select("query_id", "log_time", "query_type", "execution_time_ms", "rows_affected", "query_text")
         .orderBy(F.col("execution_time_ms").desc(), F.col("query_id").asc())
         .limit(n)
     )

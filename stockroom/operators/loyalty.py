@@ -47,14 +47,12 @@ def loyalty_tiers(customer_loyalty: DataFrame, as_of: dt.date) -> DataFrame:
     new_tier = tier_for(F.col("total_spent"))
     eff = F.col("tier_effective_date") if "tier_effective_date" in cl.columns else F.lit(None).cast("date")
     nxt = F.col("next_tier_threshold") if "next_tier_threshold" in cl.columns else F.lit(None).cast("int")
-    return cl.select(
-        "customer_id",
-        "total_spent",
-        "loyalty_points",
-        F.when(changed, new_tier).otherwise(F.col("loyalty_tier")).alias("loyalty_tier"),
-        F.when(changed, F.lit(as_of)).otherwise(eff).alias("tier_effective_date"),
-        F.when(changed, _next_threshold(new_tier)).otherwise(nxt).alias("next_tier_threshold"),
-    )
+    # every other column of the snapshot stays as it is
+    return cl.withColumns({
+        "loyalty_tier": F.when(changed, new_tier).otherwise(F.col("loyalty_tier")),
+        "tier_effective_date": F.when(changed, F.lit(as_of)).otherwise(eff),
+        "next_tier_threshold": F.when(changed, _next_threshold(new_tier)).otherwise(nxt),
+    })
 
 
 def loyalty_tier_changes(customer_loyalty: DataFrame, as_of: dt.date) -> DataFrame:

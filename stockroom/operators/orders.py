@@ -9,10 +9,11 @@ arrival order. Ids derive from request ids, so reruns are idempotent.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockroom.functions.ids import line_id
 from stockroom.functions.joins import broadcast_if_small
 from stockroom.functions.money import dec, floor_tenth, lit_dec
 
@@ -31,7 +32,11 @@ DELIVERY_DAYS_OTHER = 5
 POINTS_VALID_DAYS = 365
 
 # Rule numbers, checked in this order; the first failing one is reported.
-RULE_JSON, RULE_CUSTOMER, RULE_NO_ITEMS, RULE_MISSING, RULE_INACTIVE, RULE_NEGATIVE, RULE_STOCK = range(1, 8)
+RULE_JSON, RULE_CUSTOMER, RULE_NO_ITEMS, RULE_MISSING, RULE_INACTIVE, RULE_NEGATIVE, RULE_STOCK, RULE_RANGE = range(1, 9)
+
+INT_MAX = 2**31 - 1
+# largest subtotal whose total with tax and shipping fits DECIMAL(10,2)
+MAX_SUBTOTAL = "84000000.00"
 
 
 def _items(col: str = "items_json") -> Column:
@@ -42,30 +47,21 @@ def parse_order_requests(requests: DataFrame) -> DataFrame:
     """O1: JSON array -> one line per (request, product), quantities summed.
 
     Fields are read as strings and cast leniently, so ``"2"`` counts as 2;
-    lines with a NULL product or a quantity <= 0 are dropped. A request's
-    items arrive in one row, so duplicates are merged inside the row with
-    higher-order functions before the explode: no shuffle of the lines.
+    lines with a NULL product or a quantity <= 0 are dropped. The JSON is
+    parsed once; duplicates are merged by a grouped sum with map-side partial
+    aggregation. A sum beyond INT becomes NULL and fails the range rule (O2),
+    so that one such request cannot stop the batch.
     """
-    typed = F.transform(
-        _items(),
-        lambda it: F.struct(
-            it["product_id"].try_cast("long").alias("product_id"),
-            it["quantity"].try_cast("int").alias("quantity"),
-        ),
-    )
-    valid = F.filter(typed, lambda x: x["product_id"].isNotNull() & (x["quantity"] > 0))
-    merged = F.transform(
-        F.array_distinct(F.transform(valid, lambda x: x["product_id"])),
-        lambda pid: F.struct(
-            pid.alias("product_id"),
-            F.aggregate(
-                F.filter(valid, lambda x: x["product_id"] == pid), F.lit(0).cast("long"),
-                lambda acc, x: acc + x["quantity"],
-            ).cast("int").alias("quantity"),
-        ),
+    items = requests.select("request_id", F.inline(_items()))
+    typed = items.select(
+        "request_id", F.col("product_id").try_cast("long").alias("product_id"),
+        F.col("quantity").try_cast("long").alias("quantity"),
     )
-    return requests.select("request_id", F.explode(merged).alias("it")).select(
-        "request_id", "it.product_id", "it.quantity"
+    total = F.try_sum("quantity")
+    return (
+        typed.filter(F.col("product_id").isNotNull() & (F.col("quantity") > 0))
+        .groupBy("request_id", "product_id")
+        .agg(F.when(total <= INT_MAX, total).cast("int").alias("quantity"))
     )
 
 
@@ -94,9 +90,16 @@ def request_facts(enriched: DataFrame) -> DataFrame:
         F.min(F.when(~known, F.col("product_id"))).alias("_missing"),
         F.min(F.when(known & ~F.col("is_active"), F.col("product_id"))).alias("_inactive"),
         F.sum(F.when(known, F.col("quantity") * F.col("price"))).alias("_subtotal_raw"),
+        F.bool_or(F.col("quantity").isNull()).alias("_huge"),
     )
 
 
+def _out_of_range() -> Column:
+    """A quantity beyond INT, or a total that may not fit DECIMAL(10,2)."""
+    most = lit_dec(MAX_SUBTOTAL)
+    return F.coalesce(F.col("_huge"), F.lit(False)) | F.coalesce(F.col("_subtotal_raw") > most, F.lit(False))
+
+
 def validated_requests(requests: DataFrame, facts: DataFrame, customer: DataFrame) -> DataFrame:
     """The request rows with their line facts, ``failed_rule`` and ``message``.
 
@@ -119,6 +122,7 @@ def validated_requests(requests: DataFrame, facts: DataFrame, customer: DataFram
         .when(F.coalesce(F.col("_n_items"), F.lit(0)) == 0, RULE_NO_ITEMS)
         .when(F.col("_missing").isNotNull(), RULE_MISSING)
         .when(F.col("_inactive").isNotNull(), RULE_INACTIVE)
+        .when(_out_of_range(), RULE_RANGE)
     )
     message = (
         F.when(~json_ok, F.lit("Invalid or empty order items JSON"))
@@ -136,9 +140,11 @@ def validated_requests(requests: DataFrame, facts: DataFrame, customer: DataFram
             F.col("_inactive").isNotNull(),
             F.concat(F.lit("Product ID "), F.col("_inactive").cast("string"), F.lit(" is inactive")),
         )
+        .when(_out_of_range(), F.lit("Order quantity or amount is out of range"))
     )
-    return j.withColumns({"failed_rule": rule, "message": message}).drop(
-        "_cust", "_cust_ok", "_n_items", "_missing", "_inactive"
+    raw = F.when(_out_of_range(), F.lit(None)).otherwise(F.col("_subtotal_raw"))
+    return j.withColumns({"failed_rule": rule, "message": message, "_subtotal_raw": raw}).drop(
+        "_cust", "_cust_ok", "_n_items", "_missing", "_inactive", "_huge"
     )
 
 
@@ -316,9 +322,8 @@ def post_orders(accepted: DataFrame) -> DataFrame:
 
 
 def line_ids(lines: DataFrame) -> DataFrame:
-    """order_item_id = request_id * 100 + position of the product in the request."""
-    w = Window.partitionBy("request_id").orderBy("product_id")
-    return lines.withColumn("order_item_id", F.col("request_id") * 100 + F.row_number().over(w))
+    """order_item_id: request id and position of the product in the request."""
+    return lines.withColumn("order_item_id", line_id("request_id", "product_id"))
 
 
 def post_order_items(accepted_lines: DataFrame) -> DataFrame:
@@ -438,13 +443,12 @@ def loyalty_balances(customer_loyalty: DataFrame, accrual: DataFrame, accepted:
     earned = F.col("points_earned") if "points_earned" in cl.columns else F.lit(0)
     j = cl.join(pts, "customer_id", "left").join(spend, "customer_id", "left")
     p = F.coalesce(F.col("_pts"), F.lit(0))
-    return j.select(
-        "customer_id",
-        "loyalty_tier",
-        (F.col("loyalty_points") + p).cast("int").alias("loyalty_points"),
-        (earned + p).cast("int").alias("points_earned"),
-        dec(F.col("total_spent") + F.coalesce(F.col("_spend"), F.lit(0)), 12).alias("total_spent"),
-    )
+    # every other column of the snapshot stays as it is
+    return j.withColumns({
+        "loyalty_points": (F.col("loyalty_points") + p).cast("int"),
+        "points_earned": (earned + p).cast("int"),
+        "total_spent": dec(F.col("total_spent") + F.coalesce(F.col("_spend"), F.lit(0)), 12),
+    }).drop("_pts", "_spend")
 
 
 def order_results(decided: DataFrame) -> DataFrame:

@@ -46,7 +46,9 @@ def valid_restocks(restocks: DataFrame, checks: DataFrame) -> DataFrame:
 
 
 def restock_batches(valid: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """R2: lot rows for restocks that carry a batch number."""
+    """R2: lot rows for restocks that carry a batch number, with the expiry
+    date of the request (none if the requests have no such column)."""
+    expires = F.col("expiration_date") if "expiration_date" in valid.columns else F.lit(None).cast("date")
     return valid.filter(F.col("batch_number").isNotNull()).select(
         F.col("restock_id").alias("batch_id"),
         "product_id",
@@ -56,7 +58,7 @@ def restock_batches(valid: DataFrame, as_of: dt.datetime) -> DataFrame:
         F.col("quantity").alias("quantity_remaining"),
         "unit_cost",
         ts_lit(as_of).alias("received_date"),
-        F.lit(None).cast("date").alias("expiration_date"),
+        expires.alias("expiration_date"),
     )
 
 
@@ -65,16 +67,12 @@ def apply_restocks(inventory: DataFrame, valid: DataFrame, as_of: dt.date) -> Da
     received = valid.groupBy("product_id").agg(F.sum("quantity").cast("int").alias("_received"))
     j = inventory.join(received, "product_id", "left")
     on_hand = (F.col("quantity_on_hand") + F.coalesce(F.col("_received"), F.lit(0))).cast("int")
-    return j.select(
-        "product_id",
-        on_hand.alias("quantity_on_hand"),
-        "quantity_reserved",
-        (on_hand - F.col("quantity_reserved")).cast("int").alias("quantity_available"),
-        "reorder_point",
-        "reorder_quantity",
-        F.when(F.col("_received").isNotNull(), F.lit(as_of)).otherwise(F.col("last_restock_date"))
-        .alias("last_restock_date"),
-    )
+    # every other column of the snapshot stays as it is
+    return j.withColumns({
+        "quantity_on_hand": on_hand,
+        "quantity_available": (on_hand - F.col("quantity_reserved")).cast("int"),
+        "last_restock_date": F.when(F.col("_received").isNotNull(), F.lit(as_of)).otherwise(F.col("last_restock_date")),
+    }).drop("_received")
 
 
 def restock_movements(

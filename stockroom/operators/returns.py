@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockroom.functions.money import dec, floor_tenth
 from stockroom.functions.clock import ts_lit
+from stockroom.functions.ids import line_id
 from stockroom.functions.windows import bucket_mode, running_sums
 
 ITEM_FIELDS = T.ArrayType(
@@ -29,40 +30,27 @@ ITEM_FIELDS = T.ArrayType(
 # Fixed value: conditions that may go back on the shelf.
 RESTOCK_CONDITIONS = ("new", "opened")
 EXCLUDED = ("Cancelled", "Returned")
+INT_MAX = 2**31 - 1
 
 
 def parse_return_requests(requests: DataFrame, order_item: DataFrame) -> DataFrame:
     """JSON items -> lines, kept only if the item belongs to the order.
 
     Two lines for the same item are summed first, so together they are
-    compared with the bought quantity.
+    compared with the bought quantity; the lowest condition counts. The JSON
+    is parsed once and the lines are merged by a grouped sum with map-side
+    partial aggregation.
     """
-    typed = F.transform(
-        F.from_json("items_json", ITEM_FIELDS),
-        lambda it: F.struct(
-            it["order_item_id"].try_cast("long").alias("order_item_id"),
-            it["quantity"].try_cast("int").alias("quantity"),
-            it["condition"].alias("conditions"),
-        ),
+    items = requests.select("request_id", "order_id", F.inline(F.from_json("items_json", ITEM_FIELDS)))
+    typed = items.select(
+        "request_id", "order_id", F.col("order_item_id").try_cast("long").alias("order_item_id"),
+        F.col("quantity").try_cast("long").alias("quantity"), F.col("condition").alias("conditions"),
     )
-    valid = F.filter(typed, lambda x: x["order_item_id"].isNotNull() & (x["quantity"] > 0))
-
-    def same(item_id):
-        return F.filter(valid, lambda x: x["order_item_id"] == item_id)
-
-    # a request's items are one row: lines of the same item are merged in
-    # the row (sum of quantities, lowest condition), no shuffle
-    merged = F.transform(
-        F.array_distinct(F.transform(valid, lambda x: x["order_item_id"])),
-        lambda item_id: F.struct(
-            item_id.alias("order_item_id"),
-            F.aggregate(same(item_id), F.lit(0).cast("long"), lambda acc, x: acc + x["quantity"])
-            .cast("int").alias("quantity_returned"),
-            F.array_min(F.transform(same(item_id), lambda x: x["conditions"])).alias("conditions"),
-        ),
-    )
-    summed = requests.select("request_id", "order_id", F.explode(merged).alias("it")).select(
-        "request_id", "order_id", "it.order_item_id", "it.quantity_returned", "it.conditions"
+    valid = typed.filter(F.col("order_item_id").isNotNull() & (F.col("quantity") > 0))
+    # a quantity beyond INT is beyond anything that was bought
+    total = F.least(F.coalesce(F.try_sum("quantity"), F.lit(INT_MAX)), F.lit(INT_MAX)).cast("int")
+    summed = valid.groupBy("request_id", "order_id", "order_item_id").agg(
+        total.alias("quantity_returned"), F.min("conditions").alias("conditions")
     )
     oi = order_item.select(
         "order_item_id", F.col("order_id").alias("_oid"), "product_id",
@@ -73,7 +61,13 @@ def parse_return_requests(requests: DataFrame, order_item: DataFrame) -> DataFra
 
 def validate_returns(requests: DataFrame, lines: DataFrame, orders: DataFrame) -> DataFrame:
     """First failing rule per request: order exists and may be returned;
-    valid JSON; at least one item; no item returned beyond what was bought."""
+    valid JSON; at least one item; no quantity of zero or less; no item
+    returned beyond what was bought.
+
+    NULL items are no items, not bad JSON. An accepted return marks its order
+    Returned, so of several requests for one order that pass these rules the
+    first (lowest id) is accepted and the others meet a returned order.
+    """
     open_orders = orders.filter(~F.col("order_status").isin(*EXCLUDED)).select(
         F.col("order_id").alias("_o"), F.col("customer_id")
     )
@@ -85,19 +79,34 @@ def validate_returns(requests: DataFrame, lines: DataFrame, orders: DataFrame) -
         open_orders, F.col("order_id") == F.col("_o"), "left"
     ).join(per_req, "request_id", "left")
     no_order = F.col("_o").isNull()
-    bad_json = F.col("items_json").isNull() | F.try_parse_json(F.col("items_json")).isNull()
+    bad_json = F.col("items_json").isNotNull() & F.try_parse_json(F.col("items_json")).isNull()
+    not_positive = F.exists(
+        F.coalesce(F.from_json("items_json", ITEM_FIELDS), F.array().cast(ITEM_FIELDS)),
+        lambda it: F.coalesce(it["quantity"].try_cast("long") <= 0, F.lit(False)),
+    )
     no_items = F.coalesce(F.col("_n"), F.lit(0)) == 0
     over = F.col("_over").isNotNull()
-    rule = F.when(no_order, 1).when(bad_json, 2).when(no_items, 3).when(over, 4)
+    rule = F.when(no_order, 1).when(bad_json, 2).when(no_items, 3).when(not_positive, 5).when(over, 4)
+    closed = F.concat(F.lit("Order ID "), F.col("order_id").cast("string"),
+                      F.lit(" does not exist or cannot be returned"))
     message = (
-        F.when(no_order, F.concat(F.lit("Order ID "), F.col("order_id").cast("string"),
-                                  F.lit(" does not exist or cannot be returned")))
+        F.when(no_order, closed)
         .when(bad_json, F.lit("Invalid return items JSON"))
         .when(no_items, F.lit("No valid return items provided"))
+        .when(not_positive, F.lit("Return quantity must be greater than 0"))
         .when(over, F.concat(F.lit("Cannot return more than originally purchased for item "),
                              F.col("_over").cast("string")))
     )
-    return j.select("request_id", "customer_id", rule.alias("failed_rule"), message.alias("message"))
+    alone = j.select("request_id", "order_id", "customer_id", rule.alias("failed_rule"), message.alias("message"))
+    first = alone.filter(F.col("failed_rule").isNull()).groupBy(F.col("order_id").alias("_o")).agg(
+        F.min("request_id").alias("_first")
+    )
+    beaten = F.col("failed_rule").isNull() & (F.col("request_id") > F.col("_first"))
+    return alone.join(first, F.col("order_id") == F.col("_o"), "left").select(
+        "request_id", "customer_id",
+        F.when(beaten, 1).otherwise(F.col("failed_rule")).alias("failed_rule"),
+        F.when(beaten, closed).otherwise(F.col("message")).alias("message"),
+    )
 
 
 def price_returns(lines: DataFrame) -> DataFrame:
@@ -133,9 +142,8 @@ def post_returns(accepted: DataFrame, refund: DataFrame, as_of: dt.datetime) ->
 
 def post_return_items(accepted_lines: DataFrame) -> DataFrame:
     """T4b + T7: return lines with the restocked quantity set directly."""
-    w = Window.partitionBy("request_id").orderBy("order_item_id")
     return accepted_lines.select(
-        (F.col("request_id") * 100 + F.row_number().over(w)).alias("return_item_id"),
+        line_id("request_id", "order_item_id").alias("return_item_id"),
         F.col("request_id").alias("return_id"),
         "product_id",
         "order_item_id",
@@ -175,10 +183,9 @@ def return_restock_movements(
         per, ["product_id"], ["request_id"], {"_earlier": F.col("total_returned")},
         bucket_mode(accepted_lines, ["product_id"]),
     )
-    w = Window.partitionBy("request_id").orderBy("product_id")
     prev = (F.col("quantity_on_hand") + F.col("_earlier")).cast("int")
     return run.select(
-        (F.col("request_id") * 100 + F.row_number().over(w)).alias("log_id"),
+        line_id("request_id", "product_id").alias("log_id"),
         "product_id",
         F.col("total_returned").alias("quantity_change"),
         F.lit("ADJUSTMENT").alias("transaction_type"),
@@ -228,13 +235,11 @@ def clawback_balances(customer_loyalty: DataFrame, clawback: DataFrame) -> DataF
     j = customer_loyalty.join(pts, "customer_id", "left")
     p = F.coalesce(F.col("_pts"), F.lit(0))
     redeemed = F.col("points_redeemed") if "points_redeemed" in customer_loyalty.columns else F.lit(0)
-    return j.select(
-        "customer_id",
-        "loyalty_tier",
-        "total_spent",
-        (F.col("loyalty_points") - p).cast("int").alias("loyalty_points"),
-        (redeemed + p).cast("int").alias("points_redeemed"),
-    )
+    # every other column of the snapshot stays as it is
+    return j.withColumns({
+        "loyalty_points": (F.col("loyalty_points") - p).cast("int"),
+        "points_redeemed": (redeemed + p).cast("int"),
+    }).drop("_pts")
 
 
 def return_results(requests: DataFrame, checks: DataFrame, posted: DataFrame) -> DataFrame:

@@ -4,8 +4,8 @@ Parquet has no transactions across tables, so a batch is made safe by
 construction:
 
 * append-only tables (orders, order items, ledgers, usage, shipping, logs)
-  are written partitioned by ``batch_id`` with dynamic partition overwrite,
-  so a rerun of the same batch replaces exactly its own partition;
+  are written partitioned by ``batch_id``; a rerun of a batch first removes
+  its own partition, also when it now yields no rows;
 * updated tables (inventory, promotions, loyalty balances, orders after
   returns) are written as a *new snapshot* folder per batch, never over the
   folder being read;
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from stockroom.operators import health, orders, returns, rules
 from stockroom.plans.order_batch import OrderBatch
 from stockroom.plans.side_batches import RestockBatch, ReturnBatch
-from stockroom.session import cut_lineage, lineage_scope
+from stockroom.session import cut_lineage, lineage_scope, path_exists
 
 MARKERS = "_batches"
 
@@ -37,15 +37,9 @@ LEDGER_SORT = ("reference_id", "log_id")
 
 
 def _append(df: DataFrame, root: str, table: str, batch_id: str, sort_by: tuple[str, ...] = ()) -> int:
-    out = df.withColumn("batch_id", F.lit(batch_id))
     if sort_by:
-        out = out.sortWithinPartitions(*sort_by)
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(f"{root}/{table}")
-    )
+        df = df.sortWithinPartitions(*sort_by)
+    df.write.mode("overwrite").parquet(f"{root}/{table}/batch_id={batch_id}")
     return 0
 
 
@@ -57,7 +51,8 @@ def _snapshot(df: DataFrame, root: str, table: str, batch_id: str) -> str:
 
 def _mark(spark: SparkSession, root: str, batch_id: str, kind: str, counts: dict) -> None:
     row = [(batch_id, kind, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), str(counts))]
-    spark.createDataFrame(row, "batch_id string, kind string, written_at timestamp_ntz, counts string").write.mode(
+    # ``batch`` keeps the id as text: a partition column of digits is read as a number
+    spark.createDataFrame(row, "batch string, kind string, written_at timestamp_ntz, counts string").write.mode(
         "overwrite"
     ).parquet(f"{root}/{MARKERS}/batch_id={batch_id}")
 
@@ -67,17 +62,16 @@ def completed_batches(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, root: str, table: str) -> DataFrame | None:
-    """The snapshot of ``table`` written by the latest marked batch."""
-    try:
-        done = completed_batches(spark, root)
-    except Exception:  # noqa: BLE001 - no batch yet
+    """The snapshot of ``table`` whose batch marker was written last (batch
+    ids are names: their order says nothing); None before the first one."""
+    if not path_exists(spark, f"{root}/{MARKERS}") or not path_exists(spark, f"{root}/snapshots/{table}"):
         return None
-    snaps = spark.read.parquet(f"{root}/snapshots/{table}")
-    last = snaps.select("batch_id").distinct().join(done.select("batch_id"), "batch_id").agg(F.max("batch_id"))
-    batch = last.first()[0]
-    if batch is None:
-        return None
-    return snaps.filter(F.col("batch_id") == batch).drop("batch_id")
+    done = completed_batches(spark, root).select("batch", "written_at")
+    for row in done.orderBy(F.desc("written_at"), F.desc("batch")).toLocalIterator():
+        path = f"{root}/snapshots/{table}/batch_id={row['batch']}"
+        if path_exists(spark, path):
+            return spark.read.parquet(path)
+    return None
 
 
 def _write_order_batch(

@@ -98,8 +98,8 @@ def _h2b(f: Fixtures):
 
 def _integrity_parts(f: Fixtures):
     return [
-        health.orphaned_order_items(f.order_item, f.orders_broken),
-        health.orphaned_inventory(f.inventory, f.product_broken),
+        health.orphaned_order_items(f.order_item_broken, f.orders),
+        health.orphaned_inventory(f.inventory_broken, f.product),
         health.negative_inventory(f.inventory_minus5),
         health.inactive_products_with_stock(f.product, f.inventory),
         health.invalid_customer_emails(f.customer),
@@ -109,12 +109,12 @@ def _integrity_parts(f: Fixtures):
 
 @query("orphaned_order_items")
 def _h3(f: Fixtures):
-    return health.orphaned_order_items(f.order_item, f.orders_broken)
+    return health.orphaned_order_items(f.order_item_broken, f.orders)
 
 
 @query("orphaned_inventory")
 def _h4(f: Fixtures):
-    return health.orphaned_inventory(f.inventory, f.product_broken)
+    return health.orphaned_inventory(f.inventory_broken, f.product)
 
 
 @query("negative_inventory")
@@ -209,7 +209,7 @@ def _c1b(f: Fixtures):
 @query("foreign_key_violations")
 def _c2(f: Fixtures):
     return quality.foreign_key_violations(
-        f.order_item, f.orders_broken, {"order_id": "order_id"},
+        f.order_item_broken, f.orders, {"order_id": "order_id"},
         keep=["order_item_id", "order_id", "product_id"],
     )
 
@@ -250,9 +250,13 @@ def _c5(f: Fixtures):
 
 
 def _upsert_inputs(f: Fixtures):
-    target = f.customer.filter(F.col("customer_id") % 2 == 0)
-    source = f.customer.filter(F.col("customer_id") % 3 == 0).withColumn("full_name", F.upper("full_name"))
-    return target, source
+    """All customers twice: a third of the incoming rows have new ids."""
+    key = F.col("customer_id")
+    source = f.customer.withColumns({
+        "full_name": F.upper("full_name"),
+        "customer_id": F.when(key % 3 == 0, key + 1_000_000_000).otherwise(key),
+    })
+    return f.customer, source
 
 
 @query("upsert")
@@ -269,11 +273,11 @@ def _c6b(f: Fixtures):
 
 @query("delete_cascade_restrict")
 def _c7(f: Fixtures):
-    requests = f.customer.filter(F.col("customer_id") % 7 == 0).select("customer_id")
+    requests = f.customer.select("customer_id")
     return quality.delete_cascade_restrict(
         requests,
         "customer_id",
-        restrict={"orders": (f.orders.filter(F.col("order_id") % 6 == 0), "customer_id")},
+        restrict={"orders": (f.orders, "customer_id")},
         cascade={"customer_loyalty": (f.customer_loyalty, "customer_id")},
     )
 

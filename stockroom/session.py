@@ -135,6 +135,13 @@ def lineage_scope(spark: SparkSession) -> Iterator[list[str]]:
         drop_tables(spark, paths)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists in the store that the path names."""
+    sc = spark.sparkContext
+    hp = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hp)
+
+
 def drop_tables(spark: SparkSession, paths: list[str]) -> None:
     """Delete folders through the Hadoop file system of each path (works for
     any shared store the cluster mounts)."""

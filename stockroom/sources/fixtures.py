@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockroom.functions.ids import LINES_PER_ID
 from stockroom.sources.tables import read_table
 
 # Fixed report dates: every operator takes ``as_of`` instead of a clock.
@@ -23,6 +24,7 @@ REPORT_DATE = dt.date(2001, 8, 1)
 LOG_DATE = dt.date(2024, 1, 30)
 OPERATOR = "batch@stockroom"
 AMPLE_STOCK = 100000
+SECOND_RETURN = 1_000_000_000_000
 
 
 def money(c: Column | str, precision: int = 10) -> Column:
@@ -186,7 +188,7 @@ class Fixtures:
             "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
         )
         return li.select(
-            (F.col("l_orderkey") * 100 + F.row_number().over(w)).alias("order_item_id"),
+            (F.col("l_orderkey") * LINES_PER_ID + F.row_number().over(w)).alias("order_item_id"),
             F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
@@ -257,7 +259,7 @@ class Fixtures:
 
     @cached_property
     def restocks(self) -> DataFrame:
-        oi = self.order_item.filter(F.col("order_id") % 10 == 3)
+        oi = self.order_item
         rid = F.col("order_item_id")
         return oi.select(
             rid.alias("restock_id"),
@@ -274,9 +276,12 @@ class Fixtures:
 
     @cached_property
     def return_request_items(self) -> DataFrame:
-        i = self.order_item.filter(F.col("order_id") % 6 == 1)
+        i = self.order_item.withColumn("request_id", F.col("order_id"))
+        # a second request for every fifth order: only one of the two can pass
+        again = i.filter(F.col("order_id") % 5 == 0).withColumn("request_id", F.col("order_id") + SECOND_RETURN)
+        i = i.unionByName(again)
         return i.select(
-            F.col("order_id").alias("request_id"),
+            "request_id",
             F.col("order_id"),
             F.col("order_item_id"),
             F.when(F.col("order_id") % 31 == 0, F.col("quantity") + 1)
@@ -309,7 +314,7 @@ class Fixtures:
 
     @cached_property
     def purchase_orders(self) -> DataFrame:
-        o = self.table("orders").filter(F.col("o_orderkey") % 40 < 10)
+        o = self.table("orders")
         k = F.col("o_orderkey")
         return o.select(
             k.alias("po_id"),
@@ -318,7 +323,7 @@ class Fixtures:
 
     @cached_property
     def purchase_order_items(self) -> DataFrame:
-        li = self.table("lineitem").filter(F.col("l_orderkey") % 40 < 10)
+        li = self.table("lineitem")
         q = F.col("l_quantity").cast("int")
         return li.select(
             F.col("l_orderkey").alias("po_id"),
@@ -355,6 +360,8 @@ class Fixtures:
             F.when(k % 4 == 0, "LOW").when(k % 4 == 1, "MEDIUM").when(k % 4 == 2, "HIGH")
             .otherwise("CRITICAL").alias("severity"),
             (k % 3 == 0).alias("resolved"),
+            F.concat(F.lit("Event "), k.cast("string"), F.lit(" failed")).alias("error_message"),
+            F.concat(F.lit("Job"), (k % 5).cast("string")).alias("stored_procedure"),
         )
 
     @cached_property
@@ -365,6 +372,8 @@ class Fixtures:
             F.col("ts").alias("log_time"),
             F.col("event_type").alias("query_type"),
             F.floor(F.col("value") * 10).cast("int").alias("execution_time_ms"),
+            (F.col("event_id") % 1000).alias("rows_affected"),
+            F.concat(F.lit("query "), F.col("event_id").cast("string")).alias("query_text"),
         )
 
     @cached_property
@@ -385,13 +394,16 @@ class Fixtures:
 
     # ---- deliberately broken variants to exercise the checks ---------------
     @cached_property
-    def orders_broken(self) -> DataFrame:
-        """Parents with gaps: lines of these orders become orphans."""
-        return self.orders.filter(F.col("order_id") % 97 != 0)
+    def order_item_broken(self) -> DataFrame:
+        """All lines; those of every 97th order name an order that is not there."""
+        key = F.col("order_id")
+        return self.order_item.withColumn("order_id", F.when(key % 97 == 0, -key).otherwise(key))
 
     @cached_property
-    def product_broken(self) -> DataFrame:
-        return self.product.filter(F.col("product_id") % 89 != 0)
+    def inventory_broken(self) -> DataFrame:
+        """All stock rows; every 89th names a product that is not there."""
+        key = F.col("product_id")
+        return self.inventory.withColumn("product_id", F.when(key % 89 == 0, -key).otherwise(key))
 
     @cached_property
     def inventory_minus5(self) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The reference's seed rows as DataFrames (golden cases of FIXTURES.md)."""
+"""Small made-up shop: rows for the golden cases."""
 
 import datetime as dt
 from decimal import Decimal as D
@@ -10,15 +10,15 @@ NOW = dt.datetime(2025, 1, 15, 10, 0, 0)
 
 def product(spark):
     rows = [
-        (1, "Smartphone X", 1, "ELEC-PH-001", D("500.00"), True),
-        (2, "Laptop Pro 15", 1, "ELEC-LP-001", D("1200.00"), True),
-        (3, "Wireless Headphones", 1, "ELEC-AU-001", D("150.00"), True),
-        (4, 'Monitor 27"', 1, "ELEC-MN-001", D("300.00"), True),
-        (5, "T-Shirt Classic", 2, "APP-TS-001", D("20.00"), True),
-        (6, "Jeans Regular", 2, "APP-JN-001", D("40.00"), True),
-        (7, "Running Shoes", 2, "APP-SH-001", D("85.00"), True),
-        (8, "Python Programming", 3, "BK-CS-001", D("45.00"), True),
-        (9, "Data Science Guide", 3, "BK-CS-002", D("55.00"), True),
+        (1, "Copper Kettle", 1, "KIT-01", D("320.00"), True),
+        (2, "Cast Iron Stove", 1, "KIT-02", D("1450.00"), True),
+        (3, "Oven Stone", 1, "KIT-03", D("110.00"), True),
+        (4, "Enamel Pot", 1, "KIT-04", D("64.00"), True),
+        (5, "Linen Apron", 2, "TEX-01", D("35.00"), True),
+        (6, "Wool Blanket", 2, "TEX-02", D("95.00"), True),
+        (7, "Felt Slippers", 2, "TEX-03", D("52.00"), True),
+        (8, "Herb Almanac", 3, "PRT-01", D("27.00"), True),
+        (9, "Atlas of Rivers", 3, "PRT-02", D("72.00"), True),
     ]
     return spark.createDataFrame(
         rows, "product_id long, product_name string, category_id int, sku string, price decimal(10,2), is_active boolean"
@@ -26,8 +26,8 @@ def product(spark):
 
 
 def inventory(spark):
-    rows = [(1, 50, 10, 20), (2, 20, 5, 10), (3, 100, 20, 50), (4, 30, 8, 15), (5, 200, 30, 100),
-            (6, 80, 20, 40), (7, 60, 15, 30), (8, 40, 10, 20), (9, 35, 10, 20)]
+    rows = [(1, 44, 12, 24), (2, 14, 4, 9), (3, 90, 18, 40), (4, 26, 7, 16), (5, 170, 25, 90),
+            (6, 70, 22, 45), (7, 55, 14, 33), (8, 48, 9, 21), (9, 31, 11, 19)]
     return spark.createDataFrame(
         [(p, q, 0, q, rp, rq, None) for p, q, rp, rq in rows],
         "product_id long, quantity_on_hand int, quantity_reserved int, quantity_available int, "
@@ -36,8 +36,8 @@ def inventory(spark):
 
 
 def customer(spark):
-    rows = [(1, "John Doe", "john@example.com", True), (2, "Jane Smith", "jane@example.com", True),
-            (3, "Alice Brown", "alice@example.com", True)]
+    rows = [(1, "Mara Lind", "mara@post.example", True), (2, "Otis Vega", "otis@post.example", True),
+            (3, "Ines Kord", "ines@post.example", True)]
     return spark.createDataFrame(rows, "customer_id long, full_name string, email string, is_active boolean")
 
 
@@ -49,16 +49,16 @@ def customer_loyalty(spark):
 
 
 def suppliers(spark):
-    rows = [(1, "Tech Global Inc", True), (2, "Fashion Wholesalers", True), (3, "Book Publishers Ltd", True)]
+    rows = [(1, "North Forge", True), (2, "Loom and Thread", True), (3, "River Press", True)]
     return spark.createDataFrame(rows, "supplier_id long, supplier_name string, is_active boolean")
 
 
 def promotions(spark):
     frm, to6, to12 = NOW - dt.timedelta(days=1), NOW + dt.timedelta(days=180), NOW + dt.timedelta(days=365)
     rows = [
-        (1, "WELCOME10", "Percentage", D("10.00"), D("0.00"), None, frm, to12, None, 0, True),
-        (2, "FREESHIP", "Free Shipping", D("0.00"), D("100.00"), None, frm, to12, None, 0, True),
-        (3, "SAVE50", "Fixed Amount", D("50.00"), D("500.00"), None, frm, to6, None, 0, True),
+        (1, "SPRING10", "Percentage", D("10.00"), D("0.00"), None, frm, to12, None, 0, True),
+        (2, "NOFREIGHT", "Free Shipping", D("0.00"), D("100.00"), None, frm, to12, None, 0, True),
+        (3, "MINUS50", "Fixed Amount", D("50.00"), D("500.00"), None, frm, to6, None, 0, True),
     ]
     schema = T.StructType(
         [

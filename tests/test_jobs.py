@@ -8,13 +8,13 @@ import seeds
 from stockroom.plans import jobs
 from stockroom.plans.order_batch import order_batch
 
-ITEMS = '[{"product_id": 1, "quantity": 1}, {"product_id": 5, "quantity": 2}]'
+ITEMS = '[{"product_id": 1, "quantity": 2}, {"product_id": 5, "quantity": 3}]'
 
 
 def test_order_batch_job_idempotent(spark):
     root = tempfile.mkdtemp(prefix="stockroom-jobs-", dir="/tmp")
     reqs = seeds.requests(spark, [
-        (1, 0, 1, ITEMS, "STANDARD", "WELCOME10"),
+        (1, 0, 1, ITEMS, "STANDARD", "SPRING10"),
         (2, 1, 1, '[{"product_id": 1, "quantity": 1000}]', "STANDARD", None),
     ])
 
@@ -29,9 +29,9 @@ def test_order_batch_job_idempotent(spark):
     assert spark.read.parquet(f"{root}/order_item").count() == 2
     assert spark.read.parquet(f"{root}/system_error_log").count() == 1
     inv = jobs.latest_snapshot(spark, root, "inventory")
-    assert inv.filter("product_id = 1").first()["quantity_reserved"] == 1
+    assert inv.filter("product_id = 1").first()["quantity_reserved"] == 2
     promos = jobs.latest_snapshot(spark, root, "promotions")
-    assert promos.filter(F.col("promotion_code") == "WELCOME10").first()["times_used"] == 1
+    assert promos.filter(F.col("promotion_code") == "SPRING10").first()["times_used"] == 1
     assert jobs.completed_batches(spark, root).count() == 1
 
 
@@ -43,14 +43,14 @@ def test_restock_and_return_jobs(spark):
 
     root = tempfile.mkdtemp(prefix="stockroom-jobs-", dir="/tmp")
     rs = spark.createDataFrame(
-        [(1, 1, 100, "BATCH123", 1, D("10.00")), (2, 2, -5, None, None, D("3.00"))],
+        [(1, 1, 100, "LOT-7", 1, D("10.00")), (2, 2, -5, None, None, D("3.00"))],
         "restock_id long, product_id long, quantity int, batch_number string, supplier_id long, unit_cost decimal(10,2)",
     )
     alerts = spark.createDataFrame([(1, "INFO", 9, 10, False)],
                                    "product_id long, alert_level string, current_quantity int, reorder_point int, resolved boolean")
     rb = RestockBatch(rs, seeds.product(spark), seeds.suppliers(spark), seeds.inventory(spark), seeds.NOW, "tester")
     assert jobs.write_restock_batch(rb, alerts, root, "r0001") == {"valid": 1}
-    assert jobs.latest_snapshot(spark, root, "inventory").filter("product_id = 1").first()["quantity_on_hand"] == 150
+    assert jobs.latest_snapshot(spark, root, "inventory").filter("product_id = 1").first()["quantity_on_hand"] == 144
     resolved = jobs.latest_snapshot(spark, root, "low_stock_alerts").filter("product_id = 1").first()
     assert resolved["resolved"] and resolved["resolution_notes"] == "Resolved by restock of 100 units"
 
@@ -58,7 +58,7 @@ def test_restock_and_return_jobs(spark):
         [(10, 1, dt.datetime(2025, 1, 1), D("100.00"), "Delivered")],
         "order_id long, customer_id long, order_date timestamp_ntz, total_amount decimal(10,2), order_status string",
     )
-    items = spark.createDataFrame([(1001, 10, 5, 2, D("20.00"))],
+    items = spark.createDataFrame([(1001, 10, 5, 2, D("35.00"))],
                                   "order_item_id long, order_id long, product_id long, quantity int, unit_price decimal(10,2)")
     req = spark.createDataFrame(
         [(10, 10, '[{"order_item_id": 1001, "quantity": 2, "condition": "New"}]', "size", "card")],
@@ -68,8 +68,8 @@ def test_restock_and_return_jobs(spark):
     assert jobs.write_return_batch(tb, seeds.inventory(spark), seeds.customer_loyalty(spark), root, "t0001", "tester") == {"accepted": 1}
     assert jobs.latest_snapshot(spark, root, "orders").first()["order_status"] == "Returned"
     ret = spark.read.parquet(f"{root}/returns").first()
-    assert ret["refund_amount"] == D("40.00") and ret["return_number"].startswith("RET-20250115-")
-    assert spark.read.parquet(f"{root}/loyalty_transactions").first()["points_change"] == -4
+    assert ret["refund_amount"] == D("70.00") and ret["return_number"].startswith("RET-20250115-")
+    assert spark.read.parquet(f"{root}/loyalty_transactions").first()["points_change"] == -7
 
 
 def test_job_drops_its_lineage_tables(spark):

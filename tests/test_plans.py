@@ -83,7 +83,7 @@ def test_fused_pricing_equals_standalone_operators(spark):
 
 def test_ledger_files_sorted_by_reference(spark):
     root = tempfile.mkdtemp(prefix="stockroom-ledger-", dir="/tmp")
-    items = '[{"product_id": 1, "quantity": 1}, {"product_id": 5, "quantity": 2}]'
+    items = '[{"product_id": 1, "quantity": 2}, {"product_id": 5, "quantity": 3}]'
     reqs = seeds.requests(spark, [(rid, 0, 1, items, "STANDARD", None) for rid in (9, 3, 7, 1, 5)])
     b = order_batch(reqs, seeds.customer(spark), seeds.product(spark), seeds.inventory(spark), seeds.promotions(spark))
     jobs.write_order_batch(b, seeds.promotions(spark), seeds.customer_loyalty(spark), root, "b0001")
@@ -97,12 +97,15 @@ def test_ledger_files_sorted_by_reference(spark):
     assert total == spark.read.parquet(f"{root}/inventory_log").count() > 0
 
 
-def test_order_lines_parse_without_shuffle(spark):
-    """Duplicates are merged inside each request row: parsing a request
-    table read from files plans no exchange."""
+def test_order_lines_parse_once_and_aggregate_before_the_shuffle(spark):
+    """A request's JSON is parsed once, whatever its number of items, and
+    duplicate lines are summed in the map tasks before the one exchange."""
     root = tempfile.mkdtemp(prefix="stockroom-reqs-", dir="/tmp")
     items = '[{"product_id": 1, "quantity": 1}, {"product_id": 1, "quantity": "2"}, {"product_id": 5, "quantity": 0}]'
     seeds.requests(spark, [(1, 0, 1, items, "STANDARD", None)]).write.parquet(root + "/r")
     lines = orders.parse_order_requests(spark.read.parquet(root + "/r"))
-    assert "Exchange" not in _plan(lines)
-    assert [tuple(r) for r in lines.collect()] == [(1, 1, 3)]
+    plan = _plan(lines)
+    physical = plan[plan.index("== Physical Plan =="):] if "== Physical Plan ==" in plan else plan
+    assert physical.count("from_json(") == 1
+    assert physical.index("Exchange hashpartitioning") < physical.index("partial_try_sum")
+    assert [(r["product_id"], r["quantity"]) for r in lines.collect()] == [(1, 3)]
