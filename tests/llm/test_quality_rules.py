@@ -46,7 +46,7 @@ def test_repeated_windows_overlap(spark):
 
 
 def test_frequent_lines(spark):
-    own = [" ".join(f"w{i}x{k}" for k in range(25)) for i in range(12)]
+    own = [" ".join(f"w{chr(97 + i)}{chr(97 + k)}" for k in range(25)) for i in range(12)]
     footer = "Subscribe to our  newsletter 2024 today and never miss a single post again"
     data = [(i, f"{own[i]}\n{footer.upper() if i % 2 else footer}", "h") for i in range(10)]
     data += [(10, f"{footer}\n" * 30 + own[10], "h"), (11, f"{own[11]}\n{footer}", "other")]
