@@ -556,7 +556,7 @@ def _x1(f: Fixtures):
     moves = f.stock_movements
     path = scratch_path(spark, "feeds/movements-" + _uuid())
     feeds.write_sliced_feed(moves, path, "ts", 5 * DAY, marker={"event_id": -1, "product_id": -1, "quantity_change": 0})
-    return jobs.run_low_stock_alerts(spark, path, moves.schema, f.inventory, f.product, watermark="11 days")
+    return jobs.run_low_stock_alerts(spark, path, moves.schema, f.inventory, f.product, watermark="11 days", files_per_trigger=1)
 
 
 @query("stream_customer_audit")
@@ -569,7 +569,7 @@ def _x2(f: Fixtures):
     versions = before.unionByName(after)
     path = scratch_path(spark, "feeds/customers-" + _uuid())
     feeds.write_sliced_feed(versions, path, "version_ts", DAY, marker={"customer_id": -1})
-    return jobs.run_customer_audit(spark, path, versions.schema, OPERATOR, watermark="2 days")
+    return jobs.run_customer_audit(spark, path, versions.schema, OPERATOR, watermark="2 days", files_per_trigger=1)
 
 
 @query("stream_lifetime_value")
@@ -582,7 +582,7 @@ def _x3(f: Fixtures):
         f.orders, path, "order_date", 365 * DAY, marker={"order_id": -1, "customer_id": -1},
         duplicate_every=[("order_id", 13)],
     )
-    return jobs.run_lifetime_value(spark, path, f.orders.schema, watermark="730 days")
+    return jobs.run_lifetime_value(spark, path, f.orders.schema, watermark="730 days", files_per_trigger=1)
 
 
 def _uuid() -> str:

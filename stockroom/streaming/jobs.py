@@ -23,6 +23,9 @@ from stockroom.session import scratch_path
 from stockroom.streaming.feeds import END_OF_INPUT
 from stockroom.streaming.ordered_state import LATE_COLUMN, ordered_fold
 
+# Files of the feed that a micro-batch reads; the registered queries pass 1 to
+# deliver their slices one by one.
+FILES_PER_TRIGGER = 1000
 TRACKED = ("full_name", "email", "phone", "shipping_address")
 
 
@@ -112,6 +115,7 @@ def low_stock_alert_stream(
     inventory: DataFrame,
     product: DataFrame,
     watermark: str,
+    files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
     """Movements stream -> banded low-stock alerts in event-time order.
 
@@ -120,7 +124,7 @@ def low_stock_alert_stream(
     until the watermark passes them.
     """
     stream = (
-        spark.readStream.schema(movement_schema).option("maxFilesPerTrigger", 1).parquet(feed_path)
+        spark.readStream.schema(movement_schema).option("maxFilesPerTrigger", files_per_trigger).parquet(feed_path)
         .withColumn("ts", F.col("ts").cast("timestamp"))
         .withWatermark("ts", watermark)
     )
@@ -135,7 +139,7 @@ def low_stock_alert_stream(
 def run_low_stock_alerts(
     spark: SparkSession, feed_path: str, movement_schema: T.StructType, inventory: DataFrame,
     product: DataFrame, watermark: str = "7 days", late_path: str | None = None,
-    report: dict | None = None,
+    report: dict | None = None, files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
     """Run X1 to the end of the feed.
 
@@ -145,7 +149,7 @@ def run_low_stock_alerts(
     goes to ``late_path`` (JSON) instead of being folded out of order.
     """
     folder = _folder(spark, "low-stock-alerts")
-    alerts = low_stock_alert_stream(spark, feed_path, movement_schema, inventory, product, watermark)
+    alerts = low_stock_alert_stream(spark, feed_path, movement_schema, inventory, product, watermark, files_per_trigger)
     q = (
         alerts.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", folder + "/_checkpoint").start(folder + "/out")
@@ -214,7 +218,7 @@ def _audit_fold_factory(compare: list[str], user: str, ip: str, agent: str):
 def run_customer_audit(
     spark: SparkSession, feed_path: str, version_schema: T.StructType, user: str,
     ip: str = "", agent: str = "", watermark: str = "2 days", late_path: str | None = None,
-    report: dict | None = None,
+    report: dict | None = None, files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
     """Customer row versions -> one audit row per changed version.
 
@@ -224,7 +228,7 @@ def run_customer_audit(
     folder = _folder(spark, "customer-audit")
     compare = [f.name for f in version_schema.fields if f.name not in ("customer_id", "version_ts")]
     stream = (
-        spark.readStream.schema(version_schema).option("maxFilesPerTrigger", 1).parquet(feed_path)
+        spark.readStream.schema(version_schema).option("maxFilesPerTrigger", files_per_trigger).parquet(feed_path)
         .withColumn("version_ts", F.col("version_ts").cast("timestamp"))
         .withWatermark("version_ts", watermark)
         # drop the end-of-input marker; a predicate on the event-time column
@@ -288,7 +292,7 @@ class ChangelogTable:
 
 def run_lifetime_value(
     spark: SparkSession, feed_path: str, order_schema: T.StructType, excluded=("Cancelled", "Returned"),
-    watermark: str = "730 days",
+    watermark: str = "730 days", files_per_trigger: int = FILES_PER_TRIGGER, report: dict | None = None,
 ) -> DataFrame:
     """Order stream -> customer lifetime value, kept current.
 
@@ -298,7 +302,7 @@ def run_lifetime_value(
     """
     folder = _folder(spark, "lifetime-value")
     orders = (
-        spark.readStream.schema(order_schema).option("maxFilesPerTrigger", 1).parquet(feed_path)
+        spark.readStream.schema(order_schema).option("maxFilesPerTrigger", files_per_trigger).parquet(feed_path)
         .withColumn("order_date", F.col("order_date").cast("timestamp"))
         .withWatermark("order_date", watermark)
         .dropDuplicatesWithinWatermark(["order_id"])
@@ -313,7 +317,7 @@ def run_lifetime_value(
         agg.writeStream.outputMode("update").foreachBatch(table.upsert)
         .option("checkpointLocation", folder + "/_checkpoint").start()
     )
-    _run_to_end(q)
+    _run_to_end(q, report)
     snap = table.read()
     if snap is None:
         schema = "customer_id long, total_lifetime_value decimal(12,2), last_purchase_date timestamp_ntz"

@@ -30,7 +30,8 @@ def test_late_slice_is_counted_and_rest_equals_batch(spark):
                             marker={"event_id": -1, "product_id": -1, "quantity_change": 0})
     report = {}
     alerts = jobs.run_low_stock_alerts(spark, d + "/feed", moves.schema, f.inventory, f.product,
-                                       watermark="1 day", late_path=d + "/late", report=report)
+                                       watermark="1 day", late_path=d + "/late", report=report,
+                                       files_per_trigger=1)
     epoch = F.unix_timestamp(F.col("ts").cast("timestamp"))
     lo = moves.agg(F.min(epoch)).first()[0]
     slice0 = moves.filter(((epoch - F.lit(lo)) / (5 * DAY)).cast("int") == 0)
