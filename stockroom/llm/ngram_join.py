@@ -9,17 +9,20 @@ sketch over all documents) and break ties by a different hash each.
 1. One pass reads the texts: set size and set hash of every document, and
    a count sketch of all shingles (``2 ** SKETCH_BITS`` counters, whatever
    the input). Documents with equal sets become one node.
-2. A second pass emits the prefix tokens of the first order. Tokens held by
-   one node only make no candidates.
-3. Star rounds: in each posting list (one token, sets of like size) every
-   member is paired with one pivot, not with every other member. A pair
-   must share prefix tokens under all other orders before its sets are
-   compared. Members of a large group of near copies meet in the component
-   of their pivot.
+2. A second pass emits the prefix tokens of the first order. Only tokens
+   held by two nodes or more are written, as posting lists.
+3. Star rounds: in each posting list every member is paired with a few
+   others, not with all: first with a pivot of like size, then with its
+   neighbours in an order by a min-hash of the sets. The members of a large
+   group of near copies meet in a few components.
 4. What is left is exact: within each posting list all pairs of members of
    different components, less the pairs already compared. Pairs within a
    component need no comparison: they change no component.
 
+A pair is compared only if it passes the prefix test under every order. The
+test counts: sets that overlap enough share ``k`` tokens of the prefixes,
+where k grows with the least overlap that the two sizes ask for.
+
 No link between components is lost, and a posting list of copies costs its
 length, not its square.
 
@@ -37,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockroom.llm.bytehash import ByteHasher, mixed, windows
@@ -47,10 +50,11 @@ from stockroom.session import cut_lineage
 
 SHINGLE = 5
 PERCENT = 75  # link when 100 * intersection >= PERCENT * union
-SKETCH_BITS = 20
-SLICE = 1 << 14
+SKETCH_BITS = 22
+SLICE = 1 << 17
+CHOICE_BUCKETS = 1 << 21  # of text hashes: the most rows a choice of texts broadcasts
 ORDERS = 3
-STAR_ROUNDS = 3
+ROUNDS = (0, 8, 40)  # 0: a pivot; else that many neighbours
 CLASS_SHIFT = np.uint64(58)
 
 
@@ -92,7 +96,7 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
     """Rows (id, body, n, node) of the documents (body: the text's hash) and (slice, counts) of the sketch."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher, counts = ByteHasher(), np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        hasher, counts = ByteHasher(), np.zeros(1 << SKETCH_BITS, dtype=np.int32)
         for batch in batches:
             sizes, keys = [], []
             for text in batch["text"]:
@@ -101,8 +105,9 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
                 sizes.append(len(tokens))
                 keys.append(set_key(tokens) if len(tokens) else 0)
             yield pd.DataFrame({"id": batch["id"].astype("Int64"), "body": batch["body"], "n": sizes, "node": keys, "slice": -1, "counts": None})
-        rows = as_rows(counts, SLICE)
-        yield rows.assign(id=pd.array([None] * len(rows), dtype="Int64"), body=0, n=0, node=0)
+        for k, part in enumerate(counts.reshape(-1, SLICE)):
+            rows = as_rows(part.astype(np.int64), SLICE, first=k)
+            yield rows.assign(id=pd.array([None] * len(rows), dtype="Int64"), body=0, n=0, node=0)
 
     return docs.mapInPandas(run, "id long, body long, n int, node long, slice int, counts binary")
 
@@ -117,7 +122,7 @@ def _sketch_classes(rows: DataFrame) -> np.ndarray:
 
 
 def _postings(docs: DataFrame, classes: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(token, node, n) for the first order's prefix of every document."""
+    """(token, node, n): the first order's prefix tokens that two nodes or more hold."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,25 +146,37 @@ def _postings(docs: DataFrame, classes: np.ndarray, size: int, percent: int) ->
                     names=["token", "node", "n"],
                 )
 
-    return docs.select("text").mapInArrow(run, "token long, node long, n int")
+    postings = docs.select("text").mapInArrow(run, "token long, node long, n int")
+    # one shuffle: a token's rows are counted where they meet and singles go
+    whole, by_node = Window.partitionBy("token"), Window.partitionBy("token").orderBy("node")
+    marked = postings.withColumns({"before": F.lag("node").over(by_node), "lo": F.min("node").over(whole), "hi": F.max("node").over(whole)})
+    shared_tokens = marked.filter((F.col("lo") != F.col("hi")) & ~F.col("before").eqNullSafe(F.col("node")))
+    return shared_tokens.select("token", "node", "n")
 
 
 def _sets(docs: DataFrame, classes: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(node, tokens, p1, p2, ...): the set and its prefixes under the other orders."""
+    """(id, body, node, tokens, p1, p2, ...): the set and its prefixes under the other
+    orders. Prefixes are cut to 32 bits: two tokens that fall together can
+    only let a pair pass."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
     others = range(1, ORDERS)
 
+    def short(tokens: np.ndarray) -> np.ndarray:
+        return (tokens >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = ByteHasher()
         for batch in batches:
             for at in range(0, len(batch), 256):
-                rows = []
-                for text in batch["text"].iloc[at : at + 256]:
+                rows, part = [], batch.iloc[at : at + 256]
+                for text in part["text"]:
                     tokens = shingle_set(text_bytes(text), hasher, size)
-                    rows.append((set_key(tokens), tokens.view(np.int64), *(prefix(tokens, shared.value, k, percent).view(np.int64) for k in others)))
-                yield pd.DataFrame(rows, columns=["node", "tokens", *(f"p{k}" for k in others)])
+                    rows.append((set_key(tokens), tokens.view(np.int64), *(short(prefix(tokens, shared.value, k, percent)) for k in others)))
+                found = pd.DataFrame(rows, columns=["node", "tokens", *(f"p{k}" for k in others)], index=part.index)
+                yield pd.concat([part["id"].astype("Int64"), part["body"], found], axis=1)
 
-    return docs.select("text").mapInPandas(run, "node long, tokens array<long>, " + ", ".join(f"p{k} array<long>" for k in others))
+    schema = "id long, body long, node long, tokens array<long>, " + ", ".join(f"p{k} array<int>" for k in others)
+    return docs.select("id", "body", "text").mapInPandas(run, schema)
 
 
 def _like_sizes(a: str, b: str, percent: int) -> Column:
@@ -167,22 +184,88 @@ def _like_sizes(a: str, b: str, percent: int) -> Column:
     return small * 100 >= large * percent
 
 
-def _compare(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) -> (a, b, common, total) of those that pass the
-    prefix tests under the other orders."""
-    names = [f"p{k}" for k in range(1, ORDERS)]
-    left = sets.select(F.col("node").alias("a"), F.struct(*names).alias("pa"))
-    right = sets.select(F.col("node").alias("b"), F.struct(*names).alias("pb"))
-    passed = pairs.join(left, "a").join(right, "b")
-    for name in names:
-        passed = passed.filter(F.arrays_overlap(F.col("pa")[name], F.col("pb")[name]))
-    passed = cut_lineage(passed.select("a", "b"), "prefix-passed")
-    left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-    both = passed.join(right, "b").join(left, "a")
-    counted = both.select("a", "b", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common"),
-                          (F.size("ta") + F.size("tb")).cast("long").alias("sizes"))
-    return counted.select("a", "b", "common", (F.col("sizes") - F.col("common")).alias("total"))
+def _least_shared(n: Column, m: Column, percent: int) -> Column:
+    """Prefix tokens that sets of sizes n and m share under any order if they
+    overlap enough to be linked."""
+    overlap = F.ceil(F.lit(percent) * (n + m) / F.lit(100 + percent))
+    return 1 + overlap - F.ceil(F.lit(percent) * F.greatest(n, m) / F.lit(100))
+
+
+class _Comparer:
+    """Compares pairs of nodes; reads the sets of those that the first
+    order's test leaves."""
+
+    def __init__(self, texts: DataFrame, members: DataFrame, lists: DataFrame, classes: np.ndarray, size: int, percent: int) -> None:
+        self.texts, self.members, self.classes, self.size, self.percent = texts, members, classes, size, percent
+        held = lists.groupBy("node").agg(F.collect_list("token").alias("held"), F.first("n").alias("n"))
+        self.held = cut_lineage(held, "shared-prefixes")
+
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """Sets of the nodes, each read from one document."""
+        one = F.min(F.struct("id", "body")).alias("one")
+        chosen = self.members.filter("n > 0").join(nodes, "node", "left_semi").groupBy("node").agg(one)
+        chosen = cut_lineage(chosen.select(F.col("one.id").alias("chosen_id"), F.col("one.body").alias("chosen_body")), "chosen")
+        # texts are picked by bucket of their hash, without a shuffle of texts;
+        # what falls into the same buckets is dropped by the join below
+        bucket = F.pmod(F.col("body"), F.lit(CHOICE_BUCKETS)).alias("bucket")
+        buckets = F.broadcast(chosen.select(F.pmod(F.col("chosen_body"), F.lit(CHOICE_BUCKETS)).alias("bucket")).distinct())
+        near = self.texts.withColumn("bucket", bucket).join(buckets, "bucket", "left_semi")
+        found = cut_lineage(_sets(near, self.classes, self.size, self.percent), "near-sets")
+        same = (F.col("body") == F.col("chosen_body")) & F.col("id").eqNullSafe(F.col("chosen_id"))
+        sets = found.join(chosen, same, "left_semi").drop("id", "body")
+        repeated = self.members.join(chosen, same, "left_semi").groupBy("id", "body").count().filter("count > 1")
+        return sets if repeated.isEmpty() else cut_lineage(sets.dropDuplicates(["node"]), "sets")
+
+    def compare(self, pairs: DataFrame) -> DataFrame:
+        """Distinct pairs (a, b) -> (a, b, common, total) of those that pass
+        the prefix tests."""
+        left = self.held.select(F.col("node").alias("a"), F.col("held").alias("ha"), F.col("n").alias("na"))
+        right = self.held.select(F.col("node").alias("b"), F.col("held").alias("hb"), F.col("n").alias("nb"))
+        shared = F.size(F.array_intersect("ha", "hb")) >= _least_shared(F.col("na"), F.col("nb"), self.percent)
+        passed = cut_lineage(pairs.join(left, "a").join(right, "b").filter(shared).select(
+            "a", "b", _least_shared(F.col("na"), F.col("nb"), self.percent).cast("int").alias("least")), "first-passed")
+        sets = self.sets(passed.select(F.col("a").alias("node")).union(passed.select("b")).distinct())
+        names = [f"p{k}" for k in range(1, ORDERS)]
+        left = sets.select(F.col("node").alias("a"), F.struct(*names).alias("pa"))
+        right = sets.select(F.col("node").alias("b"), F.struct(*names).alias("pb"))
+        tested = passed.join(left, "a").join(right, "b")
+        for name in names:
+            tested = tested.filter(F.size(F.array_intersect(F.col("pa")[name], F.col("pb")[name])) >= F.col("least"))
+        tested = cut_lineage(tested.select("a", "b"), "all-passed")
+        left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
+        right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
+        counted = tested.join(right, "b").join(left, "a").select(
+            "a", "b", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common"),
+            (F.size("ta") + F.size("tb")).cast("long").alias("sizes"))
+        return counted.select("a", "b", "common", (F.col("sizes") - F.col("common")).alias("total"))
+
+
+def _may_link(n: Column, m: Column, room: Column, far_room: Column, percent: int) -> Column:
+    """Sizes are alike, and both have enough tokens in open lists to share."""
+    least_shared = _least_shared(n, m, percent)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (least_shared <= F.least(room, far_room))
+
+
+def _pivot_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """(a, b): every list member with one pivot of its token and size band."""
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)))
+    pivot = F.min(F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("other"), F.col("n").alias("m")))
+    tops = lists.groupBy("token", band.alias("band")).agg(pivot.alias("top")).select("token", "band", "top.*")
+    drawn = lists.withColumn("band", band).join(tops, ["token", "band"]).filter((F.col("node") != F.col("other")) & _like_sizes("n", "m", percent))
+    return drawn.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _neighbour_pairs(lists: DataFrame, star: int, width: int, percent: int) -> DataFrame:
+    """(a, b): every list member with the ``width`` before it in an order in
+    which like sets tend to stand together: by the least hash of the set's
+    shared tokens, another hash in each round. The order is the same in all
+    lists, so sets that share many lists meet in the same pairs."""
+    least = lists.groupBy("node").agg(F.min(F.xxhash64("token", F.lit(star))).alias("mark"))
+    by_mark = Window.partitionBy("token").orderBy("mark", F.xxhash64("node", F.lit(star))).rowsBetween(-width, -1)
+    before = F.collect_list(F.struct("node", "n", "label", "room")).over(by_mark)
+    others = F.filter("before", lambda o: (o["label"] != F.col("label")) & _may_link(F.col("n"), o["n"], F.col("room"), o["room"], percent))
+    drawn = lists.join(least, "node").withColumn("before", before).select("node", F.explode(others).alias("o"))
+    return drawn.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
 
 
 def _label(postings: DataFrame, links: DataFrame) -> DataFrame:
@@ -200,46 +283,35 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     members = scanned.filter("slice < 0").select("id", "body", "n", "node")
     classes = _sketch_classes(scanned.filter("slice >= 0").select("slice", "counts"))
 
-    # lists of one token and like sizes, of two or more nodes
-    postings = _postings(texts, classes, size, percent).groupBy("token", "node").agg(F.first("n").alias("n"))
-    postings = cut_lineage(postings, "postings")
-    held = postings.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1")
-    lists = cut_lineage(postings.join(held, "token"), "lists")
-
-    # one document for each node that is in a list
-    wanted = lists.select("node").distinct()
-    first = F.min(F.struct("id", "body")).alias("one")
-    chosen = members.filter("n > 0").groupBy("node").agg(first).join(wanted, "node", "left_semi")
-    chosen = chosen.select(F.col("one.id").alias("chosen_id"), F.col("one.body").alias("chosen_body"))
-    same = (F.col("body") == F.col("chosen_body")) & F.col("id").eqNullSafe(F.col("chosen_id"))
-    sets = _sets(texts.join(chosen, same, "left_semi"), classes, size, percent).dropDuplicates(["node"])
-    sets = cut_lineage(sets, "sets")
+    lists = cut_lineage(_postings(texts, classes, size, percent), "lists")
+    comparer = _Comparer(texts, members, lists, classes, size, percent)
 
     empty = spark.createDataFrame([], "a long, b long, common long, total long")
     tested = empty
     current = lists.withColumn("label", F.col("node"))
-    band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)))
-    for star in range(STAR_ROUNDS):
-        pivot = F.min(F.struct(F.xxhash64("node", F.lit(star)).alias("h"), F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("label").alias("of")))
-        tops = current.groupBy("token", band.alias("band")).agg(pivot.alias("top")).select("token", "band", "top.*")
-        drawn = current.withColumn("band", band).join(tops, ["token", "band"])
-        pairs = drawn.filter((F.col("label") != F.col("of")) & _like_sizes("n", "m", percent)).select(
-            F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
-        ).distinct()
+    for star, width in enumerate(ROUNDS):
+        pairs = _neighbour_pairs(current, star, width, percent) if width else _pivot_pairs(current, percent)
         pairs = cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"), "star-pairs")
         if pairs.isEmpty():
             break
-        tested = cut_lineage(tested.union(pairs.join(_compare(pairs, sets, percent), ["a", "b"], "left").select(
+        tested = cut_lineage(tested.union(pairs.join(comparer.compare(pairs), ["a", "b"], "left").select(
             "a", "b", F.coalesce("common", F.lit(0)).alias("common"), F.coalesce("total", F.lit(1)).alias("total"))), "tested")
         current = _label(lists, _links(tested, percent).select("a", "b"))
-        mixed_lists = current.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token")
-        current = cut_lineage(current.join(mixed_lists, "token").filter("held > 2"), "open-lists")
-
-    x = current.select("token", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    y = current.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    rest = x.join(y, "token").filter((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _like_sizes("na", "nb", percent))
+        mixed_lists = current.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("held"))
+        mixed_lists = mixed_lists.filter("lo <> hi and held > 2").select("token")
+        current = current.join(mixed_lists, "token")
+        # tokens of a node in the lists that are still open: no pair shares more
+        room = current.groupBy("node").agg(F.count("*").alias("room"))
+        current = cut_lineage(current.join(room, "node"), "open-lists")
+
+    if "room" not in current.columns:
+        current = current.withColumn("room", F.col("n"))
+    x, y = (current.select("token", F.col("node").alias(k), F.col("n").alias("n" + k), F.col("label").alias("l" + k), F.col("room").alias("r" + k))
+            for k in ("a", "b"))
+    may = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link(*map(F.col, ("na", "nb", "ra", "rb")), percent)
+    rest = x.join(y, "token").filter(may)
     rest = cut_lineage(rest.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "rest-pairs")
-    tested = tested.union(_compare(rest, sets, percent)) if not rest.isEmpty() else tested
+    tested = tested.union(comparer.compare(rest)) if not rest.isEmpty() else tested
     links = cut_lineage(_links(tested, percent), "jaccard-links")
 
     degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("links"))
