@@ -45,7 +45,7 @@ SEED = 17
 SPACE_MARK = 0x2581
 LITERAL_MARK = 0x110000  # a space mark of the text itself: above all code points
 FALLBACK = 1 << 22  # piece numbers from here on: a character in bytes
-CHUNK = 1 << 20  # characters that are encoded together
+CHUNK = 1 << 18  # characters that are encoded together
 
 
 class Pieces:
@@ -270,7 +270,7 @@ def encode_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(model, sharpness, seed)
-        for batch in batches:
+        for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
             texts = batch.column(text).to_pylist()
             seeds = batch.column("__seed").to_numpy()
             for part in chunked(texts):
