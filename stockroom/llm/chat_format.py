@@ -26,6 +26,7 @@ Defined results
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 
@@ -41,6 +42,7 @@ CONTROL = ["<|turn|>", "<|body|>", "<|end|>"]
 FOREIGN = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>", "<|endoftext|>",
            "<|startoftext|>", "<|user|>", "<|assistant|>", "<|system|>"]
 LOSS_ROLE = "assistant"
+SLICE = 128
 
 
 def control_pattern(strings: list[str]) -> str:
@@ -67,6 +69,7 @@ class ChatCodec:
     """A tokenizer with the control ids placed above its vocabulary."""
 
     def __init__(self, tokenizer: str = TOKENIZER) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer)
@@ -108,6 +111,13 @@ class ChatCodec:
         return "".join(out)
 
 
+def sliced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Few turns at a time: the tokenizer's results are many times their text."""
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield batch.iloc[at : at + SLICE]
+
+
 def format_turns(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
                  text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
     """(conv_id, turn, role, text, ids, mask): one row per turn, encoded where
@@ -115,7 +125,7 @@ def format_turns(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = ChatCodec(tokenizer)
-        for batch in batches:
+        for batch in sliced(batches):
             roles, texts = batch["role"].fillna("").tolist(), batch["text"].fillna("").tolist()
             ids = codec.encode(roles, texts)
             masks = [codec.loss_mask(i, r) for i, r in zip(ids, roles, strict=True)]
@@ -131,7 +141,7 @@ def read_back(formatted: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = ChatCodec(tokenizer)
-        for batch in batches:
+        for batch in sliced(batches):
             read = [(*codec.read(i, m), len(codec.rendered(i))) for i, m in zip(batch["ids"], batch["mask"], strict=True)]
             found = pd.DataFrame(read, columns=["role", "text", "loss_text", "chars"], index=batch.index)
             yield pd.concat([batch[["conv_id", "turn"]].astype("Int64"), found], axis=1)
