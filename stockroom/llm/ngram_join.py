@@ -12,9 +12,10 @@ sketch over all documents) and break ties by a different hash each.
 2. A second pass emits the prefix tokens of the first order. Only tokens
    held by two nodes or more are written, as posting lists.
 3. Star rounds: in each posting list every member is paired with a few
-   others, not with all: first with a pivot of like size, then with its
-   neighbours in an order by a min-hash of the sets. The members of a large
-   group of near copies meet in a few components.
+   others, not with all: first with a pivot of like size (in a list of two:
+   with the other member), then with its neighbours in an order by a
+   min-hash of the sets. The members of a large group of near copies meet
+   in a few components.
 4. What is left is exact: within each posting list all pairs of members of
    different components, less the pairs already compared. Pairs within a
    component need no comparison: they change no component.
@@ -247,12 +248,18 @@ def _may_link(n: Column, m: Column, room: Column, far_room: Column, percent: int
 
 
 def _pivot_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b): every list member with one pivot of its token and size band."""
+    """(a, b): every list member with one pivot of its token and size band, and
+    the two members of a list of two whatever their bands. A list of two
+    then holds no uncompared pair that could be linked."""
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)))
     pivot = F.min(F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("other"), F.col("n").alias("m")))
     tops = lists.groupBy("token", band.alias("band")).agg(pivot.alias("top")).select("token", "band", "top.*")
     drawn = lists.withColumn("band", band).join(tops, ["token", "band"]).filter((F.col("node") != F.col("other")) & _like_sizes("n", "m", percent))
-    return drawn.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    drawn = drawn.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    member = F.struct("node", "n")
+    twos = lists.groupBy("token").agg(F.min(member).alias("x"), F.max(member).alias("y"), F.count("*").alias("held")).filter("held = 2")
+    twos = twos.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.n").alias("n"), F.col("y.n").alias("m"))
+    return drawn.union(twos.filter(_like_sizes("n", "m", percent)).select("a", "b")).distinct()
 
 
 def _neighbour_pairs(lists: DataFrame, star: int, width: int, percent: int) -> DataFrame:

@@ -68,6 +68,19 @@ def test_groups_of_near_copies_chains_and_borders(spark):
     assert found(spark.createDataFrame(data, "doc_id long, text string")) == brute(data)
 
 
+@pytest.mark.parametrize("n", [75, 100, 134])
+def test_isolated_pairs_across_a_size_band(spark, n):
+    """Sets of n - 1 and n shingles share lists of two only; another group
+    has a pivot pair."""
+    words = [f"w{k}" for k in range(n + 4)]
+    other = [f"v{k}" for k in range(60)]
+    texts = [words[:-1], words, other, [*other[:-1], "x"], [f"u{k}" for k in range(50)]]
+    data = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    assert len({len(shingles(t)) for _, t in data[:2]} & {n - 1, n}) == 2
+    got = found(spark.createDataFrame(data, "doc_id long, text string"))
+    assert got == brute(data) and [c for _, _, c in got] == [0, 0, 2, 2, 4]
+
+
 def test_odd_rows(clashing_docs, odd_rows, no_docs):
     assert found(clashing_docs) == brute([(r[0], r[1]) for r in odd_rows])
     kept = nj.one_of_each(clashing_docs)
