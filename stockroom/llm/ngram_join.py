@@ -156,14 +156,15 @@ def _postings(docs: DataFrame, classes: np.ndarray, size: int, percent: int) ->
 
 
 def _sets(docs: DataFrame, classes: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(id, body, node, tokens, p1, p2, ...): the set and its prefixes under the other
-    orders. Prefixes are cut to 32 bits: two tokens that fall together can
-    only let a pair pass."""
+    """(id, body, node, tokens, p1, c1, p2, c2, ...): the set and its prefixes under
+    the other orders. Prefixes are cut to 32 bits; c1, c2, ... are the tokens
+    of each that fall together with another one of it."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
     others = range(1, ORDERS)
 
-    def short(tokens: np.ndarray) -> np.ndarray:
-        return (tokens >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    def short(tokens: np.ndarray) -> tuple[np.ndarray, int]:
+        cut = (tokens >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        return cut, len(cut) - len(np.unique(cut))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = ByteHasher()
@@ -172,11 +173,12 @@ def _sets(docs: DataFrame, classes: np.ndarray, size: int, percent: int) -> Data
                 rows, part = [], batch.iloc[at : at + 256]
                 for text in part["text"]:
                     tokens = shingle_set(text_bytes(text), hasher, size)
-                    rows.append((set_key(tokens), tokens.view(np.int64), *(short(prefix(tokens, shared.value, k, percent)) for k in others)))
-                found = pd.DataFrame(rows, columns=["node", "tokens", *(f"p{k}" for k in others)], index=part.index)
+                    cuts = (short(prefix(tokens, shared.value, k, percent)) for k in others)
+                    rows.append((set_key(tokens), tokens.view(np.int64), *(x for cut in cuts for x in cut)))
+                found = pd.DataFrame(rows, columns=["node", "tokens", *(f"{c}{k}" for k in others for c in "pc")], index=part.index)
                 yield pd.concat([part["id"].astype("Int64"), part["body"], found], axis=1)
 
-    schema = "id long, body long, node long, tokens array<long>, " + ", ".join(f"p{k} array<int>" for k in others)
+    schema = "id long, body long, node long, tokens array<long>, " + ", ".join(f"p{k} array<int>, c{k} int" for k in others)
     return docs.select("id", "body", "text").mapInPandas(run, schema)
 
 
@@ -226,12 +228,14 @@ class _Comparer:
         passed = cut_lineage(pairs.join(left, "a").join(right, "b").filter(shared).select(
             "a", "b", _least_shared(F.col("na"), F.col("nb"), self.percent).cast("int").alias("least")), "first-passed")
         sets = self.sets(passed.select(F.col("a").alias("node")).union(passed.select("b")).distinct())
-        names = [f"p{k}" for k in range(1, ORDERS)]
+        names = [f"{c}{k}" for k in range(1, ORDERS) for c in "pc"]
         left = sets.select(F.col("node").alias("a"), F.struct(*names).alias("pa"))
         right = sets.select(F.col("node").alias("b"), F.struct(*names).alias("pb"))
         tested = passed.join(left, "a").join(right, "b")
-        for name in names:
-            tested = tested.filter(F.size(F.array_intersect(F.col("pa")[name], F.col("pb")[name])) >= F.col("least"))
+        for k in range(1, ORDERS):
+            # the intersection has distinct values: tokens that fall together count once
+            both = F.size(F.array_intersect(F.col("pa")[f"p{k}"], F.col("pb")[f"p{k}"]))
+            tested = tested.filter(both + F.least(F.col("pa")[f"c{k}"], F.col("pb")[f"c{k}"]) >= F.col("least"))
         tested = cut_lineage(tested.select("a", "b"), "all-passed")
         left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
         right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))

@@ -81,6 +81,17 @@ def test_isolated_pairs_across_a_size_band(spark, n):
     assert got == brute(data) and [c for _, _, c in got] == [0, 0, 2, 2, 4]
 
 
+def test_shared_tokens_that_fall_together(spark):
+    """The only two tokens shared by the prefixes of order 1 have equal upper
+    32 bits (words found by search); the parts bring all shared tokens to one
+    frequency class."""
+    words = [f"q{k}" for k in (*range(506508, 506513), *range(556496, 556501))] + ["z0"]
+    texts = [[*words, "one"], [*words, "two"], words[1:9], words[1:9], words[6:], words[6:]]
+    data = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = found(spark.createDataFrame(data, "doc_id long, text string"))
+    assert got == brute(data) and [c for _, _, c in got] == [0, 0, 2, 2, 4, 4]
+
+
 def test_odd_rows(clashing_docs, odd_rows, no_docs):
     assert found(clashing_docs) == brute([(r[0], r[1]) for r in odd_rows])
     kept = nj.one_of_each(clashing_docs)
