@@ -13,7 +13,9 @@ substring indexes; blocks of queries visit the blocks of the index, and each
 visit returns at most ``k`` neighbours a query. Equal vectors are one entry
 with their smallest ids, of which no result can need more than k + 1, so
 that a vector with very many copies costs as much as one. The radius is the
-one that holds ``RECALL`` of the true neighbours of the sample.
+one that holds ``RECALL`` of the true neighbours of the sample. Queries with
+fewer than k + 1 vectors inside it are asked again with a larger one, until
+they have them or all vectors are in.
 
 Inner products of vectors of different lengths are reduced to angles by one
 more component that brings every vector to the largest length.
@@ -178,12 +180,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
     index = vectors.select("vec", "ids", F.pmod(F.xxhash64("vec"), F.lit(blocks)).cast("int").alias("block"))
     asked = usable(queries, id_col, vec_col, 1).filter(F.col("dim") == dims[0]["dim"]).select("vec")
     asked = cut_lineage(asked, "query-vectors")
-    asked_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    asked = asked.withColumn("ask", F.pmod(F.xxhash64("vec", F.lit("ask")), F.lit(asked_blocks)).cast("int"))
-    visits = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    visited = index.withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(asked_blocks - 1))))
 
-    def visit(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def visit(left: pd.DataFrame, right: pd.DataFrame, radius: int) -> pd.DataFrame:
         columns = ["query", "vec", "score"]
         if not len(left) or not len(right):
             return pd.DataFrame({"query": [], "vec": [], "score": []}).astype({"query": object, "vec": object, "score": float})
@@ -194,7 +192,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
         for at in range(0, len(left), 256):
             part = left["vec"].iloc[at : at + 256]
             q = as_matrix(part)
-            near = np.where(block.within(c.substrings(q, query=True), c.radius), q @ x.T, -np.inf)
+            near = np.where(block.within(c.substrings(q, query=True), radius), q @ x.T, -np.inf)
             top = np.argpartition(-near, min(k, near.shape[1] - 1), axis=1)[:, : k + 1]
             # products that rounding cannot tell apart from the last one kept
             least = np.take_along_axis(near, top, axis=1).min(axis=1)
@@ -208,14 +206,32 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_
             out.append(pd.DataFrame({"query": part.to_numpy()[who[kept]], "vec": right["vec"].to_numpy()[what[kept]], "score": exact[kept]}))
         return pd.concat(out, ignore_index=True)[columns]
 
-    hits = visits.groupBy("block", "ask").cogroup(visited.groupBy("block", "ask")).applyInPandas(visit, "query binary, vec binary, score double")
     ids = vectors.select("vec", "ids", F.element_at("ids", 1).alias("first"))
     # the k + 1 best vectors hold the k best rows, whatever the query's own id
     best = Window.partitionBy("query").orderBy(F.desc("score"), "first")
-    top = hits.join(ids, "vec").withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
     entry = F.struct((-F.col("score")).alias("s"), F.col("id"))
-    lists = top.select("query", "score", F.explode("ids").alias("id")).groupBy("query").agg(
-        F.slice(F.array_sort(F.collect_list(entry)), 1, (k + 1) * (k + 1)).alias("found"))
+
+    def probe(asked: DataFrame, radius: int) -> DataFrame:
+        """(query, hits, found): vectors inside the radius, k + 1 at most, and their rows."""
+        asked_blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+        parts = asked.withColumn("ask", F.pmod(F.xxhash64("vec", F.lit("ask")), F.lit(asked_blocks)).cast("int"))
+        visits = parts.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        visited = index.withColumn("ask", F.explode(F.sequence(F.lit(0), F.lit(asked_blocks - 1))))
+        hits = visits.groupBy("block", "ask").cogroup(visited.groupBy("block", "ask")).applyInPandas(
+            lambda left, right: visit(left, right, radius), "query binary, vec binary, score double")
+        top = hits.join(ids, "vec").withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
+        lists = top.select("query", "place", "score", F.explode("ids").alias("id")).groupBy("query").agg(
+            F.max("place").alias("hits"), F.slice(F.array_sort(F.collect_list(entry)), 1, (k + 1) * (k + 1)).alias("found"))
+        return cut_lineage(lists, "neighbours")
+
+    radius, enough = coder.radius, F.col("hits") >= min(k + 1, n)
+    lists = probe(asked, radius)
+    while radius < BITS:
+        asked = cut_lineage(asked.join(lists.filter(enough), F.col("vec") == F.col("query"), "left_anti"), "short-queries")
+        if asked.isEmpty():
+            break
+        radius = min(BITS, 2 * radius + SUBSTRINGS)
+        lists = lists.filter(enough).union(probe(asked, radius))
     members = queries.select(F.col(id_col).cast("long").alias("query_id"), F.col(vec_col).cast("array<double>").alias("v"))
     return _ranked(members, lists, k)
 

@@ -54,6 +54,19 @@ def test_every_code_within_the_radius_is_found():
         assert (hs.Block(codes).within(codes, radius) == (apart <= radius)).all()
 
 
+def test_isolated_vectors_get_all_their_rows(spark):
+    """Tight clusters set a small radius; the vectors far from all others are queries too."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(20, 32))
+    x = centres[rng.integers(0, 20, size=2000)] + 1e-3 * rng.normal(size=(2000, 32))
+    far = [0, 400, 800, 1200]
+    x[far] = rng.normal(size=(4, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = found_lists(hs.search(frame, frame.filter("vec_id % 20 = 0")).collect())
+    assert {q: len(hits) for q, hits in found.items()} == dict.fromkeys(range(0, 2000, 20), 20)
+
+
 def test_copies_ties_and_lengths(spark):
     rng = np.random.default_rng(6)
     hot = rng.normal(size=8)
