@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from stockroom.llm import (
     chat_format,
+    collocations,
     hamming_search,
     hmm,
     license_scan,
+    minhash,
     mixing,
     ngram_join,
     piece_sampling,
     quality_rules,
+    ranked_search,
     resampling,
     string_kernel,
 )
@@ -224,3 +227,102 @@ def op9_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"), "piece_ids",
         F.sha2("decoded", 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
     )
+
+
+@query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_ranked_search"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+stats AS (SELECT CAST(count(*) FILTER (len(t) > 0) AS BIGINT) AS docs, CAST(sum(len(t)) AS BIGINT) AS length FROM docs),
+counts AS (
+  SELECT row, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+  FROM (SELECT row, doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM docs) GROUP BY row, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counts, stats GROUP BY term),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // length)))) AS BIGINT) AS score
+  FROM asked JOIN counts USING (term) JOIN weights USING (term), stats GROUP BY item_id, row, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under MinHash near-duplicate links."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_minhash_dedup"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+         ELSE list_transform(range(0, len(w) - 3), lambda i: w[i + 1:i + 4]) END) AS s FROM words),
+kinds AS (SELECT list_sort(s) AS s, min(doc_id) AS rep FROM sets WHERE len(s) > 0 GROUP BY 1),
+shingles AS (SELECT rep, len(s) AS n, unnest(s) AS shingle FROM kinds),
+shared AS (SELECT rep, n, shingle FROM shingles QUALIFY count(*) OVER (PARTITION BY shingle) > 1),
+links AS (
+  SELECT a.rep AS a, b.rep AS b FROM shared a JOIN shared b ON a.shingle = b.shingle AND a.rep <> b.rep
+  AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT rep AS node, rep AS seen FROM kinds
+  UNION
+  SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.seen),
+least_seen AS (SELECT node, min(seen) AS component FROM reached GROUP BY node)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(c.component, d.doc_id) AS component_id,
+       d.doc_id IS NOT DISTINCT FROM coalesce(c.component, d.doc_id) AS kept
+FROM sets d LEFT JOIN kinds k ON list_sort(d.s) = k.s LEFT JOIN least_seen c ON c.node = k.rep
+"""
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest collocations of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, unnest(list_transform(range(1, len(w) + 1), lambda i: w[i:i])) AS g FROM pieces
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i:i + 1])) FROM pieces
+  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) FROM pieces),
+f AS (SELECT lang, g, count(*) AS f FROM grams GROUP BY lang, g),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE len(g) = 1 GROUP BY lang),
+candidates AS (SELECT * FROM f WHERE len(g) > 1 AND f >= 10),
+longer AS (
+  SELECT lang, part, max(f) AS most
+  FROM (SELECT lang, f, unnest([g[1:2], g[2:3]]) AS part FROM candidates WHERE len(g) = 3) GROUP BY lang, part),
+kept AS (
+  SELECT c.lang, c.g, c.f FROM candidates c LEFT JOIN longer o ON o.lang = c.lang AND o.part = c.g
+  WHERE o.most IS NULL OR 100 * o.most < 50 * c.f),
+cuts AS (
+  SELECT k.*, c AS k, x.f AS l, y.f AS r, (CAST(1000000 AS HUGEINT) * k.f * k.f) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS c FROM kept) k
+  JOIN f x ON x.lang = k.lang AND x.g = k.g[1:c] JOIN f y ON y.lang = k.lang AND y.g = k.g[c + 1:len(k.g)]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, array_to_string(g, ' ') AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, array_to_string(g, ' ')) AS rank FROM lowest)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(f AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n,
+       CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""

@@ -7,11 +7,11 @@ import corpus_pipeline
 from stockroom.llm import queries
 
 SF0001 = "/root/testdata/sf0.001"
-TABLES = ["documents", "conversations", "labels", "embeddings"]
+TABLES = ["documents", "conversations", "labels", "embeddings", "benchmark"]
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
