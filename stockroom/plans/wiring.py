@@ -555,8 +555,9 @@ def _x1(f: Fixtures):
     spark = f.spark
     moves = f.stock_movements
     path = scratch_path(spark, "feeds/movements-" + _uuid())
-    feeds.write_sliced_feed(moves, path, "ts", 5 * DAY, marker={"event_id": -1, "product_id": -1, "quantity_change": 0})
-    return jobs.run_low_stock_alerts(spark, path, moves.schema, f.inventory, f.product, watermark="11 days", files_per_trigger=1)
+    files = feeds.write_sliced_feed(moves, path, "ts", 5 * DAY, marker={"event_id": -1, "product_id": -1, "quantity_change": 0})
+    return jobs.run_low_stock_alerts(
+        spark, path, moves.schema, f.inventory, f.product, watermark="11 days", late_path=path + "-late", files_per_trigger=files)
 
 
 @query("stream_customer_audit")
@@ -568,21 +569,42 @@ def _x2(f: Fixtures):
     after = f.customer_after.withColumn("version_ts", ts_lit(AS_OF_TS))
     versions = before.unionByName(after)
     path = scratch_path(spark, "feeds/customers-" + _uuid())
-    feeds.write_sliced_feed(versions, path, "version_ts", DAY, marker={"customer_id": -1})
-    return jobs.run_customer_audit(spark, path, versions.schema, OPERATOR, watermark="2 days", files_per_trigger=1)
+    files = feeds.write_sliced_feed(versions, path, "version_ts", DAY, marker={"customer_id": -1})
+    return jobs.run_customer_audit(
+        spark, path, versions.schema, OPERATOR, watermark="2 days", late_path=path + "-late", files_per_trigger=files)
+
+
+@query("stream_customer_audit_late")
+def _x2b(f: Fixtures):
+    """The late table of X2: a third version of every customer that arrives
+    after the watermark has passed it."""
+    spark = f.spark
+    versions = [
+        f.customer.withColumn("version_ts", ts_lit(AS_OF_TS - _dt.timedelta(days=1))),
+        f.customer_after.withColumn("version_ts", ts_lit(AS_OF_TS)),
+        f.customer_after.withColumn("version_ts", ts_lit(AS_OF_TS + _dt.timedelta(days=9))),
+        f.customer.withColumn("version_ts", ts_lit(AS_OF_TS + _dt.timedelta(days=2))),
+    ]
+    path = scratch_path(spark, "feeds/customers-" + _uuid())
+    rows = versions[0].unionByName(versions[1]).unionByName(versions[2]).unionByName(versions[3])
+    files = feeds.write_sliced_feed(rows, path, "version_ts", DAY, marker={"customer_id": -1}, order=[0, 1, 10, 3])
+    jobs.run_customer_audit(
+        spark, path, rows.schema, OPERATOR, watermark="2 days", late_path=path + "-late", files_per_trigger=files)
+    return spark.read.parquet(path + "-late")
 
 
 @query("stream_lifetime_value")
 def _x3(f: Fixtures):
-    """Orders as yearly slices out of order, every 13th order delivered
-    twice; LTV per customer kept by foreachBatch upserts."""
+    """Two versions of every order, as accepted and with its final status
+    some days later, as yearly slices out of order, the versions of every 13th
+    order delivered twice; equals the lifetime value of the final orders."""
     spark = f.spark
     path = scratch_path(spark, "feeds/orders-" + _uuid())
-    feeds.write_sliced_feed(
-        f.orders, path, "order_date", 365 * DAY, marker={"order_id": -1, "customer_id": -1},
-        duplicate_every=[("order_id", 13)],
+    versions = f.order_versions
+    files = feeds.write_sliced_feed(
+        versions, path, "version_ts", 365 * DAY, marker={"order_id": -1, "customer_id": -1}, duplicate_every=[("order_id", 13)],
     )
-    return jobs.run_lifetime_value(spark, path, f.orders.schema, watermark="730 days", files_per_trigger=1)
+    return jobs.run_lifetime_value(spark, path, versions.schema, files_per_trigger=files, compact_every=3)
 
 
 def _uuid() -> str:

@@ -181,6 +181,14 @@ class Fixtures:
             _status(o).alias("order_status"),
         )
 
+    @cached_property
+    def order_versions(self) -> DataFrame:
+        """Every order as accepted (Processing) and, one to nine days later,
+        with its final status."""
+        final = self.orders.withColumn("version_ts", F.col("order_date") + F.make_dt_interval((F.col("order_id") % 9 + 1).cast("int")))
+        first = self.orders.withColumns({"order_status": F.lit("Processing"), "version_ts": F.col("order_date")})
+        return first.unionByName(final)
+
     @cached_property
     def order_item(self) -> DataFrame:
         li = self.table("lineitem")

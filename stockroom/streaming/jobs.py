@@ -10,18 +10,19 @@ zone UTC keeps the wall-clock value).
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 
 import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockroom.session import scratch_path
+from stockroom.streaming.batch_log import BatchLog
 from stockroom.streaming.feeds import END_OF_INPUT
-from stockroom.streaming.ordered_state import LATE_COLUMN, ordered_fold
+from stockroom.streaming.ordered_state import keyed_state, late_rows, on_time, ordered_fold, plain
 
 # Files of the feed that a micro-batch reads; the registered queries pass 1 to
 # deliver their slices one by one.
@@ -29,24 +30,12 @@ FILES_PER_TRIGGER = 1000
 TRACKED = ("full_name", "email", "phone", "shipping_address")
 
 
-def _run_to_end(query, report: dict | None = None) -> None:
-    """Drive the query over everything available, then stop it.
-
-    ``report`` receives the number of micro-batches and of input rows that
-    Spark dropped as later than the watermark (from the query progress;
-    it keeps the last ``spark.sql.streaming.numRecentProgressUpdates``).
-    """
+def _run_to_end(query) -> None:
+    """Drive the query over everything available, then stop it."""
     try:
         query.processAllAvailable()
     finally:
-        progress = query.recentProgress
         query.stop()
-    if report is not None:
-        report["batches"] = len(progress)
-        report["dropped_late_rows"] = sum(
-            int(op.get("numRowsDroppedByWatermark", 0) or 0)
-            for p in progress for op in p.get("stateOperators", [])
-        )
 
 
 def _end():
@@ -57,15 +46,18 @@ def _folder(spark: SparkSession, job: str) -> str:
     return scratch_path(spark, f"streams/{job}-{uuid.uuid4().hex}")
 
 
-def _split_late(
-    spark: SparkSession, out_path: str, schema: T.StructType, late_path: str | None
-) -> DataFrame:
-    """Read the sink back; write the late rows aside; return the rest."""
-    full = T.StructType(list(schema.fields) + [T.StructField(LATE_COLUMN, T.StringType())])
-    out = spark.read.schema(full).parquet(out_path)
-    if late_path is not None:
-        out.filter(F.col(LATE_COLUMN).isNotNull()).select(LATE_COLUMN).write.mode("overwrite").parquet(late_path)
-    return out.filter(F.col(LATE_COLUMN).isNull()).drop(LATE_COLUMN)
+def _fold_to_end(out: DataFrame, folder: str, columns: list[str], time_col: str, late_path: str | None) -> DataFrame:
+    """Run an ``ordered_fold`` to the end of its feed; the late rows go to
+    ``late_path`` as they came in, the fold's output is returned."""
+    spark = out.sparkSession
+    with keyed_state(spark):
+        _run_to_end(
+            out.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", folder + "/_checkpoint").start(folder + "/out")
+        )
+    sink = spark.read.schema(out.schema).parquet(folder + "/out")
+    late_rows(sink, time_col).write.mode("overwrite").parquet(late_path or folder + "/late")
+    return on_time(sink, columns)
 
 
 # ------------------------------------------------------------------ X1 ----
@@ -77,9 +69,10 @@ ALERT_SCHEMA = T.StructType(
         T.StructField("current_quantity", T.IntegerType()),
         T.StructField("reorder_point", T.IntegerType()),
         T.StructField("message", T.StringType()),
-        T.StructField("alert_date", T.TimestampType()),
+        T.StructField("alert_us", T.LongType()),
     ]
 )
+ALERT_CARRY = T.StructType([T.StructField("level", T.LongType())])
 
 
 def _alert_fold(key, carry, rows: pd.DataFrame):
@@ -102,7 +95,7 @@ def _alert_fold(key, carry, rows: pd.DataFrame):
             "reorder_point": rp.astype("int32"),
             "message": rows["product_name"].astype(str) + " stock is at " + levels.astype(str)
             + " units (reorder point: " + rp.astype(str) + "). Level: " + band,
-            "alert_date": rows["ts"],
+            "alert_us": rows["event_us"],
         }
     )[hit.values]
     return {"level": int(levels.iloc[-1])}, out
@@ -120,7 +113,7 @@ def low_stock_alert_stream(
     """Movements stream -> banded low-stock alerts in event-time order.
 
     The static stock and product tables are joined to the stream (stream-
-    static join, broadcast when small); the per-product fold buffers rows
+    static join, broadcast when small); the per-product fold keeps rows
     until the watermark passes them.
     """
     stream = (
@@ -132,31 +125,24 @@ def low_stock_alert_stream(
         product.select("product_id", "product_name"), "product_id", "left"
     )
     enriched = stream.join(dims, "product_id")
-    cols = ["event_id", "ts", "quantity_change", "quantity_on_hand", "reorder_point", "product_name"]
-    return ordered_fold(enriched, ["product_id"], _alert_fold, "ts", "event_id", cols, ALERT_SCHEMA)
+    cols = ["event_id", "quantity_change", "quantity_on_hand", "reorder_point", "product_name"]
+    return ordered_fold(enriched, ["product_id"], _alert_fold, "ts", "event_id", cols, ALERT_CARRY, ALERT_SCHEMA)
 
 
 def run_low_stock_alerts(
     spark: SparkSession, feed_path: str, movement_schema: T.StructType, inventory: DataFrame,
     product: DataFrame, watermark: str = "7 days", late_path: str | None = None,
-    report: dict | None = None, files_per_trigger: int = FILES_PER_TRIGGER,
+    files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
     """Run X1 to the end of the feed.
 
-    Spark drops movements older than the previous micro-batch's watermark
-    before the stateful operator (counted in ``report``); a movement that
-    still reaches it after a later movement of the same product was applied
-    goes to ``late_path`` (JSON) instead of being folded out of order.
-    """
+    A movement older than the watermark when it arrives goes to the late
+    table, with the stock columns joined to it, instead of being folded out
+    of order."""
     folder = _folder(spark, "low-stock-alerts")
     alerts = low_stock_alert_stream(spark, feed_path, movement_schema, inventory, product, watermark, files_per_trigger)
-    q = (
-        alerts.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", folder + "/_checkpoint").start(folder + "/out")
-    )
-    _run_to_end(q, report)
-    out = _split_late(spark, folder + "/out", ALERT_SCHEMA, late_path)
-    return out.withColumn("alert_date", F.col("alert_date").cast("timestamp_ntz"))
+    out = _fold_to_end(alerts, folder, ALERT_SCHEMA.fieldNames(), "ts", late_path)
+    return out.withColumn("alert_date", F.timestamp_micros("alert_us").cast("timestamp_ntz")).drop("alert_us")
 
 
 # ------------------------------------------------------------------ X2 ----
@@ -171,7 +157,7 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("new_values", T.StringType()),
         T.StructField("ip_address", T.StringType()),
         T.StructField("user_agent", T.StringType()),
-        T.StructField("occurred_at", T.TimestampType()),
+        T.StructField("occurred_us", T.LongType()),
     ]
 )
 
@@ -181,11 +167,6 @@ def _audit_fold_factory(compare: list[str], user: str, ip: str, agent: str):
     carried last image for the first row) and emit an audit row where any
     compared column differs (NULL-safe). Vectorised over the key's rows."""
 
-    def plain(v):
-        if v is None or (not isinstance(v, str) and pd.isna(v)):
-            return None
-        return v.item() if hasattr(v, "item") else v
-
     def image_json(record: dict) -> str:
         return json.dumps({f: record.get(f) for f in TRACKED}, separators=(",", ":"), ensure_ascii=False)
 
@@ -193,7 +174,7 @@ def _audit_fold_factory(compare: list[str], user: str, ip: str, agent: str):
         cur = rows[compare].astype(object).where(rows[compare].notna(), None)
         prev = cur.shift(1)
         if carry is not None:
-            prev.iloc[0] = [carry["row"].get(c) for c in compare]
+            prev.iloc[0] = [carry[c] for c in compare]
         same = (prev == cur) | (prev.isna() & cur.isna())
         changed = ~same.all(axis=1)
         if carry is None:
@@ -205,12 +186,12 @@ def _audit_fold_factory(compare: list[str], user: str, ip: str, agent: str):
             {
                 "audit_id": int(key[0]), "user_id": user, "action": "UPDATE", "table_name": "customer",
                 "record_id": int(key[0]), "old_values": olds, "new_values": news,
-                "ip_address": ip, "user_agent": agent, "occurred_at": rows.loc[idx, "version_ts"].values,
+                "ip_address": ip, "user_agent": agent, "occurred_us": rows.loc[idx, "event_us"].values,
             },
             columns=[f.name for f in AUDIT_SCHEMA.fields],
         )
         last = {c: plain(cur.iloc[-1][c]) for c in compare}
-        return {"row": last}, out
+        return last, out
 
     return fold
 
@@ -218,12 +199,13 @@ def _audit_fold_factory(compare: list[str], user: str, ip: str, agent: str):
 def run_customer_audit(
     spark: SparkSession, feed_path: str, version_schema: T.StructType, user: str,
     ip: str = "", agent: str = "", watermark: str = "2 days", late_path: str | None = None,
-    report: dict | None = None, files_per_trigger: int = FILES_PER_TRIGGER,
+    files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
     """Customer row versions -> one audit row per changed version.
 
     Keyed by customer; the state is the last row image; versions are
-    applied in version-time order after the watermark passes them.
+    applied in version-time order after the watermark passes them. A version
+    older than the watermark when it arrives goes to the late table.
     """
     folder = _folder(spark, "customer-audit")
     compare = [f.name for f in version_schema.fields if f.name not in ("customer_id", "version_ts")]
@@ -235,95 +217,102 @@ def run_customer_audit(
         # is not pushed below the watermark, so the marker still moves it
         .filter(F.col("version_ts") < _end())
     )
-    cols = ["version_ts", "customer_id"] + compare
+    carry = T.StructType([T.StructField(f.name, f.dataType) for f in version_schema.fields if f.name in compare])
     audits = ordered_fold(
         stream, ["customer_id"], _audit_fold_factory(compare, user, ip, agent),
-        "version_ts", "customer_id", cols, AUDIT_SCHEMA,
+        "version_ts", "customer_id", ["customer_id", *compare], carry, AUDIT_SCHEMA,
     )
-    q = (
-        audits.writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", folder + "/_checkpoint").start(folder + "/out")
-    )
-    _run_to_end(q, report)
-    out = _split_late(spark, folder + "/out", AUDIT_SCHEMA, late_path)
-    return out.withColumn("occurred_at", F.col("occurred_at").cast("timestamp_ntz"))
+    out = _fold_to_end(audits, folder, AUDIT_SCHEMA.fieldNames(), "version_ts", late_path)
+    return out.withColumn("occurred_at", F.timestamp_micros("occurred_us").cast("timestamp_ntz")).drop("occurred_us")
 
 
 # ------------------------------------------------------------------ X3 ----
-class ChangelogTable:
-    """A keyed table maintained by foreachBatch upserts, as an append-only
-    changelog.
-
-    Each micro-batch appends its changed rows under ``batch_id=<n>`` with
-    dynamic partition overwrite, so a replayed batch id (after a restart
-    from the checkpoint) rewrites only its own partition, and a write costs
-    the size of the batch, not of the table. All state is on storage: a new
-    driver reads the same table. The current table is the row of the latest
-    batch per key (one grouped ``max_by``, partially aggregated, so a key
-    updated in every batch is no hot spot); writing ``read()`` out as a new
-    table compacts the log.
-    """
+ORDER_STATE = "order_id long, customer_id long, order_date timestamp, version_ts timestamp, counted decimal(18,2)"
+CUSTOMER_CHANGE = "customer_id long, amount decimal(28,2), last timestamp"
 
-    def __init__(self, spark: SparkSession, base: str, key: str):
-        self.spark = spark
-        self.base = base
-        self.key = key
-
-    def upsert(self, updates: DataFrame, batch_id: int) -> None:
-        (
-            updates.withColumn("batch_id", F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(self.base)
-        )
 
-    def read(self) -> DataFrame | None:
-        try:
-            log = self.spark.read.parquet(self.base)
-        except AnalysisException:  # nothing written yet
-            return None
-        cols = [c for c in log.columns if c not in (self.key, "batch_id")]
-        latest = log.groupBy(self.key).agg(
-            F.max_by(F.struct(*[F.col(c) for c in cols]), F.col("batch_id")).alias("_row")
+def latest_versions(rows: DataFrame) -> DataFrame:
+    """The newest version of each order; of equal times the largest row."""
+    newest = F.max(F.struct("version_ts", "customer_id", "order_date", "counted")).alias("_v")
+    return rows.groupBy("order_id").agg(newest).select("order_id", "_v.customer_id", "_v.order_date", "_v.version_ts", "_v.counted")
+
+
+def customer_totals(rows: DataFrame) -> DataFrame:
+    """Changes (customer_id, amount, last) added up."""
+    return rows.groupBy("customer_id").agg(F.sum("amount").cast("decimal(28,2)").alias("amount"), F.max("last").alias("last"))
+
+
+class LifetimeValue:
+    """Customer lifetime value kept current from a feed of order versions.
+
+    Two tables in batch folders (``BatchLog``): the newest version of each
+    order with the amount that it counts, and the changes of each customer's
+    total. A micro-batch compares its orders with the order table as it was
+    before the batch and writes the differences: a cancelled order takes its
+    amount back, an order that moves to another customer takes it along, and
+    a version that is not newer than the known one (a repeated or overtaken
+    delivery) changes nothing. A replayed batch reads the same state and
+    rewrites its own folders. Versions may come in any order.
+
+    With ``open_for`` days an order is closed once a version that much younger
+    than its order date was seen in an earlier batch: the order table drops it
+    at the next compaction, and versions that still come go to the late table.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, excluded=("Cancelled", "Returned"),
+                 compact_every: int = 20, open_for: int | None = None) -> None:
+        self.spark, self.excluded, self.compact_every, self.open_for = spark, list(excluded), compact_every, open_for
+        self.orders = BatchLog(spark, folder + "/orders", ORDER_STATE, latest_versions)
+        self.customers = BatchLog(spark, folder + "/customers", CUSTOMER_CHANGE, customer_totals)
+        self.late = BatchLog(spark, folder + "/late", ORDER_STATE, lambda rows: rows)
+
+    def _closed(self, rows: DataFrame, before: int) -> Column:
+        """Whether an order was closed before a batch."""
+        if self.open_for is None:
+            return F.lit(False)
+        newest = self.orders.read(before).agg(F.max("version_ts")).first()[0]
+        if newest is None:
+            return F.lit(False)
+        return F.col("order_date") < F.lit(newest - dt.timedelta(days=self.open_for))
+
+    def apply(self, versions: DataFrame, batch_id: int) -> None:
+        counted = F.when(F.col("order_status").isin(self.excluded), F.lit(0)).otherwise(F.coalesce("total_amount", F.lit(0)))
+        rows = versions.select("order_id", "customer_id", "order_date", "version_ts", counted.cast("decimal(18,2)").alias("counted"))
+        closed = self._closed(rows, batch_id)
+        if self.open_for is not None:
+            self.late.append(rows.filter(closed), batch_id)
+        known = self.orders.read(batch_id).select("order_id", F.struct("version_ts", "customer_id", "order_date", "counted").alias("was"))
+        now = F.struct("version_ts", "customer_id", "order_date", "counted")
+        news = latest_versions(rows.filter(~closed)).join(known, "order_id", "left").filter(F.col("was").isNull() | (now > F.col("was")))
+        changes = self.orders.append(news, batch_id, extra="was struct<version_ts timestamp, customer_id long, order_date timestamp, counted decimal(18,2)>")
+        back = changes.filter("was is not null").select("was.customer_id", (-F.col("was.counted")).alias("amount"), F.lit(None).cast("timestamp").alias("last"))
+        there = changes.select("customer_id", F.col("counted").alias("amount"), F.col("order_date").alias("last"))
+        self.customers.append(customer_totals(there.unionByName(back)), batch_id)
+        if self.compact_every and batch_id and batch_id % self.compact_every == 0:
+            # up to the batch before: this one may still be replayed
+            self.orders.compact(batch_id - 1, keep=~self._closed(self.orders.read(batch_id), batch_id))
+            self.customers.compact(batch_id - 1)
+
+    def totals(self) -> DataFrame:
+        return self.customers.read().select(
+            "customer_id", F.col("amount").cast("decimal(12,2)").alias("total_lifetime_value"),
+            F.col("last").cast("timestamp_ntz").alias("last_purchase_date"),
         )
-        return latest.select(self.key, *[F.col("_row")[c].alias(c) for c in cols])
 
 
 def run_lifetime_value(
     spark: SparkSession, feed_path: str, order_schema: T.StructType, excluded=("Cancelled", "Returned"),
-    watermark: str = "730 days", files_per_trigger: int = FILES_PER_TRIGGER, report: dict | None = None,
+    files_per_trigger: int = FILES_PER_TRIGGER, compact_every: int = 20, open_for: int | None = None, folder: str | None = None,
 ) -> DataFrame:
-    """Order stream -> customer lifetime value, kept current.
-
-    Duplicate deliveries of an order inside the watermark are dropped; the
-    update-mode aggregate emits changed customers per micro-batch and
-    ``foreachBatch`` appends them to a keyed changelog (``ChangelogTable``).
-    """
-    folder = _folder(spark, "lifetime-value")
-    orders = (
-        spark.readStream.schema(order_schema).option("maxFilesPerTrigger", files_per_trigger).parquet(feed_path)
-        .withColumn("order_date", F.col("order_date").cast("timestamp"))
-        .withWatermark("order_date", watermark)
-        .dropDuplicatesWithinWatermark(["order_id"])
-        .filter(F.col("order_date") < _end())
-    )
-    agg = orders.groupBy("customer_id").agg(
-        F.sum(F.when(~F.col("order_status").isin(*excluded), F.col("total_amount"))).alias("_ltv"),
-        F.max("order_date").alias("_last"),
-    )
-    table = ChangelogTable(spark, folder + "/table", "customer_id")
-    q = (
-        agg.writeStream.outputMode("update").foreachBatch(table.upsert)
-        .option("checkpointLocation", folder + "/_checkpoint").start()
-    )
-    _run_to_end(q, report)
-    snap = table.read()
-    if snap is None:
-        schema = "customer_id long, total_lifetime_value decimal(12,2), last_purchase_date timestamp_ntz"
-        return spark.createDataFrame([], schema)
-    return snap.select(
-        "customer_id",
-        F.coalesce(F.col("_ltv"), F.lit(0)).cast("decimal(12,2)").alias("total_lifetime_value"),
-        F.col("_last").cast("timestamp_ntz").alias("last_purchase_date"),
+    """A feed of order versions (an order row and its ``version_ts``) ->
+    customer lifetime value, kept current by ``LifetimeValue``. A job started
+    again on the same ``folder`` goes on where it ended."""
+    folder = folder or _folder(spark, "lifetime-value")
+    stream = spark.readStream.schema(order_schema).option("maxFilesPerTrigger", files_per_trigger).parquet(feed_path)
+    times = {c: F.col(c).cast("timestamp") for c in ("order_date", "version_ts")}
+    table = LifetimeValue(spark, folder + "/table", excluded, compact_every, open_for)
+    _run_to_end(
+        stream.withColumns(times).filter(F.col("version_ts") < _end())
+        .writeStream.foreachBatch(table.apply).option("checkpointLocation", folder + "/_checkpoint").start()
     )
+    return table.totals()

@@ -1,160 +1,158 @@
-"""Event-time ordered folds per key with ``applyInPandasWithState``.
-
-Micro-batches may deliver a key's rows out of event-time order. The state
-keeps (a) the fold's carry value and (b) a buffer of rows not yet applied.
-A row is applied only once the watermark has passed its event time: Spark
-drops later input older than the watermark, so no earlier row can still
-arrive, and the fold sees every key's rows in exact (time, id) order. An
-event-time timeout at the oldest buffered row brings the key back when the
-watermark moves, even without new data.
-
-The buffer holds at most the rows of one watermark delay for a key, so state
-stays bounded by (event rate x delay), not by history.
+"""Event-time ordered folds per key with ``transformWithStateInPandas``.
+
+Micro-batches may deliver a key's rows out of event-time order. The state of
+a key is typed: a value (the fold's carry) and a list (rows not yet applied).
+A row is applied once the watermark has passed its event time; an event-time
+timer at the oldest waiting row brings the key back when the watermark
+moves, even without new data. A row that is older than the watermark when it
+arrives is *late*: rows after it may have been applied already. Late rows
+are returned, column by column, beside the fold's output, so that nothing is
+lost unseen.
+
+Spark itself drops late rows in front of a stateful operator if the
+operator's input has the watermarked column. Here the event time goes in as
+microseconds, an expression over that column: the watermark and its timers
+stay, and late rows reach the operator.
+
+Every row is applied in exact (time, id) order or is late, whatever the
+arrival order: a row is applied only behind the watermark, and a row that
+arrives behind the watermark is late. The list holds at most the rows of one
+watermark delay for a key, so state stays bounded by (event rate x delay),
+not by history.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import json
-import re
+import contextlib
 from collections.abc import Callable, Iterator
 
-from zoneinfo import ZoneInfo
-
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-STATE_SCHEMA = T.StructType(
-    [
-        T.StructField("carry", T.StringType()),
-        T.StructField("buffer", T.StringType()),
-        T.StructField("applied_us", T.LongType()),
-        T.StructField("applied_id", T.LongType()),
-    ]
-)
-LATE_COLUMN = "_late"
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+TIME = "event_us"  # event time in microseconds since the epoch (no leading underscore: the rows come as named tuples)
+LATE = "_late"  # true on rows that came too late
+LATE_PREFIX = "_late_"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # fold(key, carry (dict or None), rows sorted by (time, id)) -> (carry, out)
 Fold = Callable[[tuple, dict | None, pd.DataFrame], tuple[dict, pd.DataFrame]]
 
 
-def _to_us(s: pd.Series) -> pd.Series:
-    return pd.to_datetime(s).astype("datetime64[us]").astype("int64")
-
-
-def _wall_clock_us(watermark_ms: int, session_tz: str) -> int:
-    """The watermark instant as session wall-clock microseconds.
-
-    pandas receives TIMESTAMP values as session-local wall clock, while the
-    watermark is an instant; compare like with like."""
-    if session_tz.upper() in ("UTC", "GMT", "Z", "+00:00", "ETC/UTC"):
-        return watermark_ms * 1000
-    instant = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(milliseconds=watermark_ms)
-    local = instant.astimezone(_zone(session_tz)).replace(tzinfo=None)
-    return (local - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
-
-
-def _zone(name: str) -> dt.tzinfo:
-    m = re.fullmatch(r"(?:UTC|GMT)?([+-])(\d{1,2}):?(\d{2})?", name.strip())
-    if m:
-        minutes = int(m.group(2)) * 60 + int(m.group(3) or 0)
-        return dt.timezone(dt.timedelta(minutes=minutes if m.group(1) == "+" else -minutes))
-    return ZoneInfo(name)
-
-
-def make_state_fn(
-    fold: Fold, time_col: str, id_col: str, columns: list[str], out_columns: list[str], session_tz: str = "UTC"
-):
-    """Build the applyInPandasWithState function for ``fold``."""
-
-    def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        carry, buffered, applied = None, [], None
-        if state.exists:
-            carry_json, buf_json, applied_us, applied_id = state.get
-            carry = json.loads(carry_json) if carry_json else None
-            buffered = json.loads(buf_json) if buf_json else []
-            if applied_us is not None:
-                applied = (int(applied_us), int(applied_id))
-        frames = [p[columns] for p in pdfs if len(p)]
-        wait_cols = [c for c in columns if c != time_col] + ["_us"]
-        rows = pd.DataFrame(buffered, columns=wait_cols) if buffered else None
-        late = None
-        if frames:
-            new = pd.concat(frames, ignore_index=True)
-            new["_us"] = _to_us(new[time_col])
-            if applied is not None:
-                behind = (new["_us"] < applied[0]) | ((new["_us"] == applied[0]) & (new[id_col] <= applied[1]))
-                late, new = new[behind], new[~behind]
-            new = new.drop(columns=[time_col])
-            rows = new if rows is None else pd.concat([rows, new], ignore_index=True)
-        if rows is None:
-            rows = pd.DataFrame(columns=wait_cols)
-        watermark = state.getCurrentWatermarkMs()
-        horizon = _wall_clock_us(watermark, session_tz)  # event times are wall-clock microseconds
-        rows = rows.sort_values(["_us", id_col], kind="mergesort")
-        ready = rows[rows["_us"] < horizon]
-        wait = rows[rows["_us"] >= horizon]
-        out = None
-        if len(ready):
-            ready = ready.copy()
-            ready[time_col] = pd.to_datetime(ready["_us"], unit="us")
-            carry, out = fold(key, carry, ready.drop(columns=["_us"]).reset_index(drop=True))
-            last = ready.iloc[-1]
-            applied = (int(last["_us"]), int(last[id_col]))
-        buf = wait[wait_cols].astype(object).where(wait[wait_cols].notna(), None).values.tolist()
-        buf_rows = [dict(zip(wait_cols, r)) for r in buf]
-        if carry is not None or buf_rows or applied is not None:
-            state.update(
-                (
-                    json.dumps(carry) if carry is not None else None,
-                    json.dumps(buf_rows) if buf_rows else None,
-                    applied[0] if applied else None,
-                    applied[1] if applied else None,
-                )
-            )
-        if buf_rows:
-            # wake up once the watermark passes the oldest waiting row
-            first_ms = watermark + 1 + max(0, -(-(int(wait["_us"].min()) - horizon) // 1000))
-            state.setTimeoutTimestamp(first_ms)
-        parts = []
-        if out is not None and len(out):
-            o = out[[c for c in out_columns if c != LATE_COLUMN]].copy()
-            o[LATE_COLUMN] = None
-            parts.append(o)
-        if late is not None and len(late):
-            payload = late[columns].copy()
-            payload[time_col] = payload[time_col].astype(str)
-            lo = pd.DataFrame({c: [None] * len(late) for c in out_columns if c != LATE_COLUMN})
-            lo[LATE_COLUMN] = [
-                json.dumps({k: (None if pd.isna(v) else (v.item() if hasattr(v, "item") else v))
-                            for k, v in r.items()}, ensure_ascii=False)
-                for r in payload.to_dict("records")
-            ]
-            parts.append(lo)
-        for part in parts:
-            yield part[out_columns]
-
-    return fn
+@contextlib.contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, which typed state
+    and timers need; the session's own choice comes back afterwards."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+
+
+def plain(value):
+    """A Python value as the state stores it (missing: None)."""
+    if value is None or (not isinstance(value, str) and pd.isna(value)):
+        return None
+    return value.item() if hasattr(value, "item") else value
+
+
+def stored(frame: pd.DataFrame, schema: T.StructType) -> list[tuple]:
+    """The rows of a frame as values of the schema (pandas turns integers
+    beside missing values into floats)."""
+    whole = [isinstance(f.dataType, T.IntegralType) for f in schema.fields]
+    rows = ([plain(v) for v in row] for row in frame[schema.fieldNames()].itertuples(index=False))
+    return [tuple(int(v) if w and v is not None else v for v, w in zip(row, whole, strict=True)) for row in rows]
+
+
+class OrderedFold(StatefulProcessor):
+    """Applies ``fold`` to each key's rows in (time, id) order."""
+
+    def __init__(self, fold: Fold, id_col: str, rows: T.StructType, carry: T.StructType, out: T.StructType) -> None:
+        self.fold, self.id_col, self.rows, self.carry, self.out = fold, id_col, rows, carry, out
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.carried = handle.getValueState("carry", self.carry)
+        self.waiting = handle.getListState("waiting", self.rows)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        names = self.rows.fieldNames()
+        horizon = timerValues.getCurrentWatermarkInMs() * 1000
+        first = None
+        for frame in rows:
+            if not len(frame):
+                continue
+            late = frame[TIME] < horizon
+            if late.any():
+                yield self._late(frame[late])
+            on_time = frame.loc[~late, names]
+            if len(on_time):
+                first = min(int(on_time[TIME].min()), first if first is not None else int(on_time[TIME].min()))
+                self.waiting.appendList(stored(on_time, self.rows))
+        if first is not None:
+            self._wake(first)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        horizon = timerValues.getCurrentWatermarkInMs() * 1000
+        held = pd.DataFrame(list(self.waiting.get()) if self.waiting.exists() else [], columns=self.rows.fieldNames())
+        held = held.sort_values([TIME, self.id_col], kind="mergesort").reset_index(drop=True)
+        ready, wait = held[held[TIME] < horizon], held[held[TIME] >= horizon]
+        if not len(ready):
+            return
+        before = dict(zip(self.carry.fieldNames(), self.carried.get(), strict=True)) if self.carried.exists() else None
+        after, out = self.fold(key, before, ready)
+        self.carried.update(tuple(after[f] for f in self.carry.fieldNames()))
+        self.waiting.clear()
+        if len(wait):
+            self.waiting.put(stored(wait, self.rows))
+            self._wake(int(wait[TIME].min()))
+        if len(out):
+            yield self._filled(out, late=False)
+
+    def _wake(self, first_us: int) -> None:
+        """A timer at the first moment at which the watermark is past a row."""
+        self.handle.registerTimer(first_us // 1000 + 1)
+
+    def _late(self, rows: pd.DataFrame) -> pd.DataFrame:
+        return self._filled(rows.rename(columns={c: LATE_PREFIX + c for c in rows.columns}), late=True)
+
+    def _filled(self, frame: pd.DataFrame, late: bool) -> pd.DataFrame:
+        return frame.assign(**{LATE: late}).reindex(columns=self.out.fieldNames()).astype(object).where(lambda f: f.notna(), None)
+
+    def close(self) -> None:
+        pass
 
 
 def ordered_fold(
-    stream: DataFrame,
-    keys: list[str],
-    fold: Fold,
-    time_col: str,
-    id_col: str,
-    columns: list[str],
-    output_schema: T.StructType,
+    stream: DataFrame, keys: list[str], fold: Fold, time_col: str, id_col: str, columns: list[str],
+    carry: T.StructType, output_schema: T.StructType,
 ) -> DataFrame:
     """Apply ``fold`` per key in event-time order over a watermarked stream.
 
-    The result has ``output_schema`` plus the ``_late`` column (NULL on fold
-    output; JSON of the input row on rows that arrived too late)."""
-    schema = T.StructType(list(output_schema.fields) + [T.StructField(LATE_COLUMN, T.StringType())])
-    session_tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
-    fn = make_state_fn(fold, time_col, id_col, columns, [f.name for f in schema.fields], session_tz)
-    return stream.groupBy(*keys).applyInPandasWithState(
-        fn, schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
-    )
+    The fold sees ``columns`` and ``event_us``; ``carry`` is the
+    schema of what it hands on. The result has ``output_schema``, ``_late``
+    and, for late rows, the input columns as ``_late_<name>``. Start the
+    query inside ``keyed_state``."""
+    flat = stream.select(*keys, F.unix_micros(F.col(time_col)).alias(TIME), *(c for c in columns if c not in keys))
+    rows = T.StructType([f for f in flat.schema.fields if f.name not in keys or f.name in columns])
+    late = [T.StructField(LATE_PREFIX + f.name, f.dataType) for f in flat.schema.fields]
+    out = T.StructType([T.StructField(f.name, f.dataType) for f in output_schema.fields] + [T.StructField(LATE, T.BooleanType())] + late)
+    processor = OrderedFold(fold, id_col, rows, carry, out)
+    return flat.groupBy(*keys).transformWithStateInPandas(processor, out, "Append", "EventTime")
+
+
+def on_time(out: DataFrame, columns: list[str]) -> DataFrame:
+    """The fold's output of a sink that ``ordered_fold`` has filled."""
+    return out.filter(~F.col(LATE)).select(*columns)
+
+
+def late_rows(out: DataFrame, time_col: str) -> DataFrame:
+    """The late input rows of such a sink, with their event time."""
+    names = [c.removeprefix(LATE_PREFIX) for c in out.columns if c.startswith(LATE_PREFIX)]
+    rows = out.filter(LATE).select(*(F.col(LATE_PREFIX + c).alias(c) for c in names))
+    return rows.withColumn(time_col, F.timestamp_micros(TIME).cast("timestamp_ntz")).drop(TIME)
