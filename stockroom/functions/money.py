@@ -25,6 +25,11 @@ def lit_dec(value: str) -> Column:
     return F.lit(Decimal(value))
 
 
+def at_most_int(c: Column) -> Column:
+    """A BIGINT as INT, stopping at the largest INT."""
+    return F.least(c.cast("long"), F.lit(2**31 - 1).cast("long")).cast("int")
+
+
 def money_sum(c: Column, precision: int = 18) -> Column:
     return dec(F.sum(c), precision, 2)
 

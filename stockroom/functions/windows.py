@@ -191,3 +191,34 @@ def rank_within_limit(
     return pos.withColumn(
         out, F.when(limit.isNull(), F.lit(True)).otherwise(F.col("__before") + 1 <= limit)
     ).drop("__before")
+
+
+def rank_descending(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    out: str,
+    bucket: str | None = None,
+    hot_rows: int = HOT_KEY_ROWS,
+) -> DataFrame:
+    """``RANK()`` over (keys ordered by ``value`` descending, nulls last).
+
+    Two-level: rows are counted per distinct value first, so rows with equal
+    values cost no more than one; the rank of a value is one more than the
+    rows of all greater values of its key, a running sum over range buckets
+    of the distinct values; a join brings it back to the rows. Equal values
+    are one entry, so a border between buckets never parts a tie.
+    """
+    keys = list(keys)
+    if (bucket or bucket_mode(df, keys, hot_rows)) == PLAIN:
+        order = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last())
+        return df.withColumn(out, F.rank().over(order).cast("long"))
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
+    # one struct as key: a null key is a key like any other
+    counts = counts.withColumn("__key", F.struct(*keys))
+    above = running_sums(counts, ["__key"], [F.col(value).desc_nulls_last()], {"__above": F.col("__n")}, RANGE)
+    ranks = above.select(*(F.col(c).alias("__k_" + c) for c in (*keys, value)), (F.col("__above") + 1).cast("long").alias(out))
+    same = F.lit(True)
+    for c in (*keys, value):
+        same = same & F.col(c).eqNullSafe(F.col("__k_" + c))
+    return df.join(ranks, same).drop(*("__k_" + c for c in (*keys, value)))

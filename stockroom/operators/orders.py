@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockroom.functions.ids import line_id
+from stockroom.functions.ids import LINES_PER_ID, MAX_PARENT_ID, line_id
 from stockroom.functions.joins import broadcast_if_small
-from stockroom.functions.money import dec, floor_tenth, lit_dec
+from stockroom.functions.money import at_most_int, dec, floor_tenth, lit_dec
 
 ITEM_FIELDS = T.ArrayType(
     T.StructType(
@@ -35,8 +35,7 @@ POINTS_VALID_DAYS = 365
 RULE_JSON, RULE_CUSTOMER, RULE_NO_ITEMS, RULE_MISSING, RULE_INACTIVE, RULE_NEGATIVE, RULE_STOCK, RULE_RANGE = range(1, 9)
 
 INT_MAX = 2**31 - 1
-# largest subtotal whose total with tax and shipping fits DECIMAL(10,2)
-MAX_SUBTOTAL = "84000000.00"
+MAX_AMOUNT = "99999999.99"  # DECIMAL(10,2)
 
 
 def _items(col: str = "items_json") -> Column:
@@ -95,9 +94,18 @@ def request_facts(enriched: DataFrame) -> DataFrame:
 
 
 def _out_of_range() -> Column:
-    """A quantity beyond INT, or a total that may not fit DECIMAL(10,2)."""
-    most = lit_dec(MAX_SUBTOTAL)
-    return F.coalesce(F.col("_huge"), F.lit(False)) | F.coalesce(F.col("_subtotal_raw") > most, F.lit(False))
+    """A quantity beyond INT, a total beyond DECIMAL(10,2), or lines that
+    have no ids (``functions.ids``). The total is that of the order without a
+    promotion, computed wide: a promotion only lowers it, and may still be
+    withdrawn."""
+    subtotal = dec(F.col("_subtotal_raw"), 30)
+    total = subtotal + dec(subtotal * lit_dec(TAX_RATE), 30) + shipping_charge(F.col("shipping_method"))
+    return (
+        F.coalesce(F.col("_huge"), F.lit(False))
+        | F.coalesce(total > lit_dec(MAX_AMOUNT), F.lit(False))
+        | F.coalesce(F.col("_n_items") > LINES_PER_ID, F.lit(False))
+        | (F.abs("request_id") > MAX_PARENT_ID)
+    )
 
 
 def validated_requests(requests: DataFrame, facts: DataFrame, customer: DataFrame) -> DataFrame:
@@ -152,7 +160,7 @@ def validate_order_requests(
     requests: DataFrame, enriched: DataFrame, customer: DataFrame
 ) -> DataFrame:
     """O2: first failing rule per request (stock is O5)."""
-    heads = requests.select("request_id", "customer_id", "items_json")
+    heads = requests.select("request_id", "customer_id", "items_json", "shipping_method")
     return validated_requests(heads, request_facts(enriched), customer).select(
         "request_id", "failed_rule", "message"
     )
@@ -432,8 +440,10 @@ def loyalty_accrual(accepted: DataFrame) -> DataFrame:
 
 
 def loyalty_balances(customer_loyalty: DataFrame, accrual: DataFrame, accepted: DataFrame) -> DataFrame:
-    """Points and spend added once per customer (pre-aggregated)."""
-    pts = accrual.groupBy("customer_id").agg(F.sum("points_change").cast("int").alias("_pts"))
+    """Points and spend added once per customer (pre-aggregated). A
+    balance stops at the largest value that its column holds; the ledger
+    (O11a) keeps every change."""
+    pts = accrual.groupBy("customer_id").agg(F.sum("points_change").alias("_pts"))
     spend = (
         accepted.filter(F.col("total_amount") > 0)
         .groupBy("customer_id")
@@ -445,9 +455,9 @@ def loyalty_balances(customer_loyalty: DataFrame, accrual: DataFrame, accepted:
     p = F.coalesce(F.col("_pts"), F.lit(0))
     # every other column of the snapshot stays as it is
     return j.withColumns({
-        "loyalty_points": (F.col("loyalty_points") + p).cast("int"),
-        "points_earned": (earned + p).cast("int"),
-        "total_spent": dec(F.col("total_spent") + F.coalesce(F.col("_spend"), F.lit(0)), 12),
+        "loyalty_points": at_most_int(F.col("loyalty_points") + p),
+        "points_earned": at_most_int(earned + p),
+        "total_spent": dec(F.least(F.col("total_spent") + F.coalesce(F.col("_spend"), F.lit(0)), lit_dec("9999999999.99")), 12),
     }).drop("_pts", "_spend")
 
 

@@ -14,12 +14,58 @@ from pyspark.sql import functions as F
 
 from stockroom.functions.clock import ts_lit
 from stockroom.functions.windows import bucket_mode, running_sums
+from stockroom.operators.allocate import allocate_lines
+from stockroom.session import cut_lineage
 
-def validate_restocks(restocks: DataFrame, product: DataFrame, suppliers: DataFrame) -> DataFrame:
+INT_MAX = 2**31 - 1
+RULE_RANGE = 5
+
+
+def validate_restocks(
+    restocks: DataFrame, product: DataFrame, suppliers: DataFrame, inventory: DataFrame | None = None
+) -> DataFrame:
     """First failing rule per restock.
 
-    NULL quantity or cost passes the two positivity tests (as coded).
+    NULL quantity or cost passes the two positivity tests (as coded). With
+    ``inventory``, a restock that would lift its product's level beyond INT,
+    given the restocks accepted before it, is refused (``refused_by_range``).
+    """
+    checks = _row_checks(restocks, product, suppliers)
+    if inventory is None:
+        return checks
+    passed = restocks.join(checks.filter(F.col("failed_rule").isNull()).select("restock_id"), "restock_id", "left_semi")
+    refused = refused_by_range(passed, inventory)
+    if refused is None:
+        return checks
+    j = checks.join(refused.withColumn("_refused", F.lit(True)), "restock_id", "left")
+    return j.select(
+        "restock_id",
+        F.when(F.col("_refused"), RULE_RANGE).otherwise(F.col("failed_rule")).alias("failed_rule"),
+        F.when(F.col("_refused"), F.lit("Restock quantity or stock level is out of range")).otherwise(F.col("message")).alias("message"),
+    )
+
+
+def refused_by_range(passed: DataFrame, inventory: DataFrame) -> DataFrame | None:
+    """restock_id of the restocks that do not fit below the largest INT, in
+    restock order: one that does not fit leaves the level as it is, so that a
+    smaller one behind it may fit. None if all fit.
+
+    One sum per product tells which products can run over at all. Only those
+    enter the rounds of the allocation (O5), with the room up to INT as stock.
     """
+    room = inventory.select("product_id", (F.lit(INT_MAX) - F.col("quantity_on_hand").cast("long")).alias("quantity_available"))
+    asked = passed.groupBy("product_id").agg(F.sum("quantity").alias("_asked"))
+    tight = asked.join(room, "product_id").filter(F.col("_asked") > F.col("quantity_available")).select("product_id")
+    tight = cut_lineage(tight, "restock-tight")
+    if tight.isEmpty():
+        return None
+    lines = passed.filter("quantity > 0").join(tight, "product_id", "left_semi").select(
+        F.col("restock_id").alias("request_id"), F.col("restock_id").alias("request_ts"), "product_id", "quantity")
+    decided = allocate_lines(lines, room.join(tight, "product_id", "left_semi"))
+    return decided.filter(~F.col("accepted")).select(F.col("request_id").alias("restock_id"))
+
+
+def _row_checks(restocks: DataFrame, product: DataFrame, suppliers: DataFrame) -> DataFrame:
     prod = product.filter(F.col("is_active")).select(F.col("product_id").alias("_p"), F.lit(True).alias("_p_ok"))
     sup = suppliers.filter(F.col("is_active")).select(F.col("supplier_id").alias("_s"), F.lit(True).alias("_s_ok"))
     j = restocks.join(prod, restocks.product_id == prod._p, "left").join(

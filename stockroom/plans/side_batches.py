@@ -37,7 +37,7 @@ class RestockBatch:
 
     @cached_property
     def checks(self) -> DataFrame:  # R1
-        return cut_lineage(restock.validate_restocks(self.restocks, self.product, self.suppliers), "restock-checks")
+        return cut_lineage(restock.validate_restocks(self.restocks, self.product, self.suppliers, self.inventory), "restock-checks")
 
     @cached_property
     def valid(self) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from stockroom.functions.clock import ts_lit
-from stockroom.operators import health, kpis, loyalty, orders, quality, restock, returns, rules
+from stockroom.operators import cascade, catalogue, health, kpis, loyalty, orders, quality, restock, returns, rules
 from stockroom.plans.order_batch import order_batch
 from stockroom.plans.registry import query
 from stockroom.plans.side_batches import RestockBatch, ReturnBatch
@@ -282,6 +283,76 @@ def _c7(f: Fixtures):
     )
 
 
+# The declared constraints of the tables.
+EMAIL = "email RLIKE '^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\\\.[A-Za-z]{2,}$'"
+DECLARED = [
+    catalogue.Table("customer", "customer_id", ["full_name", "email"], {"email": ["email"]}, {"email_format": EMAIL}),
+    catalogue.Table("customer_loyalty", "loyalty_id", ["customer_id"], {"customer_id": ["customer_id"]},
+                    lists={"loyalty_tier": ["Bronze", "Silver", "Gold", "Platinum"]}, references={"customer_id": "customer"}),
+    catalogue.Table("product_category", "category_id", ["category_name"], {"category_name": ["category_name"]}),
+    catalogue.Table("product", "product_id", ["product_name", "category_id", "price"], {"product_name": ["product_name"], "sku": ["sku"]},
+                    {"price_non_negative": "price >= 0"}, references={"category_id": "product_category"}),
+    catalogue.Table("suppliers", "supplier_id", ["supplier_name"]),
+    catalogue.Table("inventory", "inventory_id", ["product_id", "quantity_on_hand", "quantity_reserved", "reorder_point", "reorder_quantity"],
+                    {"product_id": ["product_id"]},
+                    {"on_hand_non_negative": "quantity_on_hand >= 0", "reserved_non_negative": "quantity_reserved >= 0",
+                     "reorder_point_non_negative": "reorder_point >= 0", "reorder_quantity_positive": "reorder_quantity > 0"},
+                    references={"product_id": "product"}),
+    catalogue.Table("promotions", "promotion_id", ["promotion_code", "promotion_type", "discount_value", "valid_from", "valid_to"],
+                    {"promotion_code": ["promotion_code"]}, lists={"promotion_type": ["Percentage", "Fixed Amount", "Free Shipping"]}),
+    catalogue.Table("orders", "order_id", ["customer_id", "total_amount"], {}, {"total_non_negative": "total_amount >= 0"},
+                    {"order_status": ["Pending", "Processing", "Shipped", "Delivered", "Cancelled", "Returned"]}, {"customer_id": "customer"}),
+    catalogue.Table("order_item", "order_item_id", ["order_id", "product_id", "quantity", "unit_price"], {},
+                    {"quantity_positive": "quantity > 0", "unit_price_non_negative": "unit_price >= 0"},
+                    references={"order_id": "orders", "product_id": "product"}),
+    catalogue.Table("low_stock_alerts", "alert_id", ["product_id"], lists={"alert_level": ["INFO", "WARNING", "CRITICAL"]},
+                    references={"product_id": "product"}),
+    catalogue.Table("system_error_log", "error_id", lists={"severity": ["LOW", "MEDIUM", "HIGH", "CRITICAL"]}),
+]
+
+
+@query("constraint_violations")
+def _c1_4(f: Fixtures):
+    """C1-C4 over all declared constraints of tables that break each of them."""
+    return catalogue.violations(DECLARED, f.broken_tables)
+
+
+REFERENCES = [
+    cascade.Reference("customer_loyalty", "customer_id", "customer", cascade.CASCADE),
+    cascade.Reference("orders", "customer_id", "customer"),
+    cascade.Reference("order_item", "order_id", "orders", cascade.CASCADE),
+    cascade.Reference("order_item", "product_id", "product"),
+    cascade.Reference("shipping_info", "order_id", "orders", cascade.CASCADE),
+    cascade.Reference("returns", "order_id", "orders"),
+    cascade.Reference("returns", "customer_id", "customer"),
+    cascade.Reference("return_items", "return_id", "returns", cascade.CASCADE),
+    cascade.Reference("return_items", "product_id", "product"),
+    cascade.Reference("inventory", "product_id", "product", cascade.CASCADE),
+]
+DELETE_KEYS = {
+    "customer": "customer_id", "customer_loyalty": "customer_id", "orders": "order_id", "order_item": "order_item_id",
+    "shipping_info": "shipping_id", "returns": "return_id", "return_items": "return_item_id", "product": "product_id", "inventory": "product_id",
+}
+
+
+def _deletion(f: Fixtures) -> cascade.Deletion:
+    return cascade.Deletion(f.delete_requests, {t: getattr(f, t) for t in DELETE_KEYS}, DELETE_KEYS, REFERENCES)
+
+
+@query("delete_outcomes")
+def _c7b(f: Fixtures):
+    """C7 over the whole reference graph: the fate of every request."""
+    return _deletion(f).outcomes()
+
+
+@query("delete_survivors")
+def _c7c(f: Fixtures):
+    """The rows of every table that are left."""
+    done = _deletion(f)
+    left = [done.survivors(t).select(F.lit(t).alias("table"), F.col(k).cast("long").alias("key")) for t, k in DELETE_KEYS.items()]
+    return reduce(lambda a, b: a.unionByName(b), left)
+
+
 # ------------------------------------------------------------------ O ----
 
 

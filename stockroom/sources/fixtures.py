@@ -25,6 +25,7 @@ LOG_DATE = dt.date(2024, 1, 30)
 OPERATOR = "batch@stockroom"
 AMPLE_STOCK = 100000
 SECOND_RETURN = 1_000_000_000_000
+INT_MAX = 2**31 - 1
 
 
 def money(c: Column | str, precision: int = 10) -> Column:
@@ -145,9 +146,9 @@ class Fixtures:
         d = lambda v: None if v is None else Decimal(v)
         ts = lambda s: dt.datetime.fromisoformat(s)
         rows = [
-            (1, "WELCOME10", "Percentage", d("10"), d("0"), None, ts("1995-01-01"), ts("2001-12-31"), None, 0, True),
-            (2, "FREESHIP", "Free Shipping", d("0"), d("100"), None, ts("1995-01-01"), ts("2001-12-31"), None, 0, True),
-            (3, "SAVE50", "Fixed Amount", d("50"), d("500"), None, ts("1998-01-01"), ts("1998-12-31"), None, 0, True),
+            (1, "SPRING12", "Percentage", d("12"), d("40"), None, ts("1995-01-01"), ts("2001-12-31"), None, 0, True),
+            (2, "PARCEL0", "Free Shipping", d("0"), d("250"), None, ts("1995-01-01"), ts("2001-12-31"), None, 0, True),
+            (3, "MINUS75", "Fixed Amount", d("75"), d("900"), None, ts("1998-01-01"), ts("1998-12-31"), None, 0, True),
             (4, "CAPPED", "Percentage", d("20"), d("0"), d("500"), ts("1995-01-01"), ts("2001-12-31"), 50, 10, True),
             (5, "RETIRED", "Percentage", d("90"), d("0"), None, ts("1995-01-01"), ts("2001-12-31"), None, 0, False),
         ]
@@ -225,6 +226,7 @@ class Fixtures:
             .otherwise(F.col("l_partkey"))
             .alias("product_id"),
             F.when((k + n) % 89 == 0, F.lit(0))
+            .when((k * 7 + n) % 499 == 0, F.lit(INT_MAX))  # must not stop the batch
             .otherwise(F.col("l_quantity").cast("int"))
             .alias("quantity"),
         )
@@ -255,9 +257,9 @@ class Fixtures:
             .otherwise("standard")
             .alias("shipping_method"),
             F.lit('{"city": "Springfield"}').alias("shipping_address"),
-            F.when(k % 7 == 0, "WELCOME10")
-            .when(k % 7 == 1, "freeship")
-            .when(k % 7 == 2, "SAVE50")
+            F.when(k % 7 == 0, "SPRING12")
+            .when(k % 7 == 1, "parcel0")
+            .when(k % 7 == 2, "MINUS75")
             .when(k % 7 == 3, "CAPPED")
             .when(k % 7 == 4, "RETIRED")
             .when(k % 7 == 5, "UNKNOWN")
@@ -272,7 +274,13 @@ class Fixtures:
         return oi.select(
             rid.alias("restock_id"),
             F.col("product_id"),
-            F.when(rid % 53 == 0, F.lit(0)).otherwise(F.col("quantity")).alias("quantity"),
+            # every third line of some products, and single lines of others,
+            # bring their stock up to the largest INT and beyond
+            F.when(rid % 53 == 0, F.lit(0))
+            .when((F.col("product_id") % 100 == 7) & (rid % 3 == 0), F.lit(2**29))
+            .when(rid % 1009 == 0, F.lit(INT_MAX))
+            .otherwise(F.col("quantity"))
+            .alias("quantity"),
             F.when(rid % 3 == 0, F.lit(None).cast("string"))
             .otherwise(F.concat(F.lit("B"), rid.cast("string")))
             .alias("batch_number"),
@@ -441,3 +449,69 @@ class Fixtures:
                 F.concat(F.lit("new."), F.col("customer_id").cast("string"), F.lit("@example.org")),
             ).otherwise(F.col("email")),
         )
+
+    # ---- one reference graph for deletes (C7) -------------------------------
+    @cached_property
+    def shipping_info(self) -> DataFrame:
+        """A shipment for every second order."""
+        return self.orders.filter(F.col("order_id") % 2 == 0).select(F.col("order_id").alias("shipping_id"), "order_id")
+
+    @cached_property
+    def returns(self) -> DataFrame:
+        """A return for every fourth order."""
+        return self.orders.filter(F.col("order_id") % 4 == 0).select(
+            (F.col("order_id") * 10).alias("return_id"), "order_id", "customer_id")
+
+    @cached_property
+    def return_items(self) -> DataFrame:
+        items = self.order_item.filter(F.col("order_id") % 4 == 0)
+        return items.select(F.col("order_item_id").alias("return_item_id"), (F.col("order_id") * 10).alias("return_id"), "product_id")
+
+    @cached_property
+    def delete_requests(self) -> DataFrame:
+        """Requests to delete rows of four tables, some of which do not exist."""
+        def some(rows: DataFrame, table: str, key: str, every: int) -> DataFrame:
+            return rows.filter(F.col(key) % every == 0).select(F.lit(table).alias("table"), F.col(key).cast("long").alias("key"))
+
+        customers = some(self.customer, "customer", "customer_id", 3)
+        return (
+            customers.unionByName(customers.select("table", (-F.col("key")).alias("key")))
+            .unionByName(some(self.orders, "orders", "order_id", 11))
+            .unionByName(some(self.returns, "returns", "order_id", 3).withColumn("key", F.col("key") * 10))
+            .unionByName(some(self.product, "product", "product_id", 13))
+        )
+
+    # ---- tables that break each of their declared constraints (C1-C4) -------
+    @cached_property
+    def broken_tables(self) -> dict[str, DataFrame]:
+        def spoilt(rows: DataFrame, key: str, **columns: tuple[int, Column]) -> DataFrame:
+            """Column values replaced in the rows whose key is divisible."""
+            return rows.withColumns({c: F.when(F.col(key) % every == 0, value).otherwise(F.col(c)) for c, (every, value) in columns.items()})
+
+        def twice(rows: DataFrame, key: str, every: int) -> DataFrame:
+            return rows.unionByName(rows.filter(F.col(key) % every == 0))
+
+        c = F.col
+        null = F.lit(None)
+        again = self.product_category.filter(c("category_id").endswith("BRASS")).withColumn("category_id", F.concat("category_id", F.lit("-2")))
+        return {
+            "customer": twice(spoilt(self.customer, "customer_id", full_name=(103, null)), "customer_id", 101),
+            "customer_loyalty": spoilt(
+                self.customer_loyalty.withColumn("loyalty_id", c("customer_id")), "loyalty_id",
+                customer_id=(107, -c("customer_id")), loyalty_tier=(109, F.lit("Diamond"))),
+            "product_category": self.product_category.unionByName(again),
+            "product": spoilt(self.product, "product_id", price=(113, -c("price")), sku=(127, F.lit("DUP")), category_id=(131, F.lit("NONE"))),
+            "suppliers": spoilt(self.suppliers, "supplier_id", supplier_name=(7, null)),
+            "inventory": spoilt(
+                self.inventory_minus5.withColumn("inventory_id", c("product_id")), "inventory_id", product_id=(89, -c("product_id")),
+                quantity_reserved=(79, F.lit(-1)), reorder_point=(83, F.lit(-1)), reorder_quantity=(97, F.lit(0))),
+            "promotions": spoilt(self.promotions, "promotion_id", promotion_type=(5, F.lit("Coupon")), promotion_code=(5, F.lit("SPRING12"))),
+            "orders": twice(spoilt(
+                self.orders, "order_id", customer_id=(41, F.lit(-1)), total_amount=(43, -c("total_amount")), order_status=(47, F.lit("Lost"))),
+                "order_id", 53),
+            "order_item": spoilt(
+                self.order_item_broken, "order_item_id", quantity=(59, F.lit(0)), unit_price=(61, -c("unit_price")), product_id=(67, -c("product_id"))),
+            "low_stock_alerts": spoilt(
+                self.low_stock_alerts.withColumn("alert_id", c("product_id")), "alert_id", alert_level=(71, F.lit("PANIC")), product_id=(2, -c("product_id"))),
+            "system_error_log": spoilt(self.system_error_log, "error_id", severity=(73, F.lit("FATAL"))),
+        }

@@ -2,9 +2,11 @@
 
 import datetime as dt
 import json
+import random
 import tempfile
 from decimal import Decimal as D
 
+import pytest
 import seeds
 from stockroom.operators import loyalty, orders, returns
 from stockroom.plans import jobs
@@ -13,6 +15,7 @@ from stockroom.plans.side_batches import RestockBatch, ReturnBatch
 
 ORDERS = "order_id long, customer_id long, order_date timestamp_ntz, total_amount decimal(10,2), order_status string"
 ITEMS = "order_item_id long, order_id long, product_id long, quantity int, unit_price decimal(10,2)"
+INT_MAX = 2**31 - 1
 RETURNS = "request_id long, order_id long, items_json string, return_reason string, refund_method string"
 
 
@@ -124,3 +127,56 @@ def test_rerun_without_rows_clears_its_partition(spark):
 
     assert run("nope") == 1
     assert run(json.dumps([_item(5, 1)])) == 0
+
+
+def _serial_levels(rows, level):
+    refused = set()
+    for rid, q in rows:
+        if level + q > INT_MAX:
+            refused.add(rid)
+        else:
+            level += q
+    return refused, level
+
+
+def test_poison_restocks_do_not_stop_the_batch(spark):
+    """A restock that does not fit below the largest INT is refused by itself;
+    smaller ones behind it still go in, as one by one."""
+    draw = random.Random(4)
+    rows = [(k, 1, draw.choice([1, 50, 2**29, 2**30, INT_MAX, INT_MAX - 170])) for k in range(1, 40)] + [(100, 5, 3), (101, 5, INT_MAX)]
+    restock_rows = [(k, p, q, None, None, D("1.00"), None) for k, p, q in rows]
+    schema = "restock_id long, product_id long, quantity int, batch_number string, supplier_id long, unit_cost decimal(10,2), expiration_date date"
+    stock = seeds.inventory(spark)
+    held = {r["product_id"]: r["quantity_on_hand"] for r in stock.collect()}
+    b = RestockBatch(spark.createDataFrame(restock_rows, schema), seeds.product(spark), seeds.suppliers(spark), stock, seeds.NOW, "tester")
+    refused, level = _serial_levels([(k, q) for k, p, q in rows if p == 1], held[1])
+    assert refused and {r["restock_id"] for r in b.checks.filter("failed_rule = 5").collect()} == refused | {101}
+    after = {r["product_id"]: r["quantity_on_hand"] for r in b.inventory_after().collect()}
+    assert after[1] == level and after[5] == held[5] + 3
+    messages = {r["restock_id"]: r["message"] for r in b.results().collect()}
+    assert messages[101] == "Restock quantity or stock level is out of range"
+    assert b.movements.count() == len(rows) - len(refused) - 1
+
+
+@pytest.mark.parametrize("price, fits", [("84745758.46", True), ("84745758.48", False)])
+def test_the_real_total_decides_the_range(spark, price, fits):
+    """Subtotal, 18 % tax and 5.00 shipping against DECIMAL(10,2)."""
+    product = spark.createDataFrame([(1, "p", 1, "s", D(price), True)], "product_id long, product_name string, category_id int, sku string, price decimal(10,2), is_active boolean")
+    rows = [(1, 1, 1, json.dumps([_item(1, 1)]), "STANDARD", None)]
+    b = order_batch(seeds.requests(spark, rows), seeds.customer(spark), product, seeds.inventory(spark), seeds.promotions(spark))
+    assert (orders.order_results(b.decided).first()["status"] == "SUCCESS") == fits
+
+
+def test_ids_without_room_are_refused(spark):
+    rows = [(9_000_000_000_001, 1, 1, json.dumps([_item(5, 1)]), "STANDARD", None), (7, 2, 1, json.dumps([_item(5, 1)]), "STANDARD", None)]
+    b = order_batch(seeds.requests(spark, rows), seeds.customer(spark), seeds.product(spark), seeds.inventory(spark), seeds.promotions(spark))
+    got = {r["request_id"]: r["status"] for r in orders.order_results(b.decided).collect()}
+    assert got == {9_000_000_000_001: "ERROR", 7: "SUCCESS"} and b.accepted_lines.count() == 1
+
+
+def test_balances_stop_at_their_range(spark):
+    loyalty_rows = spark.createDataFrame([(1, D("9999999999.00"), INT_MAX - 1, "Gold", 0)], "customer_id long, total_spent decimal(12,2), loyalty_points int, loyalty_tier string, points_earned int")
+    accepted = spark.createDataFrame([(1, D("700.00"))], "customer_id long, total_amount decimal(10,2)")
+    accrual = spark.createDataFrame([(1, 70)], "customer_id long, points_change int")
+    row = orders.loyalty_balances(loyalty_rows, accrual, accepted).first()
+    assert (row["loyalty_points"], row["points_earned"], row["total_spent"]) == (INT_MAX, 70, D("9999999999.99"))

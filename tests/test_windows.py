@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from stockroom.functions.windows import (
     bucket_mode,
     previous_value,
     range_buckets,
+    rank_descending,
     rank_within_limit,
     running_sums,
 )
@@ -90,3 +92,16 @@ def test_bucket_mode_follows_the_largest_key(spark):
     df = _data(spark)  # key 0 holds 1000 rows
     assert bucket_mode(df, ["k"], hot_rows=999) == RANGE
     assert bucket_mode(df, ["k"], hot_rows=1000) == PLAIN
+
+
+@pytest.mark.parametrize("bucket", [PLAIN, RANGE])
+def test_rank_descending_with_ties_and_nulls(spark, bucket):
+    draw = random.Random(2)
+    rows = [("hot", draw.choice([None, *range(12)]), k) for k in range(300)] + [("cold", 5, 1), ("cold", None, 2), (None, 3, 3), (None, 4, 4)]
+    df = spark.createDataFrame(rows, "k string, v int, id int").repartition(5)
+    got = {(r["k"], r["v"], r["id"], r["r"]) for r in rank_descending(df, ["k"], "v", "r", bucket).collect()}
+
+    def rank(k, v):
+        return 1 + sum(o == k and (w is not None if v is None else w is not None and w > v) for o, w, _ in rows)
+
+    assert got == {(k, v, i, rank(k, v)) for k, v, i in rows}
