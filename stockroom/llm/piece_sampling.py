@@ -31,7 +31,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +45,7 @@ SPACE_MARK = 0x2581
 LITERAL_MARK = 0x110000  # a space mark of the text itself: above all code points
 FALLBACK = 1 << 22  # piece numbers from here on: a character in bytes
 CHUNK = 1 << 18  # characters that are encoded together
+DECODE = 1 << 20  # ids whose bytes are gathered together
 
 
 class Pieces:
@@ -102,6 +102,20 @@ class Pieces:
             alive = alive[hit]
 
 
+class ByteTable:
+    """Byte strings laid end to end, to be joined by number."""
+
+    def __init__(self, strings: list[bytes]) -> None:
+        self.data = np.frombuffer(b"".join(strings), dtype=np.uint8)
+        self.size = np.array([len(s) for s in strings], dtype=np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        sizes = self.size[numbers]
+        ends = np.cumsum(sizes)
+        return self.data[np.repeat(self.begin[numbers] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 def code_points(text: str) -> np.ndarray:
     """Code points with a leading space mark and marks for spaces."""
     codes = np.frombuffer((" " + text).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -115,9 +129,9 @@ def unit_starts(codes: np.ndarray) -> np.ndarray:
 
 def utf8(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Flat UTF-8 bytes of code points and the number of bytes of each."""
-    codes = np.where(codes == LITERAL_MARK, SPACE_MARK, codes)
-    coded = [chr(int(c)).encode("utf-8", "surrogatepass") for c in codes]
-    return np.frombuffer(b"".join(coded), dtype=np.uint8), np.array([len(c) for c in coded], dtype=np.int64)
+    distinct, which = np.unique(np.where(codes == LITERAL_MARK, SPACE_MARK, codes), return_inverse=True)
+    table = ByteTable([chr(int(c)).encode("utf-8", "surrogatepass") for c in distinct])
+    return table.joined(which), table.size[which]
 
 
 @dataclass(frozen=True)
@@ -239,10 +253,26 @@ class Encoder:
 
 class Decoder:
     def __init__(self, model: str = MODEL) -> None:
-        self.raw = Pieces(model).raw
-
-    def decode(self, ids) -> str:
-        return b"".join([self.raw[i] for i in ids]).decode("utf-8", "surrogatepass")[1:]
+        self.table = ByteTable(Pieces(model).raw)
+
+    def decode(self, ids: np.ndarray) -> str:
+        return self.table.joined(np.asarray(ids, dtype=np.int64)).tobytes().decode("utf-8", "surrogatepass")[1:]
+
+    def texts(self, lists: pa.ListArray) -> pa.Array:
+        """The texts of lists of ids (null: null). The bytes of all lists are
+        gathered at once, those of a long list in parts."""
+        bounds = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]).astype(np.int64)
+        ids = lists.flatten().to_numpy()
+        parts = [self.table.joined(ids[at : at + DECODE]) for at in range(0, len(ids), DECODE)]
+        data = np.concatenate([*parts, np.empty(0, dtype=np.uint8)])
+        ends = np.concatenate([[0], np.cumsum(self.table.size[ids])])[bounds]
+        # every text that is not empty begins with the space before it
+        filled = np.diff(bounds) > 0
+        keep = np.ones(len(data), dtype=bool)
+        keep[ends[:-1][filled]] = False
+        offsets = (ends - np.concatenate([[0], np.cumsum(filled)])).astype(np.int32)
+        valid = np.packbits(lists.is_valid().to_numpy(zero_copy_only=False), bitorder="little")
+        return pa.Array.from_buffers(pa.string(), len(lists), [pa.py_buffer(x.tobytes()) for x in (valid, offsets, data[keep])])
 
 
 def chunked(texts: list[str], size: int = CHUNK) -> Iterator[slice]:
@@ -287,10 +317,11 @@ def encode_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", i
 def decode_documents(rows: DataFrame, ids: str = "piece_ids", out: str = "decoded", model: str = MODEL) -> DataFrame:
     """``rows`` plus ``out``: the text that the ids stand for."""
 
-    @F.pandas_udf("string")
-    def decode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def decode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         decoder = Decoder(model)
         for part in parts:
-            yield pd.Series([None if v is None else decoder.decode(v) for v in part], dtype=object)
+            texts = [decoder.texts(part.slice(at, 512)) for at in range(0, len(part), 512)]
+            yield pa.concat_arrays(texts) if texts else pa.array([], pa.string())
 
     return rows.withColumn(out, decode(F.col(ids)))
