@@ -10,15 +10,12 @@ NOW = dt.datetime(2025, 1, 15, 10, 0, 0)
 
 def product(spark):
     rows = [
-        (1, "Copper Kettle", 1, "KIT-01", D("320.00"), True),
-        (2, "Cast Iron Stove", 1, "KIT-02", D("1450.00"), True),
-        (3, "Oven Stone", 1, "KIT-03", D("110.00"), True),
-        (4, "Enamel Pot", 1, "KIT-04", D("64.00"), True),
-        (5, "Linen Apron", 2, "TEX-01", D("35.00"), True),
-        (6, "Wool Blanket", 2, "TEX-02", D("95.00"), True),
-        (7, "Felt Slippers", 2, "TEX-03", D("52.00"), True),
-        (8, "Herb Almanac", 3, "PRT-01", D("27.00"), True),
-        (9, "Atlas of Rivers", 3, "PRT-02", D("72.00"), True),
+        (1, "Fern", 10, "PLT-F", D("18.25"), True),
+        (2, "Olive Tree", 10, "PLT-O", D("880.00"), True),
+        (3, "Clay Trough", 20, "POT-C", D("92.00"), True),
+        (5, "Potting Soil", 30, "SOI-P", D("35.00"), True),
+        (6, "Leaf Mould", 30, "SOI-L", D("21.40"), True),
+        (14, "Pruning Saw", 40, "TOO-S", D("58.75"), False),
     ]
     return spark.createDataFrame(
         rows, "product_id long, product_name string, category_id int, sku string, price decimal(10,2), is_active boolean"
@@ -26,8 +23,7 @@ def product(spark):
 
 
 def inventory(spark):
-    rows = [(1, 44, 12, 24), (2, 14, 4, 9), (3, 90, 18, 40), (4, 26, 7, 16), (5, 170, 25, 90),
-            (6, 70, 22, 45), (7, 55, 14, 33), (8, 48, 9, 21), (9, 31, 11, 19)]
+    rows = [(5, 170, 25, 90), (1, 44, 12, 24), (3, 90, 18, 40), (14, 8, 1, 4), (2, 6, 2, 3), (6, 70, 22, 45)]
     return spark.createDataFrame(
         [(p, q, 0, q, rp, rq, None) for p, q, rp, rq in rows],
         "product_id long, quantity_on_hand int, quantity_reserved int, quantity_available int, "
@@ -35,30 +31,35 @@ def inventory(spark):
     )
 
 
+CUSTOMERS = {1: ("Mara Lind", True), 2: ("Otis Vega", True), 7: ("Ines Kord", False), 8: ("Tomas Brand", True)}
+
+
 def customer(spark):
-    rows = [(1, "Mara Lind", "mara@post.example", True), (2, "Otis Vega", "otis@post.example", True),
-            (3, "Ines Kord", "ines@post.example", True)]
+    rows = [(c, name, name.split()[0].lower() + "@post.example", active) for c, (name, active) in CUSTOMERS.items()]
     return spark.createDataFrame(rows, "customer_id long, full_name string, email string, is_active boolean")
 
 
 def customer_loyalty(spark):
     return spark.createDataFrame(
-        [(c, D("0.00"), 0, "Bronze") for c in (1, 2, 3)],
+        [(c, D("0.00"), 0, "Bronze") for c in CUSTOMERS],
         "customer_id long, total_spent decimal(12,2), loyalty_points int, loyalty_tier string",
     )
 
 
 def suppliers(spark):
-    rows = [(1, "North Forge", True), (2, "Loom and Thread", True), (3, "River Press", True)]
+    rows = [(1, "Green Hill", True), (9, "Old Quarry", False)]
     return spark.createDataFrame(rows, "supplier_id long, supplier_name string, is_active boolean")
 
 
 def promotions(spark):
-    frm, to6, to12 = NOW - dt.timedelta(days=1), NOW + dt.timedelta(days=180), NOW + dt.timedelta(days=365)
+    def around(before, after):
+        return NOW - dt.timedelta(days=before), NOW + dt.timedelta(days=after)
+
     rows = [
-        (1, "SPRING10", "Percentage", D("10.00"), D("0.00"), None, frm, to12, None, 0, True),
-        (2, "NOFREIGHT", "Free Shipping", D("0.00"), D("100.00"), None, frm, to12, None, 0, True),
-        (3, "MINUS50", "Fixed Amount", D("50.00"), D("500.00"), None, frm, to6, None, 0, True),
+        (4, "EARLY15", "Percentage", D("15.00"), D("60.00"), D("90.00"), *around(3, 40), None, 0, True),
+        (5, "BIGPOT", "Fixed Amount", D("20.00"), D("150.00"), None, *around(10, 10), 500, 12, True),
+        (6, "VANFREE", "Free Shipping", D("0.00"), D("80.00"), None, *around(1, 90), None, 0, True),
+        (7, "OVER", "Percentage", D("40.00"), D("0.00"), None, *around(60, -30), None, 3, True),
     ]
     schema = T.StructType(
         [

@@ -14,7 +14,7 @@ ITEMS = '[{"product_id": 1, "quantity": 2}, {"product_id": 5, "quantity": 3}]'
 def test_order_batch_job_idempotent(spark):
     root = tempfile.mkdtemp(prefix="stockroom-jobs-", dir="/tmp")
     reqs = seeds.requests(spark, [
-        (1, 0, 1, ITEMS, "STANDARD", "SPRING10"),
+        (1, 0, 1, ITEMS, "STANDARD", "EARLY15"),
         (2, 1, 1, '[{"product_id": 1, "quantity": 1000}]', "STANDARD", None),
     ])
 
@@ -31,7 +31,7 @@ def test_order_batch_job_idempotent(spark):
     inv = jobs.latest_snapshot(spark, root, "inventory")
     assert inv.filter("product_id = 1").first()["quantity_reserved"] == 2
     promos = jobs.latest_snapshot(spark, root, "promotions")
-    assert promos.filter(F.col("promotion_code") == "SPRING10").first()["times_used"] == 1
+    assert promos.filter(F.col("promotion_code") == "EARLY15").first()["times_used"] == 1
     assert jobs.completed_batches(spark, root).count() == 1
 
 
