@@ -1,6 +1,8 @@
 """Phrases against a word-by-word search, notices against a whole-text search."""
 
+import random
 import re
+import time
 
 import regex
 
@@ -66,3 +68,49 @@ def test_odd_rows(clashing_docs, odd_rows, no_docs):
     assert len(found) == len(odd_rows)
     assert sorted(r["n_words"] for r in found) == sorted(len(words_of(t)) for _, t, *_ in odd_rows)
     assert ls.scan_documents(no_docs).count() == 0
+
+
+def spans_of(text, scanner):
+    return sorted((s[1], s[2], s[3], s[6]) for s in scanner.scan(text)["spans"])
+
+
+def slow_spans(text):
+    """Every notice searched over the whole text, without windows."""
+    low, out = " " + " ".join(words_of(text)) + " ", []
+    for notice, _, k in ls.NOTICES:
+        for m in regex.finditer(rf"(?<= )(?:{regex.escape(notice, special_only=False, literal_spaces=True)}){{e<={k}}}(?= )", low, regex.ENHANCEMATCH):
+            first = low[: m.start()].count(" ") - 1
+            out.append((notice, first, len(m.group().split(" ")), sum(m.fuzzy_counts)))
+    return sorted(out)
+
+
+def test_spans_against_a_search_of_the_whole_text():
+    draw, scanner = random.Random(6), ls.Scanner()
+    for _ in range(60):
+        parts = []
+        for _ in range(draw.randrange(1, 9)):
+            notice = list(draw.choice(ls.NOTICES)[0])
+            for _ in range(draw.randrange(0, 4)):
+                at = draw.randrange(1, len(notice) - 1)
+                notice[at : at + draw.randrange(0, 2)] = draw.choice(["", "x", notice[at]])
+            parts += ["".join(notice), *(["filler words"] * draw.randrange(0, 2))]
+        text = " ".join(parts)
+        assert spans_of(text, scanner) == slow_spans(text)
+
+
+def test_an_edited_notice_before_a_better_one_is_found():
+    scanner = ls.Scanner([("all rights reserved", "reserved", 2)], {})
+    assert [(s[2], s[6]) for s in scanner.scan("all rihts reserved all rights reserved")["spans"]] == [(0, 1), (3, 0)]
+
+
+def test_very_many_notices_take_linear_time():
+    scanner = ls.Scanner([("all rights reserved", "reserved", 2)], {"all rights": "x"})
+
+    def seconds(n):
+        began = time.process_time()
+        found = scanner.scan("all rights reserved and all rihts reserved more " * n)
+        assert len(found["spans"]) == 2 * n and found["n_base"] == n
+        return time.process_time() - began
+
+    seconds(100)
+    assert seconds(16_000) < 12 * max(seconds(4_000), 0.05)
