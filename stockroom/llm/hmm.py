@@ -342,10 +342,12 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     paths = encoded.select("rid", "n_tokens", "classes").mapInPandas(likelihoods, "rid long, path_log double")
     tail = encoded.select("rid", F.inline(F.arrays_zip(F.col("tail").alias("word"), F.col("tail_n").alias("n")))).join(counts.select("word", "c"), "word")
-    tail = tail.groupBy("rid").agg(F.sum("n").alias("tail_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("tail_log"))
+    tail = tail.groupBy("rid").agg(F.sum("n").alias("tail_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("tail_log"),
+        # the end has a class of its own, also where it is not among the frequent words
+        F.sum(F.when(F.col("word") != int(END), F.col("n") * F.log10(F.col("c") + 1))).alias("tail_group_log"))
     joined = encoded.drop("classes", "tail", "tail_n").join(paths, "rid").join(tail, "rid", "left")
     tail_log = F.coalesce("tail_log", F.lit(0.0))
-    score = F.col("path_log") + F.col("head_group_log") + tail_log - F.col("group_norm")
+    score = F.col("path_log") + F.col("head_group_log") + F.coalesce("tail_group_log", F.lit(0.0)) - F.col("group_norm")
     return joined.select(
         F.col("id").alias(doc_id), "held_out", "n_tokens",
         (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),

@@ -87,3 +87,13 @@ def test_odd_rows(clashing_docs, odd_rows, no_docs):
     twins = [r["score"] for r in found if r["doc_id"] == 1]
     assert math.isclose(*twins)
     assert hmm.score_documents(no_docs).count() == 0
+
+
+def test_the_end_token_outside_the_head(spark):
+    """Few long texts: the end is rarer than the head's words. It has a class
+    of its own in any case, so the scores do not depend on the head."""
+    docs = spark.createDataFrame([(i, "a " * (40 + i)) for i in range(6)], "doc_id long, text string")
+    scores = [{r["doc_id"]: (r["score"], r["base_score"]) for r in hmm.score_documents(docs, rounds=2, head=h).collect()} for h in (1, 2)]
+    for d, (score, base) in scores[0].items():
+        assert math.isclose(score, scores[1][d][0], rel_tol=1e-9) and score < 0
+        assert math.isclose(base, scores[1][d][1], rel_tol=1e-9)
