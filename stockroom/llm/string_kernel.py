@@ -10,7 +10,8 @@ Prediction multiplies a batch of presence rows with the landmark matrix and
 the result with the weights.
 
 The training rows may be a bounded sample of the labelled rows: at most
-about ``MAX_TRAIN``, by a hash of the id. Whole texts are used throughout.
+about ``MAX_TRAIN``, by a hash of the id, and ``LEAST_TRAIN`` of each language
+besides. Whole texts are used throughout.
 
 Defined results
     null text, empty text or text without a letter: ``und`` with score 0; a
@@ -21,12 +22,12 @@ Defined results
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,11 +39,12 @@ FEATURE_BITS = 15
 FEATURES = 1 << FEATURE_BITS
 LANDMARKS = 24  # for each language
 MAX_TRAIN = 20_000
+LEAST_TRAIN = 200  # rows of each language, or all that it has
 RIDGE = 1e-3
 SHARPNESS = 4.0
 BATCH = 128
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def present(text: str) -> np.ndarray:
@@ -88,12 +90,19 @@ def held_out(doc_id: str, modulus: int = 4, remainder: int = 2) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(modulus)) == remainder
 
 
-def training_sample(docs: DataFrame, most: int = MAX_TRAIN, doc_id: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
-    """(id, lang, text) of the training rows, at most about ``most``."""
+def training_sample(docs: DataFrame, most: int = MAX_TRAIN, doc_id: str = "doc_id", lang: str = "lang", text: str = "text",
+                    least: int = LEAST_TRAIN) -> DataFrame:
+    """(id, lang, text) of the training rows: about ``most``, the same share of
+    every language, but at least about ``least`` rows (or all) of each. The
+    languages are counted over all rows, so that none is lost to the bound."""
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(doc_id))
-    n = rows.select(lang).count()
-    if n > most:
-        rows = rows.filter(F.pmod(F.xxhash64(F.col(doc_id), F.lit("train")), F.lit(1_000_000)) < int(1e6 * most / n))
+    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
+    total = sum(counts.values())
+    if total > most:
+        million = 1_000_000
+        shares = {name: min(million, max(million * most // total, -(-million * least // n))) for name, n in counts.items()}
+        share = F.element_at(F.create_map(*(F.lit(x) for pair in shares.items() for x in pair)), F.col(lang))
+        rows = rows.filter(F.pmod(F.xxhash64(F.col(doc_id), F.lit("train")), F.lit(million)) < share)
     return rows.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
 
 

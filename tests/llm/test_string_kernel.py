@@ -54,3 +54,16 @@ def test_odd_rows(spark, clashing_docs, odd_rows, no_docs):
     assert sk.fit(no_docs) is None
     assert {r["lang_pred"] for r in sk.predict(clashing_docs.select("doc_id", "text"), None).collect()} == {"und"}
     assert sk.predict(no_docs.select("doc_id", "text"), model).count() == 0
+
+
+def test_rare_languages_survive_the_bound(spark):
+    texts = [("en", f"the house of the {k} and the river") for k in range(900)] + [("de", f"der hund und das {k} haus") for k in range(9)]
+    frame = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id long, text string, lang string")
+    whole = {r["lang"]: r["count"] for r in sk.training_sample(frame).groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in sk.training_sample(frame, most=60, least=100).groupBy("lang").count().collect()}
+    assert counts["de"] == whole["de"] and 60 <= counts["en"] <= 150 < whole["en"]
+    assert sk.fit(frame, most=60).languages == ["de", "en"]
+
+
+def test_numbers_are_no_letters():
+    assert not any(map(sk.has_letter, ("², ½ Ⅷ 12 _", "", None))) and sk.has_letter("1 ñ") and sk.has_letter("梦")
