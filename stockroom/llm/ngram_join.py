@@ -39,14 +39,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockroom.llm.bytehash import ByteHasher, mixed, windows
+from stockroom.llm.bytehash import ByteHasher, mixed
 from stockroom.llm.components import components
-from stockroom.llm.vectors import as_rows, summed
+from stockroom.llm.tokens import shingle_sets, slices
 from stockroom.session import cut_lineage
 
 SHINGLE = 5
@@ -59,16 +58,6 @@ ROUNDS = (0, 8, 40)  # 0: a pivot; else that many neighbours
 CLASS_SHIFT = np.uint64(58)
 
 
-def shingle_set(text: bytes, hasher: ByteHasher, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct hashes of the word shingles of a lower-cased text."""
-    return np.unique(windows(hasher.words(text), size))
-
-
-def text_bytes(text: str | None) -> bytes:
-    """UTF-8 with A-Z lowered (null: empty)."""
-    return (text or "").encode("utf-8", "surrogatepass").lower()
-
-
 def set_key(tokens: np.ndarray) -> int:
     """64-bit hash of a set."""
     total = np.add.reduce(mixed(tokens * np.uint64(0xD6E8FEB86659FD93) + np.uint64(len(tokens))))
@@ -94,30 +83,54 @@ def prefix(tokens: np.ndarray, classes: np.ndarray, order: int, percent: int) ->
 
 
 def _scan(docs: DataFrame, size: int) -> DataFrame:
-    """Rows (id, body, n, node) of the documents (body: the text's hash) and (slice, counts) of the sketch."""
+    """Rows (id, body, n, node) of the documents (body: the text's hash) and
+    (slice, counts, more) of the sketch: a byte for each counter of a slice,
+    and (counter, rest) of those that a byte does not hold."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, counts = ByteHasher(), np.zeros(1 << SKETCH_BITS, dtype=np.int32)
         for batch in batches:
-            sizes, keys = [], []
-            for text in batch["text"]:
-                tokens = shingle_set(text_bytes(text), hasher, size)
-                np.add.at(counts, (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-                sizes.append(len(tokens))
-                keys.append(set_key(tokens) if len(tokens) else 0)
-            yield pd.DataFrame({"id": batch["id"].astype("Int64"), "body": batch["body"], "n": sizes, "node": keys, "slice": -1, "counts": None})
+            for part in slices(batch):
+                sizes, keys = [], []
+                for tokens in shingle_sets(part.column("text"), size, hasher):
+                    np.add.at(counts, (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+                    sizes.append(len(tokens))
+                    keys.append(set_key(tokens) if len(tokens) else 0)
+                yield scan_rows(part.num_rows, id=part.column("id"), body=part.column("body"), n=pa.array(sizes, pa.int32()), node=pa.array(keys, pa.int64()))
         for k, part in enumerate(counts.reshape(-1, SLICE)):
-            rows = as_rows(part.astype(np.int64), SLICE, first=k)
-            yield rows.assign(id=pd.array([None] * len(rows), dtype="Int64"), body=0, n=0, node=0)
+            if part.any():
+                low = np.minimum(part, 255).astype(np.uint8)
+                at = np.flatnonzero(part > 255).astype(np.int32)
+                more = np.stack([at, part[at] - 255]).tobytes()
+                yield scan_rows(1, slice=pa.array([k], pa.int32()), counts=pa.array([low.tobytes()], pa.binary()), more=pa.array([more], pa.binary()))
+
+    def scan_rows(rows: int, **given: pa.Array) -> pa.RecordBatch:
+        kinds = {"id": pa.int64(), "body": pa.int64(), "n": pa.int32(), "node": pa.int64(), "slice": pa.int32(), "counts": pa.binary(), "more": pa.binary()}
+        return pa.RecordBatch.from_arrays([given.get(c, pa.nulls(rows, kind)) for c, kind in kinds.items()], names=list(kinds))
 
-    return docs.mapInPandas(run, "id long, body long, n int, node long, slice int, counts binary")
+    return docs.mapInArrow(run, "id long, body long, n int, node long, slice int, counts binary, more binary")
 
 
 def _sketch_classes(rows: DataFrame) -> np.ndarray:
     """Frequency class of every counter: 0 up to twice the mean count, then
-    one more for each doubling."""
+    one more for each doubling. Each slice is added up by one task that
+    streams its rows."""
 
-    flat = summed(rows, (1 << SKETCH_BITS) // SLICE, SLICE)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, low, more in zip(*(batch.column(c) for c in ("slice", "counts", "more")), strict=True):
+                total = sums.setdefault(k.as_py(), np.zeros(SLICE, dtype=np.int64))
+                total += np.frombuffer(low.as_buffer(), dtype=np.uint8)
+                at, rest = np.frombuffer(more.as_buffer(), dtype=np.int32).reshape(2, -1)
+                total[at] += rest
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["slice", "sums"])
+
+    parts = (1 << SKETCH_BITS) // SLICE
+    flat = np.zeros((parts, SLICE), dtype=np.int64)
+    for row in rows.repartition(parts, "slice").mapInArrow(add, "slice int, sums binary").collect():
+        flat[row["slice"]] = np.frombuffer(row["sums"], dtype=np.int64)
+    flat = flat.ravel()
     mean = max(1.0, flat.mean())
     return np.floor(np.log2(np.maximum(flat / (2 * mean), 0.5)) + 1).clip(0, 60).astype(np.uint8)
 
@@ -128,11 +141,10 @@ def _postings(docs: DataFrame, classes: np.ndarray, size: int, percent: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ByteHasher()
-        for batch in batches:
+        for part in (part for batch in batches for part in slices(batch)):
             seen: set[int] = set()
             tokens, nodes, sizes = [], [], []
-            for text in batch.column("text"):
-                found = shingle_set(text_bytes(text.as_py()), hasher, size)
+            for found in shingle_sets(part.column("text"), size, hasher):
                 key = set_key(found) if len(found) else 0
                 if len(found) == 0 or key in seen:
                     continue
@@ -166,20 +178,22 @@ def _sets(docs: DataFrame, classes: np.ndarray, size: int, percent: int) -> Data
         cut = (tokens >> np.uint64(32)).astype(np.uint32).view(np.int32)
         return cut, len(cut) - len(np.unique(cut))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+        bounds = np.concatenate([[0], np.cumsum([len(x) for x in arrays])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(arrays), kind))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ByteHasher()
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                rows, part = [], batch.iloc[at : at + 256]
-                for text in part["text"]:
-                    tokens = shingle_set(text_bytes(text), hasher, size)
-                    cuts = (short(prefix(tokens, shared.value, k, percent)) for k in others)
-                    rows.append((set_key(tokens), tokens.view(np.int64), *(x for cut in cuts for x in cut)))
-                found = pd.DataFrame(rows, columns=["node", "tokens", *(f"{c}{k}" for k in others for c in "pc")], index=part.index)
-                yield pd.concat([part["id"].astype("Int64"), part["body"], found], axis=1)
+        for part in (part for batch in batches for part in slices(batch, 256)):
+            found = list(shingle_sets(part.column("text"), size, hasher))
+            columns = [part.column("id"), part.column("body"), pa.array([set_key(x) for x in found], pa.int64()), lists([x.view(np.int64) for x in found], pa.int64())]
+            for k in others:
+                cuts = [short(prefix(x, shared.value, k, percent)) for x in found]
+                columns += [lists([c for c, _ in cuts], pa.int32()), pa.array([together for _, together in cuts], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "body", "node", "tokens", *(f"{c}{k}" for k in others for c in "pc")])
 
     schema = "id long, body long, node long, tokens array<long>, " + ", ".join(f"p{k} array<int>, c{k} int" for k in others)
-    return docs.select("id", "body", "text").mapInPandas(run, schema)
+    return docs.select("id", "body", "text").mapInArrow(run, schema)
 
 
 def _like_sizes(a: str, b: str, percent: int) -> Column:
@@ -291,8 +305,8 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     spark = docs.sparkSession
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("body"))
     scanned = cut_lineage(_scan(texts, size), "shingle-scan")
-    members = scanned.filter("slice < 0").select("id", "body", "n", "node")
-    classes = _sketch_classes(scanned.filter("slice >= 0").select("slice", "counts"))
+    members = scanned.filter("slice is null").select("id", "body", "n", "node")
+    classes = _sketch_classes(scanned.filter("slice is not null").select("slice", "counts", "more"))
 
     lists = cut_lineage(_postings(texts, classes, size, percent), "lists")
     comparer = _Comparer(texts, members, lists, classes, size, percent)

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from stockroom.llm.bytehash import ByteHasher
+from stockroom.llm.bytehash import SPACE, ByteHasher, windows
 
 ROWS = 512  # rows of one slice
 BYTES = 1 << 20  # text of one block; a longer row is cut at separators
@@ -98,3 +98,19 @@ def slices(batch: pa.RecordBatch, rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     """Parts of a batch; bounds what a worker holds besides the batch."""
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+
+
+def shingle_sets(column: pa.Array, size: int, hasher: ByteHasher) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of the shingles of ``size`` words of every row."""
+    words: list[np.ndarray] = []
+    for block in blocks(column, SPACE):
+        starts, ends, rows = block.words(~SPACE)
+        found = block.hashes(hasher, starts, ends)
+        bounds = np.searchsorted(rows, np.arange(block.first, block.first + len(block.bounds)))
+        for k in range(len(block.bounds) - 1):
+            if block.first + k == len(words):
+                words.append(found[bounds[k] : bounds[k + 1]])
+            else:  # a long row goes on
+                words[-1] = np.concatenate([words[-1], found[bounds[k] : bounds[k + 1]]])
+    for row in words:
+        yield np.unique(windows(row, size))
