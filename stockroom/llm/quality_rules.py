@@ -5,8 +5,10 @@ lines, words in repeated windows) are computed inside its row, without a
 shuffle. Line frequency works on hashes: a line is normalised (spaces
 and digits squeezed to one space, letters lowered), hashed, and the distinct documents that
 hold it are counted per host; documents with the same text count once. A
-line above its host's limit is boilerplate: it is removed, and a document
-that is depleted by the removal is rejected.
+line above its host's limit, a share of the host's distinct texts and a few
+texts at least, is boilerplate: it is removed. A document that is depleted by
+the removal is rejected: less than half of its characters are left, or fewer
+words than any document must have.
 
 Defined results
     null text has no words and fails the base rule; a null host is a host of
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockroom.functions.joins import broadcast_if_small
-from stockroom.llm.words import SPACE_CHARS, let, word_list
+from stockroom.llm.words import SPACE_CHARS, let, word_count, word_list
 from stockroom.session import cut_lineage
 
 MIN_WORDS = 20
@@ -29,9 +31,9 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 # The characters counted as symbols.
 SYMBOL_RE = "[#*$%&|<>]"
-LINE_DOCS = 200  # a line may stand in this many distinct documents of a host,
-LINE_SHARE = 0.02  # or in this share of them, whichever is more
-LEFT_SHARE = 0.1  # less of a document's characters left: depleted
+LINE_SHARE = 0.05  # a line may stand in this share of a host's distinct texts,
+LINE_DOCS = 4  # or in this many of them, whichever is more
+LEFT_SHARE = 0.5  # less of a document's characters left: depleted
 SPACES_AND_DIGITS = r"[\x20\x09-\x0D0-9]+"
 
 
@@ -99,19 +101,23 @@ def line_hash(line: Column) -> Column:
 
 
 def row_key(doc_id: str, host: str, text: str) -> Column:
-    return F.xxhash64(F.col(doc_id).cast("string"), F.col(host).cast("string"), F.col(text))
+    """64-bit hash of the three columns; a null differs from every value and
+    counts at its place (the hash function by itself skips nulls)."""
+    columns = (F.col(doc_id).cast("string"), F.col(host).cast("string"), F.col(text))
+    return F.xxhash64(*(part for c in columns for part in (c.isNull(), c)))
 
 
 def line_rows(docs: DataFrame, doc_id: str, host: str, text: str) -> DataFrame:
-    """(row, host, body, line, chars): one row per distinct line of a document
-    with the characters of all its places; body is the text's hash."""
+    """(row, host, body, line, chars, words): one row per distinct line of a
+    document with the characters and words of all its places; body is the text's hash."""
     lines = F.filter(F.split(F.col(text), "\n"), lambda line: F.btrim(line, F.lit(SPACE_CHARS)) != "")
-    hashed = F.transform(lines, lambda line: F.struct(line_hash(line).alias("line"), F.length(line).alias("chars")))
+    hashed = F.transform(lines, lambda line: F.struct(
+        line_hash(line).alias("line"), F.length(line).alias("chars"), word_count(line).alias("words")))
     rows = docs.select(
         row_key(doc_id, host, text).alias("row"), F.col(host).alias("host"), F.xxhash64(F.col(text)).alias("body"),
         F.inline(hashed),
     )
-    return rows.groupBy("row", "host", "body", "line").agg(F.sum("chars").alias("chars"))
+    return rows.groupBy("row", "host", "body", "line").agg(F.sum("chars").alias("chars"), F.sum("words").alias("words"))
 
 
 def frequent_lines(lines: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
@@ -126,18 +132,19 @@ def frequent_lines(lines: DataFrame, line_docs: int = LINE_DOCS, line_share: flo
 
 
 def removals(docs: DataFrame, doc_id: str, host: str, text: str, line_docs: int, line_share: float) -> DataFrame:
-    """(row, removed_chars, removed_lines) of the documents that lose a line."""
+    """(row, removed_chars, removed_words, removed_lines) of the documents that lose a line."""
     lines = cut_lineage(line_rows(docs, doc_id, host, text), "lines")
     hot = cut_lineage(frequent_lines(lines, line_docs, line_share), "frequent-lines")
     lost = lines.join(broadcast_if_small(hot), (F.col("line") == F.col("hot")) & F.col("host").eqNullSafe(F.col("at")))
     # equal rows are one row here: their lines carry the places of all copies
-    return lost.groupBy("row").agg(F.sum("chars").alias("removed_chars"), F.collect_set("line").alias("removed_lines"))
+    return lost.groupBy("row").agg(
+        F.sum("chars").alias("removed_chars"), F.sum("words").alias("removed_words"), F.collect_set("line").alias("removed_lines"))
 
 
 def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: str = "text",
           line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, left_share: float = LEFT_SHARE) -> DataFrame:
     """One row per document: id, row (its key), the counts, base_failed,
-    removed_chars, removed_lines, kept."""
+    removed_chars, removed_words, removed_lines, kept."""
     counted = cut_lineage(
         docs.select(doc_id, row_key(doc_id, host, text).alias("row"), row_counts(F.col(text)).alias("c"))
         .select(doc_id, "row", "c.*"),
@@ -145,11 +152,12 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", host: str = "source", text: s
     )
     copies = counted.groupBy("row").agg(F.count("*").alias("copies"))
     lost = removals(docs, doc_id, host, text, line_docs, line_share).join(copies, "row").select(
-        "row", (F.col("removed_chars") / F.col("copies")).cast("long").alias("removed_chars"), "removed_lines"
+        "row", *((F.col(c) / F.col("copies")).cast("long").alias(c) for c in ("removed_chars", "removed_words")), "removed_lines"
     )
-    out = counted.join(lost, "row", "left").withColumn("removed_chars", F.coalesce("removed_chars", F.lit(0)))
-    left = F.col("chars") - F.col("removed_chars")
-    depleted = (F.col("removed_chars") > 0) & (left < left_share * F.col("chars"))
+    out = counted.join(lost, "row", "left").fillna(0, ["removed_chars", "removed_words"])
+    short = F.col("chars") - F.col("removed_chars") < left_share * F.col("chars")
+    few = F.col("n_words") - F.col("removed_words") < MIN_WORDS
+    depleted = (F.col("removed_chars") > 0) & (short | few)
     return out.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 

@@ -82,7 +82,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and verdict of every document."""
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_chars"
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_chars", "removed_words"
     )
 
 
@@ -99,27 +99,28 @@ covered AS (
 lines AS (
   SELECT doc_id, source, md5(text) AS body, line,
          md5(regexp_replace(lower(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))),
-             '[\x20\x09-\x0D0-9]+', ' ', 'g')) AS h, length(line) AS n
+             '[\x20\x09-\x0D0-9]+', ' ', 'g')) AS h, length(line) AS n, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
   FROM (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM docs)
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 same AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id),
-hosts AS (SELECT source, greatest(200.0, 0.02 * count(DISTINCT body)) AS most FROM lines GROUP BY source),
+hosts AS (SELECT source, greatest(4.0, 0.05 * count(DISTINCT body)) AS most FROM lines GROUP BY source),
 hot AS (
   SELECT l.source, l.h FROM lines l JOIN hosts o ON l.source IS NOT DISTINCT FROM o.source
   GROUP BY l.source, l.h HAVING count(DISTINCT body) > any_value(most)),
 gone AS (
-  SELECT doc_id, sum(n) AS n FROM lines l JOIN hot ON l.h = hot.h AND l.source IS NOT DISTINCT FROM hot.source GROUP BY doc_id),
+  SELECT doc_id, sum(n) AS n, sum(words) AS words FROM lines l JOIN hot ON l.h = hot.h AND l.source IS NOT DISTINCT FROM hot.source GROUP BY doc_id),
 joined AS (
   SELECT d.doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
          length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-         length(text) AS chars, coalesce(s.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, coalesce(g.n, 0) AS removed_chars
+         length(text) AS chars, coalesce(s.n, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, coalesce(g.n, 0) AS removed_chars,
+         coalesce(g.words, 0) AS removed_words
   FROM words d LEFT JOIN same s USING (doc_id) LEFT JOIN covered c USING (doc_id) LEFT JOIN gone g USING (doc_id))
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
        n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)
-       AND NOT (removed_chars > 0 AND chars - removed_chars < 0.1 * chars) AS kept,
-       CAST(removed_chars AS BIGINT) AS removed_chars
+       AND NOT (removed_chars > 0 AND (chars - removed_chars < 0.5 * chars OR n_words - removed_words < 20)) AS kept,
+       CAST(removed_chars AS BIGINT) AS removed_chars, CAST(removed_words AS BIGINT) AS removed_words
 FROM joined
 """
 

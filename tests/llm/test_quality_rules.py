@@ -32,6 +32,8 @@ def test_whole_table(spark):
         assert columns(r) == counts(texts[r["doc_id"]])
         failed = r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"]
         assert r["base_failed"] == failed and not (failed and r["kept"])
+    # a boilerplate line stands in a tenth of each host's texts
+    assert sum(r["removed_chars"] > 0 for r in rows) > 50 and any(not r["base_failed"] and not r["kept"] for r in rows)
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF001}/labels.parquet").collect()}
     clean = [r["kept"] for r in rows if labels.get(r["doc_id"]) == 1 and not r["base_failed"]]
     assert sum(clean) / len(clean) > 0.99
@@ -63,6 +65,35 @@ def test_frequent_lines(spark):
     assert set(cleaned) == {d for d, r in rows.items() if r["kept"]}
 
 
+def test_limits_act_alike_at_every_size(spark):
+    """One line in all texts of a small host, in a tenth and in a fiftieth of
+    larger ones: production limits."""
+    line = "Read the terms of use before you go on from here"
+
+    def own(host, i):
+        letters = str(i).translate(str.maketrans("0123456789", "abcdefghij"))  # digits do not count in a line
+        return " ".join(f"{host}{letters}{chr(97 + k % 26)}{k // 26}" for k in range(30))
+
+    data = []
+    for host, n, every in (("tiny", 8, 1), ("few", 4, 1), ("mid", 100, 10), ("big", 1000, 10), ("rare", 100, 50), ("rarer", 1000, 50)):
+        data += [(own(host, i), host, i % every == 0) for i in range(n)]
+    rows = [(i, f"{text}\n{line}" if with_line else text, host) for i, (text, host, with_line) in enumerate(data)]
+    rows.append((len(rows), f"nothing much of its own\n{line} {line} {line}\n{line}", "tiny"))  # too few words of its own
+    rows.append((len(rows), " ".join(chr(97 + k) * 2 for k in range(24)) + "\n" + f"{line}\n" * 2, "tiny"))  # too small a share of its own
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: r for r in qr.judge(docs).collect()}
+    removed = {host: sum(got[i]["removed_chars"] > 0 for i, r in enumerate(rows) if r[2] == host) for host in {r[2] for r in rows}}
+    assert removed == {"tiny": 10, "few": 0, "mid": 10, "big": 100, "rare": 0, "rarer": 0}
+    assert [got[len(rows) - k]["kept"] for k in (1, 2)] == [False, False]
+    assert all(got[i]["kept"] for i in range(len(rows) - 2))
+
+
+def test_row_keys_tell_nulls_apart(spark):
+    rows = [(None, "5", "t"), (5, None, "t"), (5, "5", None), (None, None, "t"), (5, "t", None), (None, "t", None), (None, None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    assert docs.select(qr.row_key("doc_id", "source", "text")).distinct().count() == len(rows)
+
+
 def test_odd_rows(clashing_docs, odd_rows, no_docs):
     rows = qr.judge(clashing_docs).collect()
     assert sorted(map(columns, rows)) == sorted(counts(r[1]) for r in odd_rows)
