@@ -35,7 +35,7 @@ def bitmap(rows: DataFrame, value: Column, bits: int = BITS) -> np.ndarray:
     slices = 1 << (bits - SLICE_BITS)
     dealt = rows.select(place.alias("place")).repartition(slices, F.shiftright("place", SLICE_BITS))
     out = np.zeros((slices, 1 << (SLICE_BITS - 3)), dtype=np.uint8)
-    for row in dealt.mapInArrow(run, "slice long, part binary").toLocalIterator():
+    for row in dealt.mapInArrow(run, "slice long, part binary").collect():
         out[row["slice"]] = np.frombuffer(row["part"], dtype=np.uint8)
     return out.ravel()
 

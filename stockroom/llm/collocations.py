@@ -48,9 +48,9 @@ DEPTH = 3
 LEAST = 10  # occurrences of a candidate
 COVERED = 50  # percent of them inside one longer candidate
 TOP = 2000
-BUDGET = 1 << 21  # suffixes of a group
+BUDGET = 1 << 20  # suffixes of a group
 GROUP_BITS = 16
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1024
 SALTS = 64
 
 # Pieces end at . , ; : ! ? and line ends; words end at blanks too.
@@ -213,7 +213,7 @@ def phrase_counts(rows: DataFrame, words: DataFrame, least: int = LEAST, budget:
     w3 is 0 for two words. ``words``: (word, f) of the words with f >= least."""
     ranges = np.zeros(1 << GROUP_BITS, dtype=np.int64)
     place = F.shiftrightunsigned("word", 64 - GROUP_BITS)
-    for at, total in words.groupBy(place.alias("at")).agg(F.sum("f")).toLocalIterator():
+    for at, total in words.groupBy(place.alias("at")).agg(F.sum("f")).collect():
         ranges[at] = total
     groups = Groups(ranges, budget)
     dealt_over = {int(g) for k in np.flatnonzero(groups.count > 1) for g in range(groups.first[k], groups.first[k] + groups.count[k])}

@@ -11,12 +11,18 @@ A document is the set of its distinct word shingles (64-bit hashes).
 3. Rounds of stars: in each bucket every node is a candidate with one pivot
    only, another pivot in each round. Candidates whose signatures agree in
    too few places go (a pair at the limit fails this with a probability of
-   about 1e-8); the rest is confirmed on the full sets. Confirmed links are
-   joined to components by large-star and small-star.
+   about 1e-8), first by two bits of each minimum, inside the join, then by
+   the whole minima; the rest is confirmed on the full sets. Confirmed links
+   are joined to components by large-star and small-star.
 4. Buckets that then still hold several components are finished exactly:
    every node outside the bucket's largest component meets the nodes of
    other components, less the pairs already confirmed or refuted. Pairs
-   within one component are never made: they change nothing.
+   within one component are never made: they change nothing. A large bucket
+   (a passage that many unlike texts share, a family of texts that are nearly
+   near copies) is split first: its nodes meet in pairs of bands, in which a
+   pair at the limit meets as surely. What meets is compared inside the join
+   by one bit of ``FINE`` more minima, computed for the nodes that are left,
+   so that the join makes no rows but pairs within 0.05 of the limit.
 
 A bucket of copies costs its length a round, and no link between different
 components is lost to a cap.
@@ -30,7 +36,7 @@ Defined results
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,17 +44,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockroom.llm.bitmaps import bitmap, holds
-from stockroom.llm.bytehash import SPACE, ByteHasher, mixed, windows
+from stockroom.llm.bytehash import ByteHasher, mixed
 from stockroom.llm.stars import components
-from stockroom.llm.tokens import blocks, slices
+from stockroom.llm.tokens import shingle_sets, slices
 from stockroom.session import cut_lineage
 
 SHINGLE = 4
 PERCENT = 80  # link when 100 * intersection >= PERCENT * union
 BANDS, ROWS = 32, 4
 SLACK = 5.6  # standard deviations that a signature may fall short
-STARS = 3
-STEP = 1024  # shingles hashed at once
+STARS = 2
+FINE = 4096  # minima of which one bit is compared before all pairs of a bucket are confirmed
+STEP = 1 << 17  # hashes computed at once
+LARGE = 256  # nodes of a bucket that is split before all its pairs are looked at
+PLANES = ["p0", "p1", "p2", "p3"]  # two bits of each minimum
 
 
 def hash_family(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,8 +71,9 @@ def signature(tokens: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> np.n
     """The minima of all functions over a set, 32 bits each."""
     times, plus = family[0][:, None], family[1][:, None]
     least = np.full(len(times), np.uint64(2**64 - 1))
-    for at in range(0, len(tokens), STEP):
-        np.minimum(least, (times * tokens[None, at : at + STEP] + plus).min(axis=1), out=least)
+    step = STEP // len(times)
+    for at in range(0, len(tokens), step):
+        np.minimum(least, (times * tokens[None, at : at + step] + plus).min(axis=1), out=least)
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
@@ -72,20 +82,11 @@ def set_key(tokens: np.ndarray) -> int:
     return int(np.add.reduce(mixed(tokens ^ np.uint64(0xA0761D6478BD642F))).astype(np.int64)) if len(tokens) else 0
 
 
-def shingle_sets(column: pa.Array, size: int, hasher: ByteHasher) -> Iterator[np.ndarray]:
-    """Sorted distinct shingle hashes of every row of a column."""
-    words: list[np.ndarray] = []
-    for block in blocks(column, SPACE):
-        starts, ends, rows = block.words(~SPACE)
-        found = block.hashes(hasher, starts, ends)
-        bounds = np.searchsorted(rows, np.arange(block.first, block.first + len(block.bounds)))
-        for k in range(len(block.bounds) - 1):
-            if block.first + k == len(words):
-                words.append(found[bounds[k] : bounds[k + 1]])
-            else:  # a long row goes on
-                words[-1] = np.concatenate([words[-1], found[bounds[k] : bounds[k + 1]]])
-    for row in words:
-        yield np.unique(windows(row, size))
+def planes(minima: np.ndarray) -> list[np.ndarray]:
+    """The lowest two bits of all minima of each signature, as longs: bit 0 of
+    the first and of the second half, then bit 1 of both."""
+    packed = [np.packbits((minima >> np.uint32(k)) & np.uint32(1) == 1, axis=1).view(np.int64) for k in (0, 1)]
+    return [bits[:, half] for bits in packed for half in (0, 1)]
 
 
 def scan(docs: DataFrame, size: int) -> DataFrame:
@@ -124,6 +125,18 @@ def bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "n", "minima").mapInArrow(run, "bucket long, node long, n int")
 
 
+def with_planes(nodes: DataFrame) -> DataFrame:
+    """(node, p0, p1, p2, p3): the bits that the joins compare."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                bits = planes(_matrix(batch.column("minima")))
+                yield pa.RecordBatch.from_arrays([batch.column("node"), *(pa.array(np.ascontiguousarray(x)) for x in bits)], names=["node", *PLANES])
+
+    return nodes.select("node", "minima").mapInArrow(run, "node long, " + ", ".join(f"{p} long" for p in PLANES))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """Signatures of a binary column, a row each."""
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, BANDS * ROWS)
@@ -131,8 +144,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def agreeing(pairs: DataFrame, percent: int) -> DataFrame:
     """The rows whose signatures ``ma`` and ``mb`` agree often enough for a pair at the limit."""
-    total, share = BANDS * ROWS, percent / 100
-    least = int(np.floor(total * share - SLACK * np.sqrt(total * share * (1 - share))))
+    least = _least_agreeing(percent / 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,10 +165,11 @@ class Confirmer:
         chosen = scanned.filter("n > 0").groupBy("node").agg(one).select("node", F.col("one.id").alias("one_id"), F.col("one.body").alias("one_body"))
         self.chosen = cut_lineage(chosen, "minhash-chosen")
 
-    def sets(self, wanted: DataFrame) -> DataFrame:
-        """(node, tokens) of the wanted nodes, each from one of its texts.
-        The texts are picked by a bitmap of their hashes, without a shuffle
-        of texts; what passes it by chance is dropped by the join."""
+    def read(self, wanted: DataFrame, longs: Callable[[np.ndarray], np.ndarray], name: str) -> DataFrame:
+        """(node, ``name``) of the wanted nodes: an array of longs made from the
+        set, which is read from one text of the node. The texts are picked by a
+        bitmap of their hashes, without a shuffle of texts; what passes it by
+        chance is dropped by the join."""
         size = self.size
         chosen = cut_lineage(self.chosen.join(wanted, "node", "left_semi"), "minhash-wanted")
         shared = self.texts.sparkSession.sparkContext.broadcast(bitmap(chosen, F.col("one_body")))
@@ -166,14 +179,22 @@ class Confirmer:
             for batch in batches:
                 picked = batch.filter(pa.array(holds(shared.value, batch.column("body").to_numpy().view(np.uint64))))
                 for part in slices(picked, 256):
-                    found = list(shingle_sets(part.column("text"), size, hasher))
+                    found = [longs(tokens) for tokens in shingle_sets(part.column("text"), size, hasher)]
                     bounds = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-                    tokens = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(found).view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([part.column("id"), part.column("body"), tokens], names=["id", "body", "tokens"])
+                    lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(found).view(np.int64)))
+                    yield pa.RecordBatch.from_arrays([part.column("id"), part.column("body"), lists], names=["id", "body", name])
 
-        found = cut_lineage(self.texts.mapInArrow(run, "id long, body long, tokens array<long>"), "minhash-near-sets")
+        found = self.texts.mapInArrow(run, f"id long, body long, {name} array<long>")
         same = (F.col("body") == F.col("one_body")) & F.col("id").eqNullSafe(F.col("one_id"))
-        return cut_lineage(found.join(chosen, same).select("node", "tokens").dropDuplicates(["node"]), "minhash-sets")
+        return cut_lineage(found.join(chosen, same).select("node", name).dropDuplicates(["node"]), f"minhash-{name}")
+
+    def fine_bits(self, wanted: DataFrame) -> DataFrame:
+        """(node, fine): one bit of each of ``FINE`` minima."""
+
+        def bits(tokens: np.ndarray) -> np.ndarray:
+            return np.packbits(signature(tokens, hash_family(FINE)) & np.uint32(1) == 1).view(np.int64)
+
+        return self.read(wanted, bits, "fine")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs (a, b) -> those that are links."""
@@ -182,7 +203,7 @@ class Confirmer:
         likely = cut_lineage(agreeing(pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb"), self.percent), "minhash-likely")
         if likely.isEmpty():
             return likely
-        sets = self.sets(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct())
+        sets = self.read(likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct(), lambda tokens: tokens, "tokens")
         left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
         right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
         counted = likely.join(right, "b").join(left, "a").select(
@@ -191,36 +212,81 @@ class Confirmer:
         return cut_lineage(counted.filter(linked).select("a", "b"), "minhash-links")
 
 
+def _least_agreeing(share: float, total: int = BANDS * ROWS) -> int:
+    """Places, of all, in which signatures agree at least if each agrees with
+    a probability of ``share``."""
+    return int(np.floor(total * share - SLACK * np.sqrt(total * share * (1 - share))))
+
+
+def _agreeing_bits() -> Column:
+    """Minima whose two bits agree in p0.. and q0.."""
+    return F.expr(f"{BANDS * ROWS} - bit_count((p0 ^ q0) | (p2 ^ q2)) - bit_count((p1 ^ q1) | (p3 ^ q3))")
+
+
 def _like_sizes(percent: int) -> Column:
     small, large = F.least("n", "m").cast("long"), F.greatest("n", "m").cast("long")
     return small * 100 >= large * percent
 
 
+def _likely(percent: int) -> Column:
+    """Sizes (n, m) and bits (p0.., q0..) that a pair at the limit may have:
+    two bits agree if the minima do, and else in one of four cases."""
+    share = percent / 100
+    return _like_sizes(percent) & (_agreeing_bits() >= _least_agreeing(share + (1 - share) / 4))
+
+
+def _very_likely(percent: int) -> Column:
+    """The same of the bits of ``FINE`` minima, one of each, in fp and fq."""
+    share = (1 + percent / 100) / 2
+    differ = F.aggregate(F.zip_with("fp", "fq", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+    return F.lit(FINE) - differ >= _least_agreeing(share, FINE)
+
+
 def star_pairs(open_rows: DataFrame, star: int, percent: int) -> DataFrame:
     """(a, b): every node of a bucket with the bucket's pivot of this round,
     if it is of another component. The order of nodes is the same in all
     buckets, so buckets of like nodes share pivots."""
-    order = F.struct(F.xxhash64("node", F.lit(star)).alias("h"), F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("label").alias("its"))
-    pivots = cut_lineage(open_rows.groupBy("bucket").agg(F.min(order).alias("top")).select("bucket", "top.pivot", "top.m", "top.its"), "minhash-pivots")
-    drawn = open_rows.join(pivots, "bucket").filter((F.col("label") != F.col("its")) & _like_sizes(percent))
+    own = (F.col("node").alias("pivot"), F.col("n").alias("m"), F.col("label").alias("its"), *(F.col(p).alias(p.replace("p", "q")) for p in PLANES))
+    order = F.struct(F.xxhash64("node", F.lit(star)).alias("h"), *own)
+    pivots = cut_lineage(open_rows.groupBy("bucket").agg(F.min(order).alias("top")).select("bucket", "top.*").drop("h"), "minhash-pivots")
+    drawn = open_rows.join(pivots, (open_rows["bucket"] == pivots["bucket"]) & (F.col("label") != F.col("its")) & _likely(percent))
     return drawn.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
+def split_buckets(open_rows: DataFrame, all_rows: DataFrame, large: int = LARGE) -> DataFrame:
+    """The rows with every bucket of more than ``large`` nodes replaced by the
+    buckets of pairs of bands, that one and each other band of its nodes."""
+    held = cut_lineage(open_rows.groupBy("bucket").agg(F.count("*").alias("held")).filter(F.col("held") > large).select("bucket"), "minhash-large")
+    if held.isEmpty():
+        return open_rows
+    fine = open_rows.join(held, "bucket").join(all_rows.select("node", F.col("bucket").alias("other")), "node").filter("other <> bucket")
+    fine = fine.withColumn("bucket", F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other"))).drop("other").distinct()
+    return open_rows.join(held, "bucket", "left_anti").unionByName(fine)
+
+
 def rest_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b): in each bucket all pairs of nodes of different components. The
-    bucket's largest component stands on one side only."""
+    """(a, b): in each bucket all very likely pairs of nodes of different
+    components. The bucket's largest component stands on one side only.
+    ``open_rows`` has the nodes' ``fine`` bits and band ``keys`` as well: of
+    all buckets in which a pair meets, only the one of its first common bands
+    compares it."""
     sizes = open_rows.groupBy("bucket", "label").agg(F.count("*").alias("held"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("held", "label")).alias("top")).select("bucket", F.col("top.label").alias("main"))
-    marked = cut_lineage(open_rows.join(cut_lineage(largest, "minhash-largest"), "bucket"), "minhash-marked")
-    x = marked.filter("label <> main").select("bucket", F.col("node").alias("x"), "n", F.col("label").alias("lx"))
-    y = marked.select("bucket", F.col("node").alias("y"), F.col("n").alias("m"), F.col("label").alias("ly"), "main")
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("held", "label")).alias("top"), F.count("*").alias("labels"))
+    largest = cut_lineage(largest.filter("labels > 1").select("bucket", F.col("top.label").alias("main")), "minhash-largest")
+    marked = cut_lineage(open_rows.join(largest, "bucket"), "minhash-marked")
+    x = marked.filter("label <> main").select("bucket", F.col("node").alias("x"), "n", F.col("label").alias("lx"), F.col("fine").alias("fp"), F.col("keys").alias("kx"), *PLANES)
+    y = marked.select(
+        F.col("bucket").alias("its"), F.col("node").alias("y"), F.col("n").alias("m"), F.col("label").alias("ly"), "main",
+        F.col("fine").alias("fq"), F.col("keys").alias("ky"), *(F.col(p).alias(p.replace("p", "q")) for p in PLANES))
     once = (F.col("ly") == F.col("main")) | (F.col("x") < F.col("y"))
-    pairs = x.join(y, "bucket").filter((F.col("lx") != F.col("ly")) & once & _like_sizes(percent))
+    common = F.sort_array(F.array_intersect("kx", "ky"))
+    here = F.col("bucket").isin(F.get(common, F.lit(0)), F.xxhash64(F.get(common, F.lit(0)), F.get(common, F.lit(1))))
+    pairs = x.join(y, (F.col("bucket") == F.col("its")) & (F.col("lx") != F.col("ly")) & once & _likely(percent) & here & _very_likely(percent))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def open_buckets(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """The rows (bucket, node, n, label) of buckets that hold several components."""
+    """The rows (bucket, node, n, bits, label) of buckets that hold several components."""
     labels = components(links)
     rows = rows.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rows = cut_lineage(rows, "minhash-labelled")
@@ -240,19 +306,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     rows = bands(nodes)
     shared = cut_lineage(rows.groupBy("bucket").agg(F.count("*").alias("held")).filter("held > 1").select("bucket"), "minhash-shared")
-    rows = cut_lineage(rows.join(shared, "bucket").withColumn("label", F.col("node")), "minhash-buckets")
+    rows = cut_lineage(rows.join(shared, "bucket"), "minhash-shared-rows")
+    bits = with_planes(nodes.join(rows.select("node").distinct(), "node", "left_semi"))
+    all_rows = rows = cut_lineage(rows.join(bits, "node").withColumn("label", F.col("node")), "minhash-buckets")
 
     links = tested = spark.createDataFrame([], "a long, b long")
     for star in range(STARS + 1):
-        pairs = star_pairs(rows, star, percent) if star < STARS else rest_pairs(rows, percent)
+        if star < STARS:
+            pairs = star_pairs(rows, star, percent)
+        else:
+            left = cut_lineage(rows.select("node").distinct(), "minhash-left")
+            keys = all_rows.join(left, "node", "left_semi").groupBy("node").agg(F.collect_set("bucket").alias("keys"))
+            known = cut_lineage(confirmer.fine_bits(left).join(keys, "node"), "minhash-fine")
+            pairs = rest_pairs(split_buckets(rows, all_rows).join(known, "node"), percent)
         pairs = cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
         if pairs.isEmpty():
-            if star < STARS:
-                continue
-            break
-        tested = cut_lineage(tested.union(pairs), "minhash-tested")
-        links = cut_lineage(links.union(confirmer.links(pairs)), "minhash-all-links")
-        if star < STARS:
+            continue
+        found = confirmer.links(pairs)
+        tested, links = tested.union(pairs), links.union(found)
+        if star < STARS and not found.isEmpty():
             rows = open_buckets(rows, links)
             if rows.isEmpty():
                 break

@@ -244,7 +244,7 @@ def _blocks_of_items(terms: DataFrame, most: int) -> Iterator[list]:
 def _plan(rows: list, vocabulary: np.ndarray, found: DataFrame) -> Plan:
     documents, length = found.filter("n > 0").agg(F.count("*"), F.sum("n")).first()
     df = np.zeros(len(vocabulary), dtype=np.int64)
-    for term, count in found.select(F.explode("terms").alias("term")).groupBy("term").count().toLocalIterator():
+    for term, count in found.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
         df[term] = count
     weights = np.array([weight(documents, int(x)) for x in df], dtype=np.int64)
     of: dict[int | None, list[tuple[int, int, int]]] = {}

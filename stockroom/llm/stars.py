@@ -10,7 +10,7 @@ it in a join that Spark can split where a node has very many of them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stockroom.session import cut_lineage
@@ -33,16 +33,17 @@ def large_star(links: DataFrame) -> DataFrame:
     return cut_lineage(moved.distinct(), "large-star")
 
 
-def small_star(links: DataFrame) -> DataFrame:
+def small_star(links: DataFrame, mark: Observation | None = None) -> DataFrame:
     """(a, b), a > b -> the links of a and its smaller neighbours to the smallest."""
     least = _least(links)
     moved = links.join(least, "a").filter("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return cut_lineage(moved.union(least.select("a", F.col("least").alias("b"))).distinct(), "small-star")
+    moved = moved.union(least.select("a", F.col("least").alias("b"))).distinct()
+    return cut_lineage(moved if mark is None else moved.observe(mark, *_digest()), "small-star")
 
 
-def _digest(links: DataFrame) -> tuple:
-    mark = F.xxhash64("a", "b").cast("decimal(38,0)")
-    return tuple(links.agg(F.count("*"), F.sum(mark)).first())
+def _digest() -> tuple[Column, Column]:
+    """Tells whether two link tables are the same; taken while a table is written."""
+    return F.count(F.lit(1)).alias("links"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("marks")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -50,10 +51,12 @@ def components(links: DataFrame) -> DataFrame:
     the label is the component's smallest node. Repeated links and links of a
     node with itself are allowed; no links give an empty result."""
     ordered = links.select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b"))
-    stars = cut_lineage(ordered.filter("a <> b").distinct(), "star-links")
-    before, now = None, _digest(stars)
-    while before != now:
-        stars = small_star(large_star(stars))
-        before, now = now, _digest(stars)
+    mark = Observation("star-links")
+    stars = cut_lineage(ordered.filter("a <> b").distinct().observe(mark, *_digest()), "star-links")
+    before, now = None, mark.get
+    while before != now and now["links"]:
+        mark = Observation("stars")
+        stars = small_star(large_star(stars), mark)
+        before, now = now, mark.get
     centres = stars.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("label"))
     return stars.select(F.col("a").alias("node"), F.col("b").alias("label")).union(centres)

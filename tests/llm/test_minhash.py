@@ -67,8 +67,11 @@ def test_copies_chains_and_limits(spark):
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
-def test_hot_passage_links_nothing_by_itself(spark):
-    """Documents that share a long passage but no more than that stay apart."""
+@pytest.mark.parametrize("large", [minhash.LARGE, 3])
+def test_hot_passage_links_nothing_by_itself(spark, monkeypatch, large):
+    """Documents that share a long passage but no more than that stay apart,
+    also where the buckets of the passage are split."""
+    monkeypatch.setattr(minhash.split_buckets, "__defaults__", (large,))
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [(d, passage + " " + " ".join(f"d{d}w{i}" for i in range(30))) for d in range(60)]
     rows += [(100 + d, rows[d][1] + " more") for d in range(0, 60, 2)]
@@ -80,6 +83,24 @@ def test_odd_rows(clashing_docs, odd_rows, no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0
 
 
+def test_likely_pairs_hold_the_limit(spark):
+    """Two bits of each minimum never stop a pair at the limit."""
+    draw = np.random.default_rng(8)
+    family = minhash.hash_family(minhash.BANDS * minhash.ROWS)
+    rows = []
+    for share in (0.8, 0.9, 0.3):
+        for _ in range(60):
+            tokens = draw.integers(0, 2**63, 400).astype(np.uint64)
+            both = int(len(tokens) * share)
+            a, b = tokens[:both], tokens  # one inside the other
+            bits = [[int(x[0]) for x in minhash.planes(minhash.signature(t, family)[None, :])] for t in (a, b)]
+            rows.append((share, 400, 400, *bits[0], *bits[1]))
+    names = "share double, n int, m int, " + ", ".join(f"{c}{k} long" for c in "pq" for k in range(4))
+    kept = spark.createDataFrame(rows, names).filter(minhash._likely(80)).groupBy("share").count().collect()
+    counts = {r["share"]: r["count"] for r in kept}
+    assert counts[0.8] == counts[0.9] == 60 and counts.get(0.3, 0) <= 1
+
+
 def test_signatures_estimate_similarity():
     draw = np.random.default_rng(3)
     family = minhash.hash_family(minhash.BANDS * minhash.ROWS)
