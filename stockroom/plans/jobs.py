@@ -22,23 +22,25 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockroom.operators import health, orders, returns, rules
 from stockroom.plans.order_batch import OrderBatch
 from stockroom.plans.side_batches import RestockBatch, ReturnBatch
-from stockroom.session import cut_lineage, lineage_scope, path_exists
+from stockroom.session import cut_lineage, drop_tables, lineage_scope, list_folder, path_exists
 
 MARKERS = "_batches"
 
 
-# Ledgers are read back by reference (H17): rows sorted by it within each
-# file give Parquet row groups tight min/max values, so a lookup skips the rest.
+# Ledgers are read back by reference (H17): every file holds a range of
+# references, sorted, so that files and row groups have tight min/max values
+# and a lookup skips all others.
 LEDGER_SORT = ("reference_id", "log_id")
 
 
 def _append(df: DataFrame, root: str, table: str, batch_id: str, sort_by: tuple[str, ...] = ()) -> int:
     if sort_by:
-        df = df.sortWithinPartitions(*sort_by)
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     df.write.mode("overwrite").parquet(f"{root}/{table}/batch_id={batch_id}")
     return 0
 
@@ -140,13 +142,77 @@ def _write_return_batch(
     return summary
 
 
+LEDGER = (
+    "log_id long, product_id long, quantity_change int, transaction_type string, transaction_subtype string, reference_id long, "
+    "reference_table string, batch_id long, previous_quantity int, new_quantity int, performed_by string, notes string, log_date timestamp_ntz"
+)
+
+
+def write_ledger(movements: DataFrame, root: str, batch_id: str) -> None:
+    """Append a batch's movements to the ledger, for lookups by reference."""
+    _append(movements, root, "inventory_log", batch_id, LEDGER_SORT)
+
+
+def ledger_by_reference(
+    spark: SparkSession, root: str, reference_id: int, reference_table: str | None = None, n: int = 5
+) -> DataFrame:
+    """H17 on the written ledger: the filter on the reference is pushed to the
+    files, which are sorted by it; nothing of the batch is computed again."""
+    # the folders of the batches one by one: the rows' own batch_id is a lot's, not the folder's
+    ledger = spark.read.schema(LEDGER).parquet(f"{root}/inventory_log/*")
+    return health.movements_by_reference(ledger, reference_id, reference_table, n)
+
+
 def retention_job(log: DataFrame, ts_col: str, as_of: dt.date, days: int, root: str, table: str,
                   batch_id: str) -> str:
-    """H15 as a job: the kept rows become the next snapshot of the log (a
-    log partitioned by day would instead drop whole partitions)."""
+    """H15 as a job on a log that is not stored by day: the kept rows become
+    the next snapshot of the log (see ``drop_old_days``)."""
     return _snapshot(health.log_retention(log, ts_col, as_of, days), root, table, batch_id)
 
 
+DAY_COLUMN = "log_day"
+
+
+def write_log_by_day(log: DataFrame, ts_col: str, path: str) -> None:
+    """Append log rows to folders by day. Rows without a time have a folder of
+    their own (the store's default partition)."""
+    log.withColumn(DAY_COLUMN, F.to_date(ts_col)).write.mode("append").partitionBy(DAY_COLUMN).parquet(path)
+
+
+def read_log_by_day(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    whole = T.StructType([*schema.fields, T.StructField(DAY_COLUMN, T.DateType())])
+    return spark.read.schema(whole).parquet(path).select(*schema.fieldNames())
+
+
+def _days(spark: SparkSession, path: str) -> list[dt.date]:
+    names = [n.removeprefix(DAY_COLUMN + "=") for n in list_folder(spark, path) if n.startswith(DAY_COLUMN + "=")]
+    return sorted(dt.date.fromisoformat(n) for n in names if n != "__HIVE_DEFAULT_PARTITION__")
+
+
+def drop_old_days(spark: SparkSession, path: str, ts_col: str, schema: T.StructType, before: dt.datetime) -> int:
+    """H15 as a delete by partition: the folders of days that end before the
+    limit go, the limit's own day is written anew without its older rows, and
+    no file of a kept day is touched. Returns the number of folders dropped.
+
+    Safe to run again at any point: the border day is staged beside the log
+    first, and a complete stage that a crash has left behind is put in place
+    before anything else. A second run changes nothing.
+    """
+    border, stage = f"{path}/{DAY_COLUMN}={before.date()}", f"{path}/_border"
+    if path_exists(spark, stage) and not path_exists(spark, stage + "/_SUCCESS"):
+        drop_tables(spark, [stage])  # a stage that was never complete
+    if not path_exists(spark, stage) and path_exists(spark, border):
+        day = spark.read.schema(schema).parquet(border)
+        old = F.col(ts_col) < F.lit(before)
+        if not day.filter(old).isEmpty():
+            day.filter(~old).write.parquet(stage)
+    if path_exists(spark, stage):
+        spark.read.schema(schema).parquet(stage).write.mode("overwrite").parquet(border)
+        drop_tables(spark, [stage])
+    gone = [f"{path}/{DAY_COLUMN}={d}" for d in _days(spark, path) if d < before.date()]
+    drop_tables(spark, gone)
+    return len(gone)
+
 
 # Each job runs in one lineage scope: its intermediate tables are dropped
 # once the marker is written. The session comes from the raw input, so

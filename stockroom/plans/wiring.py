@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stockroom.functions.clock import ts_lit
 from stockroom.operators import cascade, catalogue, health, kpis, loyalty, orders, quality, restock, returns, rules
+from stockroom.plans import jobs as jobs_
 from stockroom.plans.order_batch import order_batch
 from stockroom.plans.registry import query
 from stockroom.plans.side_batches import RestockBatch, ReturnBatch
@@ -19,6 +20,8 @@ from stockroom.streaming import feeds, jobs
 
 STOCK_POSITION_IDS = (1, 5, 42, 1999)
 MOVEMENT_REFERENCE = 56
+STORED_REFERENCE = 8_000_003
+RETENTION_LIMIT = _dt.datetime(2024, 1, 16, 9, 30)
 SHIPPING_METHODS = ("STANDARD", "EXPRESS", "OVERNIGHT")
 AS_OF_TS = _dt.datetime(REPORT_DATE.year, REPORT_DATE.month, REPORT_DATE.day)
 DAY = 86400
@@ -465,6 +468,25 @@ def _h17(f: Fixtures):
     )
 
 
+@query("movements_by_reference_stored")
+def _h17b(f: Fixtures):
+    """H17 as it runs in production: the restock job's ledger is written, and
+    the lookup reads the files of that reference only."""
+    root = scratch_path(f.spark, "ledger-" + _uuid())
+    jobs_.write_ledger(_restock(f).movements, root, "restocks")
+    return jobs_.ledger_by_reference(f.spark, root, STORED_REFERENCE, "inventory_batch")
+
+
+@query("log_retention_by_day")
+def _h15c(f: Fixtures):
+    """H15 on a log stored by day: whole days are dropped, the limit's own day
+    loses its older rows."""
+    path, log = scratch_path(f.spark, "log-" + _uuid()), f.query_performance_log
+    jobs_.write_log_by_day(log, "log_time", path)
+    jobs_.drop_old_days(f.spark, path, "log_time", log.schema, RETENTION_LIMIT)
+    return jobs_.read_log_by_day(f.spark, path, log.schema)
+
+
 # ------------------------------------------------------------- R, T ----
 
 

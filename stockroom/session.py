@@ -142,6 +142,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hp.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hp)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of the store that the path names (none: empty)."""
+    sc = spark.sparkContext
+    hp = sc._jvm.org.apache.hadoop.fs.Path(path)
+    store = hp.getFileSystem(sc._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in store.listStatus(hp)) if store.exists(hp) else []
+
+
 def drop_tables(spark: SparkSession, paths: list[str]) -> None:
     """Delete folders through the Hadoop file system of each path (works for
     any shared store the cluster mounts)."""

@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from stockroom.session import drop_tables
+from stockroom.session import drop_tables, list_folder, path_exists
 
 
 class BatchLog:
@@ -29,17 +29,10 @@ class BatchLog:
         self.spark, self.path, self.merge = spark, path.rstrip("/"), merge
         self.schema = T.StructType.fromDDL(schema)
 
-    def _numbers(self, kind: str, complete: bool = False) -> list[int]:
-        """Numbers of the folders ``<kind>-<n>``, those with a _SUCCESS file."""
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        top = jvm.org.apache.hadoop.fs.Path(self.path)
-        store = top.getFileSystem(conf)
-        if not store.exists(top):
-            return []
-        names = [f.getPath().getName() for f in store.listStatus(top)]
-        found = [int(n.removeprefix(kind + "-")) for n in names if n.startswith(kind + "-")]
-        done = jvm.org.apache.hadoop.fs.Path
-        return sorted(n for n in found if store.exists(done(f"{self.path}/{kind}-{n}/_SUCCESS")))
+    def _numbers(self, kind: str) -> list[int]:
+        """Numbers of the folders ``<kind>-<n>`` that are complete."""
+        names = [n for n in list_folder(self.spark, self.path) if n.startswith(kind + "-")]
+        return sorted(int(n.removeprefix(kind + "-")) for n in names if path_exists(self.spark, f"{self.path}/{n}/_SUCCESS"))
 
     def _folder(self, kind: str, n: int) -> str:
         return f"{self.path}/{kind}-{n}"

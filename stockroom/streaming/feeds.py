@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockroom.session import list_folder
+
 END_OF_INPUT = dt.datetime(2999, 1, 1)
 ROWS_PER_FILE = 1_000_000
 
@@ -85,10 +87,7 @@ def write_sliced_feed(
 
 
 def _files(spark: SparkSession, path: str) -> int:
-    sc = spark.sparkContext
-    top = sc._jvm.org.apache.hadoop.fs.Path(path)
-    store = top.getFileSystem(sc._jsc.hadoopConfiguration())
-    return sum(f.getPath().getName().startswith("part-") for f in store.listStatus(top)) if store.exists(top) else 0
+    return sum(n.startswith("part-") for n in list_folder(spark, path))
 
 
 def _append(part: DataFrame, path: str, width: int) -> None:

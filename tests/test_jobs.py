@@ -1,5 +1,6 @@
 """Batch jobs write every effect, are idempotent per batch and mark batches last."""
 
+import os
 import tempfile
 
 from pyspark.sql import functions as F
@@ -73,8 +74,6 @@ def test_restock_and_return_jobs(spark):
 
 
 def test_job_drops_its_lineage_tables(spark):
-    import os
-
     from stockroom.session import ensure_checkpoint_dir
 
     lineage = ensure_checkpoint_dir(spark).replace("file:", "") + "/lineage"
@@ -94,8 +93,6 @@ def test_job_drops_its_lineage_tables(spark):
 
 
 def test_lineage_scope_records_and_drops(spark):
-    import os
-
     from stockroom.session import cut_lineage, lineage_scope
 
     with lineage_scope(spark) as paths:
@@ -112,3 +109,54 @@ def test_lineage_scope_records_and_drops(spark):
     except RuntimeError:
         pass
     assert os.path.isdir(kept[0].replace("file:", ""))
+
+
+def test_ledger_lookup_reads_the_files_of_its_reference(spark):
+    """The stored ledger answers by pushed filters; batches of different kinds lie side by side."""
+    root = tempfile.mkdtemp(prefix="stockroom-ledger-", dir="/tmp")
+    moves = spark.range(2000).selectExpr("id as log_id", "id % 50 as product_id", "1 as quantity_change", "'ORDER' as transaction_type",
+                                         "id % 400 as reference_id", "'orders' as reference_table", "cast(id as int) as new_quantity")
+    jobs.write_ledger(moves, root, "b1")
+    jobs.write_ledger(moves.selectExpr("log_id + 10000 as log_id", "product_id", "reference_id", "'inventory_batch' as reference_table",
+                                       "reference_id as batch_id", "'x' as notes"), root, "r1")
+    found = jobs.ledger_by_reference(spark, root, 77, "orders", n=3)
+    assert [r["log_id"] for r in found.collect()] == [1677, 1277, 877]
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = found._jdf.queryExecution().explainString(mode)
+    pushed = next(line for line in plan.splitlines() if line.startswith("PushedFilters"))
+    assert "EqualTo(reference_id,77)" in pushed and "EqualTo(reference_table,orders)" in pushed
+    assert not any(x in plan for x in ("Window", "Join", "Python", "Exchange hashpartitioning"))
+    lots = jobs.ledger_by_reference(spark, root, 77, "inventory_batch").collect()
+    assert len(lots) == 5 and {r["batch_id"] for r in lots} == {77}
+
+
+def test_retention_drops_days_and_rewrites_the_border(spark):
+    import datetime as dt
+    import glob
+
+    path = tempfile.mkdtemp(prefix="stockroom-log-", dir="/tmp") + "/log"
+    log = spark.range(240).selectExpr("id", "if(id % 60 = 59, null, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id as int))) as at")
+    jobs.write_log_by_day(log, "at", path)
+    limit = dt.datetime(2024, 1, 4, 9, 30)
+
+    def files():
+        return {f: os.stat(f).st_mtime_ns for f in glob.glob(path + "/log_day=*/*.parquet")}
+
+    def kept():
+        return sorted((r["id"] for r in jobs.read_log_by_day(spark, path, log.schema).collect()))
+
+    expect = sorted(r["id"] for r in log.filter(F.col("at").isNull() | (F.col("at") >= F.lit(limit))).collect())
+    before = files()
+    assert jobs.drop_old_days(spark, path, "at", log.schema, limit) == 3 and kept() == expect
+    after = files()
+    touched = {f for f in after if before.get(f) != after[f]}
+    assert touched and all("log_day=2024-01-04" in f for f in touched)
+    assert jobs.drop_old_days(spark, path, "at", log.schema, limit) == 0
+    assert files() == after  # a second run changes nothing
+    # a crash between the staged border day and its folder: the stage is put in place
+    border = path + "/log_day=2024-01-04"
+    spark.read.schema(log.schema).parquet(border).write.parquet(path + "/_border")
+    for f in glob.glob(border + "/*.parquet")[:1]:
+        os.remove(f)
+    jobs.drop_old_days(spark, path, "at", log.schema, limit)
+    assert kept() == expect and not os.path.exists(path + "/_border")
