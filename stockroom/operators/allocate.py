@@ -84,7 +84,7 @@ def _round(state: DataFrame, two_level: bool) -> DataFrame:
 
 def allocate_lines(
     lines: DataFrame,
-    inventory: DataFrame,
+    inventory: DataFrame | None,
     stats: list | None = None,
     carry: tuple[str, ...] = (),
     hot_product_lines: int = HOT_PRODUCT_LINES,
@@ -96,16 +96,16 @@ def allocate_lines(
 
     ``lines``: (request_id, request_ts, product_id, quantity), one row per
     (request, product) of requests that passed validation.
-    ``inventory``: (product_id, quantity_available). ``carry`` names extra
+    ``inventory``: (product_id, quantity_available), or None if ``carry`` names
+    a column ``stock`` of the lines: the stock with all that is known to have
+    come in before the line. ``carry`` names extra
     columns of ``lines`` that skip the loop and come back on the result.
     ``stats`` collects the open and loop lines after each written stage.
     """
-    base = cut_lineage(
-        lines.select("request_id", "request_ts", "product_id", "quantity", *carry).join(
-            inventory.select("product_id", F.col("quantity_available").alias("stock")), "product_id"
-        ),
-        "alloc-base",
-    )
+    wanted = lines.select("request_id", "request_ts", "product_id", "quantity", *carry)
+    if inventory is not None:
+        wanted = wanted.join(inventory.select("product_id", F.col("quantity_available").alias("stock")), "product_id")
+    base = cut_lineage(wanted, "alloc-base")
     # one size check decides whether any product is hot enough to need the
     # two-level running sums (partial aggregation: cheap even when skewed)
     two_level = hottest_key_rows(base, ["product_id"]) > hot_product_lines

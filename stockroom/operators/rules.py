@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from stockroom.functions.money import lit_dec
 from stockroom.functions.clock import ts_lit
 from stockroom.functions.windows import bucket_mode, running_sums
+from stockroom.operators.allocate import allocate_lines
+from stockroom.session import cut_lineage
 
 # Alert bands as fractions of the reorder point.
 CRITICAL_SHARE = "0.2"
@@ -168,3 +170,44 @@ def negative_inventory_guard(current: DataFrame, proposed: DataFrame) -> DataFra
         "product_id",
         *[F.when(refused, F.col(c)).otherwise(F.col("_p_" + c)).alias(c) for c in cols],
     )
+
+
+def guarded_updates(inventory: DataFrame, updates: DataFrame) -> DataFrame:
+    """A4 over a sequence of updates (update_id, ts, product_id, quantity_change):
+    an update that would make on-hand negative is refused and leaves it as it
+    is, so that later ones meet the level without it. One row per update of a
+    known product: applied, and the level behind it. The first levels must not
+    be negative.
+
+    Refusals depend on each other, so this is no running sum. What comes in is
+    never refused and is known ahead; what goes out is decided by the rounds of
+    the allocation (O5), an order of one line each, with the stock and all that
+    came in before as its limit. A product with very many updates is spread
+    over range buckets there and in the running sums.
+    """
+    order = ["ts", "update_id"]
+    rows = updates.join(inventory.select("product_id", "quantity_on_hand"), "product_id")
+    mode = bucket_mode(updates, ["product_id"])
+    change = F.col("quantity_change").cast("long")
+    known = running_sums(rows, ["product_id"], order, {"_in": F.when(change > 0, change)}, mode)
+    known = cut_lineage(known.withColumn("stock", F.col("quantity_on_hand") + F.col("_in")).drop("_in"), "guarded-updates")
+    out = known.filter("quantity_change < 0").select(
+        F.col("update_id").alias("request_id"), F.col("ts").alias("request_ts"), "product_id", (-change).alias("quantity"), "stock")
+    decided = allocate_lines(out, None, carry=("stock",)).select(F.col("request_id").alias("update_id"), "accepted")
+    applied = known.drop("stock").join(decided, "update_id", "left").withColumn("applied", F.coalesce("accepted", F.lit(True)))
+    level = running_sums(applied, ["product_id"], order, {"_sum": F.when(F.col("applied"), change)}, mode, inclusive=True)
+    return level.select("update_id", "ts", "product_id", "applied", (F.col("quantity_on_hand") + F.col("_sum")).alias("level"))
+
+
+def refused_updates(guarded: DataFrame) -> DataFrame:
+    """A4a for a sequence: one CRITICAL violation per refused update, at its time."""
+    return guarded.filter(~F.col("applied")).select(
+        F.col("update_id").alias("violation_id"),
+        F.lit("NegativeInventoryPrevention").alias("rule_name"),
+        F.concat(F.lit("Attempt to set negative inventory for product "), F.col("product_id").cast("string"))
+        .alias("violation_description"),
+        F.lit("Inventory").alias("entity_type"),
+        F.col("product_id").alias("entity_id"),
+        F.lit("CRITICAL").alias("severity"),
+        F.col("ts").alias("occurred_at"),
+    )

@@ -638,6 +638,21 @@ def _a4b(f: Fixtures):
     return rules.negative_inventory_guard(f.inventory, f.inventory_minus5)
 
 
+def _guarded(f: Fixtures):
+    return rules.guarded_updates(f.inventory, f.stock_movements.withColumnRenamed("event_id", "update_id"))
+
+
+@query("guarded_inventory_updates")
+def _a4c(f: Fixtures):
+    """A4 over a sequence: every stock movement proposed in its order."""
+    return _guarded(f)
+
+
+@query("refused_inventory_updates")
+def _a4d(f: Fixtures):
+    return rules.refused_updates(_guarded(f))
+
+
 # ------------------------------------------------------------------ X ----
 
 

@@ -110,3 +110,28 @@ def test_chain_is_decided_to_its_end(spark):
     out = {r["request_id"]: r["accepted"] for r in allocation_outcomes(allocate_lines(lines, inv, stats=stats)).collect()}
     assert out == serial(orders, stock)
     assert len(stats) > 2 and stats[-1]["open_lines"] == 0
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_guarded_updates_equal_the_serial_loop(spark, monkeypatch, hot):
+    """Updates that would make stock negative are refused one by one; one
+    product holds most updates."""
+    from stockroom.functions import windows
+    from stockroom.operators import rules
+
+    if hot:  # range buckets for every running sum
+        monkeypatch.setattr(rules, "bucket_mode", lambda *a, **k: windows.RANGE)
+        monkeypatch.setattr(rules.allocate_lines, "__defaults__", (None, (), 0, 2))
+    draw = random.Random(13)
+    stock = {1: 30, 2: 0, 3: 5, 4: 7}
+    rows = [(k, draw.randrange(40), draw.choice([1, 1, 1, 1, 2, 3, 9]), draw.choice([-25, -9, -4, -1, 0, 2, 6])) for k in range(250)]
+    updates = spark.createDataFrame(rows, "update_id long, ts long, product_id long, quantity_change int").repartition(4)
+    inventory = spark.createDataFrame([(p, q) for p, q in stock.items()], "product_id long, quantity_on_hand int")
+    expect, level = {}, dict(stock)
+    for k, t, p, q in sorted(rows, key=lambda r: (r[1], r[0])):
+        if p in level:
+            fits = level[p] + q >= 0
+            level[p] += q if fits else 0
+            expect[k] = (t, p, fits, level[p])
+    got = {r["update_id"]: (r["ts"], r["product_id"], r["applied"], r["level"]) for r in rules.guarded_updates(inventory, updates).collect()}
+    assert got == expect and not all(v[2] for v in expect.values())
