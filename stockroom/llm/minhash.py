@@ -17,12 +17,11 @@ A document is the set of its distinct word shingles (64-bit hashes).
 4. Buckets that then still hold several components are finished exactly:
    every node outside the bucket's largest component meets the nodes of
    other components, less the pairs already confirmed or refuted. Pairs
-   within one component are never made: they change nothing. A large bucket
-   (a passage that many unlike texts share, a family of texts that are nearly
-   near copies) is split first: its nodes meet in pairs of bands, in which a
-   pair at the limit meets as surely. What meets is compared inside the join
-   by one bit of ``FINE`` more minima, computed for the nodes that are left,
-   so that the join makes no rows but pairs within 0.05 of the limit.
+   within one component are never made: they change nothing. What meets is
+   compared inside the join, in the bucket of its first common band only: by
+   two bits of each minimum and then by one bit of ``FINE`` more minima,
+   computed for the nodes that are left. The join makes no rows but pairs
+   within 0.05 of the limit, however many unlike texts share a passage.
 
 A bucket of copies costs its length a round, and no link between different
 components is lost to a cap.
@@ -56,7 +55,6 @@ SLACK = 5.6  # standard deviations that a signature may fall short
 STARS = 2
 FINE = 4096  # minima of which one bit is compared before all pairs of a bucket are confirmed
 STEP = 1 << 17  # hashes computed at once
-LARGE = 256  # nodes of a bucket that is split before all its pairs are looked at
 PLANES = ["p0", "p1", "p2", "p3"]  # two bits of each minimum
 
 
@@ -253,22 +251,11 @@ def star_pairs(open_rows: DataFrame, star: int, percent: int) -> DataFrame:
     return drawn.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
-def split_buckets(open_rows: DataFrame, all_rows: DataFrame, large: int = LARGE) -> DataFrame:
-    """The rows with every bucket of more than ``large`` nodes replaced by the
-    buckets of pairs of bands, that one and each other band of its nodes."""
-    held = cut_lineage(open_rows.groupBy("bucket").agg(F.count("*").alias("held")).filter(F.col("held") > large).select("bucket"), "minhash-large")
-    if held.isEmpty():
-        return open_rows
-    fine = open_rows.join(held, "bucket").join(all_rows.select("node", F.col("bucket").alias("other")), "node").filter("other <> bucket")
-    fine = fine.withColumn("bucket", F.xxhash64(F.least("bucket", "other"), F.greatest("bucket", "other"))).drop("other").distinct()
-    return open_rows.join(held, "bucket", "left_anti").unionByName(fine)
-
-
 def rest_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
     """(a, b): in each bucket all very likely pairs of nodes of different
     components. The bucket's largest component stands on one side only.
     ``open_rows`` has the nodes' ``fine`` bits and band ``keys`` as well: of
-    all buckets in which a pair meets, only the one of its first common bands
+    all buckets in which a pair meets, only the one of its first common band
     compares it."""
     sizes = open_rows.groupBy("bucket", "label").agg(F.count("*").alias("held"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("held", "label")).alias("top"), F.count("*").alias("labels"))
@@ -279,8 +266,7 @@ def rest_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
         F.col("bucket").alias("its"), F.col("node").alias("y"), F.col("n").alias("m"), F.col("label").alias("ly"), "main",
         F.col("fine").alias("fq"), F.col("keys").alias("ky"), *(F.col(p).alias(p.replace("p", "q")) for p in PLANES))
     once = (F.col("ly") == F.col("main")) | (F.col("x") < F.col("y"))
-    common = F.sort_array(F.array_intersect("kx", "ky"))
-    here = F.col("bucket").isin(F.get(common, F.lit(0)), F.xxhash64(F.get(common, F.lit(0)), F.get(common, F.lit(1))))
+    here = F.col("bucket") == F.array_min(F.array_intersect("kx", "ky"))
     pairs = x.join(y, (F.col("bucket") == F.col("its")) & (F.col("lx") != F.col("ly")) & once & _likely(percent) & here & _very_likely(percent))
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
@@ -318,7 +304,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             left = cut_lineage(rows.select("node").distinct(), "minhash-left")
             keys = all_rows.join(left, "node", "left_semi").groupBy("node").agg(F.collect_set("bucket").alias("keys"))
             known = cut_lineage(confirmer.fine_bits(left).join(keys, "node"), "minhash-fine")
-            pairs = rest_pairs(split_buckets(rows, all_rows).join(known, "node"), percent)
+            pairs = rest_pairs(rows.join(known, "node"), percent)
         pairs = cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
         if pairs.isEmpty():
             continue
