@@ -63,6 +63,8 @@ class BatchLog:
         """One base for all batches up to ``upto``; rows that ``keep`` does not
         hold for are dropped from the table."""
         old = self._numbers("base")
+        if upto in old:  # a replayed batch: done, and a base must not be overwritten from itself
+            return
         rows = self.read(upto + 1)
         (rows if keep is None else rows.filter(keep)).write.mode("overwrite").parquet(self._folder("base", upto))
         if old:  # what the base before this one covers has no reader any more

@@ -11,18 +11,17 @@ zone UTC keeps the wall-clock value).
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockroom.session import scratch_path
 from stockroom.streaming.batch_log import BatchLog
 from stockroom.streaming.feeds import END_OF_INPUT
-from stockroom.streaming.ordered_state import keyed_state, late_rows, on_time, ordered_fold, plain
+from stockroom.streaming.ordered_state import keyed_state, late_rows, on_time, ordered_fold
 
 # Files of the feed that a micro-batch reads; the registered queries pass 1 to
 # deliver their slices one by one.
@@ -162,38 +161,87 @@ AUDIT_SCHEMA = T.StructType(
 )
 
 
-def _audit_fold_factory(compare: list[str], user: str, ip: str, agent: str):
-    """Fold for X2: compare each version with the one before it (the
-    carried last image for the first row) and emit an audit row where any
-    compared column differs (NULL-safe). Vectorised over the key's rows."""
-
-    def image_json(record: dict) -> str:
-        return json.dumps({f: record.get(f) for f in TRACKED}, separators=(",", ":"), ensure_ascii=False)
-
-    def fold(key, carry, rows: pd.DataFrame):
-        cur = rows[compare].astype(object).where(rows[compare].notna(), None)
-        prev = cur.shift(1)
-        if carry is not None:
-            prev.iloc[0] = [carry[c] for c in compare]
-        same = (prev == cur) | (prev.isna() & cur.isna())
-        changed = ~same.all(axis=1)
-        if carry is None:
-            changed.iloc[0] = False  # the first version is an insert, not an update
-        idx = changed[changed].index
-        olds = [image_json({c: plain(prev.at[i, c]) for c in compare}) for i in idx]
-        news = [image_json({c: plain(cur.at[i, c]) for c in compare}) for i in idx]
-        out = pd.DataFrame(
-            {
-                "audit_id": int(key[0]), "user_id": user, "action": "UPDATE", "table_name": "customer",
-                "record_id": int(key[0]), "old_values": olds, "new_values": news,
-                "ip_address": ip, "user_agent": agent, "occurred_us": rows.loc[idx, "event_us"].values,
-            },
-            columns=[f.name for f in AUDIT_SCHEMA.fields],
-        )
-        last = {c: plain(cur.iloc[-1][c]) for c in compare}
-        return last, out
+def _all_rows(rows: DataFrame) -> DataFrame:
+    return rows
+
+
+class CustomerAudit:
+    """Audit rows of a feed of customer versions, kept current by micro-batches.
 
-    return fold
+    The watermark is the newest event time of the batches before, less the
+    delay. A version older than it goes to the late table; the others wait in
+    the version table and are applied, in version-time order, by the batch
+    that moves the watermark past them: each is compared (NULL-safe) with the
+    one before it, the first of a batch with the customer's last applied
+    image, and an audit row is written where any column differs. A customer's
+    first version is an insert. All tables are batch folders (``BatchLog``), so
+    a replayed batch reads the same state and rewrites its own folders.
+
+    A batch is one grouped pass over its versions and the last images, with no
+    work per customer outside of Spark's own operators.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, version_schema: T.StructType, user: str,
+                 ip: str = "", agent: str = "", watermark: str = "2 days", compact_every: int = 20) -> None:
+        self.spark, self.user, self.ip, self.agent, self.compact_every = spark, user, ip, agent, compact_every
+        self.compare = [f.name for f in version_schema.fields if f.name not in ("customer_id", "version_ts")]
+        delay = spark.sql(f"SELECT INTERVAL {watermark}").first()[0]
+        self.delay_us = delay // dt.timedelta(microseconds=1)
+        types = {f.name: f.dataType.simpleString() for f in version_schema.fields} | {"version_ts": "timestamp"}
+        version = ", ".join(f"`{c}` {types[c]}" for c in ("customer_id", *self.compare, "version_ts"))
+        self.clock = BatchLog(spark, folder + "/clock", "newest_us long", lambda rows: rows.agg(F.max("newest_us").alias("newest_us")))
+        self.versions = BatchLog(spark, folder + "/versions", version, _all_rows)
+        self.images = BatchLog(spark, folder + "/images", version, self._last_images)
+        self.late = BatchLog(spark, folder + "/late", version, _all_rows)
+        audit = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in AUDIT_SCHEMA.fields)
+        self.audits = BatchLog(spark, folder + "/audits", audit, _all_rows)
+
+    def _last_images(self, rows: DataFrame) -> DataFrame:
+        last = rows.groupBy("customer_id").agg(F.max(F.struct("version_ts", *self.compare)).alias("_v"))
+        return last.select("customer_id", *(f"_v.{c}" for c in self.compare), "_v.version_ts")
+
+    def _watermark_us(self, before: int) -> int:
+        """The watermark as of before a batch, in whole milliseconds as Spark keeps it."""
+        newest = self.clock.read(before).first()
+        if newest is None or newest[0] is None:
+            return 0
+        return max(0, (newest[0] - self.delay_us) // 1000 * 1000)
+
+    def _image(self, source: str = "") -> Column:
+        fields = [F.col(source + c).alias(c) if c in self.compare else F.lit(None).cast("string").alias(c) for c in TRACKED]
+        return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+    def apply(self, versions: DataFrame, batch_id: int) -> None:
+        at = F.unix_micros("version_ts")
+        newest = versions.agg(F.max(at).alias("newest_us"))
+        self.clock.append(newest, batch_id)
+        passed, reached = self._watermark_us(batch_id), self._watermark_us(batch_id + 1)
+        rows = versions.filter(F.col("version_ts") < _end())  # without the end-of-input marker
+        self.late.append(rows.filter(at < passed), batch_id)
+        self.versions.append(rows.filter(at >= passed), batch_id)
+        ready = self.versions.read(batch_id + 1).filter((at >= passed) & (at < reached))
+        # the last images are older than every version that is applied now
+        steps = ready.withColumn("_new", F.lit(True)).unionByName(self.images.read(batch_id).withColumn("_new", F.lit(False)))
+        image = F.struct(*self.compare)
+        in_order = Window.partitionBy("customer_id").orderBy("version_ts", *self.compare)
+        steps = steps.withColumn("_was", F.lag(image).over(in_order))
+        changed = steps.filter(F.col("_new") & F.col("_was").isNotNull() & ~F.col("_was").eqNullSafe(image))
+        self.audits.append(
+            changed.select(
+                F.col("customer_id").cast("long").alias("audit_id"), F.lit(self.user).alias("user_id"),
+                F.lit("UPDATE").alias("action"), F.lit("customer").alias("table_name"),
+                F.col("customer_id").cast("long").alias("record_id"), self._image("_was.").alias("old_values"),
+                self._image().alias("new_values"), F.lit(self.ip).alias("ip_address"),
+                F.lit(self.agent).alias("user_agent"), at.alias("occurred_us"),
+            ),
+            batch_id,
+        )
+        self.images.append(self._last_images(ready), batch_id)
+        if self.compact_every and batch_id and batch_id % self.compact_every == 0:
+            # up to the batch before: this one may still be replayed
+            self.versions.compact(batch_id - 1, keep=at >= passed)
+            self.images.compact(batch_id - 1)
+            self.clock.compact(batch_id - 1)
 
 
 def run_customer_audit(
@@ -201,29 +249,19 @@ def run_customer_audit(
     ip: str = "", agent: str = "", watermark: str = "2 days", late_path: str | None = None,
     files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
-    """Customer row versions -> one audit row per changed version.
-
-    Keyed by customer; the state is the last row image; versions are
-    applied in version-time order after the watermark passes them. A version
-    older than the watermark when it arrives goes to the late table.
-    """
+    """Customer row versions -> one audit row per changed version, kept
+    current by ``CustomerAudit``. A version older than the watermark when it
+    arrives goes to the late table."""
     folder = _folder(spark, "customer-audit")
-    compare = [f.name for f in version_schema.fields if f.name not in ("customer_id", "version_ts")]
-    stream = (
-        spark.readStream.schema(version_schema).option("maxFilesPerTrigger", files_per_trigger).parquet(feed_path)
-        .withColumn("version_ts", F.col("version_ts").cast("timestamp"))
-        .withWatermark("version_ts", watermark)
-        # drop the end-of-input marker; a predicate on the event-time column
-        # is not pushed below the watermark, so the marker still moves it
-        .filter(F.col("version_ts") < _end())
-    )
-    carry = T.StructType([T.StructField(f.name, f.dataType) for f in version_schema.fields if f.name in compare])
-    audits = ordered_fold(
-        stream, ["customer_id"], _audit_fold_factory(compare, user, ip, agent),
-        "version_ts", "customer_id", ["customer_id", *compare], carry, AUDIT_SCHEMA,
+    stream = spark.readStream.schema(version_schema).option("maxFilesPerTrigger", files_per_trigger).parquet(feed_path)
+    table = CustomerAudit(spark, folder + "/table", version_schema, user, ip, agent, watermark)
+    _run_to_end(
+        stream.withColumn("version_ts", F.col("version_ts").cast("timestamp"))
+        .writeStream.foreachBatch(table.apply).option("checkpointLocation", folder + "/_checkpoint").start()
     )
-    out = _fold_to_end(audits, folder, AUDIT_SCHEMA.fieldNames(), "version_ts", late_path)
-    return out.withColumn("occurred_at", F.timestamp_micros("occurred_us").cast("timestamp_ntz")).drop("occurred_us")
+    late = table.late.read().withColumn("version_ts", F.col("version_ts").cast("timestamp_ntz"))
+    late.write.mode("overwrite").parquet(late_path or folder + "/late")
+    return table.audits.read().withColumn("occurred_at", F.timestamp_micros("occurred_us").cast("timestamp_ntz")).drop("occurred_us")
 
 
 # ------------------------------------------------------------------ X3 ----

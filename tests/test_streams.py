@@ -100,6 +100,54 @@ def test_late_versions_of_customers(spark):
     assert '"email":"a"' in found[0][2] and '"email":"b"' in found[0][3] and '"email":null' in found[2][3]
 
 
+def test_customer_audit_replays_and_compacts(spark):
+    """Every batch is delivered twice; versions wait for the watermark, equal
+    ones give no audit row, and the last image outlives the compactions."""
+    schema = "customer_id long, full_name string, email string, is_active boolean, version_ts timestamp"
+
+    def day(n):
+        return dt.datetime(2020, 1, 1) + dt.timedelta(days=n)
+
+    def version(c, email, n, active=True):
+        return (c, None, email, active, day(n))
+
+    frames = lambda rows: spark.createDataFrame(rows, schema)
+    table = jobs.CustomerAudit(spark, tempfile.mkdtemp(prefix="stockroom-audit-", dir="/tmp") + "/t", frames([]).schema, "u", compact_every=1)
+    batches = [
+        [version(1, "a", 3), version(2, None, 1)],
+        [version(1, "b", 2), version(2, "x", 5), version(2, "x", 4)],
+        [version(1, "z", 2), version(1, "b", 8)],  # day 2 is behind the watermark of day 3
+        [],
+        [version(1, "b", 9, active=False), (-1, None, None, None, feeds.END_OF_INPUT)],
+    ]
+    expect = [set(), set(), {(1, 3), (2, 4)}, {(1, 3), (2, 4)}, {(1, 3), (2, 4), (1, 8), (1, 9)}]
+    for n, (rows, goal) in enumerate(zip(batches, expect, strict=True)):
+        for _ in range(2):
+            table.apply(frames(rows), n)
+            found = [(r["record_id"], (r["occurred_us"] // 1_000_000 - int(day(0).replace(tzinfo=dt.timezone.utc).timestamp())) // DAY) for r in table.audits.read().collect()]
+            assert sorted(found) == sorted(goal)
+    assert [(r["customer_id"], r["email"]) for r in table.late.read().collect()] == [(1, "z")]
+    assert len(table.images._parts(None)[1]) <= 3
+    last = table.audits.read().filter("record_id = 2").first()
+    assert last["old_values"] == '{"full_name":null,"email":null,"phone":null,"shipping_address":null}' and '"email":"x"' in last["new_values"]
+
+
+def test_customer_audit_runs_no_code_per_customer(spark):
+    """Many customers cost one grouped pass, and equal the batch form."""
+    before = spark.range(20_000).select(
+        F.col("id").alias("customer_id"), F.lit("n").alias("full_name"), F.concat(F.lit("e"), "id").alias("email"))
+    after = before.withColumn("email", F.when(F.col("customer_id") % 9 == 0, F.lit("new")).otherwise(F.col("email")))
+    first, second = dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 2)
+    versions = before.withColumn("version_ts", F.lit(first).cast("timestamp_ntz")).unionByName(
+        after.withColumn("version_ts", F.lit(second).cast("timestamp_ntz")))
+    d = tempfile.mkdtemp(prefix="stockroom-feed-", dir="/tmp")
+    feeds.write_sliced_feed(versions, d + "/feed", "version_ts", DAY, marker={"customer_id": -1})
+    out = jobs.run_customer_audit(spark, d + "/feed", versions.schema, "u", late_path=d + "/late", files_per_trigger=1)
+    goal = rules.customer_change_audit(before, after, second, "u")
+    assert _rows(out, goal.columns) == _rows(goal, goal.columns) and out.count() == 2223
+    assert not os.path.exists(os.path.join(os.path.dirname(out.inputFiles()[0].removeprefix("file:")), "../../_checkpoint/state"))
+
+
 def test_non_utc_session_zone(spark):
     f = Fixtures(spark, SF0001)
     moves = f.stock_movements
