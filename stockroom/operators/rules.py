@@ -180,10 +180,11 @@ def guarded_updates(inventory: DataFrame, updates: DataFrame) -> DataFrame:
     be negative.
 
     Refusals depend on each other, so this is no running sum. What comes in is
-    never refused and is known ahead; what goes out is decided by the rounds of
-    the allocation (O5), an order of one line each, with the stock and all that
-    came in before as its limit. A product with very many updates is spread
-    over range buckets there and in the running sums.
+    never refused and is known ahead; what goes out is decided by the
+    allocation (O5), an order of one line each, with the stock and all that
+    came in before as its limit: one ordered pass per product. A product with
+    very many updates is spread over range buckets there, with the rounds of
+    the loop, and in the running sums.
     """
     order = ["ts", "update_id"]
     rows = updates.join(inventory.select("product_id", "quantity_on_hand"), "product_id")
@@ -193,7 +194,7 @@ def guarded_updates(inventory: DataFrame, updates: DataFrame) -> DataFrame:
     known = cut_lineage(known.withColumn("stock", F.col("quantity_on_hand") + F.col("_in")).drop("_in"), "guarded-updates")
     out = known.filter("quantity_change < 0").select(
         F.col("update_id").alias("request_id"), F.col("ts").alias("request_ts"), "product_id", (-change).alias("quantity"), "stock")
-    decided = allocate_lines(out, None, carry=("stock",)).select(F.col("request_id").alias("update_id"), "accepted")
+    decided = allocate_lines(out, None, carry=("stock",), one_line=True).select(F.col("request_id").alias("update_id"), "accepted")
     applied = known.drop("stock").join(decided, "update_id", "left").withColumn("applied", F.coalesce("accepted", F.lit(True)))
     level = running_sums(applied, ["product_id"], order, {"_sum": F.when(F.col("applied"), change)}, mode, inclusive=True)
     return level.select("update_id", "ts", "product_id", "applied", (F.col("quantity_on_hand") + F.col("_sum")).alias("level"))
