@@ -47,6 +47,7 @@ def _random_cases(n_cases, seed):
 
 
 import pytest
+from pyspark.sql import functions as F
 
 
 @pytest.mark.parametrize("hot,rounds", [(1_000_000, 1), (1_000_000, 2), (0, 1), (0, 3)])
@@ -135,3 +136,34 @@ def test_guarded_updates_equal_the_serial_loop(spark, monkeypatch, hot):
             expect[k] = (t, p, fits, level[p])
     got = {r["update_id"]: (r["ts"], r["product_id"], r["applied"], r["level"]) for r in rules.guarded_updates(inventory, updates).collect()}
     assert got == expect and not all(v[2] for v in expect.values())
+
+
+def test_orders_of_one_line_need_no_rounds(spark):
+    """A chain of single lines, each decided by the one before it, takes one
+    ordered pass; orders with two lines among them go back to the rounds."""
+    lines = [(i, T0 + dt.timedelta(minutes=i), 1, 3 if i % 2 else 2) for i in range(60)]
+    schema = "request_id long, request_ts timestamp_ntz, product_id long, quantity int"
+    inv = spark.createDataFrame([(1, 40), (2, 5)], "product_id long, quantity_available int")
+    for more, rounds in (([], False), ([(3, T0 + dt.timedelta(minutes=3), 2, 6)], True)):
+        rows, stats = lines + more, []
+        out = allocate_lines(spark.createDataFrame(rows, schema).repartition(3), inv, stats=stats, one_line=True)
+        orders = {}
+        for rid, ts, p, q in rows:
+            orders.setdefault(rid, (rid, ts, {}))[2][p] = q
+        expect = serial(list(orders.values()), {1: 40, 2: 5})
+        assert {r["request_id"]: r["accepted"] for r in out.collect()} == expect and 0 < sum(expect.values()) < 60
+        assert bool(stats) == rounds
+
+
+def test_only_lines_of_tight_products_enter_the_loop(spark):
+    f = Fixtures(spark, SF0001)
+    stock = f.inventory_ample.withColumn(
+        "quantity_available", F.when(F.col("product_id") % 9 == 4, 60).otherwise(F.col("quantity_available")))
+    b = order_batch(f.order_requests, f.customer, f.product, stock, f.promotions)
+    assert b.tight_lines.select("product_id").distinct().count() < f.inventory.count() / 2
+    got = {r["request_id"]: r["accepted"] for r in b.outcomes.collect()}
+    alloc = b.allocated.select("request_id", "request_ts", "product_id", "quantity", "stock", "accepted").toPandas()
+    orders = [(rid, g["request_ts"].iloc[0], dict(zip(g["product_id"], g["quantity"]))) for rid, g in alloc.groupby("request_id")]
+    expect = serial(orders, dict(zip(alloc["product_id"], alloc["stock"])))
+    assert got == expect and dict(zip(alloc["request_id"], alloc["accepted"])) == expect
+    assert 0 < sum(expect.values()) < len(expect)
