@@ -17,6 +17,7 @@ from stockroom.functions.money import dec, floor_tenth
 from stockroom.functions.clock import ts_lit
 from stockroom.functions.ids import line_id
 from stockroom.functions.windows import bucket_mode, running_sums
+from stockroom.session import cut_lineage
 
 ITEM_FIELDS = T.ArrayType(
     T.StructType(
@@ -38,8 +39,8 @@ def parse_return_requests(requests: DataFrame, order_item: DataFrame) -> DataFra
 
     Two lines for the same item are summed first, so together they are
     compared with the bought quantity; the lowest condition counts. The JSON
-    is parsed once and the lines are merged by a grouped sum with map-side
-    partial aggregation.
+    is parsed once. The lines are spread by order and item, which serves both
+    the grouped sum that merges them and the join with the items.
     """
     items = requests.select("request_id", "order_id", F.inline(F.from_json("items_json", ITEM_FIELDS)))
     typed = items.select(
@@ -49,14 +50,32 @@ def parse_return_requests(requests: DataFrame, order_item: DataFrame) -> DataFra
     valid = typed.filter(F.col("order_item_id").isNotNull() & (F.col("quantity") > 0))
     # a quantity beyond INT is beyond anything that was bought
     total = F.least(F.coalesce(F.try_sum("quantity"), F.lit(INT_MAX)), F.lit(INT_MAX)).cast("int")
-    summed = valid.groupBy("request_id", "order_id", "order_item_id").agg(
+    summed = valid.repartition("order_id", "order_item_id").groupBy("request_id", "order_id", "order_item_id").agg(
         total.alias("quantity_returned"), F.min("conditions").alias("conditions")
     )
     oi = order_item.select(
-        "order_item_id", F.col("order_id").alias("_oid"), "product_id",
+        F.col("order_item_id").alias("_item"), F.col("order_id").alias("_oid"), "product_id",
         F.col("quantity").alias("bought"), "unit_price",
     )
-    return summed.join(oi, "order_item_id").filter(F.col("_oid") == F.col("order_id")).drop("_oid")
+    same = (F.col("order_id") == F.col("_oid")) & (F.col("order_item_id") == F.col("_item"))
+    return summed.join(oi, same).select(
+        "order_item_id", "request_id", "order_id", "quantity_returned", "conditions", "product_id", "bought", "unit_price"
+    )
+
+
+def line_facts(lines: DataFrame) -> DataFrame:
+    """Per request: line count, the lowest item returned beyond what was
+    bought, and the raw refund. Validation (T2) and pricing (T3) both read
+    this one aggregate, so the line table is shuffled once for both."""
+    return lines.groupBy("request_id").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(F.when(F.col("quantity_returned") > F.col("bought"), F.col("order_item_id"))).alias("_over"),
+        _refund().alias("_refund_raw"),
+    )
+
+
+def _refund() -> Column:
+    return F.sum(F.col("quantity_returned") * F.col("unit_price"))
 
 
 def validate_returns(requests: DataFrame, lines: DataFrame, orders: DataFrame) -> DataFrame:
@@ -68,22 +87,24 @@ def validate_returns(requests: DataFrame, lines: DataFrame, orders: DataFrame) -
     Returned, so of several requests for one order that pass these rules the
     first (lowest id) is accepted and the others meet a returned order.
     """
+    return checked_returns(requests, line_facts(lines), orders).drop("_refund_raw")
+
+
+def checked_returns(requests: DataFrame, facts: DataFrame, orders: DataFrame) -> DataFrame:
+    """T2 on the line facts; the raw refund comes along."""
     open_orders = orders.filter(~F.col("order_status").isin(*EXCLUDED)).select(
         F.col("order_id").alias("_o"), F.col("customer_id")
     )
-    per_req = lines.groupBy("request_id").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(F.when(F.col("quantity_returned") > F.col("bought"), F.col("order_item_id"))).alias("_over"),
-    )
-    j = requests.select("request_id", "order_id", "items_json").join(
-        open_orders, F.col("order_id") == F.col("_o"), "left"
-    ).join(per_req, "request_id", "left")
     no_order = F.col("_o").isNull()
     bad_json = F.col("items_json").isNotNull() & F.try_parse_json(F.col("items_json")).isNull()
-    not_positive = F.exists(
+    some_not_positive = F.exists(
         F.coalesce(F.from_json("items_json", ITEM_FIELDS), F.array().cast(ITEM_FIELDS)),
         lambda it: F.coalesce(it["quantity"].try_cast("long") <= 0, F.lit(False)),
     )
+    # judged before the joins: the JSON text itself need not be shuffled
+    judged = requests.select("request_id", "order_id", bad_json.alias("_bad"), some_not_positive.alias("_not_positive"))
+    j = judged.join(open_orders, F.col("order_id") == F.col("_o"), "left").join(facts, "request_id", "left")
+    bad_json, not_positive = F.col("_bad"), F.col("_not_positive")
     no_items = F.coalesce(F.col("_n"), F.lit(0)) == 0
     over = F.col("_over").isNotNull()
     rule = F.when(no_order, 1).when(bad_json, 2).when(no_items, 3).when(not_positive, 5).when(over, 4)
@@ -97,7 +118,8 @@ def validate_returns(requests: DataFrame, lines: DataFrame, orders: DataFrame) -
         .when(over, F.concat(F.lit("Cannot return more than originally purchased for item "),
                              F.col("_over").cast("string")))
     )
-    alone = j.select("request_id", "order_id", "customer_id", rule.alias("failed_rule"), message.alias("message"))
+    alone = j.select("request_id", "order_id", "customer_id", rule.alias("failed_rule"), message.alias("message"), "_refund_raw")
+    alone = cut_lineage(alone, "return-rules")  # read twice below
     first = alone.filter(F.col("failed_rule").isNull()).groupBy(F.col("order_id").alias("_o")).agg(
         F.min("request_id").alias("_first")
     )
@@ -106,6 +128,7 @@ def validate_returns(requests: DataFrame, lines: DataFrame, orders: DataFrame) -
         "request_id", "customer_id",
         F.when(beaten, 1).otherwise(F.col("failed_rule")).alias("failed_rule"),
         F.when(beaten, closed).otherwise(F.col("message")).alias("message"),
+        "_refund_raw",
     )
 
 
@@ -117,7 +140,7 @@ def price_returns(lines: DataFrame) -> DataFrame:
 
 def refunds(priced_lines: DataFrame) -> DataFrame:
     return priced_lines.groupBy("request_id").agg(
-        dec(F.sum(F.col("quantity_returned") * F.col("unit_price"))).alias("refund_amount")
+        dec(_refund()).alias("refund_amount")
     )
 
 
@@ -174,14 +197,15 @@ def _restocked(accepted_lines: DataFrame) -> DataFrame:
 
 
 def return_restock_movements(
-    accepted_lines: DataFrame, inventory: DataFrame, as_of: dt.datetime, user: str,
+    accepted_lines: DataFrame, inventory: DataFrame, as_of: dt.datetime, user: str, all_lines: DataFrame | None = None,
 ) -> DataFrame:
     """ADJUSTMENT/RETURN_RESTOCK ledger rows per (return, product), with
-    the on-hand level before and after, in return order."""
+    the on-hand level before and after, in return order. ``all_lines``: a
+    cheaper frame that holds at least the accepted lines, to bound a product."""
     per = _restocked(accepted_lines).join(inventory.select("product_id", "quantity_on_hand"), "product_id")
     run = running_sums(
         per, ["product_id"], ["request_id"], {"_earlier": F.col("total_returned")},
-        bucket_mode(accepted_lines, ["product_id"]),
+        bucket_mode(accepted_lines if all_lines is None else all_lines, ["product_id"]),
     )
     prev = (F.col("quantity_on_hand") + F.col("_earlier")).cast("int")
     return run.select(

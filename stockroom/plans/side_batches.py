@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockroom.functions.money import dec
 from stockroom.operators import restock, returns
 from stockroom.session import cut_lineage
 
@@ -79,9 +80,14 @@ class ReturnBatch:
     def lines(self) -> DataFrame:  # T1
         return cut_lineage(returns.parse_return_requests(self.requests, self.order_item), "return-lines")
 
+    @cached_property
+    def checked(self) -> DataFrame:
+        """T2 per request, with the raw refund of its lines; written once."""
+        return cut_lineage(returns.checked_returns(self.requests, returns.line_facts(self.lines), self.orders), "return-checks")
+
     @cached_property
     def checks(self) -> DataFrame:  # T2
-        return cut_lineage(returns.validate_returns(self.requests, self.lines, self.orders), "return-checks")
+        return self.checked.drop("_refund_raw")
 
     @cached_property
     def priced_lines(self) -> DataFrame:  # T3 (lines of accepted requests)
@@ -90,7 +96,9 @@ class ReturnBatch:
 
     @cached_property
     def refunds(self) -> DataFrame:
-        return returns.refunds(self.priced_lines)
+        """T3 per accepted request, from the facts of its lines."""
+        ok = self.checked.filter(F.col("failed_rule").isNull())
+        return ok.groupBy("request_id").agg(dec(F.max("_refund_raw")).alias("refund_amount"))
 
     @cached_property
     def posted(self) -> DataFrame:  # T4a

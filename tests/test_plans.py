@@ -109,3 +109,23 @@ def test_order_lines_parse_once_and_aggregate_before_the_shuffle(spark):
     assert physical.count("from_json(") == 1
     assert physical.index("Exchange hashpartitioning") < physical.index("partial_try_sum")
     assert [(r["product_id"], r["quantity"]) for r in lines.collect()] == [(1, 3)]
+
+
+def test_return_steps_shuffle_their_lines_once(spark):
+    """Requests come from the one pass that numbers the order items, and their
+    lines are spread once for both the merge and the join with the items."""
+    from stockroom.operators import returns
+    from stockroom.sources.fixtures import Fixtures
+
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        f = Fixtures(spark, SF0001)
+        schema = "request_id long, order_id long, items_json string"
+        lines = returns.parse_return_requests(spark.createDataFrame([(1, 2, "[]")], schema), f.order_item)
+        shuffles = [d._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for d in (f.return_requests, lines)]
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert shuffles == [1, 3]  # lines: one of their own, two of the order items
