@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,7 +17,6 @@ from stockroom.functions.money import dec, floor_tenth
 from stockroom.functions.clock import ts_lit
 from stockroom.functions.ids import line_id
 from stockroom.functions.windows import bucket_mode, running_sums
-from stockroom.session import cut_lineage
 
 ITEM_FIELDS = T.ArrayType(
     T.StructType(
@@ -34,23 +33,27 @@ EXCLUDED = ("Cancelled", "Returned")
 INT_MAX = 2**31 - 1
 
 
-def parse_return_requests(requests: DataFrame, order_item: DataFrame) -> DataFrame:
+def parse_return_requests(
+    requests: DataFrame, order_item: DataFrame, spread: tuple[str, ...] = ("order_id", "order_item_id"),
+) -> DataFrame:
     """JSON items -> lines, kept only if the item belongs to the order.
 
     Two lines for the same item are summed first, so together they are
     compared with the bought quantity; the lowest condition counts. The JSON
     is parsed once. The lines are spread by order and item, which serves both
-    the grouped sum that merges them and the join with the items.
+    the grouped sum that merges them and the join with the items. ``spread``:
+    by order alone the lines of a request stay together, and inside
+    ``joined_in_place`` items that are spread by order are not moved either.
     """
     items = requests.select("request_id", "order_id", F.inline(F.from_json("items_json", ITEM_FIELDS)))
     typed = items.select(
         "request_id", "order_id", F.col("order_item_id").try_cast("long").alias("order_item_id"),
         F.col("quantity").try_cast("long").alias("quantity"), F.col("condition").alias("conditions"),
     )
-    valid = typed.filter(F.col("order_item_id").isNotNull() & (F.col("quantity") > 0))
+    valid = typed.filter(F.col("order_id").isNotNull() & F.col("order_item_id").isNotNull() & (F.col("quantity") > 0))
     # a quantity beyond INT is beyond anything that was bought
     total = F.least(F.coalesce(F.try_sum("quantity"), F.lit(INT_MAX)), F.lit(INT_MAX)).cast("int")
-    summed = valid.repartition("order_id", "order_item_id").groupBy("request_id", "order_id", "order_item_id").agg(
+    summed = valid.repartition(*spread).groupBy("request_id", "order_id", "order_item_id").agg(
         total.alias("quantity_returned"), F.min("conditions").alias("conditions")
     )
     oi = order_item.select(
@@ -66,7 +69,8 @@ def parse_return_requests(requests: DataFrame, order_item: DataFrame) -> DataFra
 def line_facts(lines: DataFrame) -> DataFrame:
     """Per request: line count, the lowest item returned beyond what was
     bought, and the raw refund. Validation (T2) and pricing (T3) both read
-    this one aggregate, so the line table is shuffled once for both."""
+    this one aggregate, so the line table is shuffled once for both, a row
+    for each request if the lines of a request lie together."""
     return lines.groupBy("request_id").agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(F.when(F.col("quantity_returned") > F.col("bought"), F.col("order_item_id"))).alias("_over"),
@@ -103,32 +107,29 @@ def checked_returns(requests: DataFrame, facts: DataFrame, orders: DataFrame) ->
     )
     # judged before the joins: the JSON text itself need not be shuffled
     judged = requests.select("request_id", "order_id", bad_json.alias("_bad"), some_not_positive.alias("_not_positive"))
-    j = judged.join(open_orders, F.col("order_id") == F.col("_o"), "left").join(facts, "request_id", "left")
+    # by request first: the rules and the first request of an order then need one shuffle by order
+    j = judged.join(facts, "request_id", "left").join(open_orders, F.col("order_id") == F.col("_o"), "left")
     bad_json, not_positive = F.col("_bad"), F.col("_not_positive")
     no_items = F.coalesce(F.col("_n"), F.lit(0)) == 0
     over = F.col("_over").isNotNull()
-    rule = F.when(no_order, 1).when(bad_json, 2).when(no_items, 3).when(not_positive, 5).when(over, 4)
+    alone = F.when(no_order, 1).when(bad_json, 2).when(no_items, 3).when(not_positive, 5).when(over, 4)
+    passes = j.withColumn("_alone", alone)
+    first = F.min(F.when(F.col("_alone").isNull(), F.col("request_id"))).over(Window.partitionBy("order_id"))
+    ranked = passes.withColumn("_first", first)
+    beaten = F.col("_alone").isNull() & (F.col("request_id") > F.col("_first"))
     closed = F.concat(F.lit("Order ID "), F.col("order_id").cast("string"),
                       F.lit(" does not exist or cannot be returned"))
     message = (
-        F.when(no_order, closed)
+        F.when(no_order | beaten, closed)
         .when(bad_json, F.lit("Invalid return items JSON"))
         .when(no_items, F.lit("No valid return items provided"))
         .when(not_positive, F.lit("Return quantity must be greater than 0"))
         .when(over, F.concat(F.lit("Cannot return more than originally purchased for item "),
                              F.col("_over").cast("string")))
     )
-    alone = j.select("request_id", "order_id", "customer_id", rule.alias("failed_rule"), message.alias("message"), "_refund_raw")
-    alone = cut_lineage(alone, "return-rules")  # read twice below
-    first = alone.filter(F.col("failed_rule").isNull()).groupBy(F.col("order_id").alias("_o")).agg(
-        F.min("request_id").alias("_first")
-    )
-    beaten = F.col("failed_rule").isNull() & (F.col("request_id") > F.col("_first"))
-    return alone.join(first, F.col("order_id") == F.col("_o"), "left").select(
-        "request_id", "customer_id",
-        F.when(beaten, 1).otherwise(F.col("failed_rule")).alias("failed_rule"),
-        F.when(beaten, closed).otherwise(F.col("message")).alias("message"),
-        "_refund_raw",
+    return ranked.select(
+        "request_id", "customer_id", F.when(beaten, 1).otherwise(F.col("_alone")).alias("failed_rule"),
+        message.alias("message"), "_refund_raw",
     )
 
 
@@ -148,9 +149,11 @@ def return_number(as_of: dt.datetime, return_id: Column) -> Column:
     return F.concat(F.lit("RET-" + as_of.strftime("%Y%m%d") + "-"), return_id.cast("string"))
 
 
-def post_returns(accepted: DataFrame, refund: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Return headers, status Requested, numbered RET-yyyyMMdd-id."""
-    return accepted.join(refund, "request_id").select(
+def post_returns(accepted: DataFrame, refund: DataFrame | None, as_of: dt.datetime) -> DataFrame:
+    """Return headers, status Requested, numbered RET-yyyyMMdd-id.
+    ``refund``: per request; None where ``accepted`` has the refund_amount."""
+    priced = accepted if refund is None else accepted.join(refund, "request_id")
+    return priced.select(
         F.col("request_id").alias("return_id"),
         return_number(as_of, F.col("request_id")).alias("return_number"),
         "order_id",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stockroom.functions.money import dec
 from stockroom.operators import restock, returns
-from stockroom.session import cut_lineage
+from stockroom.session import cut_lineage, joined_in_place
 
 
 class RestockBatch:
@@ -77,13 +77,25 @@ class ReturnBatch:
         return cut_lineage(self._requests, "return-requests") if self.stage_requests else self._requests
 
     @cached_property
-    def lines(self) -> DataFrame:  # T1
-        return cut_lineage(returns.parse_return_requests(self.requests, self.order_item), "return-lines")
+    def parsed(self) -> DataFrame:
+        """T1, planned: requests and items meet by order."""
+        return returns.parse_return_requests(self.requests, self.order_item, spread=("order_id",))
+
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        with joined_in_place(df.sparkSession):
+            return cut_lineage(df, name)
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """T1, written: for outputs that have lines."""
+        return self._stage(self.parsed, "return-lines")
 
     @cached_property
     def checked(self) -> DataFrame:
-        """T2 per request, with the raw refund of its lines; written once."""
-        return cut_lineage(returns.checked_returns(self.requests, returns.line_facts(self.lines), self.orders), "return-checks")
+        """T2 per request, with the raw refund of its lines; written once. The
+        lines are read where they are written already, else only added up."""
+        lines = self.__dict__.get("lines", self.parsed)
+        return self._stage(returns.checked_returns(self.requests, returns.line_facts(lines), self.orders), "return-checks")
 
     @cached_property
     def checks(self) -> DataFrame:  # T2
@@ -91,8 +103,9 @@ class ReturnBatch:
 
     @cached_property
     def priced_lines(self) -> DataFrame:  # T3 (lines of accepted requests)
+        lines = self.lines  # first, so that the checks read them too
         ok = self.checks.filter(F.col("failed_rule").isNull()).select("request_id")
-        return returns.price_returns(self.lines.join(ok, "request_id", "left_semi"))
+        return returns.price_returns(lines.join(ok, "request_id", "left_semi"))
 
     @cached_property
     def refunds(self) -> DataFrame:
@@ -102,8 +115,9 @@ class ReturnBatch:
 
     @cached_property
     def posted(self) -> DataFrame:  # T4a
-        ok = self.checks.filter(F.col("failed_rule").isNull()).select("request_id", "customer_id")
-        return returns.post_returns(self.requests.join(ok, "request_id"), self.refunds, self.as_of)
+        # the raw refund is one per request, whatever the rows of its checks
+        ok = self.checked.filter(F.col("failed_rule").isNull()).select("request_id", "customer_id", dec(F.col("_refund_raw")).alias("refund_amount"))
+        return returns.post_returns(self.requests.join(ok, "request_id"), None, self.as_of)
 
     def results(self) -> DataFrame:  # T9
         return returns.return_results(self.requests, self.checks, self.posted)

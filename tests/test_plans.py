@@ -129,3 +129,43 @@ def test_return_steps_shuffle_their_lines_once(spark):
         for k, v in saved.items():
             spark.conf.set(k, v)
     assert shuffles == [1, 3]  # lines: one of their own, two of the order items
+
+
+def test_return_checks_move_lines_by_order_once(spark, monkeypatch):
+    """Checks of returns shuffle requests' lines and order items once each, by
+    order, and outputs without lines write none; a request that two orders
+    share, a null order and two requests for an order keep their results."""
+    from stockroom.plans import side_batches
+    from stockroom.session import joined_in_place
+
+    written = []
+    real = side_batches.cut_lineage
+
+    def noted(df, name):
+        written.append((name, _plan(df).count("Exchange hashpartitioning")))
+        return real(df, name)
+
+    monkeypatch.setattr(side_batches, "cut_lineage", noted)
+    one = lambda *items: "[" + ", ".join(f'{{"order_item_id": {i}, "quantity": {n}, "condition": "New"}}' for i, n in items) + "]"
+    root = tempfile.mkdtemp(prefix="stockroom-returns-", dir="/tmp")
+    requests = [(1, 10, one((101, 1), (102, 2))), (2, 10, one((101, 1))), (3, 11, one((111, 9))), (4, 11, one((111, 1), (111, 1))), (4, 12, one((121, 1))),
+                (5, None, one((101, 1))), (6, 13, one((101, 1)))]
+    spark.createDataFrame([(*r, "why", "card") for r in requests], "request_id long, order_id long, items_json string, return_reason string, refund_method string").write.parquet(root + "/r")
+    spark.createDataFrame([(101, 10, 1, 1, 2.0), (102, 10, 2, 3, 3.0), (111, 11, 1, 3, 5.0), (121, 12, 1, 1, 7.0)],
+                          "order_item_id long, order_id long, product_id long, quantity int, price double").write.parquet(root + "/i")
+    spark.createDataFrame([(10, 1, "Shipped"), (11, 2, "Shipped"), (12, 3, "Shipped"), (13, 4, "Cancelled")], "order_id long, customer_id long, order_status string").write.parquet(root + "/o")
+    item = spark.read.parquet(root + "/i").withColumn("unit_price", F.col("price").cast("decimal(10,2)")).repartition("order_id")
+    saved = _static_plans(spark)
+    try:
+        with joined_in_place(spark):
+            batch = side_batches.ReturnBatch(spark.read.parquet(root + "/r"), item, spark.read.parquet(root + "/o"), seeds.NOW)
+            found = sorted((r["request_id"], r["status"], r["return_number"] and r["message"]) for r in batch.results().collect())
+        assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+    finally:
+        _restore(spark, saved)
+    # lines, items, facts; requests by request and by order, orders
+    assert written == [("return-checks", 6)]
+    number = lambda k: f"Return RET-{seeds.NOW:%Y%m%d}-{k} processed successfully. Refund amount: $"
+    # both rows of request 4 are accepted with its whole refund, and each step by request joins both with both
+    assert found == [(1, "SUCCESS", number(1) + "8.00"), (2, "ERROR", None), (3, "ERROR", None),
+                     *16 * [(4, "SUCCESS", number(4) + "17.00")], (5, "ERROR", None), (6, "ERROR", None)]
