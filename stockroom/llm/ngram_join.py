@@ -10,7 +10,8 @@ sketch over all documents) and break ties by a different hash each.
    a count sketch of all shingles (``2 ** SKETCH_BITS`` counters, whatever
    the input). Documents with equal sets become one node.
 2. A second pass emits the prefix tokens of the first order. Only tokens
-   held by two nodes or more are written, as posting lists.
+   held by two nodes or more are written, as posting lists; lists of the
+   same nodes count as one from here on.
 3. Star rounds: in each posting list every member is paired with a few
    others, not with all: first with a pivot of like size (in a list of two:
    with the other member), then with its neighbours in an order by a
@@ -265,6 +266,17 @@ def _may_link(n: Column, m: Column, room: Column, far_room: Column, percent: int
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (least_shared <= F.least(room, far_room))
 
 
+def _alike(lists: DataFrame) -> DataFrame:
+    """Lists with the same nodes as one of them: columns as given, alike: how
+    many they are, mark1, mark2, ...: the least hash of their tokens in each
+    round. A pair that shares many tokens then meets once for each different
+    list, not once for each token."""
+    nodes = [F.count("*").alias("held"), F.min("node").alias("lo"), F.max("node").alias("hi"), *(F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (0, 1))]
+    marks = [F.min(F.xxhash64("token", F.lit(star))).alias(f"mark{star}") for star, width in enumerate(ROUNDS) if width]
+    one = lists.groupBy("token").agg(*nodes).groupBy("held", "lo", "hi", "x0", "x1").agg(F.min("token").alias("token"), F.count("*").alias("alike"), *marks)
+    return lists.join(one.drop("held", "lo", "hi", "x0", "x1"), "token")
+
+
 def _pivot_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """(a, b): every list member with one pivot of its token and size band, and
     the two members of a list of two whatever their bands. A list of two
@@ -285,7 +297,7 @@ def _neighbour_pairs(lists: DataFrame, star: int, width: int, percent: int) -> D
     which like sets tend to stand together: by the least hash of the set's
     shared tokens, another hash in each round. The order is the same in all
     lists, so sets that share many lists meet in the same pairs."""
-    least = lists.groupBy("node").agg(F.min(F.xxhash64("token", F.lit(star))).alias("mark"))
+    least = lists.groupBy("node").agg(F.min(f"mark{star}").alias("mark"))
     by_mark = Window.partitionBy("token").orderBy("mark", F.xxhash64("node", F.lit(star))).rowsBetween(-width, -1)
     before = F.collect_list(F.struct("node", "n", "label", "room")).over(by_mark)
     others = F.filter("before", lambda o: (o["label"] != F.col("label")) & _may_link(F.col("n"), o["n"], F.col("room"), o["room"], percent))
@@ -313,6 +325,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     empty = spark.createDataFrame([], "a long, b long, common long, total long")
     tested = empty
+    lists = cut_lineage(_alike(lists), "unlike-lists")
     current = lists.withColumn("label", F.col("node"))
     for star, width in enumerate(ROUNDS):
         pairs = _neighbour_pairs(current, star, width, percent) if width else _pivot_pairs(current, percent)
@@ -326,7 +339,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         mixed_lists = mixed_lists.filter("lo <> hi and held > 2").select("token")
         current = current.join(mixed_lists, "token")
         # tokens of a node in the lists that are still open: no pair shares more
-        room = current.groupBy("node").agg(F.count("*").alias("room"))
+        room = current.groupBy("node").agg(F.sum("alike").alias("room"))
         current = cut_lineage(current.join(room, "node"), "open-lists")
 
     if "room" not in current.columns:

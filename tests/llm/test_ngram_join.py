@@ -135,3 +135,13 @@ def test_components(spark, links):
     for x in nodes:
         for y in nodes:
             assert (got[x] == got[y]) == (root(x) == root(y))
+
+
+def test_lists_of_the_same_nodes_count_once(spark):
+    """Ninety tokens that the same three nodes share are one list, so the
+    join of the rest meets each of its pairs once; other lists stay."""
+    rows = [(t, n, 100) for t in range(1, 91) for n in (7, 8, 9)] + [(100, n, 100) for n in (7, 8)] + [(101, n, 100) for n in (7, 8, 10)]
+    found = nj._alike(spark.createDataFrame(rows, "token long, node long, n int")).collect()
+    assert sorted((r["token"], r["node"], r["alike"]) for r in found) == [
+        (1, 7, 90), (1, 8, 90), (1, 9, 90), (100, 7, 1), (100, 8, 1), (101, 7, 1), (101, 8, 1), (101, 10, 1)]
+    assert len({(r["mark1"], r["mark2"]) for r in found}) == 3
