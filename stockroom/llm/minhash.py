@@ -39,14 +39,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockroom.llm.bitmaps import bitmap, holds
 from stockroom.llm.bytehash import ByteHasher, mixed
 from stockroom.llm.stars import components
 from stockroom.llm.tokens import shingle_sets, slices
-from stockroom.session import cut_lineage
+from stockroom.session import cut_lineage, lineage_scope
 
 SHINGLE = 4
 PERCENT = 80  # link when 100 * intersection >= PERCENT * union
@@ -106,13 +106,15 @@ def scan(docs: DataFrame, size: int) -> DataFrame:
 
 
 def bands(nodes: DataFrame) -> DataFrame:
-    """(bucket, node, n): the band hashes of every node's signature."""
+    """(bucket, node, n): the band hashes of every node's signature. ``nodes``
+    may hold a node several times; a batch gives it once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         salt = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
         for batch in batches:
             if batch.num_rows == 0:
                 continue
+            batch = batch.take(pa.array(np.unique(batch.column("node").to_numpy(), return_index=True)[1]))
             minima = _matrix(batch.column("minima")).reshape(batch.num_rows, BANDS, ROWS).astype(np.uint64)
             bucket = np.broadcast_to(salt, minima.shape[:2])
             for k in range(ROWS):
@@ -123,6 +125,27 @@ def bands(nodes: DataFrame) -> DataFrame:
     return nodes.select("node", "n", "minima").mapInArrow(run, "bucket long, node long, n int")
 
 
+def shared_bands(nodes: DataFrame) -> DataFrame:
+    """The rows of ``bands`` whose bucket two nodes or more hold, each once: a
+    bucket's rows are counted where they meet, in one shuffle."""
+    whole, by_node = Window.partitionBy("bucket"), Window.partitionBy("bucket").orderBy("node")
+    marked = bands(nodes).withColumns({"before": F.lag("node").over(by_node), "lo": F.min("node").over(whole), "hi": F.max("node").over(whole)})
+    return marked.filter((F.col("lo") != F.col("hi")) & ~F.col("before").eqNullSafe(F.col("node"))).select("bucket", "node", "n")
+
+
+def signatures(scanned: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, n, minima) of the wanted nodes, and of a few others that pass the
+    bitmap of them, each node once."""
+    shared = scanned.sparkSession.sparkContext.broadcast(bitmap(wanted, F.col("node")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(holds(shared.value, batch.column("node").to_numpy().view(np.uint64))))
+
+    rows = scanned.filter("n > 0").select("node", "n", "minima").mapInArrow(run, "node long, n int, minima binary")
+    return rows.groupBy("node").agg(F.first("n").alias("n"), F.first("minima").alias("minima"))
+
+
 def with_planes(nodes: DataFrame) -> DataFrame:
     """(node, p0, p1, p2, p3): the bits that the joins compare."""
 
@@ -164,27 +187,28 @@ class Confirmer:
         self.chosen = cut_lineage(chosen, "minhash-chosen")
 
     def read(self, wanted: DataFrame, longs: Callable[[np.ndarray], np.ndarray], name: str) -> DataFrame:
-        """(node, ``name``) of the wanted nodes: an array of longs made from the
-        set, which is read from one text of the node. The texts are picked by a
-        bitmap of their hashes, without a shuffle of texts; what passes it by
-        chance is dropped by the join."""
+        """(node, ``name``) of the wanted nodes, and of a few others: an array of
+        longs made from the set, which is read from one text of the node. The
+        texts are picked by a bitmap of their hashes and ids, without a shuffle
+        of texts; each node comes once."""
         size = self.size
-        chosen = cut_lineage(self.chosen.join(wanted, "node", "left_semi"), "minhash-wanted")
-        shared = self.texts.sparkSession.sparkContext.broadcast(bitmap(chosen, F.col("one_body")))
+        chosen = self.chosen.join(wanted, "node", "left_semi")
+        shared = self.texts.sparkSession.sparkContext.broadcast(bitmap(chosen, F.xxhash64("one_id", "one_body")))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hasher = ByteHasher()
             for batch in batches:
-                picked = batch.filter(pa.array(holds(shared.value, batch.column("body").to_numpy().view(np.uint64))))
+                picked = batch.filter(pa.array(holds(shared.value, batch.column("mark").to_numpy().view(np.uint64))))
                 for part in slices(picked, 256):
-                    found = [longs(tokens) for tokens in shingle_sets(part.column("text"), size, hasher)]
+                    sets = {set_key(tokens): tokens for tokens in shingle_sets(part.column("text"), size, hasher)}
+                    found = [longs(tokens) for tokens in sets.values()]
                     bounds = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
                     lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(found).view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([part.column("id"), part.column("body"), lists], names=["id", "body", name])
+                    yield pa.RecordBatch.from_arrays([pa.array(list(sets), pa.int64()), lists], names=["node", name])
 
-        found = self.texts.mapInArrow(run, f"id long, body long, {name} array<long>")
-        same = (F.col("body") == F.col("one_body")) & F.col("id").eqNullSafe(F.col("one_id"))
-        return cut_lineage(found.join(chosen, same).select("node", name).dropDuplicates(["node"]), f"minhash-{name}")
+        marked = self.texts.select(F.xxhash64("id", "body").alias("mark"), "text")
+        found = cut_lineage(marked.mapInArrow(run, f"node long, {name} array<long>"), f"minhash-{name}")
+        return found.groupBy("node").agg(F.first(name).alias(name))
 
     def fine_bits(self, wanted: DataFrame) -> DataFrame:
         """(node, fine): one bit of each of ``FINE`` minima."""
@@ -196,6 +220,10 @@ class Confirmer:
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs (a, b) -> those that are links."""
+        with lineage_scope(pairs.sparkSession):
+            return cut_lineage(self._linked(pairs), "minhash-links", outlives=True)
+
+    def _linked(self, pairs: DataFrame) -> DataFrame:
         left = self.nodes.select(F.col("node").alias("a"), F.col("minima").alias("ma"))
         right = self.nodes.select(F.col("node").alias("b"), F.col("minima").alias("mb"))
         likely = cut_lineage(agreeing(pairs.join(left, "a").join(right, "b").select("a", "b", "ma", "mb"), self.percent), "minhash-likely")
@@ -207,7 +235,7 @@ class Confirmer:
         counted = likely.join(right, "b").join(left, "a").select(
             "a", "b", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common"), (F.size("ta") + F.size("tb")).cast("long").alias("sizes"))
         linked = F.col("common") * 100 >= (F.col("sizes") - F.col("common")) * self.percent
-        return cut_lineage(counted.filter(linked).select("a", "b"), "minhash-links")
+        return counted.filter(linked).select("a", "b")
 
 
 def _least_agreeing(share: float, total: int = BANDS * ROWS) -> int:
@@ -251,18 +279,17 @@ def star_pairs(open_rows: DataFrame, star: int, percent: int) -> DataFrame:
     return drawn.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
-def rest_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
+def rest_pairs(open_rows: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """(a, b): in each bucket all very likely pairs of nodes of different
     components. The bucket's largest component stands on one side only.
-    ``open_rows`` has the nodes' ``fine`` bits and band ``keys`` as well: of
-    all buckets in which a pair meets, only the one of its first common band
-    compares it."""
+    ``known`` has the nodes' ``fine`` bits and open buckets ``keys``: of all
+    buckets in which a pair meets, only the first compares it."""
     sizes = open_rows.groupBy("bucket", "label").agg(F.count("*").alias("held"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("held", "label")).alias("top"), F.count("*").alias("labels"))
     largest = cut_lineage(largest.filter("labels > 1").select("bucket", F.col("top.label").alias("main")), "minhash-largest")
     marked = cut_lineage(open_rows.join(largest, "bucket"), "minhash-marked")
-    x = marked.filter("label <> main").select("bucket", F.col("node").alias("x"), "n", F.col("label").alias("lx"), F.col("fine").alias("fp"), F.col("keys").alias("kx"), *PLANES)
-    y = marked.select(
+    x = marked.filter("label <> main").join(known, "node").select("bucket", F.col("node").alias("x"), "n", F.col("label").alias("lx"), F.col("fine").alias("fp"), F.col("keys").alias("kx"), *PLANES)
+    y = marked.join(known, "node").select(
         F.col("bucket").alias("its"), F.col("node").alias("y"), F.col("n").alias("m"), F.col("label").alias("ly"), "main",
         F.col("fine").alias("fq"), F.col("keys").alias("ky"), *(F.col(p).alias(p.replace("p", "q")) for p in PLANES))
     once = (F.col("ly") == F.col("main")) | (F.col("x") < F.col("y"))
@@ -282,19 +309,29 @@ def open_buckets(rows: DataFrame, links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest
-    id reachable by links), kept (it is that document)."""
+    id reachable by links), kept (it is that document). Tables that the result
+    does not read go before it is returned."""
+    with lineage_scope(docs.sparkSession):
+        members, named = _named_nodes(docs, doc_id, text, size, percent)
+        named = cut_lineage(named, "minhash-named", outlives=True)
+        members = cut_lineage(members, "minhash-members", outlives=True)
+    filled = members.filter("n > 0").join(named, "node").select("id", "n", "component_id")
+    blank = members.filter("n = 0").select("id", "n", F.col("id").alias("component_id"))
+    return filled.union(blank).select(
+        F.col("id").alias(doc_id), F.col("n").cast("long").alias("n_shingles"), "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _named_nodes(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(id, n, node) of every document and (node, component_id) of every set."""
     spark = docs.sparkSession
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(F.col(text)).alias("body"), F.col(text).alias("text"))
     scanned = cut_lineage(scan(texts, size), "minhash-scan")
     members = scanned.select("id", "body", "n", "node")
-    nodes = cut_lineage(scanned.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("minima").alias("minima")), "minhash-nodes")
+    rows = cut_lineage(shared_bands(scanned.filter("n > 0")), "minhash-shared-rows")
+    nodes = cut_lineage(signatures(scanned, rows.select("node").distinct()), "minhash-nodes")
     confirmer = Confirmer(texts, members, nodes, size, percent)
-
-    rows = bands(nodes)
-    shared = cut_lineage(rows.groupBy("bucket").agg(F.count("*").alias("held")).filter("held > 1").select("bucket"), "minhash-shared")
-    rows = cut_lineage(rows.join(shared, "bucket"), "minhash-shared-rows")
-    bits = with_planes(nodes.join(rows.select("node").distinct(), "node", "left_semi"))
-    all_rows = rows = cut_lineage(rows.join(bits, "node").withColumn("label", F.col("node")), "minhash-buckets")
+    rows = cut_lineage(rows.join(with_planes(nodes), "node").withColumn("label", F.col("node")), "minhash-buckets")
 
     links = tested = spark.createDataFrame([], "a long, b long")
     for star in range(STARS + 1):
@@ -302,9 +339,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             pairs = star_pairs(rows, star, percent)
         else:
             left = cut_lineage(rows.select("node").distinct(), "minhash-left")
-            keys = all_rows.join(left, "node", "left_semi").groupBy("node").agg(F.collect_set("bucket").alias("keys"))
+            # a bucket in which nodes of different components meet is open
+            keys = rows.groupBy("node").agg(F.collect_set("bucket").alias("keys"))
             known = cut_lineage(confirmer.fine_bits(left).join(keys, "node"), "minhash-fine")
-            pairs = rest_pairs(rows.join(known, "node"), percent)
+            pairs = rest_pairs(rows, known, percent)
         pairs = cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
         if pairs.isEmpty():
             continue
@@ -319,9 +357,4 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     least = members.filter("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(labels, "node", "left")
     least = cut_lineage(least.withColumn("label", F.coalesce("label", "node")), "minhash-least")
     smallest = cut_lineage(least.groupBy("label").agg(F.min("least").alias("component_id")), "minhash-smallest")
-    named = cut_lineage(least.join(smallest, "label").select("node", "component_id"), "minhash-named")
-    filled = members.filter("n > 0").join(named, "node").select("id", "n", "component_id")
-    blank = members.filter("n = 0").select("id", "n", F.col("id").alias("component_id"))
-    return filled.union(blank).select(
-        F.col("id").alias(doc_id), F.col("n").cast("long").alias("n_shingles"), "component_id",
-        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return members.select("id", "n", "node"), least.join(smallest, "label").select("node", "component_id")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from stockroom.session import cut_lineage
+from stockroom.session import cut_lineage, lineage_scope
 
 
 def _neighbours(links: DataFrame) -> DataFrame:
@@ -49,7 +49,13 @@ def _digest() -> tuple[Column, Column]:
 def components(links: DataFrame) -> DataFrame:
     """Links (a, b) of two longs -> (node, label), one row per linked node;
     the label is the component's smallest node. Repeated links and links of a
-    node with itself are allowed; no links give an empty result."""
+    node with itself are allowed; no links give an empty result. The rounds'
+    tables go when the result is written."""
+    with lineage_scope(links.sparkSession):
+        return cut_lineage(_starred(links), "star-labels", outlives=True)
+
+
+def _starred(links: DataFrame) -> DataFrame:
     ordered = links.select(F.greatest("a", "b").cast("long").alias("a"), F.least("a", "b").cast("long").alias("b"))
     mark = Observation("star-links")
     stars = cut_lineage(ordered.filter("a <> b").distinct().observe(mark, *_digest()), "star-links")

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from stockroom.llm import minhash, stars
+from stockroom.session import lineage_scope, list_folder, scratch_path
 
 SF0001 = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -120,3 +121,29 @@ def test_stars(spark, kind):
     found = {r["node"]: r["label"] for r in stars.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     nodes = {n for a, b in pairs if a != b for n in (a, b)}
     assert found == {n: min(g) for g in joined(nodes, [(a, b) for a, b in pairs if a != b]) for n in g}
+
+
+def test_buckets_of_copies_of_one_node_are_not_shared(spark):
+    """Rows of one node meet in all buckets and count once."""
+    family = minhash.hash_family(minhash.BANDS * minhash.ROWS)
+    draw = np.random.default_rng(4)
+    tokens = draw.integers(0, 2**63, 100).astype(np.uint64)
+    sets = {1: tokens, 2: np.append(tokens, np.uint64(7)), 3: draw.integers(0, 2**63, 100).astype(np.uint64)}
+    rows = [(node, len(sets[node]), bytearray(minhash.signature(sets[node], family).tobytes())) for node in (1, 2, 3, 3, 1, 3)]
+    frame = spark.createDataFrame(rows, "node long, n int, minima binary").repartition(3)
+    found = [(r["bucket"], r["node"]) for r in minhash.shared_bands(frame).collect()]
+    assert len(found) == len(set(found)) > 20 and {n for _, n in found} == {1, 2}
+
+
+def test_tables_of_the_search_go(spark):
+    """Repeated rows, and near copies; the result reads two written tables and
+    no other stays."""
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(i % 6, f"{base} {i % 6}") for i in range(18)] + [(50, None)]
+    folder = scratch_path(spark, "lineage")
+    before = set(list_folder(spark, folder))
+    with lineage_scope(spark) as paths:
+        frame = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+        left = set(list_folder(spark, folder)) - before
+        assert len(paths) == 2 and left == {p.rsplit("/", 1)[1] for p in paths}
+        assert sorted((tuple(r) for r in frame.collect()), key=repr) == brute(rows)
