@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.session import cut_lineage
+from stockroom.session import cut_lineage, lineage_scope
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,10 +15,16 @@ def components(links: DataFrame) -> DataFrame:
     pointer jumps follow, and the links are rewritten to the labels; links
     within a label go. A component loses at least half of its labels in a
     round, so the rounds grow with the logarithm of its size, whatever its
-    shape. Each round is written, so a lost executor repeats one round. An
-    empty link table gives an empty result; repeated links and links of a
-    node with itself are allowed.
+    shape. Each round is written, so a lost executor repeats one round; the
+    rounds' tables go when the result is written. An empty link table gives
+    an empty result; repeated links and links of a node with itself are
+    allowed.
     """
+    with lineage_scope(links.sparkSession):
+        return cut_lineage(_contracted(links), "component-labels", outlives=True)
+
+
+def _contracted(links: DataFrame) -> DataFrame:
     links = cut_lineage(links.select(F.col("a").cast("long"), F.col("b").cast("long")).filter("a <> b").distinct(), "links")
     labels = cut_lineage(
         links.select(F.col("a").alias("node")).union(links.select("b")).distinct().withColumn("label", F.col("node")), "labels"

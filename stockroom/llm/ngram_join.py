@@ -44,16 +44,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockroom.llm.bitmaps import bitmap, holds
 from stockroom.llm.bytehash import ByteHasher, mixed
 from stockroom.llm.components import components
 from stockroom.llm.tokens import shingle_sets, slices
-from stockroom.session import cut_lineage
+from stockroom.session import cut_lineage, lineage_scope
 
 SHINGLE = 5
 PERCENT = 75  # link when 100 * intersection >= PERCENT * union
 SKETCH_BITS = 22
 SLICE = 1 << 17
-CHOICE_BUCKETS = 1 << 21  # of text hashes: the most rows a choice of texts broadcasts
 ORDERS = 3
 ROUNDS = (0, 8, 40)  # 0: a pivot; else that many neighbours
 CLASS_SHIFT = np.uint64(58)
@@ -112,10 +112,12 @@ def _scan(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, body long, n int, node long, slice int, counts binary, more binary")
 
 
-def _sketch_classes(rows: DataFrame) -> np.ndarray:
+def _sketch_classes(rows: DataFrame, total: int) -> np.ndarray:
     """Frequency class of every counter: 0 up to twice the mean count, then
     one more for each doubling. Each slice is added up by one task that
-    streams its rows."""
+    streams its rows and sends a byte for each counter to the driver.
+    ``total``: the sum of all counters."""
+    mean = max(1.0, total / (1 << SKETCH_BITS))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -125,15 +127,14 @@ def _sketch_classes(rows: DataFrame) -> np.ndarray:
                 total += np.frombuffer(low.as_buffer(), dtype=np.uint8)
                 at, rest = np.frombuffer(more.as_buffer(), dtype=np.int32).reshape(2, -1)
                 total[at] += rest
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["slice", "sums"])
+        found = [np.floor(np.log2(np.maximum(x / (2 * mean), 0.5)) + 1).clip(0, 60).astype(np.uint8).tobytes() for x in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(found, pa.binary())], names=["slice", "classes"])
 
     parts = (1 << SKETCH_BITS) // SLICE
-    flat = np.zeros((parts, SLICE), dtype=np.int64)
-    for row in rows.repartition(parts, "slice").mapInArrow(add, "slice int, sums binary").collect():
-        flat[row["slice"]] = np.frombuffer(row["sums"], dtype=np.int64)
-    flat = flat.ravel()
-    mean = max(1.0, flat.mean())
-    return np.floor(np.log2(np.maximum(flat / (2 * mean), 0.5)) + 1).clip(0, 60).astype(np.uint8)
+    classes = np.zeros((parts, SLICE), dtype=np.uint8)
+    for row in rows.repartition(parts, "slice").mapInArrow(add, "slice int, classes binary").collect():
+        classes[row["slice"]] = np.frombuffer(row["classes"], dtype=np.uint8)
+    return classes.ravel()
 
 
 def _postings(docs: DataFrame, classes: np.ndarray, size: int, percent: int) -> DataFrame:
@@ -168,11 +169,13 @@ def _postings(docs: DataFrame, classes: np.ndarray, size: int, percent: int) ->
     return shared_tokens.select("token", "node", "n")
 
 
-def _sets(docs: DataFrame, classes: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(id, body, node, tokens, p1, c1, p2, c2, ...): the set and its prefixes under
-    the other orders. Prefixes are cut to 32 bits; c1, c2, ... are the tokens
-    of each that fall together with another one of it."""
+def _sets(docs: DataFrame, marks: np.ndarray, classes: np.ndarray, size: int, percent: int) -> DataFrame:
+    """(node, tokens, p1, c1, p2, c2, ...) of the documents whose ``mark`` may be
+    in the bitmap ``marks``: the set and its prefixes under the other orders.
+    Prefixes are cut to 32 bits; c1, c2, ... are the tokens of each that fall
+    together with another one of it. A node may come several times."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
+    picked = docs.sparkSession.sparkContext.broadcast(marks)
     others = range(1, ORDERS)
 
     def short(tokens: np.ndarray) -> tuple[np.ndarray, int]:
@@ -185,16 +188,18 @@ def _sets(docs: DataFrame, classes: np.ndarray, size: int, percent: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ByteHasher()
-        for part in (part for batch in batches for part in slices(batch, 256)):
-            found = list(shingle_sets(part.column("text"), size, hasher))
-            columns = [part.column("id"), part.column("body"), pa.array([set_key(x) for x in found], pa.int64()), lists([x.view(np.int64) for x in found], pa.int64())]
+        chosen = (batch.filter(pa.array(holds(picked.value, batch.column("mark").to_numpy().view(np.uint64)))) for batch in batches)
+        for part in (part for batch in chosen for part in slices(batch, 256)):
+            by_key = {set_key(x): x for x in shingle_sets(part.column("text"), size, hasher)}
+            found = list(by_key.values())
+            columns = [pa.array(list(by_key), pa.int64()), lists([x.view(np.int64) for x in found], pa.int64())]
             for k in others:
                 cuts = [short(prefix(x, shared.value, k, percent)) for x in found]
                 columns += [lists([c for c, _ in cuts], pa.int32()), pa.array([together for _, together in cuts], pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "body", "node", "tokens", *(f"{c}{k}" for k in others for c in "pc")])
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "tokens", *(f"{c}{k}" for k in others for c in "pc")])
 
-    schema = "id long, body long, node long, tokens array<long>, " + ", ".join(f"p{k} array<int>, c{k} int" for k in others)
-    return docs.select("id", "body", "text").mapInArrow(run, schema)
+    schema = "node long, tokens array<long>, " + ", ".join(f"p{k} array<int>, c{k} int" for k in others)
+    return docs.select(F.xxhash64("id", "body").alias("mark"), "text").mapInArrow(run, schema)
 
 
 def _like_sizes(a: str, b: str, percent: int) -> Column:
@@ -219,24 +224,21 @@ class _Comparer:
         self.held = cut_lineage(held, "shared-prefixes")
 
     def sets(self, nodes: DataFrame) -> DataFrame:
-        """Sets of the nodes, each read from one document."""
+        """Sets of the nodes, each read from one document, and of a few
+        others: texts are picked by a bitmap of their hashes and ids, without a
+        shuffle of texts. A node may come several times."""
         one = F.min(F.struct("id", "body")).alias("one")
         chosen = self.members.filter("n > 0").join(nodes, "node", "left_semi").groupBy("node").agg(one)
-        chosen = cut_lineage(chosen.select(F.col("one.id").alias("chosen_id"), F.col("one.body").alias("chosen_body")), "chosen")
-        # texts are picked by bucket of their hash, without a shuffle of texts;
-        # what falls into the same buckets is dropped by the join below
-        bucket = F.pmod(F.col("body"), F.lit(CHOICE_BUCKETS)).alias("bucket")
-        buckets = F.broadcast(chosen.select(F.pmod(F.col("chosen_body"), F.lit(CHOICE_BUCKETS)).alias("bucket")).distinct())
-        near = self.texts.withColumn("bucket", bucket).join(buckets, "bucket", "left_semi")
-        found = cut_lineage(_sets(near, self.classes, self.size, self.percent), "near-sets")
-        same = (F.col("body") == F.col("chosen_body")) & F.col("id").eqNullSafe(F.col("chosen_id"))
-        sets = found.join(chosen, same, "left_semi").drop("id", "body")
-        repeated = self.members.join(chosen, same, "left_semi").groupBy("id", "body").count().filter("count > 1")
-        return sets if repeated.isEmpty() else cut_lineage(sets.dropDuplicates(["node"]), "sets")
+        marks = bitmap(chosen, F.xxhash64("one.id", "one.body"))
+        return cut_lineage(_sets(self.texts, marks, self.classes, self.size, self.percent), "near-sets")
 
     def compare(self, pairs: DataFrame) -> DataFrame:
         """Distinct pairs (a, b) -> (a, b, common, total) of those that pass
         the prefix tests."""
+        with lineage_scope(pairs.sparkSession):
+            return cut_lineage(self._compared(pairs), "compared", outlives=True)
+
+    def _compared(self, pairs: DataFrame) -> DataFrame:
         left = self.held.select(F.col("node").alias("a"), F.col("held").alias("ha"), F.col("n").alias("na"))
         right = self.held.select(F.col("node").alias("b"), F.col("held").alias("hb"), F.col("n").alias("nb"))
         shared = F.size(F.array_intersect("ha", "hb")) >= _least_shared(F.col("na"), F.col("nb"), self.percent)
@@ -244,16 +246,19 @@ class _Comparer:
             "a", "b", _least_shared(F.col("na"), F.col("nb"), self.percent).cast("int").alias("least")), "first-passed")
         sets = self.sets(passed.select(F.col("a").alias("node")).union(passed.select("b")).distinct())
         names = [f"{c}{k}" for k in range(1, ORDERS) for c in "pc"]
-        left = sets.select(F.col("node").alias("a"), F.struct(*names).alias("pa"))
-        right = sets.select(F.col("node").alias("b"), F.struct(*names).alias("pb"))
+        # one copy of each node; both sides of the joins read the same shuffle
+        prefixes = sets.groupBy("node").agg(F.first(F.struct(*names)).alias("prefixes"))
+        left = prefixes.select(F.col("node").alias("a"), F.col("prefixes").alias("pa"))
+        right = prefixes.select(F.col("node").alias("b"), F.col("prefixes").alias("pb"))
         tested = passed.join(left, "a").join(right, "b")
         for k in range(1, ORDERS):
             # the intersection has distinct values: tokens that fall together count once
             both = F.size(F.array_intersect(F.col("pa")[f"p{k}"], F.col("pb")[f"p{k}"]))
             tested = tested.filter(both + F.least(F.col("pa")[f"c{k}"], F.col("pb")[f"c{k}"]) >= F.col("least"))
         tested = cut_lineage(tested.select("a", "b"), "all-passed")
-        left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-        right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
+        whole = sets.groupBy("node").agg(F.first("tokens").alias("tokens"))
+        left = whole.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
+        right = whole.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
         counted = tested.join(right, "b").join(left, "a").select(
             "a", "b", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common"),
             (F.size("ta") + F.size("tb")).cast("long").alias("sizes"))
@@ -261,7 +266,8 @@ class _Comparer:
 
 
 def _may_link(n: Column, m: Column, room: Column, far_room: Column, percent: int) -> Column:
-    """Sizes are alike, and both have enough tokens in open lists to share."""
+    """Sizes are alike, and both have enough tokens to share in the open lists
+    from this one on. A pair that shares enough passes in its first list."""
     least_shared = _least_shared(n, m, percent)
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (least_shared <= F.least(room, far_room))
 
@@ -271,7 +277,8 @@ def _alike(lists: DataFrame) -> DataFrame:
     many they are, mark1, mark2, ...: the least hash of their tokens in each
     round. A pair that shares many tokens then meets once for each different
     list, not once for each token."""
-    nodes = [F.count("*").alias("held"), F.min("node").alias("lo"), F.max("node").alias("hi"), *(F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (0, 1))]
+    lists = lists.repartition("token")  # one shuffle of the same columns for the counts and the join
+    nodes = [F.count("n").alias("held"), F.min("node").alias("lo"), F.max("node").alias("hi"), *(F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (0, 1))]
     marks = [F.min(F.xxhash64("token", F.lit(star))).alias(f"mark{star}") for star, width in enumerate(ROUNDS) if width]
     one = lists.groupBy("token").agg(*nodes).groupBy("held", "lo", "hi", "x0", "x1").agg(F.min("token").alias("token"), F.count("*").alias("alike"), *marks)
     return lists.join(one.drop("held", "lo", "hi", "x0", "x1"), "token")
@@ -297,14 +304,27 @@ def _neighbour_pairs(lists: DataFrame, star: int, width: int, percent: int) -> D
     which like sets tend to stand together: by the least hash of the set's
     shared tokens, another hash in each round. The order is the same in all
     lists, so sets that share many lists meet in the same pairs."""
-    least = lists.groupBy("node").agg(F.min(f"mark{star}").alias("mark"))
-    by_mark = Window.partitionBy("token").orderBy("mark", F.xxhash64("node", F.lit(star))).rowsBetween(-width, -1)
+    by_mark = Window.partitionBy("token").orderBy(f"mark{star}", F.xxhash64("node", F.lit(star))).rowsBetween(-width, -1)
     before = F.collect_list(F.struct("node", "n", "label", "room")).over(by_mark)
     others = F.filter("before", lambda o: (o["label"] != F.col("label")) & _may_link(F.col("n"), o["n"], F.col("room"), o["room"], percent))
-    drawn = lists.join(least, "node").withColumn("before", before).select("node", F.explode(others).alias("o"))
+    drawn = lists.withColumn("before", before).select("node", F.explode(others).alias("o"))
     return drawn.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
 
 
+def _with_room(lists: DataFrame) -> DataFrame:
+    """Rows of lists of different components that may hold uncompared pairs,
+    with the least marks of the node in these lists and ``room``: the node's tokens in these lists from this one on, short
+    lists first. The order is the same for all nodes, so a pair shares no
+    more tokens than either has room in the first list where it meets; long
+    lists of a common passage come last, where little room is left."""
+    several = lists.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("held"))
+    several = several.filter("lo <> hi and held > 2").select("token", "held")
+    own = Window.partitionBy("node")
+    on = own.orderBy("held", "token").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    marks = {c: F.min(c).over(own) for c in lists.columns if c.startswith("mark")}
+    return lists.join(several, "token").withColumns({"room": F.sum("alike").over(on), **marks}).drop("held")
+
+
 def _label(postings: DataFrame, links: DataFrame) -> DataFrame:
     found = components(links)
     return postings.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -313,12 +333,25 @@ def _label(postings: DataFrame, links: DataFrame) -> DataFrame:
 def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row per document: id, n_shingles, node (its set), component_id (the
-    smallest id reachable by links), links (of its set, among those compared)."""
+    smallest id reachable by links), links (of its set, among those compared).
+    Tables that the result does not read go before it is returned."""
+    with lineage_scope(docs.sparkSession):
+        members, named = _named_nodes(docs, doc_id, text, size, percent)
+        named = cut_lineage(named, "node-components", outlives=True)
+        members = cut_lineage(members, "node-members", outlives=True)
+    filled = members.filter("n > 0").join(named, "node").select("id", "n", "node", F.col("smallest").alias("component_id"), "links")
+    blank = members.filter("n = 0").select("id", "n", "node", F.col("id").alias("component_id"), F.lit(0).cast("long").alias("links"))
+    return filled.union(blank).select(F.col("id").alias(doc_id), F.col("n").cast("long").alias("n_shingles"), "node", "component_id", "links")
+
+
+def _named_nodes(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(id, n, node) of every document and (node, smallest, links) of every set."""
     spark = docs.sparkSession
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("body"))
     scanned = cut_lineage(_scan(texts, size), "shingle-scan")
     members = scanned.filter("slice is null").select("id", "body", "n", "node")
-    classes = _sketch_classes(scanned.filter("slice is not null").select("slice", "counts", "more"))
+    total = members.agg(F.sum("n")).first()[0] or 0
+    classes = _sketch_classes(scanned.filter("slice is not null").select("slice", "counts", "more"), total)
 
     lists = cut_lineage(_postings(texts, classes, size, percent), "lists")
     comparer = _Comparer(texts, members, lists, classes, size, percent)
@@ -335,12 +368,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         tested = cut_lineage(tested.union(pairs.join(comparer.compare(pairs), ["a", "b"], "left").select(
             "a", "b", F.coalesce("common", F.lit(0)).alias("common"), F.coalesce("total", F.lit(1)).alias("total"))), "tested")
         current = _label(lists, _links(tested, percent).select("a", "b"))
-        mixed_lists = current.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("held"))
-        mixed_lists = mixed_lists.filter("lo <> hi and held > 2").select("token")
-        current = current.join(mixed_lists, "token")
-        # tokens of a node in the lists that are still open: no pair shares more
-        room = current.groupBy("node").agg(F.sum("alike").alias("room"))
-        current = cut_lineage(current.join(room, "node"), "open-lists")
+        current = cut_lineage(_with_room(current), "open-lists")
 
     if "room" not in current.columns:
         current = current.withColumn("room", F.col("n"))
@@ -358,9 +386,7 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     nodes = cut_lineage(nodes.withColumn("label", F.coalesce("label", "node")), "node-labels")
     smallest = nodes.groupBy("label").agg(F.min("least").alias("smallest"))
     named = nodes.join(smallest, "label").select("node", "smallest", F.coalesce("links", F.lit(0)).alias("links"))
-    filled = members.filter("n > 0").join(named, "node").select("id", "n", "node", F.col("smallest").alias("component_id"), "links")
-    blank = members.filter("n = 0").select("id", "n", "node", F.col("id").alias("component_id"), F.lit(0).cast("long").alias("links"))
-    return filled.union(blank).select(F.col("id").alias(doc_id), F.col("n").cast("long").alias("n_shingles"), "node", "component_id", "links")
+    return members.select("id", "n", "node"), named
 
 
 def _links(tested: DataFrame, percent: int) -> DataFrame:
@@ -371,9 +397,12 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The document with the smallest id of each component, columns as
     given. Of several rows with that id one stays. Rows without an id cannot
     be told apart by it and all stay."""
-    found = cut_lineage(similar_documents(docs, doc_id, text).select(F.col(doc_id).alias("id"), "component_id"), "components")
-    keep = found.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias("__keep")).distinct()
-    named = docs.join(cut_lineage(keep, "kept-ids"), docs[doc_id] == F.col("__keep"), "left_semi")
-    if not found.filter("id is not null").groupBy("id").count().filter("count > 1").isEmpty():
+    with lineage_scope(docs.sparkSession):
+        found = cut_lineage(similar_documents(docs, doc_id, text).select(F.col(doc_id).alias("id"), "component_id"), "components")
+        keep = found.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias("__keep")).distinct()
+        keep = cut_lineage(keep, "kept-ids", outlives=True)
+        repeated = not found.filter("id is not null").groupBy("id").count().filter("count > 1").isEmpty()
+    named = docs.join(keep, docs[doc_id] == F.col("__keep"), "left_semi")
+    if repeated:
         named = named.dropDuplicates([doc_id])
     return named.union(docs.filter(F.col(doc_id).isNull()))

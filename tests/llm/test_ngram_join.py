@@ -7,8 +7,10 @@ import pytest
 
 from stockroom.llm import ngram_join as nj
 from stockroom.llm.components import components
+from stockroom.session import lineage_scope, list_folder, scratch_path
 
 SF0001 = "/root/testdata/sf0.001"
+PASSAGE = " ".join(f"w{k}" for k in range(60))
 
 
 def shingles(text):
@@ -145,3 +147,49 @@ def test_lists_of_the_same_nodes_count_once(spark):
     assert sorted((r["token"], r["node"], r["alike"]) for r in found) == [
         (1, 7, 90), (1, 8, 90), (1, 9, 90), (100, 7, 1), (100, 8, 1), (101, 7, 1), (101, 8, 1), (101, 10, 1)]
     assert len({(r["mark1"], r["mark2"]) for r in found}) == 3
+
+
+def test_a_common_passage_leaves_no_room(spark):
+    """Twelve nodes share eight long lists and nothing else; the pairs that a
+    join of the lists makes must share three tokens from their list on."""
+    rows = [(t, n, 20, n, 1) for t in range(1, 9) for n in range(12)]
+    rows += [(100 + 3 * t + n % 3, n, 20, n, 1) for t in range(12) for n in range(t, 12)]
+    frame = spark.createDataFrame(rows, "token long, node long, n int, label long, alike long")
+    found = {(r["token"], r["node"]): r["room"] for r in nj._with_room(frame).collect()}
+    lists = {}
+    for t, n, *_ in rows:
+        lists.setdefault(t, set()).add(n)
+    open_lists = sorted((len(m), t) for t, m in lists.items() if len(m) > 2)
+    for (token, node), room in found.items():
+        after = [t for at, t in open_lists if (at, t) >= (len(lists[token]), token) and node in lists[t]]
+        assert room == len(after)
+    assert {t for t, _ in found} == {t for _, t in open_lists}
+    for a in range(12):  # a pair has room for all that it shares in the first list where it meets
+        for b in range(a):
+            both = [(at, t) for at, t in open_lists if {a, b} <= lists[t]]
+            assert min(found[both[0][1], a], found[both[0][1], b]) >= len(both)
+
+
+def test_classes_of_a_sketch(spark):
+    """The driver gets a class for each counter; the mean comes from the sizes."""
+    low = np.zeros(nj.SLICE, dtype=np.uint8)
+    low[5], low[6], low[7] = 1, 200, 255
+    more = np.array([[7], [1000]], dtype=np.int32).tobytes()
+    rows = spark.createDataFrame([(3, bytearray(low.tobytes()), bytearray(more)), (3, bytearray(low.tobytes()), bytearray(b""))], "slice int, counts binary, more binary")
+    got = nj._sketch_classes(rows, 2 * 456 + 1000)
+    at = 3 * nj.SLICE
+    assert got.dtype == np.uint8 and len(got) == 1 << nj.SKETCH_BITS
+    assert [int(got[at + k]) for k in (4, 5, 6, 7)] == [0, 1, 8, 10] and got.astype(int).sum() == 19
+
+
+def test_tables_of_the_search_go(spark):
+    """The result reads two written tables; no other stays."""
+    texts = [f"{PASSAGE} {i} {i}" for i in range(6)] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    folder = scratch_path(spark, "lineage")
+    before = set(list_folder(spark, folder))
+    with lineage_scope(spark) as paths:
+        frame = nj.similar_documents(docs)
+        left = set(list_folder(spark, folder)) - before
+        assert len(paths) == 2 and left == {p.rsplit("/", 1)[1] for p in paths}
+        assert {r["component_id"] for r in frame.collect()} == {0}
