@@ -16,12 +16,16 @@ A document is the set of its distinct word shingles (64-bit hashes).
    are joined to components by large-star and small-star.
 4. Buckets that then still hold several components are finished exactly:
    every node outside the bucket's largest component meets the nodes of
-   other components, less the pairs already confirmed or refuted. Pairs
-   within one component are never made: they change nothing. What meets is
-   compared inside the join, in the bucket of its first common band only: by
-   two bits of each minimum and then by one bit of ``FINE`` more minima,
-   computed for the nodes that are left. The join makes no rows but pairs
-   within 0.05 of the limit, however many unlike texts share a passage.
+   other components. Pairs within one component are never made: they change
+   nothing. What meets is compared inside the join, in the bucket of its first
+   common band only: by two bits of each minimum, by one bit of ``FINE`` more
+   minima, computed for the nodes that are left, and by the full sets of the
+   nodes that have partners up to here. The first two joins only tell which
+   nodes these are. A node linked with the largest component makes one row,
+   however many of its nodes it is linked with; the other rows are links
+   between smaller components. So many texts that share a passage, or near
+   copies just short of the limit, make no rows but their own; the
+   comparisons inside the joins still grow with the square of a bucket.
 
 A bucket of copies costs its length a round, and no link between different
 components is lost to a cap.
@@ -233,9 +237,13 @@ class Confirmer:
         left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
         right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
         counted = likely.join(right, "b").join(left, "a").select(
-            "a", "b", F.size(F.array_intersect("ta", "tb")).cast("long").alias("common"), (F.size("ta") + F.size("tb")).cast("long").alias("sizes"))
-        linked = F.col("common") * 100 >= (F.col("sizes") - F.col("common")) * self.percent
-        return counted.filter(linked).select("a", "b")
+            "a", "b", F.size(F.array_intersect("ta", "tb")).alias("common"), (F.size("ta") + F.size("tb")).alias("sizes"))
+        return counted.filter(_enough_common(F.col("common"), F.col("sizes"), self.percent)).select("a", "b")
+
+
+def _enough_common(common: Column, sizes: Column, percent: int) -> Column:
+    """Sets with ``common`` tokens in both and ``sizes`` in sum are a link."""
+    return common.cast("long") * 100 >= (sizes.cast("long") - common) * percent
 
 
 def _least_agreeing(share: float, total: int = BANDS * ROWS) -> int:
@@ -279,23 +287,56 @@ def star_pairs(open_rows: DataFrame, star: int, percent: int) -> DataFrame:
     return drawn.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
-def rest_pairs(open_rows: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """(a, b): in each bucket all very likely pairs of nodes of different
-    components. The bucket's largest component stands on one side only.
-    ``known`` has the nodes' ``fine`` bits and open buckets ``keys``: of all
-    buckets in which a pair meets, only the first compares it."""
+def rest_links(open_rows: DataFrame, links: DataFrame, confirmer: Confirmer) -> DataFrame:
+    """(a, b): links by which the components that meet in the open buckets are
+    joined as by all their links. Which nodes have a very likely partner is
+    found first; only they get their sets, which are compared inside the joins.
+    A node outside its bucket's largest component ``main`` comes out once if it
+    is linked with any node of that, as a link with its label; then the links
+    between the others come out whose components still differ."""
+    percent = confirmer.percent
+    marked = cut_lineage(open_rows.join(_largest(open_rows), "bucket"), "minhash-marked")
+    left = cut_lineage(marked.select("node").distinct(), "minhash-left")
+    # a bucket in which nodes of different components meet is open
+    keys = marked.groupBy("node").agg(F.collect_set("bucket").alias("keys"))
+    known = marked.join(cut_lineage(confirmer.fine_bits(left).join(keys, "node"), "minhash-fine"), "node")
+    x = known.filter("label <> main").select(
+        "bucket", F.col("node").alias("x"), "n", F.col("label").alias("lx"), "main", F.col("fine").alias("fp"), F.col("keys").alias("kx"), *PLANES)
+    y = known.select(
+        F.col("bucket").alias("its"), F.col("node").alias("y"), F.col("n").alias("m"), F.col("label").alias("ly"), (F.col("label") == F.col("main")).alias("inside"),
+        F.col("fine").alias("fq"), F.col("keys").alias("ky"), *(F.col(p).alias(p.replace("p", "q")) for p in PLANES))
+    near = cut_lineage(x.join(y, _meet(percent), "left_semi"), "minhash-near")
+    if near.isEmpty():
+        return links.limit(0)
+    partners = cut_lineage(y.join(near, _meet(percent), "left_semi"), "minhash-partners")
+    wanted = near.select(F.col("x").alias("node")).union(partners.select("y")).distinct()
+    sets = confirmer.read(wanted, lambda tokens: tokens, "tokens")
+    near = near.join(sets.select(F.col("node").alias("x"), F.col("tokens").alias("ta")), "x")
+    partners = partners.join(sets.select(F.col("node").alias("y"), F.col("tokens").alias("tb")), "y")
+    linked = _meet(percent) & _enough_common(F.size(F.array_intersect("ta", "tb")), F.size("ta") + F.size("tb"), percent)
+
+    to_main = near.join(partners.filter("inside"), linked, "left_semi")
+    to_main = cut_lineage(to_main.select(F.least("x", "main").alias("a"), F.greatest("x", "main").alias("b")).distinct(), "minhash-to-main")
+    labels = components(links.union(to_main))
+    near = near.join(labels.select(F.col("node").alias("x"), "label"), "x", "left").withColumn("lx", F.coalesce("label", "x")).drop("label")
+    others = partners.filter("not inside").join(labels.select(F.col("node").alias("y"), "label"), "y", "left").withColumn("ly", F.coalesce("label", "y")).drop("label")
+    between = cut_lineage(near.join(others, linked).select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "minhash-between")
+    return to_main.union(between)
+
+
+def _largest(open_rows: DataFrame) -> DataFrame:
+    """(bucket, main): the largest component of each bucket that holds several."""
     sizes = open_rows.groupBy("bucket", "label").agg(F.count("*").alias("held"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("held", "label")).alias("top"), F.count("*").alias("labels"))
-    largest = cut_lineage(largest.filter("labels > 1").select("bucket", F.col("top.label").alias("main")), "minhash-largest")
-    marked = cut_lineage(open_rows.join(largest, "bucket"), "minhash-marked")
-    x = marked.filter("label <> main").join(known, "node").select("bucket", F.col("node").alias("x"), "n", F.col("label").alias("lx"), F.col("fine").alias("fp"), F.col("keys").alias("kx"), *PLANES)
-    y = marked.join(known, "node").select(
-        F.col("bucket").alias("its"), F.col("node").alias("y"), F.col("n").alias("m"), F.col("label").alias("ly"), "main",
-        F.col("fine").alias("fq"), F.col("keys").alias("ky"), *(F.col(p).alias(p.replace("p", "q")) for p in PLANES))
-    once = (F.col("ly") == F.col("main")) | (F.col("x") < F.col("y"))
+    return cut_lineage(largest.filter("labels > 1").select("bucket", F.col("top.label").alias("main")), "minhash-largest")
+
+
+def _meet(percent: int) -> Column:
+    """Rows x and y of a bucket that are a very likely pair of different
+    components. A pair counts in one order and in its first common bucket only."""
+    once = F.col("inside") | (F.col("x") < F.col("y"))
     here = F.col("bucket") == F.array_min(F.array_intersect("kx", "ky"))
-    pairs = x.join(y, (F.col("bucket") == F.col("its")) & (F.col("lx") != F.col("ly")) & once & _likely(percent) & here & _very_likely(percent))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    return (F.col("bucket") == F.col("its")) & (F.col("lx") != F.col("ly")) & once & _likely(percent) & here & _very_likely(percent)
 
 
 def open_buckets(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -334,24 +375,18 @@ def _named_nodes(docs: DataFrame, doc_id: str, text: str, size: int, percent: in
     rows = cut_lineage(rows.join(with_planes(nodes), "node").withColumn("label", F.col("node")), "minhash-buckets")
 
     links = tested = spark.createDataFrame([], "a long, b long")
-    for star in range(STARS + 1):
-        if star < STARS:
-            pairs = star_pairs(rows, star, percent)
-        else:
-            left = cut_lineage(rows.select("node").distinct(), "minhash-left")
-            # a bucket in which nodes of different components meet is open
-            keys = rows.groupBy("node").agg(F.collect_set("bucket").alias("keys"))
-            known = cut_lineage(confirmer.fine_bits(left).join(keys, "node"), "minhash-fine")
-            pairs = rest_pairs(rows, known, percent)
-        pairs = cut_lineage(pairs.join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
+    for star in range(STARS):
+        pairs = cut_lineage(star_pairs(rows, star, percent).join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
         if pairs.isEmpty():
             continue
         found = confirmer.links(pairs)
         tested, links = tested.union(pairs), links.union(found)
-        if star < STARS and not found.isEmpty():
+        if not found.isEmpty():
             rows = open_buckets(rows, links)
             if rows.isEmpty():
                 break
+    if not rows.isEmpty():
+        links = links.union(rest_links(rows, links, confirmer))
 
     labels = components(links)
     least = members.filter("n > 0").groupBy("node").agg(F.min("id").alias("least")).join(labels, "node", "left")

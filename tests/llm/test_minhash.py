@@ -147,3 +147,25 @@ def test_tables_of_the_search_go(spark):
         left = set(list_folder(spark, folder)) - before
         assert len(paths) == 2 and left == {p.rsplit("/", 1)[1] for p in paths}
         assert sorted((tuple(r) for r in frame.collect()), key=repr) == brute(rows)
+
+
+def test_near_copies_about_the_limit_make_no_rows_for_each_pair(spark, monkeypatch):
+    """Each two copies are just short of the limit, unless they share two edited
+    places: no table of the search holds more than a row for each node and band."""
+    draw = random.Random(21)
+    rows = []
+    for doc_id in draw.sample(range(10**6), 200):
+        words = [f"w{k}" for k in range(250)]
+        for place in draw.sample(range(5, 245, 4), 4):
+            words[place] = f"d{doc_id}p{place}"
+        rows.append((doc_id, " ".join(words)))
+    most, write = [], minhash.cut_lineage
+
+    def counted(frame, *args, **kwargs):
+        written = write(frame, *args, **kwargs)
+        most.append(written.count())
+        return written
+
+    monkeypatch.setattr(minhash, "cut_lineage", counted)
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert max(most) <= minhash.BANDS * len(rows)
