@@ -13,8 +13,8 @@ holds a group of queries and streams a share of the pieces past it, ``BLOCK``
 codes at a time, each block with its own substring indexes; it keeps the k + 1
 best vectors of each query, so that what it returns does not grow with the
 number of blocks. There are at least ``SHARES`` shares, and more only as long
-as all that is returned stays below the number of vectors. Neither vectors nor
-queries are copied for the visits: the tasks read the pieces where they lie.
+as all that is returned stays below the number of vectors. Nothing is copied
+for the visits: the tasks read pieces and groups where they lie.
 
 Probes that would retrieve a good part of a block (a large radius) do not pay:
 then all products of the block are computed in single precision, and what may
@@ -215,8 +215,11 @@ class Group:
         self.vectors, q = vectors, as_matrix(b"".join(vectors), len(vectors[0]) // size, size)
         self.q, self.coder, self.radius, self.k = q, coder, radius, k
         self.codes = coder.substrings(q, query=True)
-        self.lengths = np.sqrt((q * q).sum(axis=1)) * math.sqrt(coder.longest)
-        self.small = (q / np.sqrt((q * q).sum(axis=1))[:, None]).astype(np.float32)
+        squares = (q * q).sum(axis=1)
+        self.lengths = np.sqrt(squares) * math.sqrt(coder.longest)
+        # squares out of the range of doubles give no unit vectors
+        self.scalable = bool(np.isfinite(self.lengths).all()) and min(squares.min(), coder.longest) > 1e-280
+        self.small = (q / np.sqrt(squares)[:, None]).astype(np.float32) if self.scalable else None
         # twice the rounding of products of unit vectors in single precision
         self.slack = (q.shape[1] + 16) * 2.0**-23
         self.scores = np.full((len(q), k + 1), -np.inf)
@@ -240,16 +243,14 @@ class Group:
     def pass_by(self, x: np.ndarray, ids: Ids) -> None:
         """Hold a block of vectors against the queries."""
         block = Block(self.coder.substrings(x))
-        scalable = np.isfinite(self.lengths).all() and self.lengths.all()
-        small = (x / math.sqrt(self.coder.longest)).astype(np.float32) if scalable else None
+        small = (x / math.sqrt(self.coder.longest)).astype(np.float32) if self.scalable else None
         for at in range(0, len(self.q), CHUNK):
             rows = np.arange(at, min(at + CHUNK, len(self.q)))
             pairs = block.probe(self.codes[rows], self.radius, len(rows) * len(x) / PAYS)
             if pairs is not None:
                 self.keep(rows[pairs[0]], pairs[1], x, ids)
                 continue
-            full = self.scores[rows, -1] > -np.inf
-            full &= scalable
+            full = (self.scores[rows, -1] > -np.inf) & self.scalable
             for few in np.array_split(rows[~full], -(-int((~full).sum()) // 64) or 1):
                 if len(few):
                     self.fill(few, block, x, ids)
